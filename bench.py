@@ -35,7 +35,7 @@ def main() -> None:
     from fraudmart.queries import QUERIES
     from fraudmart.session import build_session
 
-    spark = build_session(f"local[{cpus}]", app_name="fraudmart-bench", shuffle_partitions=int(cpus) * 2)
+    spark = build_session(f"local[{cpus}]", app_name="fraudmart-bench", shuffle_partitions=int(cpus))
     timings: dict[str, float] = {}
     for name in HEADLINE:
         query = QUERIES[name]

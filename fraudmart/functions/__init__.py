@@ -4,6 +4,7 @@ from fraudmart.functions.oracle import (
     change_time,
     check_max_length,
     empty_as_null,
+    enforce_varchar,
     full_name,
     parse_amount,
     parse_oracle_timestamp,
@@ -16,6 +17,7 @@ __all__ = [
     "check_max_length",
     "current_second",
     "empty_as_null",
+    "enforce_varchar",
     "full_name",
     "ntz_literal",
     "parse_amount",

@@ -60,3 +60,14 @@ def check_max_length(c: str | Column, limit: int, what: str) -> Column:
         F.length(col) > F.lit(limit),
         F.raise_error(F.concat(F.lit(f"{what} longer than {limit} characters: "), col)),
     ).otherwise(col)
+
+
+def enforce_varchar(df, limit: int, columns: list[str] | None = None):
+    """Fail the load when a text value exceeds ``varchar2(limit)``, as the target
+    table would reject the insert (1.2).  Length counts characters."""
+    from pyspark.sql import types as T
+
+    names = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    return df.select(
+        *[check_max_length(c, limit, c).alias(c) if c in names else F.col(c) for c in df.columns]
+    )

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from fraudmart import schemas
-from fraudmart.functions import to_stamp_text
+from fraudmart.functions import enforce_varchar, to_stamp_text
 from fraudmart.operators.capture import (
     capture_accounts,
     capture_blacklist,
@@ -123,7 +123,10 @@ class Warehouse:
                 feed("transactions", _typed_transactions_schema(RAW_SCHEMA)), load_ts, wm["fact_transactions"]
             ),
         }
-        staged = {name: self._pin(df, batch_id, attempt, name) for name, df in staged_raw.items()}
+        staged = {
+            name: self._pin(enforce_varchar(df, schemas.VARCHAR_LIMIT), batch_id, attempt, name)
+            for name, df in staged_raw.items()
+        }
         # Full key snapshots, pinned as well (they feed the delete).
         keys = {
             dim: self._pin(

@@ -79,3 +79,12 @@ def test_stamps(spark):
     r = spark.range(1).select(current_second().alias("t")).collect()[0]
     assert r.t.microsecond == 0
     assert dict(spark.range(1).select(current_second().alias("t")).dtypes)["t"] == "timestamp_ntz"
+
+
+def test_enforce_varchar(spark):
+    from fraudmart.functions import enforce_varchar
+
+    df = spark.createDataFrame([("a" * 100, 1)], "s string, n int")
+    assert enforce_varchar(df, 100).collect()[0].s == "a" * 100
+    with pytest.raises(Exception, match="longer than 100"):
+        enforce_varchar(spark.createDataFrame([("é" * 101, 1)], "s string, n int"), 100).collect()
