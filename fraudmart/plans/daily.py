@@ -34,7 +34,7 @@ from fraudmart.operators.capture import (
 )
 from fraudmart.operators.files import oldest_drop, require_feeds, unseen_files
 from fraudmart.operators.report import fraud_report
-from fraudmart.operators.scd1 import assert_unique_keys, missing_keys, scd1_delete, scd1_upsert
+from fraudmart.operators.scd1 import assert_unique_keys, scd1_delete, scd1_upsert
 from fraudmart.operators.watermarks import SEED_STAMP, advance_watermarks, as_of_now, watermark_value
 from fraudmart.plans.store import CLEAR_REPORT, DROP, LOAD, REPORT, PublishRecord, Store, new_attempt
 from fraudmart.session import scratch_path
@@ -143,16 +143,14 @@ class Warehouse:
             if not self._is_empty(staged[table]):
                 facts[table] = self.store.append_fact(table, staged[table], batch_id, attempt)
 
-        # dimensions (C9-C12 upsert, C14-C16 delete); unchanged ones keep their version
+        # dimensions (C9-C12 upsert, C14-C16 delete).  A dimension that takes deletes
+        # is rewritten every run (detecting "no change" would cost the same join);
+        # terminals keep their version when nothing was staged.
         versions = dict(state.versions)
         for dim, (_schema, key) in schemas.DIMENSIONS.items():
-            current = self.store.dim(dim)
-            changed = not self._is_empty(staged[dim])
-            if dim in keys:
-                keyed = current.where(current[key].isNotNull())
-                changed = changed or not self._is_empty(missing_keys(keyed, keys[dim], key))
-            if not changed:
+            if dim not in keys and self._is_empty(staged[dim]):
                 continue
+            current = self.store.dim(dim)
             new = scd1_upsert(current, staged[dim], key)
             if dim in keys:
                 new = scd1_delete(new, keys[dim], key)

@@ -1,9 +1,10 @@
 """Workbook drop files (S5, S6): first sheet, header row, positional columns.
 
-A Python Data Source: one input partition per workbook, parsed on the executor
-with the standard library (an ``.xlsx`` file is a zip of XML parts), so many
-workbooks load in parallel and no file passes through the driver.  A sheet holds
-at most 1,048,576 rows, which bounds the work of one task.
+Spark's ``binaryFile`` source reads the workbooks from any Hadoop filesystem
+(HDFS, object stores, local) and ``mapInPandas`` parses each one on an executor
+with the standard library (an ``.xlsx`` file is a zip of XML parts), yielding
+Arrow batches; many workbooks load in parallel and no file passes through the
+driver.  A sheet holds at most 1,048,576 rows, which bounds the work per file.
 
 Only what the feeds need is read: cell values of the first sheet.  Numbers in a
 text column become their text (integers without ``.0``); numbers in a
@@ -14,7 +15,7 @@ parsed as ``yyyy-MM-dd[ HH:mm:ss]``.  Empty cells are NULL (H3).
 from __future__ import annotations
 
 import datetime as _dt
-import json
+import io
 import posixpath
 import re
 import zipfile
@@ -23,11 +24,11 @@ from xml.etree import ElementTree as ET
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from fraudmart.functions import empty_as_null
 
-FORMAT_NAME = "fraudmart_workbook"
+# Rows per Arrow batch handed back to Spark.
+BATCH_ROWS = 10_000
 
 _NS = {
     "m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
@@ -77,32 +78,44 @@ def _shared_strings(zf: zipfile.ZipFile) -> list[str]:
     return [_text_of(si) for si in root.findall("m:si", _NS)]
 
 
-def iter_sheet_rows(path: str) -> Iterator[tuple[list[object], bool]]:
-    """Raw cell values of the first sheet, row by row (header included)."""
-    with zipfile.ZipFile(path) as zf:
+def _cell_value(cell: ET.Element, strings: list[str]) -> object:
+    kind = cell.get("t", "n")
+    v = cell.find("m:v", _NS)
+    if kind == "s":
+        return strings[int(v.text)] if v is not None else None
+    if kind == "inlineStr":
+        node = cell.find("m:is", _NS)
+        return _text_of(node) if node is not None else None
+    if kind in ("str", "e"):
+        return v.text if v is not None else None
+    if kind == "b":
+        return (v.text == "1") if v is not None else None
+    return float(v.text) if v is not None and v.text not in (None, "") else None
+
+
+def iter_sheet_rows(workbook: str | bytes) -> Iterator[tuple[list[object], bool]]:
+    """Raw cell values of the first sheet, row by row (header included).
+
+    The sheet is parsed as a stream (``iterparse``) and each row is released
+    once read, so memory stays flat however long the sheet is.
+    """
+    row_tag = f"{{{_NS['m']}}}row"
+    source = io.BytesIO(workbook) if isinstance(workbook, (bytes, bytearray)) else workbook
+    with zipfile.ZipFile(source) as zf:
         sheet_path, date1904 = _first_sheet_path(zf)
         strings = _shared_strings(zf)
-        root = ET.fromstring(zf.read(sheet_path))
-    for row in root.iterfind("m:sheetData/m:row", _NS):
-        values: dict[int, object] = {}
-        for pos, cell in enumerate(row.findall("m:c", _NS)):
-            ref = cell.get("r")
-            col = _column_index(_CELL_REF.match(ref).group(1)) if ref else pos
-            kind = cell.get("t", "n")
-            v = cell.find("m:v", _NS)
-            if kind == "s":
-                values[col] = strings[int(v.text)] if v is not None else None
-            elif kind == "inlineStr":
-                node = cell.find("m:is", _NS)
-                values[col] = _text_of(node) if node is not None else None
-            elif kind in ("str", "e"):
-                values[col] = v.text if v is not None else None
-            elif kind == "b":
-                values[col] = (v.text == "1") if v is not None else None
-            else:
-                values[col] = float(v.text) if v is not None and v.text not in (None, "") else None
-        width = max(values) + 1 if values else 0
-        yield [values.get(i) for i in range(width)], date1904
+        with zf.open(sheet_path) as stream:
+            for _event, row in ET.iterparse(stream, events=("end",)):
+                if row.tag != row_tag:
+                    continue
+                values: dict[int, object] = {}
+                for pos, cell in enumerate(row.findall("m:c", _NS)):
+                    ref = cell.get("r")
+                    col = _column_index(_CELL_REF.match(ref).group(1)) if ref else pos
+                    values[col] = _cell_value(cell, strings)
+                row.clear()
+                width = max(values) + 1 if values else 0
+                yield [values.get(i) for i in range(width)], date1904
 
 
 def _to_text(value: object) -> str | None:
@@ -128,50 +141,41 @@ def _to_timestamp(value: object, date1904: bool) -> _dt.datetime | None:
     return _dt.datetime.strptime(text[:19], fmt)
 
 
-class _WorkbookReader(DataSourceReader):
-    def __init__(self, paths: list[str], schema: T.StructType):
-        self.paths = paths
-        self.kinds = [
-            "ts" if isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType)) else "text" for f in schema.fields
-        ]
-
-    def partitions(self) -> Sequence[InputPartition]:
-        return [InputPartition(p) for p in self.paths]
-
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        width = len(self.kinds)
-        for i, (cells, date1904) in enumerate(iter_sheet_rows(partition.value)):
-            if i == 0:
-                continue  # header row: names are ignored, columns bind by position
-            cells = (cells + [None] * width)[:width]
-            if all(c is None or c == "" for c in cells):
-                continue  # blank line (pandas drops fully empty rows)
-            yield tuple(
-                _to_timestamp(c, date1904) if kind == "ts" else _to_text(c) for c, kind in zip(cells, self.kinds)
-            )
-
-
-class WorkbookDataSource(DataSource):
-    """``spark.read.format("fraudmart_workbook").schema(s).option("paths", json)``."""
-
-    @classmethod
-    def name(cls) -> str:
-        return FORMAT_NAME
-
-    def schema(self):
-        raise ValueError("the workbook source needs an explicit schema")
-
-    def reader(self, schema: T.StructType) -> DataSourceReader:
-        paths = json.loads(self.options["paths"])
-        return _WorkbookReader(paths, schema)
+def workbook_rows(content: bytes, kinds: list[str]) -> Iterator[tuple]:
+    """Typed data rows of one workbook (header skipped, columns by position)."""
+    width = len(kinds)
+    for i, (cells, date1904) in enumerate(iter_sheet_rows(content)):
+        if i == 0:
+            continue  # header row: names are ignored, columns bind by position
+        cells = (cells + [None] * width)[:width]
+        if all(c is None or c == "" for c in cells):
+            continue  # blank line (pandas drops fully empty rows)
+        yield tuple(_to_timestamp(c, date1904) if k == "ts" else _to_text(c) for c, k in zip(cells, kinds))
 
 
 def read_workbooks(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType) -> DataFrame:
     """Read the first sheet of each workbook with a positional schema."""
+    import pandas as pd
+
     if isinstance(paths, str):
         paths = [paths]
-    spark.dataSource.register(WorkbookDataSource)
-    df = spark.read.format(FORMAT_NAME).schema(schema).option("paths", json.dumps(list(paths))).load()
+    names = [f.name for f in schema.fields]
+    kinds = ["ts" if isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType)) else "text" for f in schema.fields]
+
+    def parse(batches):
+        for files in batches:
+            for content in files["content"]:
+                chunk = []
+                for row in workbook_rows(bytes(content), kinds):
+                    chunk.append(row)
+                    if len(chunk) >= BATCH_ROWS:
+                        yield pd.DataFrame(chunk, columns=names, dtype=object)
+                        chunk = []
+                if chunk:
+                    yield pd.DataFrame(chunk, columns=names, dtype=object)
+
+    files = spark.read.format("binaryFile").load(list(paths)).select("content")
+    df = files.mapInPandas(parse, schema)
     return df.select(
         *[
             empty_as_null(f.name).alias(f.name) if isinstance(f.dataType, T.StringType) else f.name
