@@ -157,6 +157,8 @@ STATEMENTS: dict[str, str] = {
     "capture_blacklist": f"SELECT passport_num, entry_dt, {LOAD} create_dt FROM blacklist WHERE {LOAD} > {WM}",
     "capture_transactions": f"SELECT trans_id, trans_date, card_num, oper_type, amt, oper_result, terminal, "
     f"{LOAD} create_dt FROM transactions WHERE {LOAD} > {WM}",
+    "read_transactions_text": "SELECT trans_id, trans_date, amt, card_num, oper_type, oper_result, terminal "
+    "FROM transactions",
     "append_transactions": f"SELECT * FROM transactions WHERE trans_date < {NTZ} '1999-01-01 00:00:00' "
     f"UNION ALL SELECT * FROM transactions WHERE trans_date >= {NTZ} '1999-01-01 00:00:00'",
     "append_blacklist": f"SELECT * FROM blacklist UNION ALL SELECT * FROM blacklist "

@@ -69,6 +69,30 @@ def q_capture_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return capture_transactions(Fixture(spark, sf_dir).transactions, LOAD_TS, WATERMARK)
 
 
+def q_read_transactions_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 over the whole fact: Spark writes the transactions as the bank's drop file
+    (``;``, header, decimal comma) into the shared scratch folder; the reader
+    binds by position and types it back."""
+    import uuid
+
+    from fraudmart.session import scratch_path
+    from fraudmart.sources.text import read_transactions
+
+    tx = Fixture(spark, sf_dir).transactions
+    drop = tx.select(
+        "trans_id",
+        F.date_format("trans_date", "yyyy-MM-dd HH:mm:ss").alias("trans_date"),
+        F.regexp_replace(F.col("amt").cast("string"), r"\.", ",").alias("amount"),
+        "card_num",
+        "oper_type",
+        "oper_result",
+        "terminal",
+    )
+    path = scratch_path(spark, "fraudmart-drops", f"transactions_{uuid.uuid4().hex[:12]}")
+    drop.write.option("sep", ";").option("header", True).csv(path)
+    return read_transactions(spark, path)
+
+
 # -- facts (C7, C8) --------------------------------------------------------
 def q_append_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     tx = Fixture(spark, sf_dir).transactions
@@ -237,6 +261,7 @@ QUERIES: dict[str, Query] = {
     "capture_terminals": q_capture_terminals,
     "capture_blacklist": q_capture_blacklist,
     "capture_transactions": q_capture_transactions,
+    "read_transactions_text": q_read_transactions_text,
     "append_transactions": q_append_transactions,
     "append_blacklist": q_append_blacklist,
     "upsert_clients": q_upsert_clients,
