@@ -80,3 +80,23 @@ def scd1_delete(target: DataFrame, source_keys: DataFrame, key: str, source_key:
     keyed, null_keyed = _split_null_keys(target, key)
     src = source_keys.select(F.col(source_key).alias(key)).where(F.col(key).isNotNull())
     return keyed.join(src, key, "left_semi").select(*cols).unionByName(null_keyed.select(*cols))
+
+
+def scd1_apply(
+    target: DataFrame, staging: DataFrame, source_keys: DataFrame, key: str, source_key: str = "id"
+) -> DataFrame:
+    """Upsert then delete in one plan: ``scd1_delete(scd1_upsert(t, s), keys)``.
+
+    Composing the two primitives would split the upsert's output into NULL and
+    non-NULL keys again and plan its anti join twice.  Here every input is split
+    once: non-NULL rows go through one anti join (staged keys) and one semi join
+    (source keys); NULL-key rows of both sides bypass both joins (H16, H17).
+    """
+    cols = target.columns
+    keyed, null_target = _split_null_keys(target, key)
+    staged, null_staged = _split_null_keys(staging.select(*cols), key)
+    src = source_keys.select(F.col(source_key).alias(key)).where(F.col(key).isNotNull())
+    kept = keyed.join(staged.select(key), key, "left_anti").select(*cols)
+    merged = kept.unionByName(staged)
+    alive = merged.join(src, key, "left_semi").select(*cols)
+    return alive.unionByName(null_target.select(*cols)).unionByName(null_staged)

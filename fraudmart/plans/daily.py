@@ -34,7 +34,7 @@ from fraudmart.operators.capture import (
 )
 from fraudmart.operators.files import oldest_drop, require_feeds, unseen_files
 from fraudmart.operators.report import fraud_report
-from fraudmart.operators.scd1 import assert_unique_keys, scd1_delete, scd1_upsert
+from fraudmart.operators.scd1 import assert_unique_keys, scd1_apply, scd1_upsert
 from fraudmart.operators.watermarks import SEED_STAMP, advance_watermarks, as_of_now, watermark_value
 from fraudmart.plans.store import CLEAR_REPORT, DROP, LOAD, REPORT, PublishRecord, Store, new_attempt
 from fraudmart.session import scratch_path
@@ -151,9 +151,10 @@ class Warehouse:
             if dim not in keys and self._is_empty(staged[dim]):
                 continue
             current = self.store.dim(dim)
-            new = scd1_upsert(current, staged[dim], key)
             if dim in keys:
-                new = scd1_delete(new, keys[dim], key)
+                new = scd1_apply(current, staged[dim], keys[dim], key)
+            else:
+                new = scd1_upsert(current, staged[dim], key)
             versions[dim] = self.store.write_dim(dim, new, f"{batch_id}-{attempt}")
 
         # watermarks (C17, C18): six rows, collected

@@ -29,7 +29,7 @@ from fraudmart.operators.capture import (
 from fraudmart.operators.facts import append_facts
 from fraudmart.operators.files import oldest_drop, unseen_files
 from fraudmart.operators.report import fraud_report, rule_contract, rule_passport
-from fraudmart.operators.scd1 import missing_keys, scd1_delete, scd1_upsert
+from fraudmart.operators.scd1 import missing_keys, scd1_apply, scd1_delete, scd1_upsert
 from fraudmart.operators.watermarks import advance_watermarks, seed_watermarks, watermark_column
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -235,18 +235,21 @@ def q_fraud_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_fraud_after_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C19 then C22: capture, upsert and delete all three dimensions, then report."""
     fx = Fixture(spark, sf_dir)
-    clients = scd1_delete(
-        scd1_upsert(fx.dim_clients_before_full, capture_clients(fx.src_clients_full, WATERMARK), "client_id"),
+    clients = scd1_apply(
+        fx.dim_clients_before_full,
+        capture_clients(fx.src_clients_full, WATERMARK),
         source_keys(fx.src_clients_full, "client_id"),
         "client_id",
     )
-    accounts = scd1_delete(
-        scd1_upsert(fx.dim_accounts_before, capture_accounts(fx.src_accounts, WATERMARK), "account_num"),
+    accounts = scd1_apply(
+        fx.dim_accounts_before,
+        capture_accounts(fx.src_accounts, WATERMARK),
         source_keys(fx.src_accounts, "account_num"),
         "account_num",
     )
-    cards = scd1_delete(
-        scd1_upsert(fx.dim_cards_before, capture_cards(fx.src_cards, WATERMARK), "card_num"),
+    cards = scd1_apply(
+        fx.dim_cards_before,
+        capture_cards(fx.src_cards, WATERMARK),
         source_keys(fx.src_cards, "card_num"),
         "card_num",
     )

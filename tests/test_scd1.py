@@ -10,6 +10,7 @@ from fraudmart.operators.scd1 import (
     DuplicateKeyError,
     assert_unique_keys,
     missing_keys,
+    scd1_apply,
     scd1_delete,
     scd1_upsert,
 )
@@ -107,3 +108,16 @@ def test_delete_law(spark, target, source):
     present = {k for k in source if k is not None}
     expect = [(k, v) for k, v in target if k is None or k in present]
     assert got == sorted(expect, key=lambda t: tuple((x is None, x) for x in t))
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(st.tuples(keys, vals), max_size=8),
+    st.lists(st.tuples(keys, vals), max_size=8),
+    st.lists(keys, max_size=8),
+)
+def test_apply_equals_upsert_then_delete(spark, target, staging, source):
+    t = spark.createDataFrame(_unique(target), SCHEMA)
+    s = spark.createDataFrame(_unique(staging), SCHEMA)
+    src = spark.createDataFrame([(k,) for k in source], "id string")
+    assert rows(scd1_apply(t, s, src, "k")) == rows(scd1_delete(scd1_upsert(t, s, "k"), src, "k"))
