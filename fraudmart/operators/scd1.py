@@ -89,14 +89,16 @@ def scd1_apply(
 
     Composing the two primitives would split the upsert's output into NULL and
     non-NULL keys again and plan its anti join twice.  Here every input is split
-    once: non-NULL rows go through one anti join (staged keys) and one semi join
-    (source keys); NULL-key rows of both sides bypass both joins (H16, H17).
+    once, and the large side (the current dimension) goes through the semi join
+    (source keys) and the anti join (staged keys) back to back on the same key,
+    so it is hash-partitioned once and both joins reuse that partitioning.  The
+    small staged side meets the same, reused, source-key exchange.  NULL-key rows
+    of both sides bypass the joins (H16, H17).
     """
     cols = target.columns
     keyed, null_target = _split_null_keys(target, key)
     staged, null_staged = _split_null_keys(staging.select(*cols), key)
     src = source_keys.select(F.col(source_key).alias(key)).where(F.col(key).isNotNull())
-    kept = keyed.join(staged.select(key), key, "left_anti").select(*cols)
-    merged = kept.unionByName(staged)
-    alive = merged.join(src, key, "left_semi").select(*cols)
-    return alive.unionByName(null_target.select(*cols)).unionByName(null_staged)
+    kept = keyed.join(src, key, "left_semi").join(staged.select(key), key, "left_anti").select(*cols)
+    staged_alive = staged.join(src, key, "left_semi").select(*cols)
+    return kept.unionByName(staged_alive).unionByName(null_target.select(*cols)).unionByName(null_staged)
