@@ -44,3 +44,29 @@ def test_crash_before_publish_then_rerun(spark, workdir, monkeypatch):
     # Terminals take the load time as create_dt on every load
     assert wh.read_table("dim_terminals").collect()[0].create_dt == D(2021, 1, 1, 23, 30)
     assert load.watermarks["dim_terminals"] == "2021-01-01 23:30:00"
+
+
+def test_rerun_without_changes_and_empty_feed(spark, workdir):
+    wh = Warehouse(spark, os.path.join(workdir, "wh"))
+    drops = os.path.join(workdir, "drops")
+    src = _sources(spark, ["1", "2"])
+    wh.initial_load(src)
+    _drop(drops, 1, [("1", "2021-01-01 09:00:00", "1", "K1", "PAY", "OK", "T1")], listed=["P2"])
+    first, _ = wh.daily_run(src, drops, "2021-01-01 23:00:00")
+    dims = {t: sorted(map(tuple, wh.read_table(t).collect())) for t in ("dim_clients", "dim_accounts", "dim_cards")}
+
+    # a rerun of the increment over unchanged sources stages nothing and changes nothing
+    again = wh.increment(src, {}, "2021-01-02 23:00:00")
+    assert {t: sorted(map(tuple, wh.read_table(t).collect())) for t in dims} == dims
+    assert again.watermarks == first.watermarks
+    assert wh.read_table("fact_transactions").count() == 1
+
+    # an empty feed: header-only text and an empty workbook -> no fact attempt,
+    # watermarks of those facts stay
+    _drop(drops, 2, [], listed=[])
+    load, _ = wh.daily_run(src, drops, "2021-01-03 23:00:00")
+    assert "fact_transactions" not in load.facts and "fact_passport_blacklist" not in load.facts
+    assert load.watermarks["fact_transactions"] == first.watermarks["fact_transactions"]
+    assert wh.read_table("fact_transactions").count() == 1
+    assert wh.read_table("fact_passport_blacklist").count() == 1
+    assert load.watermarks["dim_terminals"] == "2021-01-03 23:00:00"  # terminals file had a row
