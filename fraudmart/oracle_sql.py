@@ -172,6 +172,10 @@ STATEMENTS: dict[str, str] = {
     "source_keys_cards": "SELECT card_num id FROM src_cards",
     "missing_keys_clients": "SELECT t.client_id FROM dim_clients_before t LEFT JOIN src_clients s "
     "ON t.client_id = s.client_id WHERE s.client_id IS NULL",
+    "missing_keys_accounts": "SELECT t.account_num FROM dim_accounts_before t LEFT JOIN src_accounts s "
+    "ON t.account_num = s.account_num WHERE s.account_num IS NULL",
+    "missing_keys_cards": "SELECT t.card_num FROM dim_cards_before t LEFT JOIN src_cards s "
+    "ON t.card_num = s.card_num WHERE s.card_num IS NULL",
     "delete_clients": _delete("dim_clients_before", "src_clients", "client_id"),
     "delete_accounts": _delete("dim_accounts_before", "src_accounts", "account_num"),
     "delete_cards": _delete("dim_cards_before", "src_cards", "card_num"),
@@ -187,6 +191,7 @@ STATEMENTS: dict[str, str] = {
     "fraud_passport": "SELECT DISTINCT * FROM (" + _rule(1, RULE1_COND) + ")",
     "fraud_contract": "SELECT DISTINCT * FROM (" + _rule(2, RULE2_COND) + ")",
     "fraud_report": _rule(1, RULE1_COND) + " UNION " + _rule(2, RULE2_COND),
+    "fraud_report_union": _rule(1, RULE1_COND) + " UNION " + _rule(2, RULE2_COND),
     "fraud_after_increment": f"WITH {_INCREMENT_CTES} "
     + _rule(1, RULE1_COND, "c_new", "a_new", "k_new")
     + " UNION "

@@ -28,7 +28,7 @@ from fraudmart.operators.capture import (
 )
 from fraudmart.operators.facts import append_facts
 from fraudmart.operators.files import oldest_drop, unseen_files
-from fraudmart.operators.report import fraud_report, rule_contract, rule_passport
+from fraudmart.operators.report import fraud_report, fraud_report_two_pass, rule_contract, rule_passport
 from fraudmart.operators.scd1 import missing_keys, scd1_apply, scd1_delete, scd1_upsert
 from fraudmart.operators.watermarks import advance_watermarks, seed_watermarks, watermark_column
 
@@ -144,6 +144,16 @@ def q_missing_keys_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     return missing_keys(fx.dim_clients_before, source_keys(fx.src_clients, "client_id"), "client_id")
 
 
+def q_missing_keys_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = Fixture(spark, sf_dir)
+    return missing_keys(fx.dim_accounts_before, source_keys(fx.src_accounts, "account_num"), "account_num")
+
+
+def q_missing_keys_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = Fixture(spark, sf_dir)
+    return missing_keys(fx.dim_cards_before, source_keys(fx.src_cards, "card_num"), "card_num")
+
+
 def q_delete_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = Fixture(spark, sf_dir)
     return scd1_delete(fx.dim_clients_before, source_keys(fx.src_clients, "client_id"), "client_id")
@@ -232,6 +242,12 @@ def q_fraud_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fraud_report(fx.clients, fx.accounts, fx.cards, fx.transactions, fx.blacklist, AS_OF)
 
 
+def q_fraud_report_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The literal shape of C22: rule 1 UNION rule 2 (U1), each branch its own chain."""
+    fx = Fixture(spark, sf_dir)
+    return fraud_report_two_pass(fx.clients, fx.accounts, fx.cards, fx.transactions, fx.blacklist, AS_OF)
+
+
 def q_fraud_after_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C19 then C22: capture, upsert and delete all three dimensions, then report."""
     fx = Fixture(spark, sf_dir)
@@ -275,6 +291,8 @@ QUERIES: dict[str, Query] = {
     "source_keys_accounts": q_source_keys_accounts,
     "source_keys_cards": q_source_keys_cards,
     "missing_keys_clients": q_missing_keys_clients,
+    "missing_keys_accounts": q_missing_keys_accounts,
+    "missing_keys_cards": q_missing_keys_cards,
     "delete_clients": q_delete_clients,
     "delete_accounts": q_delete_accounts,
     "delete_cards": q_delete_cards,
@@ -288,5 +306,6 @@ QUERIES: dict[str, Query] = {
     "fraud_passport": q_fraud_passport,
     "fraud_contract": q_fraud_contract,
     "fraud_report": q_fraud_report,
+    "fraud_report_union": q_fraud_report_union,
     "fraud_after_increment": q_fraud_after_increment,
 }
