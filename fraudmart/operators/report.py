@@ -138,19 +138,18 @@ def fraud_report_two_pass(
     return r1.unionByName(r2).distinct()
 
 
-def fraud_report(
+def relevant_cards(
     clients: DataFrame,
     accounts: DataFrame,
     cards: DataFrame,
-    transactions: DataFrame,
     blacklist: DataFrame,
     as_of: Stamp,
 ) -> DataFrame:
-    """The report (C22) in one pass over the join chain.
+    """Cards that can fire a rule, with the client attributes and rule flags.
 
-    Rule flags are computed on the dimension rows, only cards that can fire a
-    rule meet the transactions, and each matched transaction emits one row per
-    rule that fires (``explode`` of at most two types), then one distinct.
+    Each rule depends on one dimension, so the flags are computed on the
+    dimension rows and only cards with a flag set survive.  With unique
+    dimension keys there is at most one row per card.
     """
     ts = as_ntz(as_of)
     cl = with_listed_flag(_client_side(clients), blacklist).select(
@@ -166,8 +165,15 @@ def fraud_report(
         F.coalesce(F.col("valid_to") < ts, F.lit(False)).alias("r_contract"),
     )
     relevant = cl.join(acc, "client_id").where(F.col("r_passport") | F.col("r_contract"))
-    relevant_cards = cards.select("card_num", "account_num").join(relevant, "account_num")
-    matched = _live_transactions(transactions).join(relevant_cards, "card_num")
+    return cards.select("card_num", "account_num").join(relevant, "account_num").select(
+        "card_num", "passport_num", "phone", "fio", "r_passport", "r_contract"
+    )
+
+
+def events_for_cards(transactions: DataFrame, cards_flagged: DataFrame, as_of: Stamp) -> DataFrame:
+    """Match transactions to flagged cards and emit one row per rule that fires
+    (``explode`` of at most two types), then one distinct."""
+    matched = _live_transactions(transactions).join(cards_flagged, "card_num")
     types = F.array_compact(
         F.array(
             F.when(F.col("r_passport"), F.lit(EVENT_PASSPORT)),
@@ -175,3 +181,16 @@ def fraud_report(
         )
     )
     return _emit(matched, F.explode(types), as_of)
+
+
+def fraud_report(
+    clients: DataFrame,
+    accounts: DataFrame,
+    cards: DataFrame,
+    transactions: DataFrame,
+    blacklist: DataFrame,
+    as_of: Stamp,
+) -> DataFrame:
+    """The report (C22) in one pass over the join chain: only cards that can fire
+    a rule meet the transactions, and the fact is scanned once for both rules."""
+    return events_for_cards(transactions, relevant_cards(clients, accounts, cards, blacklist, as_of), as_of)

@@ -33,7 +33,8 @@ from fraudmart.operators.capture import (
     source_keys,
 )
 from fraudmart.operators.files import oldest_drop, require_feeds, unseen_files
-from fraudmart.operators.report import fraud_report
+from fraudmart.operators.broadcast import broadcast_if_small
+from fraudmart.operators.report import events_for_cards, relevant_cards
 from fraudmart.operators.scd1 import assert_unique_keys, scd1_apply, scd1_upsert
 from fraudmart.operators.watermarks import SEED_STAMP, advance_watermarks, as_of_now, watermark_value
 from fraudmart.plans.store import CLEAR_REPORT, DROP, LOAD, REPORT, PublishRecord, Store, new_attempt
@@ -49,9 +50,13 @@ class Warehouse:
     """One warehouse root.  ``sources`` maps ``clients/accounts/cards`` to frames
     (see :func:`fraudmart.sources.tables.read_source`)."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, broadcast_limit_bytes: int = 256 * 1024 * 1024):
         self.spark = spark
         self.store = Store(spark, root)
+        # In-memory size up to which the flagged cards are broadcast to the
+        # transactions scan (measured, see operators.broadcast).
+        self.broadcast_limit_bytes = broadcast_limit_bytes
+        self.last_relevant_bytes: int | None = None
 
     # -- helpers ---------------------------------------------------------
     def _pin(self, df: DataFrame, batch_id: int, attempt: str, name: str) -> DataFrame:
@@ -176,22 +181,30 @@ class Warehouse:
         return rec
 
     # -- C22 ---------------------------------------------------------------
-    def report_frame(self, as_of: str | _dt.datetime) -> DataFrame:
-        s = self.store
-        return fraud_report(
-            s.dim("dim_clients"),
-            s.dim("dim_accounts"),
-            s.dim("dim_cards"),
-            s.fact("fact_transactions"),
-            s.fact("fact_passport_blacklist"),
-            to_stamp_text(as_of),
+    def report_frame(self, as_of: str | _dt.datetime, pin_as: str | None = None) -> DataFrame:
+        """The report over the published state.
+
+        With ``pin_as``, the flagged cards are pinned, measured, and broadcast
+        when they fit ``broadcast_limit_bytes``, so the transactions fact is
+        never shuffled; otherwise the plan is the shuffle join.
+        """
+        s, as_of = self.store, to_stamp_text(as_of)
+        flagged = relevant_cards(
+            s.dim("dim_clients"), s.dim("dim_accounts"), s.dim("dim_cards"), s.fact("fact_passport_blacklist"), as_of
         )
+        if pin_as is not None:
+            path = scratch_path(self.spark, "fraudmart-staging", pin_as, "relevant_cards")
+            flagged.write.mode("errorifexists").parquet(path)
+            flagged, self.last_relevant_bytes = broadcast_if_small(
+                self.spark.read.schema(flagged.schema).parquet(path), self.broadcast_limit_bytes
+            )
+        return events_for_cards(s.fact("fact_transactions"), flagged, as_of)
 
     def build_report(self, as_of: str | _dt.datetime | None = None) -> PublishRecord:
         """Append one full report (H27) and publish it (commit 2)."""
         as_of = to_stamp_text(as_of or as_of_now())
         batch_id, attempt = self.store.next_batch_id(), new_attempt()
-        self.store.append_report(self.report_frame(as_of), batch_id, attempt)
+        self.store.append_report(self.report_frame(as_of, pin_as=f"{batch_id}-{attempt}"), batch_id, attempt)
         rec = PublishRecord(batch_id=batch_id, kind=REPORT, attempt=attempt, load_ts=as_of)
         self.store.write_record(rec)
         return rec
