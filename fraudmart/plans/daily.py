@@ -73,6 +73,7 @@ class Warehouse:
         """Create all tables: dimensions copied in full, terminals and facts empty,
         every watermark at the seed (which makes the first increment recapture the
         whole source; MERGE makes that harmless, H23)."""
+        self.store.refresh()
         batch_id, attempt = self.store.next_batch_id(), new_attempt()
         versions = {}
         for dim, (schema, _key) in schemas.DIMENSIONS.items():
@@ -102,6 +103,7 @@ class Warehouse:
         ``feeds`` maps ``terminals / passport_blacklist / transactions`` to the read
         file frames (missing or ``None``: nothing staged for that feed).
         """
+        self.store.refresh()
         state = self.store.state()
         if state is None:
             raise RuntimeError("warehouse not initialised: run initial_load first")
@@ -203,6 +205,7 @@ class Warehouse:
     def build_report(self, as_of: str | _dt.datetime | None = None) -> PublishRecord:
         """Append one full report (H27) and publish it (commit 2)."""
         as_of = to_stamp_text(as_of or as_of_now())
+        self.store.refresh()
         batch_id, attempt = self.store.next_batch_id(), new_attempt()
         self.store.append_report(self.report_frame(as_of, pin_as=f"{batch_id}-{attempt}"), batch_id, attempt)
         rec = PublishRecord(batch_id=batch_id, kind=REPORT, attempt=attempt, load_ts=as_of)
@@ -218,6 +221,7 @@ class Warehouse:
         self.store.write_record(PublishRecord(self.store.next_batch_id(), DROP, new_attempt()))
 
     def read_table(self, name: str) -> DataFrame:
+        self.store.refresh()
         if name in schemas.DIMENSIONS:
             return self.store.dim(name)
         if name in schemas.FACTS:
@@ -231,6 +235,7 @@ class Warehouse:
     # -- C25 ---------------------------------------------------------------
     def pick_drop_files(self, folder: str) -> dict[str, tuple[str, str]]:
         """S7 + S8: per feed the oldest file not yet ingested -> (name, path)."""
+        self.store.refresh()
         listing = list_drop_files(self.spark, folder)
         fresh = unseen_files(listing, self.store.ledger())
         chosen = require_feeds(oldest_drop(fresh))

@@ -79,6 +79,7 @@ class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._rows: list[tuple] | None = None
 
     # -- paths ---------------------------------------------------------
     def dim_path(self, table: str, version: str) -> str:
@@ -94,46 +95,48 @@ class Store:
         return f"{self.root}/_control"
 
     # -- publish records -------------------------------------------------
-    def _records(self) -> DataFrame | None:
-        from pyspark.errors import AnalysisException
-
-        try:
-            return self.spark.read.schema(RECORD_SCHEMA).json(f"{self.control_path()}/*")
-        except AnalysisException:  # no record yet
-            return None
+    def refresh(self) -> None:
+        """Forget the records read so far (call at the start of an operation)."""
+        self._rows = None
+
+    def _record_rows(self) -> list[tuple]:
+        """All publish records, read once per operation.
+
+        One small row per run reaches the driver: the log is bounded by the
+        number of runs, never by data.  Writing a record drops this copy.
+        """
+        if self._rows is None:
+            from pyspark.errors import AnalysisException
+
+            try:
+                raw = self.spark.read.schema(RECORD_SCHEMA).json(f"{self.control_path()}/*")
+                rows = raw.select(*RECORD_SCHEMA.names, F.input_file_name().alias("_file")).collect()
+            except AnalysisException:  # no record yet
+                rows = []
+            self._rows = sorted((tuple(r) for r in rows), key=lambda r: (r[0], r[-1]))
+        return self._rows
 
     def latest(self, kinds: tuple[str, ...]) -> PublishRecord | None:
         """Newest record of the given kinds (batch order, then write order)."""
-        recs = self._records()
-        if recs is None:
-            return None
-        rows = (
-            recs.where(F.col("kind").isin(list(kinds)))
-            .withColumn("_file", F.input_file_name())
-            .orderBy(F.col("batch_id").desc(), F.col("_file").desc())
-            .limit(1)
-            .collect()
-        )
+        rows = [r for r in self._record_rows() if r[1] in kinds]
         if not rows:
             return None
-        r = rows[0]
+        batch_id, kind, attempt, load_ts, versions, watermarks, facts, files, _file = rows[-1]
         return PublishRecord(
-            batch_id=r["batch_id"],
-            kind=r["kind"],
-            attempt=r["attempt"],
-            load_ts=r["load_ts"],
-            versions=dict(r["versions"] or {}),
-            watermarks=dict(r["watermarks"] or {}),
-            facts=dict(r["facts"] or {}),
-            files=list(r["files"] or []),
+            batch_id=batch_id,
+            kind=kind,
+            attempt=attempt,
+            load_ts=load_ts,
+            versions=dict(versions or {}),
+            watermarks=dict(watermarks or {}),
+            facts=dict(facts or {}),
+            files=list(files or []),
         )
 
     def committed(self, kinds: tuple[str, ...]) -> DataFrame:
-        """All records of some kinds, as a DataFrame (for ledgers and fact lists)."""
-        recs = self._records()
-        if recs is None:
-            return self.spark.createDataFrame([], RECORD_SCHEMA)
-        return recs.where(F.col("kind").isin(list(kinds)))
+        """All records of some kinds, as a small local DataFrame."""
+        rows = [r[:-1] for r in self._record_rows() if r[1] in kinds]
+        return self.spark.createDataFrame(rows, RECORD_SCHEMA)
 
     def write_record(self, rec: PublishRecord) -> None:
         """The commit point: one single-file JSON record in a fresh folder."""
@@ -150,6 +153,7 @@ class Store:
         df = self.spark.createDataFrame([row], RECORD_SCHEMA)
         name = f"{rec.batch_id:012d}-{rec.kind}-{rec.attempt}"
         df.coalesce(1).write.mode("errorifexists").json(f"{self.control_path()}/{name}")
+        self.refresh()
 
     # -- writers -------------------------------------------------------
     def write_dim(self, table: str, df: DataFrame, version: str) -> str:
@@ -244,8 +248,5 @@ class Store:
         )
 
     def next_batch_id(self) -> int:
-        recs = self._records()
-        if recs is None:
-            return 1
-        row = recs.agg(F.max("batch_id").alias("m")).collect()[0]
-        return (row["m"] or 0) + 1
+        rows = self._record_rows()
+        return (rows[-1][0] if rows else 0) + 1

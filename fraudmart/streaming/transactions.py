@@ -47,6 +47,7 @@ def transactions_stream(spark: SparkSession, folder: str) -> DataFrame:
 def load_micro_batch(store: Store, batch: DataFrame, epoch_id: int, stream_id: str) -> PublishRecord | None:
     """Capture + append + publish one micro-batch; idempotent per epoch."""
     attempt = f"s{stream_id}e{epoch_id}"
+    store.refresh()
     done = store.committed((LOAD,)).where(F.col("attempt") == F.lit(attempt)).limit(1).collect()
     if done:
         return None  # replay of a published epoch
