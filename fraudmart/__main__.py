@@ -4,6 +4,7 @@
     python -m fraudmart daily  --warehouse W --clients P --accounts P --cards P --drops D [--load-ts T] [--as-of T]
     python -m fraudmart report --warehouse W [--as-of T]
     python -m fraudmart show   --warehouse W --table rep_fraud [--limit N]
+    python -m fraudmart sql    --warehouse W --query "SELECT event_type, count(*) FROM rep_fraud GROUP BY 1"
 
 Sources are read with :func:`fraudmart.sources.tables.read_source` (``--format``
 parquet by default).  On a cluster, ``spark.checkpoint.dir`` must name a shared
@@ -27,7 +28,8 @@ def _sources(spark, args) -> dict:
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="fraudmart")
-    parser.add_argument("command", choices=["init", "daily", "report", "show"])
+    parser.add_argument("command", choices=["init", "daily", "report", "show", "sql"])
+    parser.add_argument("--query")
     parser.add_argument("--warehouse", required=True)
     parser.add_argument("--clients")
     parser.add_argument("--accounts")
@@ -52,6 +54,9 @@ def main(argv: list[str] | None = None) -> int:
     elif args.command == "report":
         rec = wh.build_report(args.as_of)
         print(f"report published as batch {rec.batch_id}")
+    elif args.command == "sql":
+        wh.register_views()
+        spark.sql(args.query).show(args.limit, truncate=False)
     else:
         wh.read_table(args.table).show(args.limit, truncate=False)
     return 0

@@ -232,6 +232,14 @@ class Warehouse:
             return self.store.control_frame()
         raise KeyError(name)
 
+    def register_views(self) -> list[str]:
+        """Temp views over the published state, for SQL inspection (S16):
+        ``spark.sql("SELECT * FROM rep_fraud")``.  Re-register after a publish."""
+        names = [*schemas.DIMENSIONS, *schemas.FACTS, "rep_fraud", "meta_loading"]
+        for name in names:
+            self.read_table(name).createOrReplaceTempView(name)
+        return names
+
     # -- C25 ---------------------------------------------------------------
     def pick_drop_files(self, folder: str) -> dict[str, tuple[str, str]]:
         """S7 + S8: per feed the oldest file not yet ingested -> (name, path)."""

@@ -20,3 +20,6 @@ def test_cli_init_daily_show(spark, workdir, capsys):
     assert main(["show", "--warehouse", wh, "--table", "rep_fraud"]) == 0
     out = capsys.readouterr().out
     assert "report batch" in out and "P1" in out
+    q = "SELECT passport, event_type, count(*) AS n FROM rep_fraud GROUP BY passport, event_type"
+    assert main(["sql", "--warehouse", wh, "--query", q]) == 0
+    assert "P1" in capsys.readouterr().out
