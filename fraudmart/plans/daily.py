@@ -16,8 +16,12 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fraudmart import schemas
@@ -50,23 +54,39 @@ class Warehouse:
     """One warehouse root.  ``sources`` maps ``clients/accounts/cards`` to frames
     (see :func:`fraudmart.sources.tables.read_source`)."""
 
-    def __init__(self, spark: SparkSession, root: str, broadcast_limit_bytes: int = 256 * 1024 * 1024):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        broadcast_limit_bytes: int = 256 * 1024 * 1024,
+        parallel_jobs: int = 4,
+    ):
         self.spark = spark
         self.store = Store(spark, root)
+        # Independent jobs of one step (pins, checks, table writes) are submitted
+        # from this many driver threads at once; the cluster schedules them.
+        self.parallel_jobs = parallel_jobs
         # In-memory size up to which the flagged cards are broadcast to the
         # transactions scan (measured, see operators.broadcast).
         self.broadcast_limit_bytes = broadcast_limit_bytes
         self.last_relevant_bytes: int | None = None
 
     # -- helpers ---------------------------------------------------------
-    def _pin(self, df: DataFrame, batch_id: int, attempt: str, name: str) -> DataFrame:
+    def _pin(self, df: DataFrame, batch_id: int, attempt: str, name: str) -> tuple[DataFrame, int]:
+        """Write ``df`` once under the shared checkpoint folder and read it back.
+
+        The row count is observed while writing (no extra pass).
+        """
         path = scratch_path(self.spark, "fraudmart-staging", f"{batch_id}-{attempt}", name)
-        df.write.mode("errorifexists").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        rows = Observation(f"pin_{name}")
+        df.observe(rows, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path), int(rows.get["n"])
 
-    @staticmethod
-    def _is_empty(df: DataFrame) -> bool:
-        return len(df.limit(1).collect()) == 0
+    def _all(self, jobs: dict[str, Callable[[], object]]) -> dict[str, object]:
+        """Run independent Spark jobs concurrently; the first failure is raised."""
+        with ThreadPoolExecutor(max_workers=max(1, self.parallel_jobs)) as pool:
+            futures = {name: pool.submit(job) for name, job in jobs.items()}
+            return {name: fut.result() for name, fut in futures.items()}
 
     # -- S14, C23, C24 -----------------------------------------------------
     def initial_load(self, sources: dict[str, DataFrame], seed: str = SEED_STAMP) -> PublishRecord:
@@ -130,39 +150,51 @@ class Warehouse:
                 feed("transactions", _typed_transactions_schema(RAW_SCHEMA)), load_ts, wm["fact_transactions"]
             ),
         }
-        staged = {
-            name: self._pin(enforce_varchar(df, schemas.VARCHAR_LIMIT), batch_id, attempt, name)
-            for name, df in staged_raw.items()
-        }
-        # Full key snapshots, pinned as well (they feed the delete).
-        keys = {
-            dim: self._pin(
-                source_keys(sources[SOURCE_OF_DIM[dim]], schemas.DIMENSIONS[dim][1]), batch_id, attempt, f"keys_{dim}"
-            )
-            for dim in schemas.DELETABLE
-        }
-        for dim, (_schema, key) in schemas.DIMENSIONS.items():
-            assert_unique_keys(staged[dim], key)
-
-        # facts (C7, C8): an attempt is recorded only when it holds rows
-        facts = {}
-        for table in schemas.FACTS:
-            if not self._is_empty(staged[table]):
-                facts[table] = self.store.append_fact(table, staged[table], batch_id, attempt)
+        # pin every staging frame and key snapshot (C13), concurrently
+        def pin_staged(name: str, df: DataFrame) -> tuple[DataFrame, int]:
+            return self._pin(enforce_varchar(df, schemas.VARCHAR_LIMIT), batch_id, attempt, name)
+
+        def pin_keys(dim: str) -> tuple[DataFrame, int]:
+            keys_df = source_keys(sources[SOURCE_OF_DIM[dim]], schemas.DIMENSIONS[dim][1])
+            return self._pin(keys_df, batch_id, attempt, f"keys_{dim}")
+
+        pin_jobs = {name: partial(pin_staged, name, df) for name, df in staged_raw.items()}
+        pin_jobs.update({f"keys_{dim}": partial(pin_keys, dim) for dim in schemas.DELETABLE})
+        pinned = self._all(pin_jobs)
+        staged = {name: pinned[name][0] for name in staged_raw}
+        counts = {name: pinned[name][1] for name in staged_raw}
+        keys = {dim: pinned[f"keys_{dim}"][0] for dim in schemas.DELETABLE}
+        self._all(
+            {
+                dim: partial(assert_unique_keys, staged[dim], key)
+                for dim, (_schema, key) in schemas.DIMENSIONS.items()
+                if counts[dim]
+            }
+        )
 
-        # dimensions (C9-C12 upsert, C14-C16 delete).  A dimension that takes deletes
-        # is rewritten every run (detecting "no change" would cost the same join);
-        # terminals keep their version when nothing was staged.
-        versions = dict(state.versions)
+        # facts (C7, C8) and dimensions (C9-C16), all independent of each other.
+        # A fact attempt is recorded only when it holds rows.  A dimension that
+        # takes deletes is rewritten every run (detecting "no change" would cost
+        # the same join); terminals keep their version when nothing was staged.
+        version = f"{batch_id}-{attempt}"
+        writes: dict[str, Callable[[], object]] = {
+            table: partial(self.store.append_fact, table, staged[table], batch_id, attempt)
+            for table in schemas.FACTS
+            if counts[table]
+        }
         for dim, (_schema, key) in schemas.DIMENSIONS.items():
-            if dim not in keys and self._is_empty(staged[dim]):
+            if dim not in keys and not counts[dim]:
                 continue
             current = self.store.dim(dim)
             if dim in keys:
                 new = scd1_apply(current, staged[dim], keys[dim], key)
             else:
                 new = scd1_upsert(current, staged[dim], key)
-            versions[dim] = self.store.write_dim(dim, new, f"{batch_id}-{attempt}")
+            writes[dim] = partial(self.store.write_dim, dim, new, version)
+        written = self._all(writes)
+        facts = {t: written[t] for t in schemas.FACTS if t in written}
+        versions = dict(state.versions)
+        versions.update({d: written[d] for d in schemas.DIMENSIONS if d in written})
 
         # watermarks (C17, C18): six rows, collected
         advanced = advance_watermarks(control, staged).collect()
