@@ -48,6 +48,12 @@ from fraudmart.sources.text import RAW_SCHEMA, read_transactions
 from fraudmart.sources.xlsx import BLACKLIST_FILE_SCHEMA, TERMINALS_FILE_SCHEMA, read_blacklist, read_terminals
 
 SOURCE_OF_DIM = {"dim_clients": "clients", "dim_accounts": "accounts", "dim_cards": "cards"}
+# Drop-file feed -> the table whose watermark gates it.
+FEED_TABLES = {
+    "terminals": "dim_terminals",
+    "passport_blacklist": "fact_passport_blacklist",
+    "transactions": "fact_transactions",
+}
 
 
 class Warehouse:
@@ -116,12 +122,15 @@ class Warehouse:
         sources: dict[str, DataFrame],
         feeds: dict[str, DataFrame | None],
         load_ts: str | _dt.datetime | None = None,
-        files: list[str] | None = None,
+        files: dict[str, str] | None = None,
     ) -> PublishRecord:
         """Capture, load, delete, advance and publish one batch.
 
         ``feeds`` maps ``terminals / passport_blacklist / transactions`` to the read
-        file frames (missing or ``None``: nothing staged for that feed).
+        file frames (missing or ``None``: nothing staged for that feed); ``files``
+        maps the same feeds to the drop file names they came from.  A file enters
+        the ledger only when its feed's gate (load time after the watermark, H24)
+        was open, so a gated-out file is picked again by the next run.
         """
         self.store.refresh()
         state = self.store.state()
@@ -131,6 +140,10 @@ class Warehouse:
         batch_id, attempt = self.store.next_batch_id(), new_attempt()
         control = self.store.control_frame()
         wm = {t: watermark_value(control, t) for t in schemas.WATERMARKED}
+        gate_open = {
+            feed: wm[table] is not None and load_ts > wm[table]  # same-format stamps compare as text
+            for feed, table in FEED_TABLES.items()
+        }
 
         def feed(name: str, schema) -> DataFrame:
             df = feeds.get(name)
@@ -209,7 +222,7 @@ class Warehouse:
             versions=versions,
             watermarks=watermarks,
             facts=facts,
-            files=list(files or []),
+            files=sorted(name for feed, name in (files or {}).items() if gate_open[feed]),
         )
         self.store.write_record(rec)  # commit 1
         return rec
@@ -298,7 +311,7 @@ class Warehouse:
             "passport_blacklist": read_blacklist(self.spark, picked["passport_blacklist"][1]),
             "transactions": read_transactions(self.spark, picked["transactions"][1]),
         }
-        files = sorted(name for name, _path in picked.values())
+        files = {feed: name for feed, (name, _path) in picked.items()}
         load = self.increment(sources, feeds, load_ts, files)
         report = self.build_report(as_of or load_ts)
         return load, report

@@ -63,7 +63,7 @@ def test_three_days(spark, workdir):
     assert load.watermarks["fact_transactions"] == "2021-01-01 23:00:00"
 
     # day 2 crashes after the load commit and before the report: files stay consumed
-    wh.increment(_sources(spark, ["1", "2", "3"]), {}, "2021-01-02 23:00:00", files=[])
+    wh.increment(_sources(spark, ["1", "2", "3"]), {}, "2021-01-02 23:00:00", files={})
     assert len(wh.read_table("rep_fraud").collect()) == 3
 
     # day 2 run: client 3 left the source (hard delete); next files are the day-2 ones

@@ -70,3 +70,24 @@ def test_rerun_without_changes_and_empty_feed(spark, workdir):
     assert wh.read_table("fact_transactions").count() == 1
     assert wh.read_table("fact_passport_blacklist").count() == 1
     assert load.watermarks["dim_terminals"] == "2021-01-03 23:00:00"  # terminals file had a row
+
+
+def test_gated_out_files_are_picked_again(spark, workdir):
+    # A clock behind the watermark stages nothing from the files; they stay
+    # out of the ledger and the next run loads them
+    wh = Warehouse(spark, os.path.join(workdir, "wh"))
+    drops = os.path.join(workdir, "drops")
+    src = _sources(spark, ["1", "2"])
+    wh.initial_load(src)
+    _drop(drops, 1, [("1", "2021-01-01 09:00:00", "1", "K1", "PAY", "OK", "T1")])
+    _drop(drops, 2, [("2", "2021-01-02 09:00:00", "1", "K2", "PAY", "OK", "T1")])
+    _drop(drops, 3, [("3", "2021-01-03 09:00:00", "1", "K2", "PAY", "OK", "T1")])
+    wh.daily_run(src, drops, "2021-01-01 23:00:00")
+    skewed, _ = wh.daily_run(src, drops, "2021-01-01 22:00:00")  # clock went back
+    # the gated feeds keep their files; the blacklist feed (empty so far, its
+    # watermark still at the seed) was open and consumed its day-2 file
+    assert skewed.files == ["passport_blacklist_02012021.xlsx"]
+    assert wh.read_table("fact_transactions").count() == 1
+    later, _ = wh.daily_run(src, drops, "2021-01-02 23:00:00")
+    assert "transactions_02012021.txt" in later.files
+    assert wh.read_table("fact_transactions").count() == 2
