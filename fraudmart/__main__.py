@@ -14,6 +14,7 @@ folder (staging is pinned there).
 from __future__ import annotations
 
 import argparse
+import logging
 import sys
 
 from fraudmart.plans.daily import Warehouse
@@ -42,6 +43,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--limit", type=int, default=20)
     parser.add_argument("--master")
     args = parser.parse_args(argv)
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
 
     spark = build_session(args.master)
     wh = Warehouse(spark, args.warehouse)
@@ -50,7 +52,8 @@ def main(argv: list[str] | None = None) -> int:
         print(f"initial load published as batch {rec.batch_id}")
     elif args.command == "daily":
         load, report = wh.daily_run(_sources(spark, args), args.drops, args.load_ts, args.as_of)
-        print(f"load batch {load.batch_id} ({', '.join(load.files)}), report batch {report.batch_id}")
+        print(f"load batch {load.batch_id} ({', '.join(load.files)}), staged {load.counts}, "
+              f"report batch {report.batch_id} ({report.counts.get('rep_fraud', 0)} rows)")
     elif args.command == "report":
         rec = wh.build_report(args.as_of)
         print(f"report published as batch {rec.batch_id}")

@@ -15,7 +15,10 @@ source that changes while the run is going.
 from __future__ import annotations
 
 import datetime as _dt
+import logging
 import os
+import time
+from contextlib import contextmanager
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial
@@ -47,6 +50,17 @@ from fraudmart.sources.listing import list_drop_files
 from fraudmart.sources.text import RAW_SCHEMA, read_transactions
 from fraudmart.sources.xlsx import BLACKLIST_FILE_SCHEMA, TERMINALS_FILE_SCHEMA, read_blacklist, read_terminals
 
+log = logging.getLogger("fraudmart")
+
+
+@contextmanager
+def _step(name: str):
+    """Log one step of a run with its wall time (the reference prints 'ok')."""
+    t0 = time.perf_counter()
+    yield
+    log.info("%s: ok (%.1f s)", name, time.perf_counter() - t0)
+
+
 SOURCE_OF_DIM = {"dim_clients": "clients", "dim_accounts": "accounts", "dim_cards": "cards"}
 # Drop-file feed -> the table whose watermark gates it.
 FEED_TABLES = {
@@ -173,7 +187,8 @@ class Warehouse:
 
         pin_jobs = {name: partial(pin_staged, name, df) for name, df in staged_raw.items()}
         pin_jobs.update({f"keys_{dim}": partial(pin_keys, dim) for dim in schemas.DELETABLE})
-        pinned = self._all(pin_jobs)
+        with _step("stage"):
+            pinned = self._all(pin_jobs)
         staged = {name: pinned[name][0] for name in staged_raw}
         counts = {name: pinned[name][1] for name in staged_raw}
         keys = {dim: pinned[f"keys_{dim}"][0] for dim in schemas.DELETABLE}
@@ -204,7 +219,8 @@ class Warehouse:
             else:
                 new = scd1_upsert(current, staged[dim], key)
             writes[dim] = partial(self.store.write_dim, dim, new, version)
-        written = self._all(writes)
+        with _step("load"):
+            written = self._all(writes)
         facts = {t: written[t] for t in schemas.FACTS if t in written}
         versions = dict(state.versions)
         versions.update({d: written[d] for d in schemas.DIMENSIONS if d in written})
@@ -223,6 +239,7 @@ class Warehouse:
             watermarks=watermarks,
             facts=facts,
             files=sorted(name for feed, name in (files or {}).items() if gate_open[feed]),
+            counts=counts,
         )
         self.store.write_record(rec)  # commit 1
         return rec
@@ -252,8 +269,9 @@ class Warehouse:
         as_of = to_stamp_text(as_of or as_of_now())
         self.store.refresh()
         batch_id, attempt = self.store.next_batch_id(), new_attempt()
-        self.store.append_report(self.report_frame(as_of, pin_as=f"{batch_id}-{attempt}"), batch_id, attempt)
-        rec = PublishRecord(batch_id=batch_id, kind=REPORT, attempt=attempt, load_ts=as_of)
+        with _step("report"):
+            n = self.store.append_report(self.report_frame(as_of, pin_as=f"{batch_id}-{attempt}"), batch_id, attempt)
+        rec = PublishRecord(batch_id=batch_id, kind=REPORT, attempt=attempt, load_ts=as_of, counts={"rep_fraud": n})
         self.store.write_record(rec)
         return rec
 

@@ -40,6 +40,7 @@ RECORD_SCHEMA = T.StructType(
         T.StructField("watermarks", T.MapType(T.StringType(), T.StringType()), True),
         T.StructField("facts", T.MapType(T.StringType(), T.StringType()), True),
         T.StructField("files", T.ArrayType(T.StringType()), True),
+        T.StructField("counts", T.MapType(T.StringType(), T.LongType()), True),
     ]
 )
 
@@ -59,6 +60,8 @@ class PublishRecord:
     watermarks: dict[str, str] = field(default_factory=dict)
     facts: dict[str, str] = field(default_factory=dict)
     files: list[str] = field(default_factory=list)
+    # rows staged per table (load) or written (report): the run's progress log
+    counts: dict[str, int] = field(default_factory=dict)
 
 
 def new_attempt() -> str:
@@ -121,7 +124,7 @@ class Store:
         rows = [r for r in self._record_rows() if r[1] in kinds]
         if not rows:
             return None
-        batch_id, kind, attempt, load_ts, versions, watermarks, facts, files, _file = rows[-1]
+        batch_id, kind, attempt, load_ts, versions, watermarks, facts, files, counts, _file = rows[-1]
         return PublishRecord(
             batch_id=batch_id,
             kind=kind,
@@ -131,6 +134,7 @@ class Store:
             watermarks=dict(watermarks or {}),
             facts=dict(facts or {}),
             files=list(files or []),
+            counts=dict(counts or {}),
         )
 
     def committed(self, kinds: tuple[str, ...]) -> DataFrame:
@@ -149,6 +153,7 @@ class Store:
             rec.watermarks,
             rec.facts,
             rec.files,
+            {k: int(v) for k, v in rec.counts.items()},
         )
         df = self.spark.createDataFrame([row], RECORD_SCHEMA)
         name = f"{rec.batch_id:012d}-{rec.kind}-{rec.attempt}"
@@ -172,15 +177,21 @@ class Store:
         )
         return attempt
 
-    def append_report(self, df: DataFrame, batch_id: int, attempt: str) -> None:
-        """The report of one run in its own partition."""
+    def append_report(self, df: DataFrame, batch_id: int, attempt: str) -> int:
+        """The report of one run in its own partition; returns its row count
+        (observed while writing)."""
+        from pyspark.sql import Observation
+
+        rows = Observation(f"report_{attempt}")
         (
-            df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+            df.observe(rows, F.count(F.lit(1)).alias("n"))
+            .withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
             .withColumn("attempt", F.lit(attempt))
             .write.mode("append")
             .partitionBy("batch_id", "attempt")
             .parquet(self.report_path())
         )
+        return int(rows.get["n"])
 
     # -- readers (S16) -------------------------------------------------
     def state(self) -> PublishRecord | None:

@@ -61,6 +61,8 @@ def test_three_days(spark, workdir):
     rep = wh.read_table("rep_fraud").collect()
     assert sorted((r.passport, r.event_type) for r in rep) == [("P1", 1), ("P2", 1), ("P3", 2)]
     assert load.watermarks["fact_transactions"] == "2021-01-01 23:00:00"
+    assert load.counts["fact_transactions"] == 3 and report.counts["rep_fraud"] == 3
+    assert wh.store.latest(("load",)).counts == load.counts
 
     # day 2 crashes after the load commit and before the report: files stay consumed
     wh.increment(_sources(spark, ["1", "2", "3"]), {}, "2021-01-02 23:00:00", files={})
