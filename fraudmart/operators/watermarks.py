@@ -54,6 +54,22 @@ def watermark_value(control: DataFrame, table: str, db_name: str | None = DEFAUL
     return to_stamp_text(rows[0][0])
 
 
+def watermark_values(control: DataFrame, db_name: str | None = DEFAULT_DB) -> dict[str, str | None]:
+    """Every watermark of the control frame in one collect (one row per table).
+
+    A table listed twice is an error, as for :func:`watermark_value`.
+    """
+    rows = control
+    if db_name is not None and "db_name" in control.columns:
+        rows = rows.where(F.col("db_name") == F.lit(db_name))
+    out: dict[str, str | None] = {}
+    for r in rows.select("table_name", "last_update").collect():
+        if r["table_name"] in out:
+            raise ValueError(f"control frame has several watermarks for {r['table_name']}")
+        out[r["table_name"]] = None if r["last_update"] is None else to_stamp_text(r["last_update"])
+    return out
+
+
 def watermark_column(control: DataFrame, table: str, db_name: str | None = DEFAULT_DB) -> Column:
     """The watermark as a scalar subquery: evaluated once inside the plan,
     NULL when absent, an error when ambiguous (J5)."""

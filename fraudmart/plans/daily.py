@@ -43,7 +43,7 @@ from fraudmart.operators.files import oldest_drop, require_feeds, unseen_files
 from fraudmart.operators.broadcast import broadcast_if_small
 from fraudmart.operators.report import events_for_cards, relevant_cards
 from fraudmart.operators.scd1 import assert_unique_keys, scd1_apply, scd1_upsert
-from fraudmart.operators.watermarks import SEED_STAMP, advance_watermarks, as_of_now, watermark_value
+from fraudmart.operators.watermarks import SEED_STAMP, advance_watermarks, as_of_now, watermark_values
 from fraudmart.plans.store import CLEAR_REPORT, DROP, LOAD, REPORT, PublishRecord, Store, new_attempt
 from fraudmart.session import scratch_path
 from fraudmart.sources.listing import list_drop_files
@@ -153,7 +153,8 @@ class Warehouse:
         load_ts = to_stamp_text(load_ts or as_of_now())
         batch_id, attempt = self.store.next_batch_id(), new_attempt()
         control = self.store.control_frame()
-        wm = {t: watermark_value(control, t) for t in schemas.WATERMARKED}
+        known = watermark_values(control)
+        wm = {t: known.get(t) for t in schemas.WATERMARKED}  # a missing row is NULL (H19)
         gate_open = {
             feed: wm[table] is not None and load_ts > wm[table]  # same-format stamps compare as text
             for feed, table in FEED_TABLES.items()

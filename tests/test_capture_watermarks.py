@@ -15,6 +15,7 @@ from fraudmart.operators.watermarks import (
     seed_watermarks,
     watermark_column,
     watermark_value,
+    watermark_values,
 )
 from plan_text import plan_text
 
@@ -105,3 +106,12 @@ def test_seed_and_advance(spark):
     assert out["fact_transactions"] == D(2021, 1, 1)  # MAX(create_dt)
     assert out["dim_cards"] == D(1900, 1, 1)  # H22: empty staging keeps the mark
     assert out["dim_terminals"] == D(1900, 1, 1)
+
+
+def test_watermark_values_in_one_collect(spark):
+    control = seed_watermarks(spark, tables=("a", "b"))
+    assert watermark_values(control) == {"a": "1900-01-01 00:00:00", "b": "1900-01-01 00:00:00"}
+    import pytest
+
+    with pytest.raises(ValueError, match="several"):
+        watermark_values(control.unionByName(control))
