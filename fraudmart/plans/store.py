@@ -15,8 +15,8 @@ first commit plus the file archive step (H26).  A report record is the second
 commit.  Readers resolve the newest record, so a crash before a record is written
 leaves the previous state fully visible, and a rerun writes a fresh attempt.
 
-Records are tiny and bounded by the number of runs; only the newest one is
-collected to the driver.
+Records are tiny (one row per run): the log is read once per operation and
+resolved on the driver, a bound set by the number of runs, never by data.
 """
 
 from __future__ import annotations
