@@ -42,11 +42,20 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--table", default="rep_fraud")
     parser.add_argument("--limit", type=int, default=20)
     parser.add_argument("--master")
+    parser.add_argument("--parallel-jobs", type=int, default=4, help="independent jobs submitted at once")
+    parser.add_argument(
+        "--broadcast-limit-mb", type=int, default=256, help="measured size up to which flagged cards are broadcast"
+    )
     args = parser.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
 
     spark = build_session(args.master)
-    wh = Warehouse(spark, args.warehouse)
+    wh = Warehouse(
+        spark,
+        args.warehouse,
+        broadcast_limit_bytes=args.broadcast_limit_mb * 1024 * 1024,
+        parallel_jobs=args.parallel_jobs,
+    )
     if args.command == "init":
         rec = wh.initial_load(_sources(spark, args))
         print(f"initial load published as batch {rec.batch_id}")
