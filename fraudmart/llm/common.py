@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fraudmart.session import scratch_path
 
@@ -125,3 +126,21 @@ def word_hashes(data: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.n
         for i in np.flatnonzero(~short):
             hashes[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]].tobytes())
     return starts, ends, mix64(hashes ^ (ends - starts).astype(np.uint64))
+
+
+def mapped(
+    docs: DataFrame, added: str, function: Callable[[Iterator[pa.StructArray]], Iterator[tuple[pa.StructArray, list[pa.Array]]]]
+) -> DataFrame:
+    """Rows of ``docs`` as struct column ``doc``, with the columns ``added`` (DDL) that ``function`` makes in Arrow batches.
+
+    The input keeps its own column names inside ``doc``, so none can clash with an added one.
+    """
+    wrapped = docs.select(F.struct("*").alias("doc"))
+    schema = T.StructType([T.StructField("doc", wrapped.schema["doc"].dataType, False), *T.StructType.fromDDL(added)])
+    names = schema.fieldNames()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, arrays in function(b.column(0) for b in batches):
+            yield pa.RecordBatch.from_arrays([rows, *arrays], names)
+
+    return wrapped.mapInArrow(run, schema)

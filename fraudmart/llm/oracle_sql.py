@@ -46,4 +46,27 @@ def url_filters(damping: float = 0.85, rounds: int = 12, prior: float = 0.05, th
     )
 
 
-ORACLES: dict[str, str] = {"op10_url_filters": url_filters()}
+def decontamination(window: int = 10) -> str:
+    """Windows of documents joined with windows of items, for each length that items have."""
+    words = f"regexp_extract_all(translate(text, {UPPER_LOWER}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    windows = "unnest(range(1, greatest(len(w) - {n} + 1, 1) + 1)) AS spot"
+    return f"""
+        WITH items AS (SELECT item_id, {words} AS w FROM benchmark),
+        item_at AS (SELECT item_id, w, {windows.format(n=window)} FROM items WHERE len(w) > 0),
+        item_windows AS (SELECT DISTINCT item_id, len(w[spot:spot + {window - 1}]) AS n, array_to_string(w[spot:spot + {window - 1}], ' ') AS part FROM item_at),
+        docs AS (SELECT doc_id, coalesce({words}, []) AS w FROM documents),
+        lengths AS (SELECT DISTINCT n FROM item_windows),
+        doc_at AS (SELECT doc_id, w, n, {windows.format(n="n")} FROM docs, lengths WHERE len(w) >= n),
+        hits AS (SELECT doc_id, spot, i.n, item_id FROM doc_at d JOIN item_windows i ON i.n = d.n AND i.part = array_to_string(w[spot:spot + d.n - 1], ' ')),
+        hit_words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(spot, spot + n)) AS p FROM hits) GROUP BY doc_id),
+        hit_items AS (SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+            FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS name FROM hits) GROUP BY doc_id)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+            sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM docs LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)"""
+
+
+ORACLES: dict[str, str] = {
+    "op5_decontamination": decontamination(),
+    "op10_url_filters": url_filters(),
+}

@@ -5,16 +5,48 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fraudmart.llm import url_filter
+from fraudmart.llm import decontamination, packing, url_filter
 from fraudmart.llm.common import table
 
 
+def tokenizer_path() -> str:
+    """The public tokenizer of the packing query; a file outside the repository."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pieces of sequences."""
+    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+    return pieces.select(
+        F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.find_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc.doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule and verdict of every page's url."""
     return url_filter.judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_packing": op3_packing,
+    "op5_decontamination": op5_decontamination,
     "op10_url_filters": op10_url_filters,
 }
