@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudmart.llm import decontamination, packing, url_filter
-from fraudmart.llm.common import table
+from fraudmart.llm import decontamination, language_id, packing, quality, url_filter
+from fraudmart.llm.common import crc_remainder, table
 
 
 def tokenizer_path() -> str:
@@ -40,6 +40,28 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from labels of two thirds of the ids."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.learn(docs, table(spark, sf_dir, "labels").where(crc_remainder(F.col("doc_id"), 3) != 1))
+    scored = quality.score(docs, model)
+    return scored.select(
+        "doc.doc_id",
+        (crc_remainder(F.col("doc.doc_id"), 3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned from two thirds of the rows."""
+    held_out = crc_remainder(F.col("doc_id"), 3) == 1
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    prototypes = language_id.learn(docs.where(~held_out))
+    found = language_id.predict(docs.select("doc_id", "text"), prototypes)
+    return found.select("doc.doc_id", (crc_remainder(F.col("doc.doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule and verdict of every page's url."""
     return url_filter.judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
@@ -48,5 +70,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op5_decontamination": op5_decontamination,
+    "op6_quality": op6_quality,
+    "op8_language_id": op8_language_id,
     "op10_url_filters": op10_url_filters,
 }
