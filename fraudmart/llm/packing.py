@@ -18,7 +18,11 @@ only by the id column.
 
 from __future__ import annotations
 
+import array
+import os
+import re
 from collections.abc import Iterator
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -33,38 +37,105 @@ END_ID = 1
 #: Ids that a task holds while it packs one group.
 GROUP_TOKENS = 2 << 20
 #: Words whose ids a worker remembers, and the longest one.
-KNOWN_WORDS, KNOWN_BYTES = 300_000, 48
+KNOWN_WORDS, KNOWN_BYTES = 400_000, 40
+
+
+#: A word of plain letters (A-Z and those of Latin-1), then maybe marks: two pieces for the tokenizer, whose
+#: pattern keeps letters together and marks together; an apostrophe or digit is left to the tokenizer itself.
+PLAIN = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]*)")
 
 
 class WordTokenizer:
     """Ids of whole texts, word by word.
 
-    The tokenizer drops white space and never joins across it, so a text's ids are
-    those of its words one after another; frequent words are encoded once.
+    The tokenizer drops white space, lower-cases, and never joins across white space,
+    so a text's ids are those of its words one after another.  Words met lately are
+    remembered in two generations: when the young one is full it becomes the old one.
+    New words of plain letters are encoded a few hundred at once; the ids that end a
+    word (``</w>`` in the vocabulary) divide the result.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-
-    def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
-        if len(self.known) + len(words) > KNOWN_WORDS:
-            self.known = {}
-        new = list(words)
-        encoded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-        return {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(new, encoded)}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.plain = Tokenizer.from_file(path)  # for lower-case letters and spaces alone
+        self.plain.normalizer = None
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def encode(self, words: list[bytes]) -> list[bytes]:
+        """By the tokenizer as it is."""
+        encoded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
+        return [array.array("I", e.ids).tobytes() for e in encoded]
+
+    def encode_plain(self, words: list[bytes], at_once: int = 256) -> list[bytes]:
+        """Of words of plain letters."""
+        out: list[bytes] = []
+        groups = [words[k : k + at_once] for k in range(0, len(words), at_once)]
+        joined = self.plain.encode_batch_fast([b" ".join(g).decode().lower() for g in groups], add_special_tokens=False)
+        for group, encoded in zip(groups, joined):
+            ids = np.array(encoded.ids, np.uint32)
+            ends = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            if len(ends) == len(group):
+                data = ids.tobytes()
+                out += map(data.__getitem__, map(slice, [0, *ends[:-1].tolist()], ends.tolist()))
+            else:
+                out += self.encode(group)
+        return out
+
+    def learn(self, words: set[bytes]) -> None:
+        """Put ``words`` into the young generation."""
+        young, old = self.young, self.old
+        plain: list[tuple[bytes, bytes, bytes]] = []
+        other: list[bytes] = []
+        parts: set[bytes] = set()
+        for word in words:
+            if word in old:
+                young[word] = old[word]
+            elif match := PLAIN.fullmatch(word):
+                letters, marks = match.groups()
+                plain.append((word, letters, marks))
+                parts.add(letters)
+                if marks and marks not in young:
+                    other.append(marks)
+            else:
+                other.append(word)
+        ids = {w: got for w in parts if (got := young.get(w) or old.get(w))}
+        new = list(parts - ids.keys())
+        ids.update(zip(new, self.encode_plain(new)))
+        young.update(zip(other, self.encode(other)))
+        young.update((word, ids[letters] + young[marks] if marks else ids[letters]) for word, letters, marks in plain)
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        split = [t.split() for t in texts]
-        words = set().union(*split)
-        known = {w: self.known[w] for w in words & self.known.keys()}
-        new = self.learn(words - known.keys())
-        self.known.update((w, i) for w, i in new.items() if len(w) <= KNOWN_BYTES)
-        known.update(new)
-        return [b"".join(map(known.__getitem__, s)) for s in split]
+        """32-bit ids of each text, in the machine's byte order (little-endian wherever Spark runs)."""
+        # only a special token's name tells upper from lower case
+        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        missing = set(filterfalse(self.young.__contains__, chain.from_iterable(split)))
+        self.learn(missing)
+        found = [b"".join(map(self.young.__getitem__, words)) for words in split]
+        for word in missing:
+            if len(word) > KNOWN_BYTES:
+                del self.young[word]
+        if len(self.young) > KNOWN_WORDS:
+            self.young, self.old = {}, self.young
+        return found
+
+
+_tokenizers: dict[str, WordTokenizer] = {}  # of this worker, by path
+
+
+def tokenizer_of(path: str) -> WordTokenizer:
+    if path not in _tokenizers:
+        _tokenizers[path] = WordTokenizer(path)
+    return _tokenizers[path]
 
 
 class OpenWindows:
@@ -193,7 +264,7 @@ def pack_documents(
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer(tokenizer_path)
+        tokenizer = tokenizer_of(tokenizer_path)
         sequence = TaskContext.get().partitionId() << 40
         names: list = []
         ids: list[bytes] = []
