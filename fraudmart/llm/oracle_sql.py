@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from fraudmart.llm.line_dedup import MIN_SITES
 from fraudmart.llm.url_filter import LINK, RULES
 
 UPPER_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -21,7 +22,7 @@ def url_filters(damping: float = 0.85, rounds: int = 12, prior: float = 0.05, th
             FROM parsed JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))""",
         "ruled AS (SELECT p.*, f.rule, f.rule_verdict FROM parsed p LEFT JOIN fits f ON f.page_id = p.page_id AND f.place = 1)",
         f"hrefs AS (SELECT host AS src, unnest(regexp_extract_all(html, '{link}', 1)) AS href FROM parsed)",
-        f"""ends AS (SELECT src, translate(regexp_extract(href, '(?i)^(?:[a-z][a-z0-9+.\-]*:)?//([^/?#]*)', 1), {UPPER_LOWER}) AS dst FROM hrefs)""",
+        f"""ends AS (SELECT src, translate(regexp_extract(href, '(?i)^(?:[a-z][a-z0-9+.-]*:)?//([^/?#]*)', 1), {UPPER_LOWER}) AS dst FROM hrefs)""",
         "edges AS (SELECT DISTINCT src, dst FROM ends WHERE src <> '' AND dst <> '' AND src <> dst)",
         """weighted AS (SELECT src, dst, count(*) OVER (PARTITION BY src) AS out_n, count(*) OVER (PARTITION BY dst) AS in_n FROM edges)""",
         """judged AS (SELECT host, avg(CASE WHEN rule_verdict = 'allow' THEN 1.0 ELSE 0.0 END) AS ts,
@@ -66,7 +67,24 @@ def decontamination(window: int = 10) -> str:
         FROM docs LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)"""
 
 
+def line_dedup(min_sites: int = MIN_SITES) -> str:
+    """Exact distinct counts of sites for every line."""
+    return f"""
+        WITH split AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS w FROM documents),
+        lines AS (SELECT doc_id, source, unnest(w) AS line, generate_subscripts(w, 1) AS spot FROM split),
+        trimmed AS (SELECT doc_id, source, spot, line, trim(line, ' ' || chr(9) || chr(13)) AS bare FROM lines),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY bare ORDER BY doc_id, spot) AS place FROM trimmed),
+        spread AS (SELECT bare, count(DISTINCT source) AS sites FROM trimmed WHERE bare <> '' GROUP BY bare),
+        judged AS (SELECT r.*, coalesce(sites >= {min_sites} AND place > 1, false) AS gone FROM ranked r LEFT JOIN spread USING (bare)),
+        docs AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
+            string_agg(line, chr(10) ORDER BY spot) FILTER (NOT gone) AS cleaned FROM judged GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+            CASE WHEN text IS NOT NULL THEN sha256(coalesce(cleaned, '')) END AS kept_sha256
+        FROM documents d LEFT JOIN docs USING (doc_id)"""
+
+
 ORACLES: dict[str, str] = {
+    "op2_line_dedup": line_dedup(),
     "op5_decontamination": decontamination(),
     "op10_url_filters": url_filters(),
 }

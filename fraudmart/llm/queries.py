@@ -7,10 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudmart.llm import decontamination, language_id, packing, quality, url_filter
+from fraudmart.llm import ann, decontamination, language_id, line_dedup, packing, quality, url_filter
 from fraudmart.llm.common import crc_remainder, table
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without boilerplate lines."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    cleaned = line_dedup.remove_boilerplate(docs)
+    return cleaned.select("doc.doc_id", "n_lines", "n_removed", F.sha2("cleaned", 256).alias("kept_sha256"))
+
+
 def tokenizer_path() -> str:
     """The public tokenizer of the packing query; a file outside the repository."""
     import public_tokenizers
@@ -62,15 +69,22 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc.doc_id", (crc_remainder(F.col("doc.doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every vector whose id is divisible by 20."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule and verdict of every page's url."""
     return url_filter.judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_line_dedup": op2_line_dedup,
     "op3_packing": op3_packing,
     "op5_decontamination": op5_decontamination,
     "op6_quality": op6_quality,
     "op8_language_id": op8_language_id,
+    "op9_nearest": op9_nearest,
     "op10_url_filters": op10_url_filters,
 }
