@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -88,44 +89,34 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_INVERSE_STEP = 0x9E3779B97F4A7C15  # odd, so its powers have inverses modulo 2**64
+def words_in(data: np.ndarray, solid: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, text of each) of the runs of bytes where ``solid`` holds, in texts ``data[at[i]:at[i + 1]]``."""
+    edge = at[:-1][at[:-1] < at[1:]]
+    first, last = solid.copy(), solid.copy()
+    first[1:] &= ~solid[:-1]
+    last[:-1] &= ~solid[1:]
+    first[edge] = solid[edge]
+    last[edge[1:] - 1] = solid[edge[1:] - 1]
+    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    return starts, ends, np.searchsorted(at, starts, side="right") - 1
 
 
-def word_hashes(data: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, ends, 64-bit hashes) of the runs of bytes where ``is_word`` holds.
-
-    A run's hash is a polynomial of its bytes, from prefix sums, mixed with its length.
-    """
-    edge = np.flatnonzero(np.diff(is_word.view(np.int8), prepend=0, append=0))
-    starts, ends = edge[::2], edge[1::2]
-    if not len(starts):
-        return starts, ends, np.zeros(0, np.uint64)
-    longest = int((ends - starts).max())
-    table_ = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of ``data[starts[i]:ends[i]]``: one step for each place, over the words that long."""
+    letters = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
     hashes = np.zeros(len(starts), np.uint64)
-    if longest <= 64:
-        # words are short: one step for each letter place, over the words that have it
-        live, at = np.arange(len(starts)), starts.copy()
-        for _ in range(longest):
-            hashes[live] = (hashes[live] ^ table_[data[at]]) * np.uint64(0x9FB21C651E98DF25)
-            hashes[live] ^= hashes[live] >> np.uint64(29)
-            at = at + 1
-            keep = at < ends[live]
-            live, at = live[keep], at[keep]
-    else:
-        short = (ends - starts) <= 64
-        live, at = np.flatnonzero(short), starts[short]
-        while len(live):
-            hashes[live] = (hashes[live] ^ table_[data[at]]) * np.uint64(0x9FB21C651E98DF25)
-            hashes[live] ^= hashes[live] >> np.uint64(29)
-            at = at + 1
-            keep = at < ends[live]
-            live, at = live[keep], at[keep]
-        import xxhash
-
-        for i in np.flatnonzero(~short):
-            hashes[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]].tobytes())
-    return starts, ends, mix64(hashes ^ (ends - starts).astype(np.uint64))
+    long = (ends - starts) > 64
+    live = np.flatnonzero(~long)
+    spot = starts[live].copy()
+    while len(live):
+        step = (hashes[live] ^ letters[data[spot]]) * np.uint64(0x9FB21C651E98DF25)
+        hashes[live] = step ^ (step >> np.uint64(29))
+        spot += 1
+        more = spot < ends[live]
+        live, spot = live[more], spot[more]
+    for i in np.flatnonzero(long):
+        hashes[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]].tobytes())
+    return mix64(hashes ^ (ends - starts).astype(np.uint64))
 
 
 def mapped(

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fraudmart.llm.common import mapped, text_slices, word_hashes
+from fraudmart.llm.common import mapped, text_slices, word_hashes, words_in
 
 PASSAGE = 64
 SAMPLE, SAMPLE_PASSAGES = 6000, 128
@@ -53,13 +53,7 @@ IS_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 def passages(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(row, features) of every passage of the texts ``data[at[i]:at[i + 1]]``; each text has at least one."""
     n_rows = len(at) - 1
-    solid = ~IS_SPACE[data]
-    first_letter = solid.copy()
-    first_letter[1:] &= ~solid[:-1]
-    edge = at[:-1][(at[:-1] < at[1:])]
-    first_letter[edge] = solid[edge]
-    starts = np.flatnonzero(first_letter)
-    row_of_word = np.searchsorted(at, starts, side="right") - 1
+    starts, word_end, row_of_word = words_in(data, ~IS_SPACE[data], at)
     n_words = np.bincount(row_of_word, minlength=n_rows)
     place = np.arange(len(starts)) - np.repeat(np.cumsum(n_words) - n_words, n_words)
     n_passages = np.maximum(1, -(-n_words // PASSAGE))
@@ -73,11 +67,10 @@ def passages(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     counts = np.bincount(passage * N_CLASSES + CLASSES[data], minlength=len(row) * N_CLASSES).reshape(len(row), N_CLASSES)
     share = counts / np.maximum(size, 1)[:, None]
 
-    # words may touch across texts, so hash them with the texts' ends as gaps
-    word_start, word_end, hashes = word_hashes_of(data, solid, edge)
-    passage_of_word = np.searchsorted(begin, word_start, side="right") - 1
+    hashes = word_hashes(data, starts, word_end)
+    passage_of_word = (np.cumsum(n_passages) - n_passages)[row_of_word] + place // PASSAGE
     words = np.bincount(passage_of_word, minlength=len(row))
-    letters = np.bincount(passage_of_word, weights=word_end - word_start, minlength=len(row))
+    letters = np.bincount(passage_of_word, weights=word_end - starts, minlength=len(row))
     key = np.sort((passage_of_word.astype(np.uint64) << np.uint64(36)) | (hashes >> np.uint64(28)))
     distinct = np.bincount((key[np.concatenate(([True], key[1:] != key[:-1]))] >> np.uint64(36)).astype(np.int64), minlength=len(row)) if len(key) else words
     again = np.flatnonzero((hashes[1:] == hashes[:-1]) & (passage_of_word[1:] == passage_of_word[:-1]))
@@ -87,18 +80,6 @@ def passages(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return row, np.concatenate([share, np.sqrt(share), more], axis=1).astype(np.float32)
 
 
-def word_hashes_of(data: np.ndarray, solid: np.ndarray, edge: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``word_hashes`` where a word also begins at every text's first byte."""
-    joined = edge[(edge > 0)]
-    joined = joined[solid[joined] & solid[joined - 1]]
-    if not len(joined):
-        return word_hashes(data, solid)
-    spaced, mask = np.insert(data, joined, 32), np.insert(solid, joined, False)
-    starts, ends, hashes = word_hashes(spaced, mask)
-    shift = np.searchsorted(joined + np.arange(len(joined)), starts, side="right")
-    return starts - shift, ends - shift, hashes
-
-
 def softmax_by(row: np.ndarray, first: np.ndarray, logits: np.ndarray) -> np.ndarray:
     weights = np.exp(logits - np.maximum.reduceat(logits, first)[row])
     return weights / np.add.reduceat(weights, first)[row]
