@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudmart.llm import ann, decontamination, language_id, line_dedup, packing, quality, url_filter
+from fraudmart.llm import ann, decontamination, language_id, line_dedup, near_dedup, packing, quality, url_filter
 from fraudmart.llm.common import crc_remainder, table
 
 
@@ -33,6 +33,12 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document linked by similar sets of three-word shingles."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_dedup.near_components(docs, size=3, percent=85).withColumnRenamed("id", "doc_id")
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -82,6 +88,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_packing": op3_packing,
+    "op4_near_dedup": op4_near_dedup,
     "op5_decontamination": op5_decontamination,
     "op6_quality": op6_quality,
     "op8_language_id": op8_language_id,
