@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudmart.llm import ann, decontamination, language_id, line_dedup, near_dedup, packing, quality, url_filter
+from fraudmart.llm import ann, decontamination, language_id, line_dedup, lm_scoring, near_dedup, packing, quality, url_filter
 from fraudmart.llm.common import crc_remainder, table
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a model of six sevenths of them."""
+    held_out = crc_remainder(F.col("doc_id"), 7) == 2
+    return lm_scoring.score_texts(table(spark, sf_dir, "documents"), held_out).withColumnRenamed("id", "doc_id")
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without boilerplate lines."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -86,6 +92,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_line_dedup": op2_line_dedup,
     "op3_packing": op3_packing,
     "op4_near_dedup": op4_near_dedup,
