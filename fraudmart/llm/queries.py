@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudmart.llm import ann, decontamination, language_id, line_dedup, lm_scoring, near_dedup, packing, quality, url_filter
+from fraudmart.llm import ann, decontamination, language_id, line_dedup, lm_scoring, near_dedup, packing, quality, suffix_dedup, url_filter
 from fraudmart.llm.common import crc_remainder, table
 
 
@@ -72,6 +72,14 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without strings of 100 bytes that start earlier too."""
+    left = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select(
+        "doc.doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document, learned from two thirds of the rows."""
     held_out = crc_remainder(F.col("doc_id"), 3) == 1
@@ -98,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_near_dedup": op4_near_dedup,
     "op5_decontamination": op5_decontamination,
     "op6_quality": op6_quality,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_language_id": op8_language_id,
     "op9_nearest": op9_nearest,
     "op10_url_filters": op10_url_filters,
