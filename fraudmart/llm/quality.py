@@ -107,10 +107,10 @@ class Model:
         return first, bag, h, t, g, a, z, sigmoid(z @ w["c"] + w["b"])
 
     def score(self, row: np.ndarray, features: np.ndarray) -> np.ndarray:
-        """Of each row 0..n-1 (all have passages)."""
+        """Of each row 0..n-1 (all have passages); six digits, which don't depend on the rows scored together."""
         if self.constant is not None:
             return np.full(row[-1] + 1 if len(row) else 0, self.constant)
-        return self.forward(row, (features - self.mean) / self.scale)[-1]
+        return np.round(self.forward(row, (features.astype(np.float64) - self.mean) / self.scale)[-1], 6)
 
 
 def fit(row: np.ndarray, features: np.ndarray, labels: np.ndarray, epochs: int = 30, rate: float = 0.01, seed: int = 7) -> Model:

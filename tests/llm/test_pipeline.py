@@ -1,0 +1,106 @@
+"""Every stage of the pipeline against a brute-force version, on its own input; and the registered queries."""
+
+import brute
+import numpy as np
+import pytest
+from conftest import SF
+from oracle_compare import compare
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from fraudmart.llm import line_dedup, packing
+from fraudmart.llm.common import staged
+from fraudmart.llm.oracle_sql import ORACLES
+from fraudmart.llm.queries import QUERIES
+
+
+@pytest.fixture(scope="module")
+def steps(spark, documents):
+    frames = [documents]
+    for name, stage in corpus_pipeline.STAGES:
+        frames.append(staged(stage(spark, frames[-1], SF), "test-pipeline"))
+    return frames
+
+
+def rows(df):
+    return {r.doc_id: r for r in df.collect()}
+
+
+def test_columns(steps):
+    assert all(f.dtypes == steps[0].dtypes for f in steps[:-1])
+    assert all(f.count() == f.select("doc_id").distinct().count() for f in steps[:-1])
+
+
+def test_quality_stage(spark, steps):
+    before, after = rows(steps[0]), rows(steps[1])
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    assert all(after[i] == before[i] for i in after)
+    judged = [(i in after) == bool(q) for i, q in labels.items() if i in before]
+    assert np.mean(judged) > 0.97
+
+
+def test_line_stage(steps):
+    before, after = rows(steps[1]), rows(steps[2])
+    want = brute.without_boilerplate([(r.doc_id, r.text, r.source) for r in before.values()], line_dedup.MIN_SITES)
+    left = {i: t for i, t in want.items() if t == before[i].text or t.strip()}
+    assert {i: r.text for i, r in after.items()} == left
+    assert all(r.n_chars == len(r.text) for i, r in after.items() if r.text != before[i].text)
+
+
+def test_near_stage(steps):
+    before, after = rows(steps[2]), rows(steps[3])
+    want = brute.near_components([(i, r.text) for i, r in before.items()], 5, 80)
+    assert after == {i: r for i, r in before.items() if want[i][1] == i}
+
+
+def test_leak_stage(spark, steps):
+    before, after = rows(steps[3]), rows(steps[4])
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    assert after == {i: r for i, r in before.items() if not brute.leaks(r.text, items)[1]}
+
+
+def test_packing_stage(steps):
+    from test_text_operators import tokens_of
+
+    before, pieces = rows(steps[4]), steps[5].collect()
+    want = dict(zip(before, tokens_of([r.text for r in before.values()])))
+    got, sizes = {}, {}
+    for r in sorted(pieces, key=lambda r: (r.doc_id, r.start)):
+        got.setdefault(r.doc_id, []).extend(np.frombuffer(r.ids, "<u4").tolist())
+        sizes[r.sequence_id] = sizes.get(r.sequence_id, 0) + r.length
+    assert got == want and packing.padding(list(sizes.values())) == 0
+
+
+def test_stages_on_odd_rows(spark, odd, empty):
+    """Nulls, repeated rows and further columns pass every stage; an empty table gives an empty one."""
+    for docs in (odd, empty):
+        for name, stage in corpus_pipeline.STAGES:
+            out = staged(stage(spark, docs, SF), "test-odd")
+            assert name == "packing" or out.dtypes == docs.dtypes
+            assert docs is odd or out.count() == 0
+
+
+def test_run(spark, steps):
+    got = corpus_pipeline.run(spark, SF)
+    key = lambda r: (r.doc_id, r.start, r.length, bytes(r.ids))
+    assert sorted(map(key, got.collect())) == sorted(map(key, steps[5].collect()))
+
+
+def test_registered():
+    assert {f"op{n}" for n in range(1, 11)} <= {q.split("_")[0] for q in entry.queries()} and "pipeline" in entry.queries()
+    assert QUERIES.keys() <= entry.queries().keys() and ORACLES.keys() <= entry.oracle_sql().keys()
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_oracles(spark, name):
+    got = compare(spark, SF, [name])[name]
+    assert "error" not in got and got["columns_match"] and got["values_match"], got
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+def test_queries_run(spark, name):
+    df = QUERIES[name](spark, SF)
+    table = "embeddings" if name.startswith("op9") else "documents"
+    ids = spark.read.parquet(f"{SF}/{table}.parquet").count()
+    n = df.count()
+    assert n == (20 * -(-ids // 20) if table == "embeddings" else n) and n >= ids
