@@ -37,10 +37,10 @@ from fraudmart.llm.common import mapped, mix64, staged, text_slices
 from fraudmart.llm.induced_sort import FIRST, SENTINEL, SEPARATOR, sorted_suffixes
 
 LENGTH, GRAM = 100, 32
-#: Window starts looked at together; with a window's length they need 20 bits.
-BLOCK = (1 << 20) - 256
+#: Window starts looked at together; with a window's length they need 20 bits at most.
+BLOCK = (1 << 19) - 256
 #: Text bytes of a chunk, of the corpus for each bucket of anchors, and of segments for a shard.
-CHUNK_BYTES, BUCKET_BYTES, SHARD_BYTES = 8 << 20, 4 << 20, 3 << 20
+CHUNK_BYTES, BUCKET_BYTES, SHARD_BYTES = 8 << 20, 2 << 20, 3 << 19
 
 _STEP = 0x9E3779B97F4A7C15
 _powers: dict[str, np.ndarray] = {}  # of this process
@@ -105,7 +105,7 @@ def from_planes(data: bytes, width: int) -> np.ndarray:
 
 #: Columns of a chunk's or shard's segments, with the bytes that each takes; ids are signed.
 WIDTHS = {"anchor": 8, "content": 6, "id": 8, "start": 8, "size": 2}
-OPENED = "bucket long, last boolean, id long, start long, size int"
+OPENED = "anchor long, id long, start long, size long"
 
 
 def pack_columns(columns: dict[str, np.ndarray]) -> bytes:
@@ -137,28 +137,42 @@ def first_of_equal(columns: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray
     return {k: v[keep] for k, v in columns.items()}, first[keep]
 
 
-FOUND = "bucket long, columns binary, id long, start long, size int"
+def joined_runs(id_: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of bytes covered by (id, start, size), those that touch joined."""
+    if not len(id_):
+        return id_, start, size
+    order = np.lexsort((start, id_))
+    id_, start, end = id_[order], start[order], (start + size)[order]
+    # an offset for each id keeps the ends of one below the starts of the next
+    offset = np.cumsum(np.concatenate(([0], id_[1:] != id_[:-1]))) * (int(end.max()) + 2)
+    reach = np.maximum.accumulate(end + offset)
+    new = np.ones(len(id_), bool)
+    new[1:] = start[1:] + offset[1:] > reach[:-1]
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(id_)) - 1
+    return id_[first], start[first], reach[last] - offset[first] - start[first]
+
+
+def pack_runs(runs: tuple[np.ndarray, np.ndarray, np.ndarray]) -> bytes:
+    return np.stack(runs).astype("<i8").tobytes()
+
+
+FOUND = "bucket long, columns binary, runs binary"
 
 
 def find_segments(docs: DataFrame, bits: int, length: int, gram: int, chunk_bytes: int) -> DataFrame:
-    """Rows of a chunk of (id, text): per bucket the columns of its segments; and each segment that is repeated in its chunk."""
+    """Of every chunk of (id, text), per bucket: the columns of its segments, and some of the runs that are repeated in the chunk."""
 
     def rows_of(parts: list[dict[str, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         columns, first = first_of_equal({k: np.concatenate([p[k] for p in parts]) for k in WIDTHS})
-        yield pa.RecordBatch.from_arrays(
-            [pa.nulls((~first).sum(), pa.int64()), pa.nulls((~first).sum(), pa.binary()), *(pa.array(columns[k][~first]) for k in ("id", "start")), pa.array(columns["size"][~first].astype(np.int32))],
-            ["bucket", "columns", "id", "start", "size"],
-        )
+        runs = joined_runs(*(columns[k][~first] for k in ("id", "start", "size")))
         columns = {k: v[first] for k, v in columns.items()}
         bounds = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.zeros(0, np.uint64)
         ends = [0, *np.searchsorted(columns["anchor"], bounds).tolist(), len(columns["anchor"])]
-        rows = [(b, pack_columns({k: v[i:j] for k, v in columns.items()})) for b, (i, j) in enumerate(zip(ends, ends[1:])) if i < j]
-        buckets, blobs = zip(*rows)
-        n = len(rows)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(buckets, pa.int64()), pa.array(blobs, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32())],
-            ["bucket", "columns", "id", "start", "size"],
-        )
+        full = [(b, pack_columns({k: v[i:j] for k, v in columns.items()})) for b, (i, j) in enumerate(zip(ends, ends[1:])) if i < j]
+        shares = zip(*(np.array_split(r, len(full)) for r in runs))
+        buckets, blobs, more = zip(*((b, blob, pack_runs(share)) for (b, blob), share in zip(full, shares)))
+        yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int64()), pa.array(blobs, pa.binary()), pa.array(more, pa.binary())], ["bucket", "columns", "runs"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
@@ -179,45 +193,43 @@ def find_segments(docs: DataFrame, bits: int, length: int, gram: int, chunk_byte
 
 
 def judge(bucket: pa.Table) -> pa.Table:
-    """Of one bucket of anchors: segments that are repeated as a whole (``last``), and open ones, with the anchor as bucket."""
+    """Of one bucket of anchors: what is repeated as a whole (no anchor), and the open segments with their anchor."""
     columns, first = first_of_equal(unpack_columns([c.as_buffer().to_pybytes() for c in bucket["columns"]]))
     anchor = columns["anchor"]
-    kinds = np.unique(anchor[first], return_counts=True)
-    open_ = first & np.isin(anchor, kinds[0][kinds[1] > 1])
-    own = np.flatnonzero(~first | open_)
+    kinds, n = np.unique(anchor[first], return_counts=True)
+    open_ = first & np.isin(anchor, kinds[n > 1])
+    runs = [np.frombuffer(r.as_buffer(), "<i8").reshape(3, -1) for r in bucket["runs"]]
+    gone = joined_runs(*(np.concatenate([columns[k][~first], *(r[i] for r in runs)]) for i, k in enumerate(("id", "start", "size"))))
     return pa.table(
         {
-            "bucket": anchor[own].view(np.int64),
-            "last": ~first[own],
-            "id": columns["id"][own],
-            "start": columns["start"][own],
-            "size": columns["size"][own].astype(np.int32),
+            "anchor": pa.concat_arrays([pa.nulls(len(gone[0]), pa.int64()), pa.array(anchor[open_].view(np.int64))]),
+            **{k: np.concatenate([g, columns[k][open_]]) for k, g in zip(("id", "start", "size"), gone)},
         }
     )
 
 
 def cut_out(docs: DataFrame, asked: DataFrame, shards: int) -> DataFrame:
-    """(shard, ids, starts, sizes, bytes) of the segments ``asked`` (bucket, id, start, size), from the texts they lie in."""
+    """(shard, ids, starts, sizes, bytes) of the segments ``asked`` (anchor, id, start, size), from the texts they lie in."""
     # the columns of a document's segments stay arrays of numbers; a long document has many
-    lists = asked.groupBy("id").agg(F.collect_list(F.struct("bucket", "start", "size")).alias("own"))
-    met = docs.join(lists, "id").select("id", "text", "own.bucket", "own.start", "own.size")
+    lists = asked.groupBy("id").agg(F.collect_list(F.struct("anchor", "start", "size")).alias("own"))
+    met = docs.join(lists, "id").select("id", "text", "own.anchor", "own.start", "own.size")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.column(2).value_lengths().to_numpy()
-            bucket, start, size = (batch.column(k).flatten().to_numpy() for k in (2, 3, 4))
+            anchor, start, size = (batch.column(k).flatten().to_numpy() for k in (2, 3, 4))
             ids = np.repeat(batch.column(0).to_numpy(), n)
             texts = batch.column(1).cast(pa.large_binary())
             base = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts)]
             data = np.frombuffer(texts.buffers()[2], np.uint8)
             begin = np.repeat(base, n) + start
-            shard = (bucket.view(np.uint64) % np.uint64(shards)).astype(np.int64)
+            shard = (anchor.view(np.uint64) % np.uint64(shards)).astype(np.int64)
             order = np.argsort(shard, kind="stable")
             for own in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1) if len(order) else []:
-                for k in range(0, len(own), 50_000):
-                    some = own[k : k + 50_000]
+                for k in range(0, len(own), 8_000):
+                    some = own[k : k + 8_000]
                     spot = np.repeat(begin[some], size[some]) + np.arange(size[some].sum()) - np.repeat(np.cumsum(size[some]) - size[some], size[some])
-                    row = [[int(shard[some[0]])], [ids[some].tobytes()], [start[some].tobytes()], [size[some].tobytes()], [data[spot].tobytes()]]
+                    row = [[int(shard[some[0]])], [ids[some].tobytes()], [start[some].tobytes()], [size[some].astype(np.int32).tobytes()], [data[spot].tobytes()]]
                     yield pa.RecordBatch.from_arrays([pa.array(row[0], pa.int64()), *(pa.array(r, pa.binary()) for r in row[1:])], ["shard", "ids", "starts", "sizes", "bytes"])
 
     return met.mapInArrow(run, "shard long, ids binary, starts binary, sizes binary, bytes binary")
@@ -254,13 +266,8 @@ def repeated_windows(shard: pa.Table, length: int) -> pa.Table:
         found_id.append(own[again])
         found_start.append(start[again])
     own, start = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (found_id, found_start))
-    order = np.lexsort((start, own))
-    own, start = own[order], start[order]
-    new = np.ones(len(own), bool)
-    new[1:] = (own[1:] != own[:-1]) | (start[1:] > start[:-1] + 1)
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(own)) - 1
-    return pa.table({"id": own[first], "start": start[first], "size": (start[last] - start[first] + length if len(first) else start).astype(np.int64)})
+    own, start, size = joined_runs(own, start, np.full(len(own), length))
+    return pa.table({"id": own, "start": start, "size": size})
 
 
 ADDED = "n_bytes long, n_removed long, spans array<struct<start: long, end: long>>, kept binary"
@@ -307,9 +314,9 @@ def remove_repeats(
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL AND text IS NOT NULL")
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(0, math.ceil(math.log2(max(1, size / bucket_bytes))))
-    found = staged(find_segments(texts, bits, length, gram, chunk_bytes), "segments")
-    judged = staged(found.where("bucket IS NOT NULL").select("bucket", "columns").groupBy("bucket").applyInArrow(judge, OPENED), "judged-segments")
-    asked = judged.where("NOT last").select("bucket", "id", "start", "size")
+    found = find_segments(texts, bits, length, gram, chunk_bytes)
+    judged = staged(found.groupBy("bucket").applyInArrow(judge, OPENED), "judged-segments")
+    asked = judged.where("anchor IS NOT NULL")
     volume = asked.agg(F.sum("size")).first()[0] or 0
     shards = max(1, math.ceil(volume / shard_bytes))
 
@@ -317,9 +324,8 @@ def remove_repeats(
         return repeated_windows(shard, length)
 
     partly = cut_out(texts, asked, shards).groupBy("shard").applyInArrow(windows, "id long, start long, size long")
-    whole = judged.where("last").select("id", "start", F.col("size").cast("long"))
-    near = found.where("bucket IS NULL").select("id", "start", F.col("size").cast("long"))
-    spans = whole.union(near).union(partly).groupBy("id").agg(F.collect_list(F.struct("start", "size")).alias("own"))
+    whole = judged.where("anchor IS NULL").select("id", "start", "size")
+    spans = whole.union(partly).groupBy("id").agg(F.collect_list(F.struct("start", "size")).alias("own"))
     rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     rows = rows.join(spans, "id", "left").select("row", "text", F.col("own.start").alias("start"), F.col("own.size").alias("size"))
 
