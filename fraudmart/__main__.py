@@ -2,12 +2,14 @@
 
     python -m fraudmart init   --warehouse W --clients P --accounts P --cards P
     python -m fraudmart daily  --warehouse W --clients P --accounts P --cards P --drops D [--load-ts T] [--as-of T]
+    python -m fraudmart daily  --warehouse W --jdbc-url U --jdbc-prop user=me --clients T,COLUMN,LOW,HIGH --accounts ... --drops D
     python -m fraudmart report --warehouse W [--as-of T]
     python -m fraudmart show   --warehouse W --table rep_fraud [--limit N]
     python -m fraudmart sql    --warehouse W --query "SELECT event_type, count(*) FROM rep_fraud GROUP BY 1"
 
 Sources are read with :func:`fraudmart.sources.tables.read_source` (``--format``
-parquet by default).  On a cluster, ``spark.checkpoint.dir`` must name a shared
+parquet by default), or with ``--jdbc-url`` from database tables that are each
+given as table, partition column, lower and upper bound.  On a cluster, ``spark.checkpoint.dir`` must name a shared
 folder (staging is pinned there).
 """
 
@@ -19,12 +21,22 @@ import sys
 
 from fraudmart.plans.daily import Warehouse
 from fraudmart.session import build_session
-from fraudmart.sources.tables import read_source
+from fraudmart.sources.tables import JdbcSource, read_source
+
+
+def _jdbc(args, given: str) -> JdbcSource:
+    parts = given.split(",")
+    if len(parts) != 4:
+        raise SystemExit(f"with --jdbc-url give a source as TABLE,COLUMN,LOW,HIGH: {given}")
+    properties = dict(p.split("=", 1) for p in args.jdbc_prop)
+    return JdbcSource(args.jdbc_url, *parts, partitions=args.jdbc_partitions, properties=properties)
 
 
 def _sources(spark, args) -> dict:
-    return {name: read_source(spark, name, getattr(args, name), fmt=args.format) for name in ("clients", "accounts",
-                                                                                               "cards")}
+    names = ("clients", "accounts", "cards")
+    if args.jdbc_url:
+        return {name: read_source(spark, name, jdbc=_jdbc(args, getattr(args, name))) for name in names}
+    return {name: read_source(spark, name, getattr(args, name), fmt=args.format) for name in names}
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -36,6 +48,9 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--accounts")
     parser.add_argument("--cards")
     parser.add_argument("--format", default="parquet")
+    parser.add_argument("--jdbc-url")
+    parser.add_argument("--jdbc-prop", action="append", default=[], metavar="NAME=VALUE", help="connection property")
+    parser.add_argument("--jdbc-partitions", type=int, default=64, help="queries a table is read by")
     parser.add_argument("--drops")
     parser.add_argument("--load-ts")
     parser.add_argument("--as-of")

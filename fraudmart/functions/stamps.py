@@ -17,15 +17,26 @@ _FORMAT = "%Y-%m-%d %H:%M:%S"
 
 
 def to_stamp_text(value: str | _dt.datetime | _dt.date) -> str:
-    """Normalise a stamp to ``yyyy-MM-dd HH:mm:ss`` text, truncated to seconds."""
+    """Normalise a stamp to ``yyyy-MM-dd HH:mm:ss`` text, truncated to seconds.
+
+    A stamp with a zone, or text with anything more than a date and a time, is an
+    error: dropping the rest would silently mean another instant.
+    """
     if isinstance(value, _dt.datetime):
-        return value.replace(microsecond=0, tzinfo=None).strftime(_FORMAT)
+        if value.tzinfo is not None:
+            raise ValueError(f"stamp with a time zone: {value.isoformat()}")
+        return value.replace(microsecond=0).strftime(_FORMAT)
     if isinstance(value, _dt.date):
         return _dt.datetime(value.year, value.month, value.day).strftime(_FORMAT)
     text = str(value).strip()
     if len(text) == 10:
         text += " 00:00:00"
-    return _dt.datetime.strptime(text[:19], _FORMAT).strftime(_FORMAT)
+    return _dt.datetime.strptime(text, _FORMAT).strftime(_FORMAT)
+
+
+def next_second(stamp: str) -> str:
+    """The stamp one second later."""
+    return to_stamp_text(_dt.datetime.strptime(stamp, _FORMAT) + _dt.timedelta(seconds=1))
 
 
 def ntz_literal(value: str | _dt.datetime | _dt.date) -> Column:

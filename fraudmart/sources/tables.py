@@ -8,6 +8,8 @@ Oracle's empty-string-is-NULL rule is applied to text (H3).
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +30,39 @@ SOURCE_RENAMES: dict[str, dict[str, str]] = {
 }
 
 
+@dataclass(frozen=True)
+class JdbcSource:
+    """A database table, read in ``partitions`` ranges of a numeric or date column (one query per task).
+
+    The column and its bounds are required: without them one task would read the
+    whole table.  Dates come without a zone, so no session zone can shift them.
+    """
+
+    url: str
+    table: str
+    partition_column: str
+    lower_bound: str
+    upper_bound: str
+    partitions: int = 64
+    fetch_size: int = 10_000
+    properties: dict[str, str] = field(default_factory=dict)
+
+    def options(self) -> dict[str, str]:
+        if not (self.partition_column and self.lower_bound and self.upper_bound):
+            raise ValueError(f"{self.table}: a partition column with bounds is required")
+        return {
+            **self.properties,
+            "url": self.url,
+            "dbtable": self.table,
+            "partitionColumn": self.partition_column,
+            "lowerBound": str(self.lower_bound),
+            "upperBound": str(self.upper_bound),
+            "numPartitions": str(self.partitions),
+            "fetchsize": str(self.fetch_size),
+            "preferTimestampNTZ": "true",
+        }
+
+
 def conform(df: DataFrame, schema: T.StructType, renames: dict[str, str] | None = None) -> DataFrame:
     """Rename, cast to the canonical types and turn empty text into NULL."""
     for old, new in (renames or {}).items():
@@ -47,36 +82,14 @@ def read_source(
     name: str,
     path: str | None = None,
     fmt: str = "parquet",
-    jdbc_url: str | None = None,
-    jdbc_table: str | None = None,
-    jdbc_properties: dict[str, str] | None = None,
-    partition_column: str | None = None,
-    lower_bound: int | None = None,
-    upper_bound: int | None = None,
-    num_partitions: int | None = None,
+    jdbc: JdbcSource | None = None,
 ) -> DataFrame:
-    """Read one source table as a conformed DataFrame.
-
-    With ``jdbc_url`` the read is split on ``partition_column`` into
-    ``num_partitions`` ranges (one query per task).
-    """
+    """Read one source table as a conformed DataFrame, from files or over JDBC."""
     schema, _key = SOURCE_SCHEMAS[name]
-    if jdbc_url:
-        reader = spark.read
-        if partition_column:
-            df = reader.jdbc(
-                jdbc_url,
-                jdbc_table or name,
-                column=partition_column,
-                lowerBound=lower_bound,
-                upperBound=upper_bound,
-                numPartitions=num_partitions,
-                properties=jdbc_properties or {},
-            )
-        else:
-            df = reader.jdbc(jdbc_url, jdbc_table or name, properties=jdbc_properties or {})
+    if jdbc:
+        df = spark.read.format("jdbc").options(**jdbc.options()).load()
     else:
         if path is None:
-            raise ValueError(f"source {name}: give a path or a JDBC url")
+            raise ValueError(f"source {name}: give a path or a database table")
         df = spark.read.format(fmt).load(path)
     return conform(df, schema, SOURCE_RENAMES.get(name))

@@ -3,14 +3,15 @@
 Columns are bound by *position*; header names are ignored (H10).  Everything is
 read as text and typed afterwards: the amount may carry a decimal comma, which
 a decimal CSV schema would silently misread (H9); the date keeps its time (F3).
-FAILFAST makes a malformed line stop the load instead of dropping it.
+FAILFAST makes a malformed line stop the load instead of dropping it, and a date or
+amount that doesn't parse stops it too, whatever the session's ANSI setting.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,20 +29,29 @@ def read_transactions_raw(spark: SparkSession, paths: str | Sequence[str]) -> Da
         .option("header", True)
         .option("enforceSchema", True)
         .option("mode", "FAILFAST")
+        .option("escape", '"')  # a quote inside a quoted field is doubled
         .csv(list(paths) if not isinstance(paths, str) else paths)
     )
 
 
-def type_transactions(raw: DataFrame) -> DataFrame:
-    """Text -> typed staging columns (file order kept; capture reorders)."""
+def _parsed(name: str, parsed: Column) -> Column:
+    """``parsed``, or an error where the column has text that gives NULL."""
+    text = F.trim(F.col(name))
+    bad = F.raise_error(F.concat(F.lit(f"{name} cannot be read: "), text)).cast(T.NullType())
+    return F.when(text.isNotNull() & (text != "") & parsed.isNull(), bad).otherwise(parsed)
+
+
+def type_transactions(raw: DataFrame, *more: str) -> DataFrame:
+    """Text -> typed staging columns (file order kept; capture reorders), then the columns ``more``."""
     return raw.select(
         empty_as_null("trans_id").alias("trans_id"),
-        parse_oracle_timestamp(empty_as_null("trans_date")).alias("trans_date"),
-        parse_amount("amt").alias("amt"),
+        _parsed("trans_date", parse_oracle_timestamp(empty_as_null("trans_date"))).alias("trans_date"),
+        _parsed("amt", parse_amount("amt")).alias("amt"),
         empty_as_null("card_num").alias("card_num"),
         empty_as_null("oper_type").alias("oper_type"),
         empty_as_null("oper_result").alias("oper_result"),
         empty_as_null("terminal").alias("terminal"),
+        *more,
     )
 
 

@@ -25,7 +25,7 @@ from xml.etree import ElementTree as ET
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from fraudmart.functions import empty_as_null
+from fraudmart.functions import empty_as_null, to_stamp_text
 
 # Rows per Arrow batch handed back to Spark.
 BATCH_ROWS = 10_000
@@ -96,24 +96,32 @@ def _cell_value(cell: ET.Element, strings: list[str]) -> object:
 def iter_sheet_rows(workbook: str | bytes) -> Iterator[tuple[list[object], bool]]:
     """Raw cell values of the first sheet, row by row (header included).
 
-    The sheet is parsed as a stream (``iterparse``) and each row is released
-    once read, so memory stays flat however long the sheet is.
+    The sheet is parsed as a stream (``iterparse``) and each row is released and
+    taken out of its parent once read.  A row number that the sheet leaves out is a
+    blank row.
     """
-    row_tag = f"{{{_NS['m']}}}row"
+    row_tag, data_tag = f"{{{_NS['m']}}}row", f"{{{_NS['m']}}}sheetData"
     source = io.BytesIO(workbook) if isinstance(workbook, (bytes, bytearray)) else workbook
     with zipfile.ZipFile(source) as zf:
         sheet_path, date1904 = _first_sheet_path(zf)
         strings = _shared_strings(zf)
         with zf.open(sheet_path) as stream:
-            for _event, row in ET.iterparse(stream, events=("end",)):
+            parent, number = None, 0
+            for event, row in ET.iterparse(stream, events=("start", "end")):
+                if event == "start":
+                    parent = row if row.tag == data_tag else parent
+                    continue
                 if row.tag != row_tag:
                     continue
+                last, number = number, int(row.get("r", number + 1))
+                for _ in range(last + 1, number):
+                    yield [], date1904
                 values: dict[int, object] = {}
                 for pos, cell in enumerate(row.findall("m:c", _NS)):
                     ref = cell.get("r")
                     col = _column_index(_CELL_REF.match(ref).group(1)) if ref else pos
                     values[col] = _cell_value(cell, strings)
-                row.clear()
+                parent.clear()
                 width = max(values) + 1 if values else 0
                 yield [values.get(i) for i in range(width)], date1904
 
@@ -136,20 +144,28 @@ def _to_timestamp(value: object, date1904: bool) -> _dt.datetime | None:
         epoch = _EPOCH_1904 if date1904 else _EPOCH_1900
         stamp = epoch + _dt.timedelta(days=float(value))
         return (stamp + _dt.timedelta(microseconds=500_000)).replace(microsecond=0)
-    text = str(value).strip()
-    fmt = "%Y-%m-%d %H:%M:%S" if len(text) > 10 else "%Y-%m-%d"
-    return _dt.datetime.strptime(text[:19], fmt)
+    return _dt.datetime.strptime(to_stamp_text(str(value)), "%Y-%m-%d %H:%M:%S")
 
 
 def workbook_rows(content: bytes, kinds: list[str]) -> Iterator[tuple]:
-    """Typed data rows of one workbook (header skipped, columns by position)."""
-    width = len(kinds)
+    """Typed data rows of one workbook (header skipped, columns by position).
+
+    A value beyond the expected columns is an error.  A blank row between others is
+    a row of NULLs; blank rows at the end are not data.
+    """
+    width, blank = len(kinds), 0
     for i, (cells, date1904) in enumerate(iter_sheet_rows(content)):
         if i == 0:
             continue  # header row: names are ignored, columns bind by position
+        if any(c not in (None, "") for c in cells[width:]):
+            raise ValueError(f"row {i + 1} has more than {width} columns")
         cells = (cells + [None] * width)[:width]
         if all(c is None or c == "" for c in cells):
-            continue  # blank line (pandas drops fully empty rows)
+            blank += 1
+            continue
+        for _ in range(blank):
+            yield (None,) * width
+        blank = 0
         yield tuple(_to_timestamp(c, date1904) if k == "ts" else _to_text(c) for c, k in zip(cells, kinds))
 
 

@@ -111,3 +111,61 @@ def test_read_source_conforms(spark, workdir):
     assert df.columns == ["account_num", "valid_to", "client", "create_dt", "update_dt"]
     assert df.collect()[0].client is None  # empty text -> NULL
     assert df.where(F.col("account_num") == "1").count() == 1
+
+
+def test_quotes_and_separators_in_a_field(spark, workdir):
+    path = os.path.join(workdir, "transactions_01012021.txt")
+    with open(path, "w") as f:
+        f.write('a;b;c;d;e;f;g\n1;2021-01-01 10:00:00;1;C1;"say ""hi"";";OK;T1\n')
+    assert read_transactions(spark, path).first().oper_type == 'say "hi";'
+
+
+@pytest.mark.parametrize("row", ["1;2021-13-01 10:00:00;1;C;P;O;T", "1;2021-01-01 10:00:00;1,234.56;C;P;O;T"])
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_unreadable_values_fail(spark, workdir, row, ansi):
+    path = os.path.join(workdir, "bad.txt")
+    with open(path, "w") as f:
+        f.write(f"a;b;c;d;e;f;g\n{row}\n")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception):
+            read_transactions(spark, path).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_workbook_rows_are_never_dropped(spark, workdir):
+    head = ["id", "type", "city", "address"]
+    wide = write_xlsx(os.path.join(workdir, "terminals_01012021.xlsx"), [head, ["T1", "ATM", "c", "a", "more"]])
+    with pytest.raises(Exception, match="more than 4 columns"):
+        read_terminals(spark, wide).collect()
+    blank = write_xlsx(os.path.join(workdir, "terminals_02012021.xlsx"), [head, ["T1", "ATM", "c", "a"], [None] * 4, ["T2", "ATM", "c", "a"], [None] * 4])
+    assert [r.terminal_id for r in read_terminals(spark, blank).collect()] == ["T1", None, "T2"]
+    late = write_xlsx(os.path.join(workdir, "passport_blacklist_01012021.xlsx"), [["d", "p"], ["2021-03-01 10:00:00 garbage", "P"]])
+    with pytest.raises(Exception):
+        read_blacklist(spark, late).collect()
+
+
+def test_corrected_file_is_new(spark, workdir):
+    name = os.path.join(workdir, "transactions_01012021.txt")
+    open(name, "w").write("x")
+    ledger = list_drop_files(spark, workdir).select("name", "length", "modified")
+    ledger = spark.createDataFrame(ledger.collect(), ledger.schema)
+    assert unseen_files(list_drop_files(spark, workdir), ledger).count() == 0
+    open(name, "w").write("xy")
+    assert unseen_files(list_drop_files(spark, workdir), ledger).count() == 1
+
+
+def test_jdbc_options():
+    from fraudmart.__main__ import _jdbc
+    from fraudmart.sources.tables import JdbcSource
+
+    args = type("A", (), {"jdbc_url": "jdbc:x:y", "jdbc_prop": ["user=me", "password=a=b"], "jdbc_partitions": 8})
+    got = _jdbc(args, "BANK.CARDS,ID,1,900").options()
+    assert got["dbtable"] == "BANK.CARDS" and got["partitionColumn"] == "ID" and got["numPartitions"] == "8"
+    assert got["lowerBound"] == "1" and got["upperBound"] == "900" and got["preferTimestampNTZ"] == "true"
+    assert got["user"] == "me" and got["password"] == "a=b"
+    with pytest.raises(ValueError, match="bounds"):
+        JdbcSource("u", "t", "", "", "").options()
+    with pytest.raises(SystemExit):
+        _jdbc(args, "BANK.CARDS")
