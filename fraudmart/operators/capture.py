@@ -80,8 +80,8 @@ def capture_blacklist(feed: DataFrame, load_ts: Stamp, watermark: Stamp) -> Data
     return gated.select("passport_num", "entry_dt", as_ntz(load_ts).alias("create_dt"))
 
 
-def capture_transactions(feed: DataFrame, load_ts: Stamp, watermark: Stamp) -> DataFrame:
-    """The seven file columns in warehouse order, plus the load time."""
+def capture_transactions(feed: DataFrame, load_ts: Stamp, watermark: Stamp, *more: str) -> DataFrame:
+    """The seven file columns in warehouse order, plus the load time and the columns ``more``."""
     gated = _file_gate(feed, load_ts, watermark)
     return gated.select(
         "trans_id",
@@ -92,6 +92,7 @@ def capture_transactions(feed: DataFrame, load_ts: Stamp, watermark: Stamp) -> D
         "oper_result",
         "terminal",
         as_ntz(load_ts).alias("create_dt"),
+        *more,
     )
 
 

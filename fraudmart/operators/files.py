@@ -18,6 +18,10 @@ NAME_DATE_PATTERN = r"(\d{8})\."
 NAME_DATE_FORMAT = "ddMMyyyy"
 
 
+# What tells one drop file from another.
+FILE_KEY = ("name", "length", "modified")
+
+
 class MissingFeedError(FileNotFoundError):
     """No drop file for a feed (H8)."""
 
@@ -66,9 +70,13 @@ def require_feeds(drops: DataFrame, feeds: tuple[str, ...] = tuple(FEED_PREFIXES
 
 
 def unseen_files(files: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Files whose name is not in the ledger of ingested files (``left_anti``).
+    """Files that are not in the ledger of ingested files (``left_anti``).
+
+    A file is known by its name, length and modification time (those that both
+    frames have), so a corrected file sent again under the same name is new.
 
     Replaces moving files to an archive folder: consumption is recorded with the
     load's publish record, so a crash never loses or repeats a file.
     """
-    return files.join(ledger.select("name"), "name", "left_anti")
+    on = [c for c in FILE_KEY if c in files.columns and c in ledger.columns]
+    return files.join(ledger.select(*on), on, "left_anti")

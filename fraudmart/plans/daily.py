@@ -39,13 +39,12 @@ from fraudmart.operators.capture import (
     initial_load,
     source_keys,
 )
-from fraudmart.operators.files import oldest_drop, require_feeds, unseen_files
-from fraudmart.operators.broadcast import broadcast_if_small
-from fraudmart.operators.report import events_for_cards, relevant_cards
+from fraudmart.operators.files import FILE_KEY, oldest_drop, require_feeds, unseen_files
+from fraudmart.operators.report import fraud_report, fraud_report_measured
 from fraudmart.operators.scd1 import assert_unique_keys, scd1_apply, scd1_upsert
 from fraudmart.operators.watermarks import SEED_STAMP, advance_watermarks, as_of_now, watermark_values
 from fraudmart.plans.store import CLEAR_REPORT, DROP, LOAD, REPORT, PublishRecord, Store, new_attempt
-from fraudmart.session import scratch_path
+from fraudmart.session import remove_path, scratch_path
 from fraudmart.sources.listing import list_drop_files
 from fraudmart.sources.text import RAW_SCHEMA, read_transactions
 from fraudmart.sources.xlsx import BLACKLIST_FILE_SCHEMA, TERMINALS_FILE_SCHEMA, read_blacklist, read_terminals
@@ -115,11 +114,18 @@ class Warehouse:
         whole source; MERGE makes that harmless, H23)."""
         self.store.refresh()
         batch_id, attempt = self.store.next_batch_id(), new_attempt()
-        versions = {}
-        for dim, (schema, _key) in schemas.DIMENSIONS.items():
+        checks: dict[str, Callable[[], object]] = {}
+        writes: dict[str, Callable[[], object]] = {}
+        for dim, (schema, key) in schemas.DIMENSIONS.items():
             src = sources.get(SOURCE_OF_DIM.get(dim, ""))
-            df = initial_load(src, schema) if src is not None else self.spark.createDataFrame([], schema)
-            versions[dim] = self.store.write_dim(dim, df, f"{batch_id}-{attempt}")
+            if src is None:
+                df = self.spark.createDataFrame([], schema)
+            else:
+                df = enforce_varchar(initial_load(src, schema), schemas.VARCHAR_LIMIT)
+                checks[dim] = partial(assert_unique_keys, df, key)
+            writes[dim] = partial(self.store.write_dim, dim, df, f"{batch_id}-{attempt}")
+        self._all(checks)
+        versions = self._all(writes)
         rec = PublishRecord(
             batch_id=batch_id,
             kind=LOAD,
@@ -136,13 +142,13 @@ class Warehouse:
         sources: dict[str, DataFrame],
         feeds: dict[str, DataFrame | None],
         load_ts: str | _dt.datetime | None = None,
-        files: dict[str, str] | None = None,
+        files: dict[str, tuple] | None = None,
     ) -> PublishRecord:
         """Capture, load, delete, advance and publish one batch.
 
         ``feeds`` maps ``terminals / passport_blacklist / transactions`` to the read
         file frames (missing or ``None``: nothing staged for that feed); ``files``
-        maps the same feeds to the drop file names they came from.  A file enters
+        maps the same feeds to the (name, length, modified) of their drop files.  A file enters
         the ledger only when its feed's gate (load time after the watermark, H24)
         was open, so a gated-out file is picked again by the next run.
         """
@@ -239,10 +245,13 @@ class Warehouse:
             versions=versions,
             watermarks=watermarks,
             facts=facts,
-            files=sorted(name for feed, name in (files or {}).items() if gate_open[feed]),
+            file_ids=sorted(key for feed, key in (files or {}).items() if gate_open[feed]),
             counts=counts,
         )
+        rec.files = [name for name, _length, _modified in rec.file_ids]
         self.store.write_record(rec)  # commit 1
+        remove_path(self.spark, scratch_path(self.spark, "fraudmart-staging", f"{batch_id}-{attempt}"))
+        self.store.prune()
         return rec
 
     # -- C22 ---------------------------------------------------------------
@@ -254,16 +263,13 @@ class Warehouse:
         never shuffled; otherwise the plan is the shuffle join.
         """
         s, as_of = self.store, to_stamp_text(as_of)
-        flagged = relevant_cards(
-            s.dim("dim_clients"), s.dim("dim_accounts"), s.dim("dim_cards"), s.fact("fact_passport_blacklist"), as_of
-        )
-        if pin_as is not None:
-            path = scratch_path(self.spark, "fraudmart-staging", pin_as, "relevant_cards")
-            flagged.write.mode("errorifexists").parquet(path)
-            flagged, self.last_relevant_bytes = broadcast_if_small(
-                self.spark.read.schema(flagged.schema).parquet(path), self.broadcast_limit_bytes
-            )
-        return events_for_cards(s.fact("fact_transactions"), flagged, as_of)
+        tables = [s.dim("dim_clients"), s.dim("dim_accounts"), s.dim("dim_cards"), s.fact("fact_transactions")]
+        tables.append(s.fact("fact_passport_blacklist"))
+        if pin_as is None:
+            return fraud_report(*tables, as_of)
+        path = scratch_path(self.spark, "fraudmart-staging", pin_as, "relevant_cards")
+        report, self.last_relevant_bytes = fraud_report_measured(*tables, as_of, path, self.broadcast_limit_bytes)
+        return report
 
     def build_report(self, as_of: str | _dt.datetime | None = None) -> PublishRecord:
         """Append one full report (H27) and publish it (commit 2)."""
@@ -274,6 +280,7 @@ class Warehouse:
             n = self.store.append_report(self.report_frame(as_of, pin_as=f"{batch_id}-{attempt}"), batch_id, attempt)
         rec = PublishRecord(batch_id=batch_id, kind=REPORT, attempt=attempt, load_ts=as_of, counts={"rep_fraud": n})
         self.store.write_record(rec)
+        remove_path(self.spark, scratch_path(self.spark, "fraudmart-staging", f"{batch_id}-{attempt}"))
         return rec
 
     # -- S15, S16, S17 -----------------------------------------------------
@@ -307,13 +314,15 @@ class Warehouse:
         return names
 
     # -- C25 ---------------------------------------------------------------
-    def pick_drop_files(self, folder: str) -> dict[str, tuple[str, str]]:
-        """S7 + S8: per feed the oldest file not yet ingested -> (name, path)."""
+    def pick_drop_files(self, folder: str) -> dict[str, tuple[str, str, tuple]]:
+        """S7 + S8: per feed the oldest file not yet ingested -> (name, path, ledger key)."""
         self.store.refresh()
         listing = list_drop_files(self.spark, folder)
         fresh = unseen_files(listing, self.store.ledger())
         chosen = require_feeds(oldest_drop(fresh))
-        return {feed: (name, os.path.join(folder, name)) for feed, (name, _date) in chosen.items()}
+        names = [name for name, _date in chosen.values()]  # one for each feed
+        keys = {r["name"]: tuple(r) for r in listing.where(F.col("name").isin(names)).select(*FILE_KEY).collect()}
+        return {feed: (name, os.path.join(folder, name), keys[name]) for feed, (name, _date) in chosen.items()}
 
     def daily_run(
         self,
@@ -330,7 +339,7 @@ class Warehouse:
             "passport_blacklist": read_blacklist(self.spark, picked["passport_blacklist"][1]),
             "transactions": read_transactions(self.spark, picked["transactions"][1]),
         }
-        files = {feed: name for feed, (name, _path) in picked.items()}
+        files = {feed: key for feed, (_name, _path, key) in picked.items()}
         load = self.increment(sources, feeds, load_ts, files)
         report = self.build_report(as_of or load_ts)
         return load, report

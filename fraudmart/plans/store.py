@@ -7,7 +7,7 @@ record, written last, says which locations are current:
     <root>/dims/<table>/v=<batch>-<attempt>/               full SCD1 snapshot
     <root>/facts/<table>/batch_id=<b>/attempt=<a>/          appended rows
     <root>/report/rep_fraud/batch_id=<b>/attempt=<a>/       one full report per run
-    <root>/_control/<batch>-<kind>-<attempt>/               publish record (JSON)
+    <root>/_control/<batch>/                                publish record (JSON)
 
 A load record (``kind = load``) carries the dimension versions, the fact
 attempts, the watermarks and the drop files it consumed: it is the reference's
@@ -15,8 +15,13 @@ first commit plus the file archive step (H26).  A report record is the second
 commit.  Readers resolve the newest record, so a crash before a record is written
 leaves the previous state fully visible, and a rerun writes a fresh attempt.
 
+A record's folder is named by its batch id alone and is never overwritten, so of
+two writers that took the same id the second one fails.  Dimension versions that
+fell out of the newest ``keep_versions`` loads are removed after a publish.
+
 Records are tiny (one row per run): the log is read once per operation and
-resolved on the driver, a bound set by the number of runs, never by data.
+resolved on the driver in plain Python, a bound set by the number of runs, never
+by data.
 """
 
 from __future__ import annotations
@@ -29,7 +34,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fraudmart import schemas
+from fraudmart.session import remove_path
 
+FILE_ID = T.StructType(
+    [T.StructField("name", T.StringType()), T.StructField("length", T.LongType()), T.StructField("modified", T.LongType())]
+)
 RECORD_SCHEMA = T.StructType(
     [
         T.StructField("batch_id", T.LongType(), False),
@@ -40,6 +49,7 @@ RECORD_SCHEMA = T.StructType(
         T.StructField("watermarks", T.MapType(T.StringType(), T.StringType()), True),
         T.StructField("facts", T.MapType(T.StringType(), T.StringType()), True),
         T.StructField("files", T.ArrayType(T.StringType()), True),
+        T.StructField("file_ids", T.ArrayType(FILE_ID), True),
         T.StructField("counts", T.MapType(T.StringType(), T.LongType()), True),
     ]
 )
@@ -60,6 +70,8 @@ class PublishRecord:
     watermarks: dict[str, str] = field(default_factory=dict)
     facts: dict[str, str] = field(default_factory=dict)
     files: list[str] = field(default_factory=list)
+    # (name, length, modified) of the same files: what the ledger knows them by
+    file_ids: list[tuple] = field(default_factory=list)
     # rows staged per table (load) or written (report): the run's progress log
     counts: dict[str, int] = field(default_factory=dict)
 
@@ -79,9 +91,10 @@ def _with_partition_columns(schema: T.StructType) -> T.StructType:
 class Store:
     """Paths and readers of one warehouse root (a shared filesystem path)."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, keep_versions: int = 3):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.keep_versions = max(1, keep_versions)
         self._rows: list[tuple] | None = None
 
     # -- paths ---------------------------------------------------------
@@ -112,35 +125,30 @@ class Store:
             from pyspark.errors import AnalysisException
 
             try:
-                raw = self.spark.read.schema(RECORD_SCHEMA).json(f"{self.control_path()}/*")
-                rows = raw.select(*RECORD_SCHEMA.names, F.input_file_name().alias("_file")).collect()
-            except AnalysisException:  # no record yet
+                rows = self.spark.read.schema(RECORD_SCHEMA).json(f"{self.control_path()}/*").select(*RECORD_SCHEMA.names).collect()
+            except AnalysisException as error:
+                if error.getCondition() != "PATH_NOT_FOUND":  # an unreadable log is not an empty one
+                    raise
                 rows = []
-            self._rows = sorted((tuple(r) for r in rows), key=lambda r: (r[0], r[-1]))
+            self._rows = sorted((tuple(r) for r in rows), key=lambda r: r[0])
         return self._rows
 
-    def latest(self, kinds: tuple[str, ...]) -> PublishRecord | None:
-        """Newest record of the given kinds (batch order, then write order)."""
-        rows = [r for r in self._record_rows() if r[1] in kinds]
-        if not rows:
-            return None
-        batch_id, kind, attempt, load_ts, versions, watermarks, facts, files, counts, _file = rows[-1]
-        return PublishRecord(
-            batch_id=batch_id,
-            kind=kind,
-            attempt=attempt,
-            load_ts=load_ts,
-            versions=dict(versions or {}),
-            watermarks=dict(watermarks or {}),
-            facts=dict(facts or {}),
-            files=list(files or []),
-            counts=dict(counts or {}),
-        )
+    def committed(self, kinds: tuple[str, ...], after: int = -1) -> list[PublishRecord]:
+        """The records of some kinds with a larger batch id than ``after``, in batch order."""
+        found = []
+        for row in self._record_rows():
+            values = dict(zip(RECORD_SCHEMA.names, row))
+            if values["kind"] in kinds and values["batch_id"] > after:
+                for name in ("versions", "watermarks", "facts", "counts"):
+                    values[name] = dict(values[name] or {})
+                values["files"] = list(values["files"] or [])
+                values["file_ids"] = [tuple(f) for f in values["file_ids"] or []]
+                found.append(PublishRecord(**values))
+        return found
 
-    def committed(self, kinds: tuple[str, ...]) -> DataFrame:
-        """All records of some kinds, as a small local DataFrame."""
-        rows = [r[:-1] for r in self._record_rows() if r[1] in kinds]
-        return self.spark.createDataFrame(rows, RECORD_SCHEMA)
+    def latest(self, kinds: tuple[str, ...]) -> PublishRecord | None:
+        """Newest record of the given kinds."""
+        return next(reversed(self.committed(kinds)), None)
 
     def write_record(self, rec: PublishRecord) -> None:
         """The commit point: one single-file JSON record in a fresh folder."""
@@ -153,13 +161,25 @@ class Store:
             rec.watermarks,
             rec.facts,
             rec.files,
+            rec.file_ids,
             {k: int(v) for k, v in rec.counts.items()},
         )
         df = self.spark.createDataFrame([row], RECORD_SCHEMA)
-        name = f"{rec.batch_id:012d}-{rec.kind}-{rec.attempt}"
-        df.coalesce(1).write.mode("errorifexists").json(f"{self.control_path()}/{name}")
+        df.coalesce(1).write.mode("errorifexists").json(f"{self.control_path()}/{rec.batch_id:012d}")
         self.refresh()
 
+    def prune(self) -> None:
+        """Remove the dimension versions that only loads before the newest ``keep_versions`` name.
+
+        A reader of an older state may be cut off, so keep more versions than the
+        longest query lasts runs.  Every run prunes, so only a few loads are looked at.
+        """
+        loads = self.committed((LOAD,), self._floor((DROP,)))
+        kept = {(t, v) for r in loads[-self.keep_versions :] for t, v in r.versions.items()}
+        for rec in loads[: -self.keep_versions][-4:]:
+            for version in set(rec.versions.items()) - kept:
+                remove_path(self.spark, self.dim_path(*version))
+
     # -- writers -------------------------------------------------------
     def write_dim(self, table: str, df: DataFrame, version: str) -> str:
         df.write.mode("errorifexists").parquet(self.dim_path(table, version))
@@ -216,14 +236,7 @@ class Store:
     def fact(self, table: str) -> DataFrame:
         """Rows of all published attempts of a fact table (one per run, bounded)."""
         floor = self._floor((DROP,))
-        pairs = [
-            (r["batch_id"], r["attempt"])
-            for r in self.committed((LOAD,))
-            .where(F.col("batch_id") > F.lit(floor))
-            .select("batch_id", F.col("facts").getItem(table).alias("attempt"))
-            .where(F.col("attempt").isNotNull())
-            .collect()
-        ]
+        pairs = [(r.batch_id, r.facts[table]) for r in self.committed((LOAD,), floor) if table in r.facts]
         return self._read_partitions(self.fact_path(table), schemas.FACTS[table], pairs)
 
     def _floor(self, kinds: tuple[str, ...]) -> int:
@@ -233,10 +246,7 @@ class Store:
     def report(self) -> DataFrame:
         """Every published report run since the last clear."""
         floor = self._floor((CLEAR_REPORT, DROP))
-        pairs = [
-            (r["batch_id"], r["attempt"])
-            for r in self.committed((REPORT,)).where(F.col("batch_id") > F.lit(floor)).collect()
-        ]
+        pairs = [(r.batch_id, r.attempt) for r in self.committed((REPORT,), floor)]
         return self._read_partitions(self.report_path(), schemas.REP_FRAUD, pairs)
 
     def control_frame(self) -> DataFrame:
@@ -248,15 +258,12 @@ class Store:
         df = self.spark.createDataFrame(rows, "db_name string, table_name string, last_update string")
         return df.withColumn("last_update", F.col("last_update").cast("timestamp_ntz"))
 
+    def ledger_files(self) -> list[tuple]:
+        return [f for r in self.committed((LOAD,), self._floor((DROP,))) for f in r.file_ids]
+
     def ledger(self) -> DataFrame:
-        """Names of drop files consumed by published loads."""
-        floor = self._floor((DROP,))
-        return (
-            self.committed((LOAD,))
-            .where(F.col("batch_id") > F.lit(floor))
-            .select(F.explode_outer("files").alias("name"))
-            .where(F.col("name").isNotNull())
-        )
+        """Drop files consumed by published loads (S8): name, length, modified."""
+        return self.spark.createDataFrame(self.ledger_files(), FILE_ID)
 
     def next_batch_id(self) -> int:
         rows = self._record_rows()

@@ -2,7 +2,8 @@
 
 Library code never picks a machine-local folder on a cluster: lineage is cut by
 writing to ``spark.checkpoint.dir``, which the cluster names.  Only a local-mode
-session without that setting (tests, bench) gets a fresh temporary folder.
+session without that setting (tests, bench) gets a fresh temporary folder; a
+cluster without it is an error.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ SCALE_CONF: dict[str, str] = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
 }
 
@@ -73,6 +75,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or folder
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the shared file system; nothing happens if it isn't there."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), *parts)

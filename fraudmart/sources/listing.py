@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 
 def list_drop_files(spark: SparkSession, folder: str) -> DataFrame:
-    """``path, name, modificationTime, length`` of the files directly in ``folder``."""
+    """``path, name, modified, length`` of the files directly in ``folder`` (``modified`` in microseconds)."""
     listed = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "false")
@@ -21,6 +21,6 @@ def list_drop_files(spark: SparkSession, folder: str) -> DataFrame:
     return listed.select(
         "path",
         F.element_at(F.split(F.col("path"), "/"), -1).alias("name"),
-        "modificationTime",
+        F.unix_micros("modificationTime").alias("modified"),
         "length",
     )

@@ -91,3 +91,66 @@ def test_gated_out_files_are_picked_again(spark, workdir):
     later, _ = wh.daily_run(src, drops, "2021-01-02 23:00:00")
     assert "transactions_02012021.txt" in later.files
     assert wh.read_table("fact_transactions").count() == 2
+
+
+def test_second_writer_of_a_batch_fails(spark, workdir):
+    root = os.path.join(workdir, "wh")
+    one, two = Warehouse(spark, root), Warehouse(spark, root)
+    one.initial_load(_sources(spark, ["1"]))
+    rec = one.increment(_sources(spark, ["1", "2"]), {}, "2021-01-01 23:00:00")
+    two.store.refresh()
+    rec.attempt = "other"
+    with pytest.raises(Exception, match="exists"):
+        two.store.write_record(rec)
+    assert one.read_table("dim_clients").count() == 2
+
+
+def test_unreadable_log_is_not_an_empty_warehouse(spark, workdir):
+    root = os.path.join(workdir, "wh")
+    wh = Warehouse(spark, root)
+    assert wh.store.next_batch_id() == 1  # no log yet
+    wh.initial_load(_sources(spark, ["1"]))
+    import stat
+
+    class Broken(type(wh.store)):
+        def control_path(self):
+            return "nosuchscheme://x/_control"
+
+    with pytest.raises(Exception):
+        Broken(spark, root).next_batch_id()
+    assert stat.S_ISDIR(os.stat(root).st_mode)
+
+
+def test_initial_load_checks_widths_and_keys(spark, workdir):
+    wide = _sources(spark, ["1"])
+    wide["clients"] = wide["clients"].selectExpr("client_id", "repeat('x', 150) last_name", *wide["clients"].columns[2:])
+    with pytest.raises(Exception, match="longer than 100"):
+        Warehouse(spark, os.path.join(workdir, "a")).initial_load(wide)
+    with pytest.raises(ValueError, match="duplicate"):
+        Warehouse(spark, os.path.join(workdir, "b")).initial_load(_sources(spark, ["1", "1"]))
+
+
+def test_idle_runs_keep_a_fixed_number_of_folders(spark, workdir):
+    from fraudmart.session import checkpoint_dir
+
+    root = os.path.join(workdir, "wh")
+    wh = Warehouse(spark, root)
+    src = _sources(spark, ["1", "2"])
+    wh.initial_load(src)
+    staging = os.path.join(checkpoint_dir(spark).removeprefix("file:"), "fraudmart-staging")
+    before = set(os.listdir(staging)) if os.path.isdir(staging) else set()
+    for day in range(1, 7):
+        wh.increment(src, {}, f"2021-01-0{day} 23:00:00")
+        wh.build_report(f"2021-01-0{day} 23:00:00")
+        assert len(os.listdir(os.path.join(root, "dims", "dim_clients"))) <= wh.store.keep_versions
+    assert set(os.listdir(staging)) == before
+    assert wh.read_table("dim_clients").count() == 2
+
+
+def test_zoned_or_longer_stamps_are_rejected():
+    from fraudmart.functions import to_stamp_text
+
+    assert to_stamp_text("2021-03-01") == "2021-03-01 00:00:00"
+    for bad in ("2021-03-01 10:00:00+05:00", "2021-03-01 10:00:00 garbage", D(2021, 1, 1, tzinfo=dt.timezone.utc)):
+        with pytest.raises(ValueError):
+            to_stamp_text(bad)
