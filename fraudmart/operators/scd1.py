@@ -3,7 +3,8 @@
 Parquet tables take neither MERGE nor DELETE, so both are expressed as joins that
 produce the next full version of the dimension:
 
-* upsert = target rows whose key is not staged (``left_anti``) UNION ALL staging;
+* upsert = target FULL OUTER JOIN staging on the key, each row from staging where it
+  has one, so every target row of a staged key is updated, also if the key is there twice;
 * delete = target rows whose key is still in the source (``left_semi``).
 
 NULL keys follow SQL equality: a NULL key never matches, so a NULL-key staging row
@@ -48,16 +49,24 @@ def _split_null_keys(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     return df.where(F.col(key).isNotNull()), df.where(F.col(key).isNull())
 
 
+def _merge(target: DataFrame, staging: DataFrame, key: str, cols: list[str]) -> DataFrame:
+    """Rows with non-NULL keys: matched and new ones from ``staging`` (unique keys), the others as they are."""
+    news = staging.select(F.col(key).alias("_key"), F.struct(*cols).alias("_new"))
+    olds = target.select(key, F.struct(*cols).alias("_old"))
+    joined = olds.join(news, F.col(key) == F.col("_key"), "full_outer")
+    row = F.when(F.col("_key").isNotNull(), F.col("_new")).otherwise(F.col("_old"))
+    return joined.select(row.alias("_row")).select("_row.*")
+
+
 def scd1_upsert(target: DataFrame, staging: DataFrame, key: str) -> DataFrame:
-    """MERGE: matched keys take every staged column, unmatched staged rows insert.
+    """MERGE: matched target rows take every staged column, unmatched staged rows insert.
 
     The result keeps the target's column order.
     """
     cols = target.columns
     keyed, null_keyed = _split_null_keys(target, key)
-    staged_keys = staging.select(key).where(F.col(key).isNotNull())
-    kept = keyed.join(staged_keys, key, "left_anti")
-    return kept.select(*cols).unionByName(null_keyed.select(*cols)).unionByName(staging.select(*cols))
+    staged, null_staged = _split_null_keys(staging.select(*cols), key)
+    return _merge(keyed, staged, key, cols).unionByName(null_keyed).unionByName(null_staged)
 
 
 def missing_keys(target: DataFrame, source_keys: DataFrame, key: str, source_key: str = "id") -> DataFrame:
@@ -88,17 +97,14 @@ def scd1_apply(
     """Upsert then delete in one plan: ``scd1_delete(scd1_upsert(t, s), keys)``.
 
     Composing the two primitives would split the upsert's output into NULL and
-    non-NULL keys again and plan its anti join twice.  Here every input is split
-    once, and the large side (the current dimension) goes through the semi join
-    (source keys) and the anti join (staged keys) back to back on the same key,
-    so it is hash-partitioned once and both joins reuse that partitioning.  The
-    small staged side meets the same, reused, source-key exchange.  NULL-key rows
-    of both sides bypass the joins (H16, H17).
+    non-NULL keys again.  Here every input is split once; the current dimension and
+    the staged rows meet the (reused) source-key exchange by semi joins and then
+    each other, all on the same key, so the dimension is hash-partitioned once.
+    NULL-key rows of both sides bypass the joins (H16, H17).
     """
     cols = target.columns
     keyed, null_target = _split_null_keys(target, key)
     staged, null_staged = _split_null_keys(staging.select(*cols), key)
     src = source_keys.select(F.col(source_key).alias(key)).where(F.col(key).isNotNull())
-    kept = keyed.join(src, key, "left_semi").join(staged.select(key), key, "left_anti").select(*cols)
-    staged_alive = staged.join(src, key, "left_semi").select(*cols)
-    return kept.unionByName(staged_alive).unionByName(null_target.select(*cols)).unionByName(null_staged)
+    merged = _merge(keyed.join(src, key, "left_semi"), staged.join(src, key, "left_semi"), key, cols)
+    return merged.unionByName(null_target.select(*cols)).unionByName(null_staged)

@@ -76,29 +76,28 @@ def watermark_column(control: DataFrame, table: str, db_name: str | None = DEFAU
     return _lookup(control, table, db_name).scalar()
 
 
-def staged_max(staging: DataFrame, table: str, stamp: Column | None = None) -> DataFrame:
-    """One row ``(table_name, mx)``: the newest change time in a staging frame.
+def staged_max(staging: DataFrame, table: str, stamp: Column | None = None, db_name: str = DEFAULT_DB) -> DataFrame:
+    """One row ``(db_name, table_name, mx)``: the newest change time in a staging frame.
 
     Facts use ``create_dt`` (A1); dimensions ``COALESCE(update_dt, create_dt)`` (A2).
     A global ``max`` is a partial aggregate: one small row per task, one final row.
     """
     if stamp is None:
         stamp = change_time() if "update_dt" in staging.columns else F.col("create_dt")
-    return staging.agg(F.max(stamp).alias("mx")).select(F.lit(table).alias("table_name"), "mx")
+    return staging.agg(F.max(stamp).alias("mx")).select(
+        F.lit(db_name).alias("db_name"), F.lit(table).alias("table_name"), "mx"
+    )
 
 
-def advance_watermarks(control: DataFrame, staged: dict[str, DataFrame]) -> DataFrame:
+def advance_watermarks(control: DataFrame, staged: dict[str, DataFrame], db_name: str = DEFAULT_DB) -> DataFrame:
     """Each table's watermark moves to its staged maximum, only when staging is
-    non-empty (H22); tables without staging keep their value."""
+    non-empty (H22); tables without staging, and those of another database, keep theirs."""
     if not staged:
         return control
-    maxima = [
-        staged_max(df, name) if "mx" not in df.columns else df.select("table_name", "mx")
-        for name, df in staged.items()
-    ]
+    maxima = [staged_max(df, name, db_name=db_name) for name, df in staged.items()]
     news = functools.reduce(DataFrame.unionByName, maxima)
     # ``news`` has one row per staged table: bounded, so broadcasting it is safe.
-    joined = control.join(F.broadcast(news), "table_name", "left")
+    joined = control.join(F.broadcast(news), ["db_name", "table_name"], "left")
     out_cols = [c for c in control.columns if c != "last_update"]
     return joined.select(*out_cols, F.coalesce(F.col("mx"), F.col("last_update")).alias("last_update")).select(
         *control.columns

@@ -115,3 +115,10 @@ def test_watermark_values_in_one_collect(spark):
 
     with pytest.raises(ValueError, match="several"):
         watermark_values(control.unionByName(control))
+
+
+def test_advance_leaves_other_databases(spark):
+    control = seed_watermarks(spark, ("dim_cards",)).union(seed_watermarks(spark, ("dim_cards",), db_name="other"))
+    staged = spark.createDataFrame([("2021-01-01 00:00:00",)], "c string").selectExpr("CAST(c AS TIMESTAMP_NTZ) create_dt")
+    got = {(r.db_name, str(r.last_update)) for r in advance_watermarks(control, {"dim_cards": staged}).collect()}
+    assert got == {("dwh", "2021-01-01 00:00:00"), ("other", "1900-01-01 00:00:00")}
