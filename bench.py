@@ -77,8 +77,8 @@ def time_daily_run(spark, sf_dir: str, repeat: int) -> float:
     from fraudmart.plans.daily import Warehouse
 
     fx = Fixture(spark, sf_dir)
-    before = {"clients": fx.dim_clients_before_full, "accounts": fx.dim_accounts_before, "cards": fx.dim_cards_before}
-    today = {"clients": fx.src_clients_full, "accounts": fx.src_accounts, "cards": fx.src_cards}
+    before = {"clients": fx.dim_clients_before, "accounts": fx.dim_accounts_before, "cards": fx.dim_cards_before}
+    today = {"clients": fx.left_clients, "accounts": fx.left_accounts, "cards": fx.left_cards}
     drops = tempfile.mkdtemp(prefix="fraudmart-bench-drops-")
     prepare_drops(spark, sf_dir, drops)
     times = []

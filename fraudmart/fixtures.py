@@ -6,10 +6,9 @@ the banking model (see FIXTURES.md section 3):
     clients <- customer, accounts <- orders, cards <- orders (one card each),
     transactions <- lineitem, blacklist <- error events, terminals <- supplier.
 
-``src_*`` is "the source today" (every 11th row deleted); ``*_before`` is the
-dimension before the load (every 5th row not yet loaded, one column stale).
-These derivations shape a scenario (rows that left the source, rows not yet
-loaded); every query still reads the whole tables.  The expressions are the same
+The tables themselves are "the source today"; ``left_*`` lacks every 11th row (keys that
+left the source, for the deletes); ``*_before`` is the dimension before the load (every
+5th row not yet loaded, one column stale); ``next_*`` is the source a day later.  The expressions are the same
 text as the DuckDB oracle views, so both engines see identical inputs.
 """
 
@@ -25,6 +24,9 @@ WATERMARK = "1997-06-01 00:00:00"
 LOAD_TS = "2001-01-01 00:00:00"
 AS_OF = "2001-01-01 00:00:00"
 EMPTY_WATERMARK = "2099-01-01 00:00:00"
+NEXT_DAY = "2001-01-02 00:00:00"
+LAST_DAY = "2001-01-03 00:00:00"
+CHANGED = "2010-01-01 00:00:00"  # later than every stamp of the tables
 
 CLIENTS_EXPR = [
     "CAST(c_custkey AS STRING) client_id",
@@ -70,7 +72,7 @@ BLACKLIST_EXPR = [
     "concat('P', CAST(user_id AS STRING)) passport_num",
     "ts entry_dt",
 ]
-BLACKLIST_WHERE = "event_type = 'error' AND user_id % 5 = 0"
+BLACKLIST_WHERE = "event_type = 'error'"
 
 TERMINALS_EXPR = [
     "CAST(s_suppkey AS STRING) terminal_id",
@@ -116,50 +118,69 @@ class Fixture:
         return self.table("supplier").selectExpr(*TERMINALS_EXPR)
 
     # -- source today / dimension before the load ------------------------
+    # The sources are the whole tables; ``left_*`` are sources that some rows have
+    # left, for the operators that look for missing keys.
     @functools.cached_property
-    def src_clients_full(self) -> DataFrame:
-        return self.clients.where("CAST(client_id AS INT) % 11 <> 0")
+    def left_clients(self) -> DataFrame:
+        return self.clients.where("CAST(client_id AS BIGINT) % 11 <> 0")
 
     @functools.cached_property
-    def src_clients(self) -> DataFrame:
-        return self.src_clients_full.select("client_id", "last_name", "phone", "create_dt", "update_dt")
+    def left_accounts(self) -> DataFrame:
+        return self.accounts.where("CAST(account_num AS BIGINT) % 11 <> 0")
 
     @functools.cached_property
-    def dim_clients_before_full(self) -> DataFrame:
-        return self.clients.where("CAST(client_id AS INT) % 5 <> 0")
+    def left_cards(self) -> DataFrame:
+        return self.cards.where("CAST(account_num AS BIGINT) % 11 <> 0")
 
     @functools.cached_property
     def dim_clients_before(self) -> DataFrame:
-        return self.dim_clients_before_full.selectExpr(
-            "client_id", "last_name", "'stale' phone", "create_dt", "update_dt"
-        )
-
-    @functools.cached_property
-    def src_accounts(self) -> DataFrame:
-        return self.accounts.where("CAST(account_num AS INT) % 11 <> 0")
+        stale = ["'stale' phone" if c == "phone" else c for c in self.clients.columns]
+        return self.clients.where("CAST(client_id AS BIGINT) % 5 <> 0").selectExpr(*stale)
 
     @functools.cached_property
     def dim_accounts_before(self) -> DataFrame:
-        return self.accounts.where("CAST(account_num AS INT) % 5 <> 0").selectExpr(
+        return self.accounts.where("CAST(account_num AS BIGINT) % 5 <> 0").selectExpr(
             "account_num", "create_dt valid_to", "client", "create_dt", "update_dt"
         )
 
-    @functools.cached_property
-    def src_cards(self) -> DataFrame:
-        return self.cards.where("CAST(account_num AS INT) % 11 <> 0")
-
     @functools.cached_property
     def dim_cards_before(self) -> DataFrame:
-        return self.cards.where("CAST(account_num AS INT) % 5 <> 0").selectExpr(
+        return self.cards.where("CAST(account_num AS BIGINT) % 5 <> 0").selectExpr(
             "card_num", "'-1' account_num", "create_dt", "update_dt"
         )
 
     @functools.cached_property
     def dim_terminals_before(self) -> DataFrame:
-        return self.terminals.where("CAST(terminal_id AS INT) % 5 <> 0").selectExpr(
-            "terminal_id", "terminal_type", "'stale' terminal_city", "terminal_address"
+        return self.terminals.where("CAST(terminal_id AS BIGINT) % 5 <> 0").selectExpr(
+            "terminal_id",
+            "terminal_type",
+            "'stale' terminal_city",
+            "terminal_address",
+            "TIMESTAMP_NTZ'1995-01-01 00:00:00' create_dt",
+            "TIMESTAMP_NTZ'1996-01-01 00:00:00' update_dt",
+        )
+
+    # -- the next day: some rows changed, some left, some changed without a new stamp
+    @functools.cached_property
+    def next_clients(self) -> DataFrame:
+        return self.clients.where("CAST(client_id AS BIGINT) % 13 <> 0").selectExpr(*next_day(self.clients.columns, "client_id", "phone"))
+
+    @functools.cached_property
+    def next_accounts(self) -> DataFrame:
+        return self.accounts.where("CAST(account_num AS BIGINT) % 13 <> 0").selectExpr(
+            *next_day(self.accounts.columns, "account_num", "client")
         )
 
     @functools.cached_property
-    def stg_terminals(self) -> DataFrame:
-        return self.terminals.where("CAST(terminal_id AS INT) % 3 <> 0")
+    def next_cards(self) -> DataFrame:
+        return self.cards.where("CAST(account_num AS BIGINT) % 13 <> 0")
+
+
+def next_day(columns: list[str], key: str, changed: str) -> list[str]:
+    """Every fourth key has a new value and stamp, the one after it a new value under its old stamp."""
+    rest = f"CAST({key} AS BIGINT) % 4"
+    new = {
+        changed: f"CASE {rest} WHEN 0 THEN 'new' WHEN 1 THEN 'unstamped' ELSE {changed} END {changed}",
+        "update_dt": f"CASE WHEN {rest} = 0 THEN TIMESTAMP_NTZ'{CHANGED}' ELSE update_dt END update_dt",
+    }
+    return [new.get(c, c) for c in columns]

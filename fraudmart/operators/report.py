@@ -30,10 +30,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fraudmart.functions import as_ntz, check_max_length, full_name
+from fraudmart.operators.broadcast import broadcast_if_small
 from fraudmart.schemas import EVENT_CONTRACT, EVENT_PASSPORT, VARCHAR_LIMIT
 
 Stamp = str | _dt.datetime | _dt.date | Column
 
+# In-memory size up to which the flagged cards are broadcast.
+BROADCAST_LIMIT = 256 * 1024 * 1024
+
 REPORT_COLUMNS = ["event_dt", "passport", "fio", "phone", "event_type", "report_dt"]
 
 
@@ -52,11 +56,13 @@ def with_listed_flag(clients: DataFrame, blacklist: DataFrame) -> DataFrame:
     """Add ``listed``: whether ``passport_num IN (SELECT passport_num FROM blacklist)``.
 
     A left join to the distinct keys is Spark's existence join; NULL passports are
-    never listed.
+    never listed.  Each NULL gets a key of its own (a character that no passport
+    begins with, then the client), so NULLs don't meet in one partition.
     """
     keys = listed_passports(blacklist)
+    own_key = F.coalesce(F.col("passport_num"), F.concat(F.lit("\u0000"), F.coalesce("client_id", F.lit(""))))
     return (
-        clients.join(keys, clients["passport_num"] == keys["_listed_passport"], "left")
+        clients.join(keys, own_key == keys["_listed_passport"], "left")
         .withColumn("listed", F.col("_listed_passport").isNotNull())
         .drop("_listed_passport")
     )
@@ -194,3 +200,26 @@ def fraud_report(
     """The report (C22) in one pass over the join chain: only cards that can fire
     a rule meet the transactions, and the fact is scanned once for both rules."""
     return events_for_cards(transactions, relevant_cards(clients, accounts, cards, blacklist, as_of), as_of)
+
+
+def fraud_report_measured(
+    clients: DataFrame,
+    accounts: DataFrame,
+    cards: DataFrame,
+    transactions: DataFrame,
+    blacklist: DataFrame,
+    as_of: Stamp,
+    pin_path: str,
+    broadcast_limit_bytes: int = BROADCAST_LIMIT,
+) -> tuple[DataFrame, int]:
+    """The report, and the measured bytes of the flagged cards.
+
+    The flagged cards are written to ``pin_path`` once and measured.  Up to the limit
+    they are broadcast, so the transactions are never shuffled; beyond it the plan is
+    the shuffle join, which needs no shuffle of history if the fact is bucketed by card.
+    """
+    flagged = relevant_cards(clients, accounts, cards, blacklist, as_of)
+    flagged.write.mode("errorifexists").parquet(pin_path)
+    pinned = flagged.sparkSession.read.schema(flagged.schema).parquet(pin_path)
+    pinned, size = broadcast_if_small(pinned, broadcast_limit_bytes)
+    return events_for_cards(transactions, pinned, as_of), size

@@ -44,35 +44,46 @@ VIEWS: dict[str, str] = {
     ),
     "blacklist": (
         "SELECT concat('P', CAST(user_id AS STRING)) passport_num, ts entry_dt FROM events "
-        "WHERE event_type = 'error' AND user_id % 5 = 0"
+        "WHERE event_type = 'error'"
     ),
     "terminals": (
         "SELECT CAST(s_suppkey AS STRING) terminal_id, "
         "CASE WHEN s_suppkey % 2 = 0 THEN 'ATM' ELSE 'POS' END terminal_type, "
         "CAST(s_nationkey AS STRING) terminal_city, s_name terminal_address FROM supplier"
     ),
-    "src_clients": (
-        "SELECT client_id, last_name, phone, create_dt, update_dt FROM clients "
-        "WHERE CAST(client_id AS INT) % 11 <> 0"
-    ),
+    "left_clients": "SELECT * FROM clients WHERE CAST(client_id AS BIGINT) % 11 <> 0",
+    "left_accounts": "SELECT * FROM accounts WHERE CAST(account_num AS BIGINT) % 11 <> 0",
+    "left_cards": "SELECT * FROM cards WHERE CAST(account_num AS BIGINT) % 11 <> 0",
     "dim_clients_before": (
-        "SELECT client_id, last_name, 'stale' phone, create_dt, update_dt FROM clients "
-        "WHERE CAST(client_id AS INT) % 5 <> 0"
+        "SELECT * REPLACE ('stale' AS phone) FROM clients WHERE CAST(client_id AS BIGINT) % 5 <> 0"
     ),
-    "src_accounts": "SELECT * FROM accounts WHERE CAST(account_num AS INT) % 11 <> 0",
     "dim_accounts_before": (
         "SELECT account_num, create_dt valid_to, client, create_dt, update_dt FROM accounts "
-        "WHERE CAST(account_num AS INT) % 5 <> 0"
+        "WHERE CAST(account_num AS BIGINT) % 5 <> 0"
     ),
-    "src_cards": "SELECT * FROM cards WHERE CAST(account_num AS INT) % 11 <> 0",
     "dim_cards_before": (
-        "SELECT card_num, '-1' account_num, create_dt, update_dt FROM cards WHERE CAST(account_num AS INT) % 5 <> 0"
+        "SELECT card_num, '-1' account_num, create_dt, update_dt FROM cards WHERE CAST(account_num AS BIGINT) % 5 <> 0"
     ),
     "dim_terminals_before": (
-        "SELECT terminal_id, terminal_type, 'stale' terminal_city, terminal_address FROM terminals "
-        "WHERE CAST(terminal_id AS INT) % 5 <> 0"
+        "SELECT terminal_id, terminal_type, 'stale' terminal_city, terminal_address, "
+        "TIMESTAMP '1995-01-01 00:00:00' create_dt, TIMESTAMP '1996-01-01 00:00:00' update_dt FROM terminals "
+        "WHERE CAST(terminal_id AS BIGINT) % 5 <> 0"
+    ),
+    "stg_terminals": (
+        "SELECT *, TIMESTAMP '2001-01-01 00:00:00' create_dt, CAST(NULL AS TIMESTAMP) update_dt FROM terminals"
+    ),
+    # after the job's second day: changed rows as of that day, those without a new stamp as of the first
+    "job_clients": (
+        "SELECT * REPLACE (CASE WHEN CAST(client_id AS BIGINT) % 4 = 0 THEN 'new' ELSE phone END AS phone, "
+        "CASE WHEN CAST(client_id AS BIGINT) % 4 = 0 THEN TIMESTAMP '2010-01-01 00:00:00' ELSE update_dt END AS update_dt) "
+        "FROM clients WHERE CAST(client_id AS BIGINT) % 13 <> 0"
     ),
-    "stg_terminals": "SELECT * FROM terminals WHERE CAST(terminal_id AS INT) % 3 <> 0",
+    "job_accounts": (
+        "SELECT * REPLACE (CASE WHEN CAST(account_num AS BIGINT) % 4 = 0 THEN 'new' ELSE client END AS client, "
+        "CASE WHEN CAST(account_num AS BIGINT) % 4 = 0 THEN TIMESTAMP '2010-01-01 00:00:00' ELSE update_dt END AS update_dt) "
+        "FROM accounts WHERE CAST(account_num AS BIGINT) % 13 <> 0"
+    ),
+    "job_cards": "SELECT * FROM cards WHERE CAST(account_num AS BIGINT) % 13 <> 0",
 }
 
 WM = f"{NTZ} '1997-06-01 00:00:00'"
@@ -114,14 +125,12 @@ def _stg(source: str, wm: str = WM) -> str:
 
 
 _INCREMENT_CTES = (
-    "c_src AS (SELECT * FROM clients WHERE CAST(client_id AS INT) % 11 <> 0), "
-    "c_before AS (SELECT * FROM clients WHERE CAST(client_id AS INT) % 5 <> 0), "
-    f"c_stg AS ({_stg('c_src')}), c_up AS ({_upsert('c_before', 'c_stg', 'client_id')}), "
-    "c_new AS (SELECT * FROM c_up u WHERE u.client_id IS NULL OR u.client_id IN (SELECT client_id FROM c_src)), "
-    f"a_stg AS ({_stg('src_accounts')}), a_up AS ({_upsert('dim_accounts_before', 'a_stg', 'account_num')}), "
-    "a_new AS (SELECT * FROM a_up u WHERE u.account_num IS NULL OR u.account_num IN (SELECT account_num FROM src_accounts)), "
-    f"k_stg AS ({_stg('src_cards')}), k_up AS ({_upsert('dim_cards_before', 'k_stg', 'card_num')}), "
-    "k_new AS (SELECT * FROM k_up u WHERE u.card_num IS NULL OR u.card_num IN (SELECT card_num FROM src_cards))"
+    f"c_stg AS ({_stg('left_clients')}), c_up AS ({_upsert('dim_clients_before', 'c_stg', 'client_id')}), "
+    "c_new AS (SELECT * FROM c_up u WHERE u.client_id IS NULL OR u.client_id IN (SELECT client_id FROM left_clients)), "
+    f"a_stg AS ({_stg('left_accounts')}), a_up AS ({_upsert('dim_accounts_before', 'a_stg', 'account_num')}), "
+    "a_new AS (SELECT * FROM a_up u WHERE u.account_num IS NULL OR u.account_num IN (SELECT account_num FROM left_accounts)), "
+    f"k_stg AS ({_stg('left_cards')}), k_up AS ({_upsert('dim_cards_before', 'k_stg', 'card_num')}), "
+    "k_new AS (SELECT * FROM k_up u WHERE u.card_num IS NULL OR u.card_num IN (SELECT card_num FROM left_cards))"
 )
 
 _FILES = (
@@ -134,51 +143,55 @@ _FILES = (
     "FROM files), firsts AS (SELECT feed, min(drop_date) AS drop_date FROM dated WHERE feed IS NOT NULL GROUP BY feed)"
 )
 
+_NEW_MARKS = (
+    f"SELECT 'dim_clients' table_name, MAX(COALESCE(update_dt, create_dt)) mx FROM clients WHERE COALESCE(update_dt, create_dt) > {WM} "
+    f"UNION ALL SELECT 'dim_accounts', MAX(COALESCE(update_dt, create_dt)) FROM accounts WHERE COALESCE(update_dt, create_dt) > {WM} "
+    f"UNION ALL SELECT 'dim_cards', MAX(COALESCE(update_dt, create_dt)) FROM cards "
+    f"WHERE COALESCE(update_dt, create_dt) > {NTZ} '2099-01-01 00:00:00' "
+    f"UNION ALL SELECT 'dim_terminals', MAX({LOAD}) FROM terminals UNION ALL SELECT 'fact_transactions', MAX({LOAD}) FROM transactions "
+    f"UNION ALL SELECT 'fact_passport_blacklist', MAX({NTZ} '2001-01-02 00:00:00') FROM blacklist"
+)
+_TABLES = ("dim_clients", "dim_accounts", "dim_cards", "dim_terminals", "fact_transactions", "fact_passport_blacklist")
 _WATERMARKS = (
-    f"SELECT w.table_name, COALESCE(m.mx, w.last_update) last_update FROM ("
-    f"SELECT 'dim_clients' table_name, {WM} last_update UNION ALL SELECT 'dim_accounts', {WM} "
-    f"UNION ALL SELECT 'dim_cards', {WM} UNION ALL SELECT 'dim_terminals', {WM}) w LEFT JOIN ("
-    f"SELECT 'dim_clients' table_name, MAX(COALESCE(update_dt, create_dt)) mx FROM src_clients "
-    f"WHERE COALESCE(update_dt, create_dt) > {WM} UNION ALL SELECT 'dim_accounts', MAX(COALESCE(update_dt, create_dt)) "
-    f"FROM src_accounts WHERE COALESCE(update_dt, create_dt) > {WM} UNION ALL SELECT 'dim_cards', "
-    f"MAX(COALESCE(update_dt, create_dt)) FROM src_cards WHERE COALESCE(update_dt, create_dt) > "
-    f"{NTZ} '2099-01-01 00:00:00') m ON w.table_name = m.table_name"
+    f"SELECT db_name, w.table_name, CASE WHEN db_name = 'dwh' THEN COALESCE(mx, {WM}) ELSE {WM} END last_update "
+    f"FROM (SELECT unnest({list(_TABLES)!r}) table_name) w CROSS JOIN (VALUES ('dwh'), ('other')) d(db_name) "
+    f"LEFT JOIN ({_NEW_MARKS}) m ON w.table_name = m.table_name"
 )
 
 STATEMENTS: dict[str, str] = {
-    "capture_clients": f"SELECT client_id, last_name, phone, create_dt, update_dt FROM src_clients "
-    f"WHERE COALESCE(update_dt, create_dt) > {WM}",
-    "capture_accounts": _stg("src_accounts"),
-    "capture_cards": _stg("src_cards"),
-    "capture_missing_watermark": "SELECT client_id FROM src_clients WHERE COALESCE(update_dt, create_dt) > "
-    "(SELECT create_dt FROM src_clients WHERE client_id = 'none')",
+    "capture_clients": _stg("clients"),
+    "capture_by_lookup": _stg("clients"),
+    "capture_accounts": _stg("accounts"),
+    "capture_cards": _stg("cards"),
+    "capture_missing_watermark": "SELECT client_id FROM clients WHERE COALESCE(update_dt, create_dt) > "
+    "(SELECT create_dt FROM clients WHERE client_id = 'none')",
     "capture_terminals": f"SELECT terminal_id, terminal_type, terminal_city, terminal_address, {LOAD} create_dt, "
     f"CAST(NULL AS TIMESTAMP) update_dt FROM terminals WHERE {LOAD} > {WM}",
     "capture_blacklist": f"SELECT passport_num, entry_dt, {LOAD} create_dt FROM blacklist WHERE {LOAD} > {WM}",
     "capture_transactions": f"SELECT trans_id, trans_date, card_num, oper_type, amt, oper_result, terminal, "
     f"{LOAD} create_dt FROM transactions WHERE {LOAD} > {WM}",
-    "read_transactions_text": "SELECT trans_id, trans_date, amt, card_num, oper_type, oper_result, terminal "
-    "FROM transactions",
+    "read_transactions_text": "SELECT trans_id, trans_date, amt, card_num, 'say \"' || oper_type || ';\"' oper_type, "
+    "oper_result, terminal FROM transactions",
     "append_transactions": f"SELECT * FROM transactions WHERE trans_date < {NTZ} '1999-01-01 00:00:00' "
     f"UNION ALL SELECT * FROM transactions WHERE trans_date >= {NTZ} '1999-01-01 00:00:00'",
     "append_blacklist": f"SELECT * FROM blacklist UNION ALL SELECT * FROM blacklist "
     f"WHERE entry_dt > {NTZ} '2024-01-20 00:00:00'",
-    "upsert_clients": f"WITH stg AS ({_stg('src_clients')}) " + _upsert("dim_clients_before", "stg", "client_id"),
-    "upsert_accounts": f"WITH stg AS ({_stg('src_accounts')}) " + _upsert("dim_accounts_before", "stg", "account_num"),
-    "upsert_cards": f"WITH stg AS ({_stg('src_cards')}) " + _upsert("dim_cards_before", "stg", "card_num"),
+    "upsert_clients": f"WITH stg AS ({_stg('clients')}) " + _upsert("dim_clients_before", "stg", "client_id"),
+    "upsert_accounts": f"WITH stg AS ({_stg('accounts')}) " + _upsert("dim_accounts_before", "stg", "account_num"),
+    "upsert_cards": f"WITH stg AS ({_stg('cards')}) " + _upsert("dim_cards_before", "stg", "card_num"),
     "upsert_terminals": _upsert("dim_terminals_before", "stg_terminals", "terminal_id"),
-    "source_keys_clients": "SELECT client_id id FROM src_clients",
-    "source_keys_accounts": "SELECT account_num id FROM src_accounts",
-    "source_keys_cards": "SELECT card_num id FROM src_cards",
-    "missing_keys_clients": "SELECT t.client_id FROM dim_clients_before t LEFT JOIN src_clients s "
+    "source_keys_clients": "SELECT client_id id FROM clients",
+    "source_keys_accounts": "SELECT account_num id FROM accounts",
+    "source_keys_cards": "SELECT card_num id FROM cards",
+    "missing_keys_clients": "SELECT t.client_id FROM dim_clients_before t LEFT JOIN left_clients s "
     "ON t.client_id = s.client_id WHERE s.client_id IS NULL",
-    "missing_keys_accounts": "SELECT t.account_num FROM dim_accounts_before t LEFT JOIN src_accounts s "
+    "missing_keys_accounts": "SELECT t.account_num FROM dim_accounts_before t LEFT JOIN left_accounts s "
     "ON t.account_num = s.account_num WHERE s.account_num IS NULL",
-    "missing_keys_cards": "SELECT t.card_num FROM dim_cards_before t LEFT JOIN src_cards s "
+    "missing_keys_cards": "SELECT t.card_num FROM dim_cards_before t LEFT JOIN left_cards s "
     "ON t.card_num = s.card_num WHERE s.card_num IS NULL",
-    "delete_clients": _delete("dim_clients_before", "src_clients", "client_id"),
-    "delete_accounts": _delete("dim_accounts_before", "src_accounts", "account_num"),
-    "delete_cards": _delete("dim_cards_before", "src_cards", "card_num"),
+    "delete_clients": _delete("dim_clients_before", "left_clients", "client_id"),
+    "delete_accounts": _delete("dim_accounts_before", "left_accounts", "account_num"),
+    "delete_cards": _delete("dim_cards_before", "left_cards", "card_num"),
     "advance_watermarks": _WATERMARKS,
     "initial_load_clients": "SELECT * FROM clients",
     "initial_load_accounts": "SELECT * FROM accounts",
@@ -196,6 +209,30 @@ STATEMENTS: dict[str, str] = {
     + _rule(1, RULE1_COND, "c_new", "a_new", "k_new")
     + " UNION "
     + _rule(2, RULE2_COND, "c_new", "a_new", "k_new"),
+    "job_dim_clients": "SELECT * FROM job_clients",
+    "job_dim_accounts": "SELECT * FROM job_accounts",
+    "job_dim_cards": "SELECT * FROM job_cards",
+    "job_dim_terminals": f"SELECT terminal_id, terminal_type, CASE WHEN terminal_type = 'ATM' THEN terminal_city ELSE 'first' END "
+    f"terminal_city, terminal_address, CASE WHEN terminal_type = 'ATM' THEN {NTZ} '2001-01-02 00:00:00' ELSE {LOAD} END create_dt, "
+    "CAST(NULL AS TIMESTAMP) update_dt FROM terminals",
+    "job_fact_transactions": f"SELECT *, CASE WHEN trans_date < {NTZ} '1999-01-01 00:00:00' THEN {LOAD} "
+    f"ELSE {NTZ} '2001-01-02 00:00:00' END create_dt FROM transactions",
+    "job_fact_passport_blacklist": f"SELECT *, CASE WHEN entry_dt < {NTZ} '2024-01-20 00:00:00' THEN {LOAD} "
+    f"ELSE {NTZ} '2001-01-02 00:00:00' END create_dt FROM blacklist",
+    "job_meta_loading": "SELECT 'dwh' db_name, 'dim_clients' table_name, "
+    "MAX(COALESCE(update_dt, create_dt)) last_update FROM (SELECT update_dt, create_dt FROM clients "
+    "UNION ALL SELECT update_dt, create_dt FROM job_clients) UNION ALL SELECT 'dwh', 'dim_accounts', "
+    "MAX(COALESCE(update_dt, create_dt)) FROM (SELECT update_dt, create_dt FROM accounts "
+    "UNION ALL SELECT update_dt, create_dt FROM job_accounts) UNION ALL SELECT 'dwh', 'dim_cards', "
+    "MAX(COALESCE(update_dt, create_dt)) FROM cards UNION ALL SELECT 'dwh', unnest(['dim_terminals', 'fact_transactions', "
+    f"'fact_passport_blacklist']), {NTZ} '2001-01-02 00:00:00'",
+    "job_rep_fraud": " UNION ALL ".join(
+        "SELECT * FROM ("
+        + (_rule(1, RULE1_COND, "job_clients", "job_accounts", "job_cards") + " UNION "
+           + _rule(2, RULE2_COND, "job_clients", "job_accounts", "job_cards")).replace(ASOF, f"{NTZ} '{day} 00:00:00'")
+        + ")"
+        for day in ("2001-01-02", "2001-01-03")
+    ),
 }
 
 

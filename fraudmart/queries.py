@@ -7,13 +7,14 @@ in :mod:`fraudmart.oracle_sql`.  Column names are the same in both.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fraudmart import schemas
-from fraudmart.fixtures import AS_OF, EMPTY_WATERMARK, LOAD_TS, WATERMARK, Fixture
+from fraudmart.fixtures import AS_OF, EMPTY_WATERMARK, LAST_DAY, LOAD_TS, NEXT_DAY, WATERMARK, Fixture
 from fraudmart.functions import full_name, ntz_literal
 from fraudmart.operators.capture import (
     capture_accounts,
@@ -28,24 +29,27 @@ from fraudmart.operators.capture import (
 )
 from fraudmart.operators.facts import append_facts
 from fraudmart.operators.files import oldest_drop, unseen_files
-from fraudmart.operators.report import fraud_report, fraud_report_two_pass, rule_contract, rule_passport
+from fraudmart.operators.report import fraud_report, fraud_report_measured, fraud_report_two_pass, rule_contract, rule_passport
 from fraudmart.operators.scd1 import missing_keys, scd1_apply, scd1_delete, scd1_upsert
 from fraudmart.operators.watermarks import advance_watermarks, seed_watermarks, watermark_column
+from fraudmart.plans.daily import Warehouse
+from fraudmart.session import scratch_path
+from fraudmart.sources.text import read_transactions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 # -- capture (C1-C6, J5) ---------------------------------------------------
 def q_capture_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return capture_changed(Fixture(spark, sf_dir).src_clients, WATERMARK)
+    return capture_clients(Fixture(spark, sf_dir).clients, WATERMARK)
 
 
 def q_capture_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return capture_accounts(Fixture(spark, sf_dir).src_accounts, WATERMARK)
+    return capture_accounts(Fixture(spark, sf_dir).accounts, WATERMARK)
 
 
 def q_capture_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return capture_cards(Fixture(spark, sf_dir).src_cards, WATERMARK)
+    return capture_cards(Fixture(spark, sf_dir).cards, WATERMARK)
 
 
 def q_capture_missing_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +58,13 @@ def q_capture_missing_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     # nothing is staged.
     control = seed_watermarks(spark, tables=("dim_accounts", "dim_cards"), stamp=WATERMARK)
     wm = watermark_column(control, "dim_clients")
-    return capture_changed(fx.src_clients, wm).select("client_id")
+    return capture_changed(fx.clients, wm).select("client_id")
+
+
+def q_capture_by_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The watermark as a scalar subquery of the plan."""
+    control = seed_watermarks(spark, tables=("dim_clients", "dim_accounts"), stamp=WATERMARK)
+    return capture_clients(Fixture(spark, sf_dir).clients, watermark_column(control, "dim_clients"))
 
 
 def q_capture_terminals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,27 +79,29 @@ def q_capture_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return capture_transactions(Fixture(spark, sf_dir).transactions, LOAD_TS, WATERMARK)
 
 
-def q_read_transactions_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S4 over the whole fact: Spark writes the transactions as the bank's drop file
-    (``;``, header, decimal comma) into the shared scratch folder; the reader
-    binds by position and types it back."""
-    import uuid
+_dropped: dict[tuple[str, str], str] = {}  # of this process, by application and tables
 
-    from fraudmart.session import scratch_path
-    from fraudmart.sources.text import read_transactions
 
+def q_read_transactions_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 over the whole fact: Spark writes the transactions as the bank's drop file
+    (``;``, header, decimal comma, quotes and separators inside a field) into the shared
+    scratch folder, once a session; the reader binds by position and types it back."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _dropped:
+        return read_transactions(spark, _dropped[key])
     tx = Fixture(spark, sf_dir).transactions
     drop = tx.select(
         "trans_id",
         F.date_format("trans_date", "yyyy-MM-dd HH:mm:ss").alias("trans_date"),
         F.regexp_replace(F.col("amt").cast("string"), r"\.", ",").alias("amount"),
         "card_num",
-        "oper_type",
+        F.concat(F.lit('say "'), "oper_type", F.lit(';"')).alias("oper_type"),
         "oper_result",
         "terminal",
     )
-    path = scratch_path(spark, "fraudmart-drops", f"transactions_{uuid.uuid4().hex[:12]}")
-    drop.write.option("sep", ";").option("header", True).csv(path)
+    path = scratch_path(spark, "fraudmart-queries", f"transactions_{uuid.uuid4().hex[:12]}")
+    drop.write.option("sep", ";").option("header", True).option("escape", '"').csv(path)
+    _dropped[key] = path
     return read_transactions(spark, path)
 
 
@@ -108,80 +120,81 @@ def q_append_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- SCD1 upsert (C9-C12) --------------------------------------------------
 def q_upsert_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = Fixture(spark, sf_dir)
-    return scd1_upsert(fx.dim_clients_before, capture_changed(fx.src_clients, WATERMARK), "client_id")
+    return scd1_upsert(fx.dim_clients_before, capture_clients(fx.clients, WATERMARK), "client_id")
 
 
 def q_upsert_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = Fixture(spark, sf_dir)
-    return scd1_upsert(fx.dim_accounts_before, capture_accounts(fx.src_accounts, WATERMARK), "account_num")
+    return scd1_upsert(fx.dim_accounts_before, capture_accounts(fx.accounts, WATERMARK), "account_num")
 
 
 def q_upsert_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = Fixture(spark, sf_dir)
-    return scd1_upsert(fx.dim_cards_before, capture_cards(fx.src_cards, WATERMARK), "card_num")
+    return scd1_upsert(fx.dim_cards_before, capture_cards(fx.cards, WATERMARK), "card_num")
 
 
 def q_upsert_terminals(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = Fixture(spark, sf_dir)
-    return scd1_upsert(fx.dim_terminals_before, fx.stg_terminals, "terminal_id")
+    return scd1_upsert(fx.dim_terminals_before, capture_terminals(fx.terminals, LOAD_TS, WATERMARK), "terminal_id")
 
 
 # -- key snapshots and deletes (C13-C16, J2) -------------------------------
 def q_source_keys_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return source_keys(Fixture(spark, sf_dir).src_clients, "client_id")
+    return source_keys(Fixture(spark, sf_dir).clients, "client_id")
 
 
 def q_source_keys_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return source_keys(Fixture(spark, sf_dir).src_accounts, "account_num")
+    return source_keys(Fixture(spark, sf_dir).accounts, "account_num")
 
 
 def q_source_keys_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return source_keys(Fixture(spark, sf_dir).src_cards, "card_num")
+    return source_keys(Fixture(spark, sf_dir).cards, "card_num")
 
 
 def q_missing_keys_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = Fixture(spark, sf_dir)
-    return missing_keys(fx.dim_clients_before, source_keys(fx.src_clients, "client_id"), "client_id")
+    return missing_keys(fx.dim_clients_before, source_keys(fx.left_clients, "client_id"), "client_id")
 
 
 def q_missing_keys_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = Fixture(spark, sf_dir)
-    return missing_keys(fx.dim_accounts_before, source_keys(fx.src_accounts, "account_num"), "account_num")
+    return missing_keys(fx.dim_accounts_before, source_keys(fx.left_accounts, "account_num"), "account_num")
 
 
 def q_missing_keys_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = Fixture(spark, sf_dir)
-    return missing_keys(fx.dim_cards_before, source_keys(fx.src_cards, "card_num"), "card_num")
+    return missing_keys(fx.dim_cards_before, source_keys(fx.left_cards, "card_num"), "card_num")
 
 
 def q_delete_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = Fixture(spark, sf_dir)
-    return scd1_delete(fx.dim_clients_before, source_keys(fx.src_clients, "client_id"), "client_id")
+    return scd1_delete(fx.dim_clients_before, source_keys(fx.left_clients, "client_id"), "client_id")
 
 
 def q_delete_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = Fixture(spark, sf_dir)
-    return scd1_delete(fx.dim_accounts_before, source_keys(fx.src_accounts, "account_num"), "account_num")
+    return scd1_delete(fx.dim_accounts_before, source_keys(fx.left_accounts, "account_num"), "account_num")
 
 
 def q_delete_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = Fixture(spark, sf_dir)
-    return scd1_delete(fx.dim_cards_before, source_keys(fx.src_cards, "card_num"), "card_num")
+    return scd1_delete(fx.dim_cards_before, source_keys(fx.left_cards, "card_num"), "card_num")
 
 
 # -- watermarks (C17, C18) -------------------------------------------------
 def q_advance_watermarks(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = Fixture(spark, sf_dir)
-    control = seed_watermarks(
-        spark, tables=("dim_clients", "dim_accounts", "dim_cards", "dim_terminals"), stamp=WATERMARK
-    )
+    control = seed_watermarks(spark, stamp=WATERMARK).union(seed_watermarks(spark, db_name="other", stamp=WATERMARK))
     staged = {
-        "dim_clients": capture_changed(fx.src_clients, WATERMARK),
-        "dim_accounts": capture_accounts(fx.src_accounts, WATERMARK),
+        "dim_clients": capture_clients(fx.clients, WATERMARK),
+        "dim_accounts": capture_accounts(fx.accounts, WATERMARK),
         # staged from a later mark: empty, so the watermark must not move
-        "dim_cards": capture_cards(fx.src_cards, EMPTY_WATERMARK),
+        "dim_cards": capture_cards(fx.cards, EMPTY_WATERMARK),
+        "dim_terminals": capture_terminals(fx.terminals, LOAD_TS, WATERMARK),
+        "fact_transactions": capture_transactions(fx.transactions, LOAD_TS, WATERMARK),
+        "fact_passport_blacklist": capture_blacklist(fx.blacklist, NEXT_DAY, WATERMARK),
     }
-    return advance_watermarks(control, staged).select("table_name", "last_update")
+    return advance_watermarks(control, staged)
 
 
 # -- initial load (C23) ----------------------------------------------------
@@ -238,8 +251,10 @@ def q_fraud_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_fraud_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As the daily job builds it: flagged cards pinned, measured and broadcast if small."""
     fx = Fixture(spark, sf_dir)
-    return fraud_report(fx.clients, fx.accounts, fx.cards, fx.transactions, fx.blacklist, AS_OF)
+    pin = scratch_path(spark, "fraudmart-queries", f"flagged-{uuid.uuid4().hex[:12]}")
+    return fraud_report_measured(fx.clients, fx.accounts, fx.cards, fx.transactions, fx.blacklist, AS_OF, pin)[0]
 
 
 def q_fraud_report_union(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -252,31 +267,73 @@ def q_fraud_after_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C19 then C22: capture, upsert and delete all three dimensions, then report."""
     fx = Fixture(spark, sf_dir)
     clients = scd1_apply(
-        fx.dim_clients_before_full,
-        capture_clients(fx.src_clients_full, WATERMARK),
-        source_keys(fx.src_clients_full, "client_id"),
+        fx.dim_clients_before,
+        capture_clients(fx.left_clients, WATERMARK),
+        source_keys(fx.left_clients, "client_id"),
         "client_id",
     )
     accounts = scd1_apply(
         fx.dim_accounts_before,
-        capture_accounts(fx.src_accounts, WATERMARK),
-        source_keys(fx.src_accounts, "account_num"),
+        capture_accounts(fx.left_accounts, WATERMARK),
+        source_keys(fx.left_accounts, "account_num"),
         "account_num",
     )
     cards = scd1_apply(
         fx.dim_cards_before,
-        capture_cards(fx.src_cards, WATERMARK),
-        source_keys(fx.src_cards, "card_num"),
+        capture_cards(fx.left_cards, WATERMARK),
+        source_keys(fx.left_cards, "card_num"),
         "card_num",
     )
     return fraud_report(clients, accounts, cards, fx.transactions, fx.blacklist, AS_OF)
 
 
+# -- the jobs themselves (C17, C19, C25, S11, S13, S16-S18) ------------------
+_loaded: dict[tuple[str, str], Warehouse] = {}  # of this process, by application and tables
+
+
+def loaded_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """A scratch warehouse after two days: initial load; day 1 with part of the files and a
+    report, which is cleared; day 2 with the rest and changed sources; two reports."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _loaded:
+        fx = Fixture(spark, sf_dir)
+        wh = Warehouse(spark, scratch_path(spark, "fraudmart-queries", f"warehouse-{uuid.uuid4().hex[:12]}"))
+        wh.initial_load({"clients": fx.dim_clients_before, "accounts": fx.dim_accounts_before, "cards": fx.dim_cards_before})
+        early = F.col("trans_date") < ntz_literal("1999-01-01")
+        listed = F.col("entry_dt") < ntz_literal("2024-01-20")
+        first = {
+            "terminals": fx.terminals.withColumn("terminal_city", F.lit("first")),
+            "transactions": fx.transactions.where(early),
+            "passport_blacklist": fx.blacklist.where(listed),
+        }
+        wh.increment({"clients": fx.clients, "accounts": fx.accounts, "cards": fx.cards}, first, LOAD_TS)
+        wh.build_report(LOAD_TS)
+        wh.clear_report()
+        rest = {
+            "terminals": fx.terminals.where("terminal_type = 'ATM'"),
+            "transactions": fx.transactions.where(~early),
+            "passport_blacklist": fx.blacklist.where(~listed),
+        }
+        wh.increment({"clients": fx.next_clients, "accounts": fx.next_accounts, "cards": fx.next_cards}, rest, NEXT_DAY)
+        wh.build_report(NEXT_DAY)
+        wh.build_report(LAST_DAY)
+        _loaded[key] = wh
+    return _loaded[key]
+
+
+def _job_query(table: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return loaded_warehouse(spark, sf_dir).read_table(table)
+
+    return query
+
+
 QUERIES: dict[str, Query] = {
     "capture_clients": q_capture_clients,
     "capture_accounts": q_capture_accounts,
     "capture_cards": q_capture_cards,
     "capture_missing_watermark": q_capture_missing_watermark,
+    "capture_by_lookup": q_capture_by_lookup,
     "capture_terminals": q_capture_terminals,
     "capture_blacklist": q_capture_blacklist,
     "capture_transactions": q_capture_transactions,
@@ -308,4 +365,5 @@ QUERIES: dict[str, Query] = {
     "fraud_report": q_fraud_report,
     "fraud_report_union": q_fraud_report_union,
     "fraud_after_increment": q_fraud_after_increment,
+    **{f"job_{table}": _job_query(table) for table in (*schemas.DIMENSIONS, *schemas.FACTS, "meta_loading", "rep_fraud")},
 }
