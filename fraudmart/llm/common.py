@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -34,15 +35,16 @@ def crc_remainder(col: Column, modulus: int) -> Column:
     return F.crc32(col.cast("string").cast("binary")) % modulus
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, compression: str = "none") -> DataFrame:
     """``df`` written once under the shared checkpoint folder and read back.
 
     Cuts the lineage: a lost executor rereads the files, it never computes the
-    steps before them again.
+    steps before them again.  Hashes don't compress, and a codec's buffers outside
+    the heap add up over many small tasks, so by default there is none.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "llm", f"{name}-{uuid.uuid4().hex}")
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -55,6 +57,47 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system; Python workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # only glibc has it
+        pass
+
+
+def tidy(run: Callable) -> Callable:
+    """A function of batches that gives its memory back at the end."""
+
+    def tidied(batches):
+        yield from run(batches)
+        release_memory()
+
+    return tidied
+
+
+def tidy_group(function: Callable) -> Callable:
+    """The same for a function of one group's table."""
+
+    def tidied(table):
+        made = function(table)
+        release_memory()
+        return made
+
+    return tidied
+
+
+def tidy_cogroup(function: Callable) -> Callable:
+    """The same for a function of one group's two tables."""
+
+    def tidied(table, other):
+        made = function(table, other)
+        release_memory()
+        return made
+
+    return tidied
+
+
 def text_slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """UTF-8 bytes of consecutive rows, at most ``limit`` bytes unless one text is longer.
 
@@ -134,4 +177,4 @@ def mapped(
         for rows, arrays in function(b.column(0) for b in batches):
             yield pa.RecordBatch.from_arrays([rows, *arrays], names)
 
-    return wrapped.mapInArrow(run, schema)
+    return wrapped.mapInArrow(tidy(run), schema)

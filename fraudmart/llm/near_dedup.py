@@ -8,13 +8,15 @@ selects (``BRANCHING`` on average, drawn from the node's own path), into the chi
 its minwise value there.  Documents of equal path share a node; similar ones
 share a node of some tree with a probability that grows with every tree.
 
-1. Stars: in the nodes one level down, every class is paired with the node's smallest;
+1. Stars: in the nodes two levels down, every class is paired with one drawn for the node;
    pairs that are similar by signature are confirmed on full sets.  Confirmed links
    make components, so a large group of near copies is joined with one pair a member.
-2. Nodes that still mix components are followed: small ones (``SMALL``) are compared
-   exhaustively across components, larger ones branch again.  What is still large
-   at ``DEPTH`` is compared in blocks, none left out.
-3. Pairs found are confirmed on full sets; components are joined once more.
+2. Nodes that still mix components are followed.  Small ones (``SMALL``) are compared
+   exhaustively across components, and so are those with few rows outside their
+   largest component, whose rows are dealt into blocks; other nodes branch again.
+   What is still large at ``DEPTH`` is compared in pairs of blocks, none left out.
+3. Pairs found are confirmed on full sets, in blocks of classes: a class that has many likely
+   partners meets a whole block at once, so pairs are never rows.  Components are joined once more.
 
 Links are confirmed by ``100 * intersection >= percent * union`` on the sets of all
 shingles.  Links and components are DataFrames from end to end.
@@ -37,22 +39,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fraudmart.llm.common import discard, mix64, staged, text_slices, word_hashes, words_in
+from fraudmart.llm.common import discard, mix64, staged, text_slices, tidy, tidy_cogroup, word_hashes, words_in
 
 COORDINATES = 128
-TREES = 16
+TREES = 12
+#: Trees whose nodes make stars.
+STAR_TREES = 5
 #: Coordinates that a node selects on average; at least one.
 BRANCHING = 1.3
-SMALL, DEPTH = 128, 14
+SMALL, DEPTH = 1024, 14
 #: Standard errors below the threshold at which a pair's signatures rule it out.
 ERRORS = 4.0
 #: Ids that are broadcast to pick the documents whose sets are needed; more are joined by a shuffle.
-BROADCAST_IDS = 1_000_000
+BROADCAST_IDS = 300_000
+#: Classes whose full sets a task holds together.
+BLOCK_IDS = 4000
+#: Pairs that a task holds before it passes them on.
+HELD_PAIRS = 800_000
 
 IS_WORD = ~np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 LOWERED = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 MULTIPLIERS = np.random.default_rng(11).integers(0, 2**63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-SAME_NIBBLES = np.array([(b & 15 == 0) + (b >> 4 == 0) for b in range(256)], np.uint8)
 
 
 def shingle_sets(data: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -117,7 +124,7 @@ def describe(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFram
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(a), pa.array(b), as_rows(signature)], ["id", "n", "a", "b", "signature"])
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "id long, n long, a long, b long, signature binary"
+        tidy(run), "id long, n long, a long, b long, signature binary"
     )
 
 
@@ -137,7 +144,7 @@ def children(node: np.ndarray, signature: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def branch(rows: DataFrame, trees: int | None = None) -> DataFrame:
-    """(node, id) one level below ``rows`` (node, id, signature), or below the roots of ``trees`` for (id, signature)."""
+    """(node, id) one level below ``rows`` (node, id, signature), or two below the roots of ``trees`` for (id, signature)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,10 +152,13 @@ def branch(rows: DataFrame, trees: int | None = None) -> DataFrame:
             for tree in range(trees or 1):
                 node = draw(np.full(len(ids), tree, np.uint64), 0) if trees else batch.column(2).to_numpy().view(np.uint64)
                 row, child = children(node, signature)
+                if trees:  # one coordinate says little: a passage that many share decides it often
+                    below, child = children(child, signature[row])
+                    row = row[below]
                 yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), pa.array(ids[row])], ["node", "id"])
 
     columns = ["id", "signature"] if trees else ["id", "signature", "node"]
-    return rows.select(*columns).mapInArrow(run, "node long, id long")
+    return rows.select(*columns).mapInArrow(tidy(run), "node long, id long")
 
 
 @dataclass(frozen=True)
@@ -162,7 +172,12 @@ class Threshold:
 
 
 def alike(x: np.ndarray, y: np.ndarray, threshold: Threshold) -> np.ndarray:
-    return SAME_NIBBLES[x ^ y].sum(axis=1, dtype=np.int64) >= threshold.least_same()
+    """Whether rows of 64-bit words of ``nibbles`` agree in enough of them."""
+    other = x ^ y
+    other |= other >> np.uint64(1)
+    other |= other >> np.uint64(2)  # a nibble's lowest bit now tells whether it has any
+    other &= np.uint64(0x1111111111111111)
+    return COORDINATES - np.bitwise_count(other).sum(axis=1, dtype=np.int64) >= threshold.least_same()
 
 
 def likely(pairs: DataFrame, lite: DataFrame, threshold: Threshold) -> DataFrame:
@@ -173,36 +188,80 @@ def likely(pairs: DataFrame, lite: DataFrame, threshold: Threshold) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = alike(as_matrix(batch.column(2), "u1"), as_matrix(batch.column(3), "u1"), threshold)
+            good = alike(as_matrix(batch.column(2), "<u8"), as_matrix(batch.column(3), "<u8"), threshold)
             yield batch.select([0, 1]).filter(pa.array(good))
 
-    return both.select("x", "y", "lx", "ly").mapInArrow(run, "x long, y long")
+    return both.select("x", "y", "lx", "ly").mapInArrow(tidy(run), "x long, y long")
+
+
+#: A class, a block of classes, and those of the block that it may be linked to, with their components.
+ASKED = "x long, block long, others array<struct<y: long, comp: long>>"
+OTHERS = pa.list_(pa.struct([("y", pa.int64()), ("comp", pa.int64())]))
+
+
+def asked_rows(x: np.ndarray, y: np.ndarray, comp: np.ndarray, block: np.ndarray) -> pa.RecordBatch:
+    """Rows of ``ASKED`` for pairs (x, y), ``comp`` and ``block`` being y's."""
+    order = np.lexsort((y, block, x))
+    x, y, comp, block = x[order], y[order], comp[order], block[order]
+    new = np.ones(len(x), bool)
+    new[1:] = (x[1:] != x[:-1]) | (block[1:] != block[:-1])
+    first = np.flatnonzero(new)
+    others = pa.StructArray.from_arrays([pa.array(y), pa.array(comp)], ["y", "comp"])
+    lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(x)).astype(np.int32)), others)
+    return pa.RecordBatch.from_arrays([pa.array(x[first]), pa.array(block[first]), lists.cast(OTHERS)], ["x", "block", "others"])
+
+
+def ask_pairs(pairs: DataFrame, places: DataFrame) -> DataFrame:
+    """``ASKED`` for pairs (x, y) of classes that have no components yet."""
+    placed = pairs.join(places.select(F.col("id").alias("y"), "block"), "y")
+    return placed.groupBy("x", "block").agg(F.collect_list(F.struct("y", F.col("y").alias("comp"))).alias("others"))
+
+
+def in_places(classes: DataFrame, blocks: int) -> DataFrame:
+    """(id, comp, block) of (id, comp): a component's members share a block, a large component has several."""
+    sizes = classes.groupBy("comp").agg(F.count("*").alias("size")).where("size > 1")
+    part = F.pmod(F.xxhash64("id"), F.ceil(F.coalesce("size", F.lit(1)) / BLOCK_IDS))
+    return classes.join(sizes, "comp", "left").select("id", "comp", F.pmod(F.xxhash64("comp", part), F.lit(blocks)).alias("block"))
 
 
 def compare_nodes(rows: DataFrame, threshold: Threshold) -> DataFrame:
-    """Likely pairs (x < y) across components inside each node of ``rows`` (node, id, comp, lite).
+    """``ASKED`` for the likely pairs across components inside each node of ``rows`` (node, id, comp, block, lite).
 
     Rows come sorted by node; a node cut by the end of a batch waits for the next.
     """
 
-    def pairs_of(table: pa.Table) -> pa.RecordBatch:
-        node, ids, comp = (table.column(k).to_numpy() for k in range(3))
-        lite = as_matrix(table.column(3).combine_chunks(), "u1")
-        found = []
+    def asked(i: list[np.ndarray], j: list[np.ndarray], ids: np.ndarray, comp: np.ndarray, block: np.ndarray) -> pa.RecordBatch:
+        i, j = np.concatenate(i), np.concatenate(j)
+        # the one of the smaller component asks, so that few rows hold the pairs with a large one
+        _, kind, members = np.unique(comp, return_inverse=True, return_counts=True)
+        partners = np.bincount(np.concatenate((i, j)), minlength=len(ids))
+        mine, other = members[kind[i]], members[kind[j]]
+        swap = (mine > other) | ((mine == other) & (partners[i] < partners[j]))
+        i, j = np.where(swap, j, i), np.where(swap, i, j)
+        return asked_rows(ids[i], ids[j], comp[j], block[j])
+
+    def pairs_of(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        node, ids, comp, block = (table.column(k).to_numpy() for k in range(4))
+        lite = as_matrix(table.column(4).combine_chunks(), "<u8")
+        one, two, held = [], [], 0
         left = np.arange(len(node))
         for gap in range(1, len(node)):
             left = left[left + gap < len(node)]
             left = left[node[left] == node[left + gap]]
             if not len(left):
                 break
-            for first in range(0, len(left), 1 << 16):
-                i = left[first : first + (1 << 16)]
-                i = i[comp[i] != comp[i + gap]]
-                i = i[alike(lite[i], lite[i + gap], threshold)] if len(i) else i
-                found.append((np.minimum(ids[i], ids[i + gap]), np.maximum(ids[i], ids[i + gap])))
-        x, y = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
-        both = np.unique(np.stack([x, y]), axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["x", "y"])
+            i = left[comp[left] != comp[left + gap]]
+            for first in range(0, len(i), 1 << 15):
+                part = i[first : first + (1 << 15)]
+                part = part[alike(lite[part], lite[part + gap], threshold)]
+                one.append(part)
+                two.append(part + gap)
+                held += len(part)
+            if held > HELD_PAIRS:
+                yield asked(one, two, ids, comp, block)
+                one, two, held = [], [], 0
+        if held:
+            yield asked(one, two, ids, comp, block)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []
@@ -211,65 +270,95 @@ def compare_nodes(rows: DataFrame, threshold: Threshold) -> DataFrame:
             last = np.flatnonzero(node != node[-1]) if len(node) else []
             if len(last):
                 cut = int(last[-1]) + 1
-                yield pairs_of(pa.Table.from_batches([*waiting, batch.slice(0, cut)]))
+                yield from pairs_of(pa.Table.from_batches([*waiting, batch.slice(0, cut)]))
                 waiting = [batch.slice(cut)]
             elif len(node):
                 if waiting and waiting[0].column(0)[0].as_py() != node[0]:
-                    yield pairs_of(pa.Table.from_batches(waiting))
+                    yield from pairs_of(pa.Table.from_batches(waiting))
                     waiting = []
                 waiting.append(batch)
         if waiting:
-            yield pairs_of(pa.Table.from_batches(waiting))
+            yield from pairs_of(pa.Table.from_batches(waiting))
+
+    dealt = rows.select("node", "id", "comp", "block", "lite").repartition("node").sortWithinPartitions("node")
+    found = dealt.mapInArrow(tidy(run), ASKED).groupBy("x", "block")
+    return found.agg(F.array_distinct(F.flatten(F.collect_list("others"))).alias("others"))
+
+
+def ids_asked(asked: DataFrame) -> DataFrame:
+    """(id) of all classes in ``asked``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = np.concatenate((batch.column(0).to_numpy(), batch.column(1).flatten().field("y").to_numpy()))
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(both))], ["id"])
 
-    dealt = rows.select("node", "id", "comp", "lite").repartition("node").sortWithinPartitions("node")
-    return dealt.mapInArrow(run, "x long, y long")
+    return asked.select("x", "others").mapInArrow(tidy(run), "id long").distinct()
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """(id, shingles) of the documents in ``ids``: 48 bits of each hash, sorted."""
+    """(id, block, shingles) of the documents in ``ids`` (id, block): 48 bits of each hash, sorted."""
     few = ids.count() <= BROADCAST_IDS
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = []
-            for _, _, data, at in text_slices(batch.column(1)):
+            for _, _, data, at in text_slices(batch.column(2)):
                 sets, offsets = shingle_sets(data, at, size)
                 tops = sets.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:]
                 values += [tops[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.binary())], ["id", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(values, pa.binary())], ["id", "block", "shingles"])
 
-    return texts.join(F.broadcast(ids) if few else ids, "id", "left_semi").mapInArrow(run, "id long, shingles binary")
+    met = texts.join(F.broadcast(ids) if few else ids, "id").select("id", "block", "text")
+    return met.mapInArrow(tidy(run), "id long, block long, shingles binary")
 
 
-def unpack(shingles: bytes) -> np.ndarray:
-    wide = np.zeros((len(shingles) // 6, 8), np.uint8)
-    wide[:, :6] = np.frombuffer(shingles, np.uint8).reshape(-1, 6)
+def unpack(shingles: pa.Scalar) -> np.ndarray:
+    data = shingles.as_buffer()
+    wide = np.zeros((len(data) // 6, 8), np.uint8)
+    wide[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
     return wide.view("<u8").ravel()
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int, threshold: Threshold) -> DataFrame:
-    """``pairs`` (x, y) whose full sets meet the threshold."""
-    ids = pairs.select(F.col("x").alias("id")).union(pairs.select("y")).distinct()
+def confirm_block(sets: pa.Table, asked: pa.Table, percent: int) -> pa.Table:
+    """Links (x, y) of one block: each x of ``asked`` against its likely partners, one link for each of their components."""
+    own = sets["shingles"].combine_chunks()
+    places: dict[int, list[int]] = {}
+    for place, id_ in enumerate(sets["id"].to_pylist()):
+        places.setdefault(id_, []).append(place)
+    links: set[tuple[int, int]] = set()
+    for x, others, shingles in zip(asked["x"].to_pylist(), asked["others"], asked["mine"]):
+        ys, comps = (others.values.field(k).to_pylist() for k in ("y", "comp"))
+        rows = [(y, c, place) for y, c in zip(ys, comps) for place in places.get(y, ())]
+        if not rows:
+            continue
+        mine, them = unpack(shingles), [unpack(own[place]) for _, _, place in rows]
+        sizes = np.array([len(t) for t in them])
+        every = np.concatenate(them)
+        same = mine[np.minimum(np.searchsorted(mine, every), len(mine) - 1)] == every
+        common = np.add.reduceat(same.astype(np.int64), np.cumsum(sizes) - sizes)
+        linked: set[int] = set()
+        for k in np.flatnonzero(100 * common >= percent * (len(mine) + sizes - common)):
+            y, comp, _ = rows[k]
+            if comp not in linked:
+                linked.add(comp)
+                links.add((x, y))
+    x, y = zip(*links) if links else ((), ())
+    return pa.table({"x": pa.array(x, pa.int64()), "y": pa.array(y, pa.int64())})
+
+
+def confirmed(asked: DataFrame, docs: DataFrame, places: DataFrame, id_col: str, text_col: str, size: int, threshold: Threshold) -> DataFrame:
+    """Links (x, y) that full sets confirm: all that connect an x of ``asked`` with a component of its partners in a block."""
+    ids = ids_asked(asked).join(places.select("id", "block"), "id")
     sets = staged(full_sets(docs, ids, id_col, text_col, size), "shingle-sets")
+    askers = asked.join(sets.select(F.col("id").alias("x"), F.col("shingles").alias("mine")), "x")
+    askers = askers.select("x", F.col("block").alias("of_block"), "others", "mine")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = []
-            for one, other in zip(batch.column(2), batch.column(3)):
-                a, b = unpack(one.as_buffer().to_pybytes()), unpack(other.as_buffer().to_pybytes())
-                if 100 * min(len(a), len(b)) < threshold.percent * max(len(a), len(b)):
-                    good.append(False)
-                    continue
-                both = np.sort(np.concatenate((a, b)), kind="stable")
-                common = int((both[1:] == both[:-1]).sum())
-                good.append(100 * common >= threshold.percent * (len(both) - common))
-            yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
-
-    both = pairs.join(sets.select(F.col("id").alias("y"), F.col("shingles").alias("sy")), "y").join(
-        sets.select(F.col("id").alias("x"), F.col("shingles").alias("sx")), "x"
-    )
-    return both.select("x", "y", "sx", "sy").mapInArrow(run, "x long, y long")
+    def confirm(own: pa.Table, asking: pa.Table) -> pa.Table:
+        return confirm_block(own, asking, threshold.percent)
+
+    return sets.groupBy("block").cogroup(askers.groupBy("of_block")).applyInArrow(tidy_cogroup(confirm), "x long, y long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -310,49 +399,70 @@ def near_components(
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns, as_rows(nibbles(as_matrix(batch.column(1), "<u4")))], ["id", "signature", "lite"])
 
-    reps = staged(reps.select("id", "signature").mapInArrow(add_lite, "id long, signature binary, lite binary"), "signatures")
+    reps = staged(reps.select("id", "signature").mapInArrow(tidy(add_lite), "id long, signature binary, lite binary"), "signatures")
     lite = reps.select("id", "lite")
+    blocks = max(1, math.ceil(reps.count() / BLOCK_IDS))
 
     # 1. stars
-    nodes = branch(reps, trees)
-    leaders = nodes.groupBy("node").agg(F.min("id").alias("x"), F.count("*").alias("n")).where("n > 1")
-    stars = nodes.join(leaders, "node").where("id <> x").select("x", F.col("id").alias("y")).distinct()
-    stars = staged(likely(stars, lite, threshold), "stars")
-    links = staged(confirmed(stars, docs, id_col, text_col, size, threshold), "star-links")
+    nodes = branch(reps, min(trees, STAR_TREES))
+    drawn = F.min(F.struct(F.xxhash64("node", "id"), "id")).getField("id")  # another one in each node
+    leaders = nodes.groupBy("node").agg(drawn.alias("leader"), F.count("*").alias("n")).where("n > 1").select("node", "leader")
+    leaders = staged(leaders, "leaders")  # read back, so that a hot node's rows can be split in the join
+    stars = nodes.join(leaders, "node").where("id <> leader")
+    stars = stars.select(F.col("leader").alias("x"), F.col("id").alias("y")).distinct()
+    places = in_places(lite.select("id", F.col("id").alias("comp")), blocks)
+    stars = staged(ask_pairs(likely(stars, lite, threshold), places), "stars")
+    links = staged(confirmed(stars, docs, places, id_col, text_col, size, threshold), "star-links")
     comp = staged(components(links), "components")
 
     # 2. nodes that mix components
-    def with_comp(rows: DataFrame) -> DataFrame:
-        return rows.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-
-    reps_comp = with_comp(reps)
-    frontier, compared, level = nodes.join(reps_comp.select("id", "comp"), "id"), [], 1
+    classes_comp = lite.select("id").join(comp, "id", "left").select("id", F.coalesce("comp", "id").alias("comp"))
+    places = staged(in_places(classes_comp, blocks), "places")
+    reps_comp = places.select("id", "comp")
+    nodes = branch(reps, trees)
+    frontier, compared, level = nodes.join(reps_comp, "id"), [], 2
     while True:
-        mixed = frontier.groupBy("node").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-        frontier = staged(frontier.join(mixed.select("node", "n"), "node"), "frontier")
+        mixed = staged(mixed_nodes(frontier), "mixed-nodes")
+        frontier = staged(frontier.join(mixed, "node"), "frontier")
         compared.append(frontier.where(F.col("n") <= small).select("node", "id", "comp"))
-        large = frontier.where(F.col("n") > small)
+        compared.append(against_most(frontier.where((F.col("n") > small) & (F.col("n") - F.col("n_most") <= small)), small))
+        large = frontier.where(F.col("n") - F.col("n_most") > small)
         if large.isEmpty():
             break
         if level == depth:
             compared.append(in_blocks(large, small))
             break
         below = branch(large.join(reps.select("id", "signature"), "id"))
-        frontier, level = below.join(reps_comp.select("id", "comp"), "id"), level + 1
-    rows = reduce(DataFrame.union, compared).join(lite, "id")
-    pairs = staged(compare_nodes(rows, threshold).distinct(), "pairs")
+        frontier, level = below.join(reps_comp, "id"), level + 1
+    rows = reduce(DataFrame.union, compared).join(lite.join(places.select("id", "block"), "id"), "id")
+    asked = staged(compare_nodes(rows, threshold), "asked")
 
     # 3. all links
-    more = confirmed(pairs, docs, id_col, text_col, size, threshold)
+    more = confirmed(asked, docs, places, id_col, text_col, size, threshold)
     comp = components(comp.select(F.col("comp").alias("x"), F.col("id").alias("y")).union(more))
 
     member = described.select("id", "n", "a", "b").join(classes, ["a", "b"], "left")
     member = member.join(comp.withColumnRenamed("id", "rep"), "rep", "left")
-    found = F.when(F.col("n") > 0, F.coalesce("comp", "rep"))
-    component = F.coalesce(found, "id")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("comp", "rep", "id"))
     return member.select("id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
 
 
+def mixed_nodes(frontier: DataFrame) -> DataFrame:
+    """(node, n, most, n_most) of the nodes with more than one component: rows, the largest component and its rows."""
+    parts = frontier.groupBy("node", "comp").agg(F.count("*").alias("own"))
+    nodes = parts.groupBy("node").agg(F.sum("own").alias("n"), F.max(F.struct("own", "comp")).alias("top"))
+    return nodes.select("node", "n", F.col("top.comp").alias("most"), F.col("top.own").alias("n_most")).where("n > n_most")
+
+
+def against_most(wide: DataFrame, small: int) -> DataFrame:
+    """(node, id, comp) with the rows of a node's largest component dealt into blocks, and all others in every block."""
+    blocks = F.ceil(F.col("n") / small)
+    own = F.sequence(F.lit(0).cast("long"), F.when(F.col("comp") == F.col("most"), F.lit(0).cast("long")).otherwise(blocks - 1))
+    dealt = wide.withColumn("k", F.explode(own))
+    block = F.when(F.col("comp") == F.col("most"), F.pmod(F.xxhash64("id"), blocks)).otherwise(F.col("k"))
+    return dealt.select(F.xxhash64("node", block).alias("node"), "id", "comp")
+
+
 def in_blocks(large: DataFrame, small: int) -> DataFrame:
     """(node, id, comp) with each node's rows dealt into blocks and a new node for every pair of blocks."""
     blocks = F.ceil(F.col("n") / small)
