@@ -35,11 +35,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fraudmart.llm.common import mix64, staged, text_slices, word_hashes, words_in
+from fraudmart.llm.common import mix64, staged, text_slices, tidy, tidy_cogroup, tidy_group, word_hashes, words_in
 
 ORDER = 2
 #: Weight m of the shorter context.
@@ -67,12 +68,12 @@ def grams(tokens: np.ndarray, place: np.ndarray, order: int) -> list[np.ndarray]
 
 
 def planes(values: np.ndarray) -> bytes:
-    """Little-endian bytes, all lowest first: high bytes that are equal compress to nothing."""
-    return np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T.tobytes()
+    """Little-endian bytes, all lowest first, compressed: high bytes that are equal cost nothing."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T.tobytes())
 
 
-def from_planes(data: bytes, dtype: str) -> np.ndarray:
-    width = np.dtype(dtype).itemsize
+def from_planes(packed: bytes, dtype: str) -> np.ndarray:
+    width, data = np.dtype(dtype).itemsize, zstandard.ZstdDecompressor().decompress(packed)
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(dtype).ravel()
 
 
@@ -101,6 +102,8 @@ class Chunk:
             yield keys, at, which
 
 
+#: In the place of ``gram``: a text, and which 1-gram each of its indexes means.
+TEXT, FALLING = 0, -1
 TABLE = "chunk long, bucket long, gram int, keys binary, counts binary, id long, held_out boolean, tokens binary"
 TABLE_NAMES = [c.split()[0] for c in TABLE.split(", ")]
 TABLE_TYPES = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.bool_(), pa.binary()]
@@ -121,9 +124,13 @@ def count_chunks(docs: DataFrame, order: int, bits: int, chunk_tokens: int) -> D
             ends = [0, *np.searchsorted(keys, bounds).tolist(), len(keys)]
             rows += [(chunk_id, b, n, delta(keys[i:j]), planes(counts[i:j]), None, None, None) for b, (i, j) in enumerate(zip(ends, ends[1:])) if i < j]
             if n == 1:
-                cuts = np.cumsum(lengths) - lengths
-                which = which.astype("<u4")
-                texts = [(chunk_id, None, None, None, None, i, h, planes(which[a + 1 : a + m])) for i, h, a, m in zip(ids, held, cuts, lengths)]
+                # by falling frequency: most indexes are small then, and compress
+                falling = np.argsort(-np.bincount(which, minlength=len(keys)), kind="stable").astype("<u4")
+                place = np.empty_like(falling)
+                place[falling] = np.arange(len(falling), dtype="<u4")
+                which, cuts = place[which], np.cumsum(lengths) - lengths
+                texts = [(chunk_id, None, FALLING, None, None, None, None, planes(falling))]
+                texts += [(chunk_id, None, TEXT, None, None, i, h, planes(which[a + 1 : a + m])) for i, h, a, m in zip(ids, held, cuts, lengths)]
         for first in range(0, len(rows) + len(texts), 2048):
             part = [*rows, *texts][first : first + 2048]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*part), TABLE_TYPES)], TABLE_NAMES)
@@ -150,7 +157,7 @@ def count_chunks(docs: DataFrame, order: int, bits: int, chunk_tokens: int) -> D
         if ids:
             yield from rows_of(chunk_id, ids, held, hashes)
 
-    return docs.mapInArrow(run, TABLE)
+    return docs.mapInArrow(tidy(run), TABLE)
 
 
 def total(bucket: pa.Table) -> pa.Table:
@@ -245,7 +252,10 @@ def score_chunk(texts: pa.Table, answers: pa.Table, order: int, n_tokens: int, n
     parts = [from_planes(t.as_buffer().to_pybytes(), "<u8") for t in answers["totals"]]
     counts = [np.concatenate([parts[i] for i in np.flatnonzero(gram == n)] or [np.zeros(0, "<u8")]) for n in range(1, order + 1)]
     keys = np.concatenate([from_delta(k.as_buffer().to_pybytes()) for k, n in zip(answers["keys"], gram) if n == 1])
-    own = [from_planes(t.as_buffer().to_pybytes(), "<u4") for t in texts["tokens"]]
+    is_text = texts["gram"].to_numpy() == TEXT
+    falling = from_planes(texts["tokens"][int(np.argmin(is_text))].as_buffer().to_pybytes(), "<u4")
+    texts = texts.filter(pa.array(is_text))
+    own = [falling[from_planes(t.as_buffer().to_pybytes(), "<u4")] for t in texts["tokens"]]
     lengths = np.array([len(t) + 1 for t in own])
     tokens = np.full(lengths.sum(), START, np.uint64)
     inner = np.ones(len(tokens), bool)
@@ -284,7 +294,7 @@ def score_texts(
     table = staged(count_chunks(rows, order, bits, chunk_tokens), "lm-chunks")
     asked = table.where("bucket IS NOT NULL").select("chunk", "bucket", "gram", "keys", "counts")
     answered = asked.groupBy("bucket").applyInArrow(
-        total, "chunk long, bucket long, gram int, keys binary, totals binary, n_tokens long, n_words long"
+        tidy_group(total), "chunk long, bucket long, gram int, keys binary, totals binary, n_tokens long, n_words long"
     )
     answers = staged(answered, "lm-totals")
     sums = answers.agg(F.sum("n_tokens"), F.sum("n_words")).first()
@@ -293,6 +303,6 @@ def score_texts(
     def score(texts: pa.Table, own: pa.Table) -> pa.Table:
         return score_chunk(texts, own, order, n_tokens, n_words, prior)
 
-    texts = table.where("bucket IS NULL").select("chunk", "id", "held_out", "tokens").groupBy("chunk")
-    scored = texts.cogroup(answers.select("chunk", "bucket", "gram", "keys", "totals").groupBy("chunk")).applyInArrow(score, SCORES)
+    texts = table.where("bucket IS NULL").select("chunk", "gram", "id", "held_out", "tokens").groupBy("chunk")
+    scored = texts.cogroup(answers.select("chunk", "bucket", "gram", "keys", "totals").groupBy("chunk")).applyInArrow(tidy_cogroup(score), SCORES)
     return scored.withColumn("train_tokens", F.lit(n_tokens).cast("long"))
