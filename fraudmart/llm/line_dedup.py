@@ -59,8 +59,10 @@ def remove_boilerplate(
 ) -> DataFrame:
     """Each row of ``docs`` as ``doc``, with ``cleaned`` text, n_lines, n_removed and ``emptied`` (nothing but blanks left)."""
     lines = line_rows(docs, id_col, text_col, site_col)
-    shared = lines.groupBy("a", "b").agg(F.min("site").alias("least"), F.max("site").alias("most")).where("least <> most")
-    spread = staged(lines.join(shared.select("a", "b"), ["a", "b"], "left_semi"), "lines-of-sites")
+    site_hash = F.when(F.col("site").isNotNull(), F.xxhash64("site"))  # numbers aggregate by hash, texts by sorting
+    shared = lines.groupBy("a", "b").agg(F.min(site_hash).alias("least"), F.max(site_hash).alias("most")).where("least <> most")
+    shared = staged(shared.select("a", "b"), "shared-lines")  # read back, so that a hot line's rows can be split in the join
+    spread = staged(lines.join(shared, ["a", "b"], "left_semi"), "lines-of-sites")
     repeated = spread.join(boilerplate(spread, min_sites), ["a", "b"]).where(F.struct("id", "at") != F.col("first"))
     gone = repeated.groupBy("id").agg(F.collect_set("at").alias("gone"))
     rows = docs.select(F.struct("*").alias("doc"))
