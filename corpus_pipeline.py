@@ -61,5 +61,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages applied to ``documents``, one after another."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+        docs = staged(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"), "snappy")
     return docs

@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fraudmart.llm.common import tidy_cogroup
+
 PIVOTS, PREFIX = 256, 96
 #: Vectors that pivots are chosen from.
 SAMPLE = 2048
@@ -164,7 +166,7 @@ def nearest(
         return search_block(index, asked_rows, shared.value, prefix, share, least, k)
 
     index = dealt(rows, "block", blocks, "chunk", chunks).groupBy("block", "chunk")
-    found = index.cogroup(dealt(queries, "chunk", chunks, "block", blocks).groupBy("block", "chunk")).applyInArrow(search, SCHEMA)
+    found = index.cogroup(dealt(queries, "chunk", chunks, "block", blocks).groupBy("block", "chunk")).applyInArrow(tidy_cogroup(search), SCHEMA)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

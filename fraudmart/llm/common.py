@@ -66,10 +66,24 @@ def release_memory() -> None:
         pass
 
 
-def tidy(run: Callable) -> Callable:
-    """A function of batches that gives its memory back at the end."""
+#: What modules keep in a worker from task to task, by module.
+kept: dict[str, dict] = {}
+
+
+def drop_kept(owner: str | None) -> None:
+    """Empty what other modules than ``owner`` keep in this worker, which now does other work."""
+    others = [cache for name, cache in kept.items() if name != owner and cache]
+    for cache in others:
+        cache.clear()
+    if others:
+        release_memory()
+
+
+def tidy(run: Callable, owner: str | None = None) -> Callable:
+    """A function of batches that gives its memory back at the end, but for what ``owner`` keeps."""
 
     def tidied(batches):
+        drop_kept(owner)
         yield from run(batches)
         release_memory()
 
@@ -80,6 +94,7 @@ def tidy_group(function: Callable) -> Callable:
     """The same for a function of one group's table."""
 
     def tidied(table):
+        drop_kept(None)
         made = function(table)
         release_memory()
         return made
@@ -91,6 +106,7 @@ def tidy_cogroup(function: Callable) -> Callable:
     """The same for a function of one group's two tables."""
 
     def tidied(table, other):
+        drop_kept(None)
         made = function(table, other)
         release_memory()
         return made
@@ -163,7 +179,10 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 
 
 def mapped(
-    docs: DataFrame, added: str, function: Callable[[Iterator[pa.StructArray]], Iterator[tuple[pa.StructArray, list[pa.Array]]]]
+    docs: DataFrame,
+    added: str,
+    function: Callable[[Iterator[pa.StructArray]], Iterator[tuple[pa.StructArray, list[pa.Array]]]],
+    owner: str | None = None,
 ) -> DataFrame:
     """Rows of ``docs`` as struct column ``doc``, with the columns ``added`` (DDL) that ``function`` makes in Arrow batches.
 
@@ -177,4 +196,4 @@ def mapped(
         for rows, arrays in function(b.column(0) for b in batches):
             yield pa.RecordBatch.from_arrays([rows, *arrays], names)
 
-    return wrapped.mapInArrow(tidy(run), schema)
+    return wrapped.mapInArrow(tidy(run, owner), schema)

@@ -30,7 +30,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fraudmart.llm.common import mapped, text_slices
+from fraudmart.llm.common import kept, mapped, text_slices
 
 #: Benchmark text in one automaton; it has about ``window`` states a byte.
 BLOCK_BYTES = 128 << 10
@@ -67,6 +67,7 @@ def build_automaton(items: list[tuple[str, str]], window: int) -> ahocorasick.Au
 
 
 _built: dict[tuple[str, int], ahocorasick.Automaton] = {}  # of this worker: the last automaton
+kept[__name__] = _built
 
 
 def automaton_of(name: str, block: Broadcast, window: int) -> ahocorasick.Automaton:
@@ -143,4 +144,4 @@ def find_leaks(
                 spans[i] = original_spans(data[a:b], hit)
             yield rows, [pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(names, pa.list_(pa.string())), pa.array(spans, SPANS)]
 
-    return mapped(docs, ADDED, scan)
+    return mapped(docs, ADDED, scan, __name__)

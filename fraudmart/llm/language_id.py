@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fraudmart.llm.common import mapped
+from fraudmart.llm.common import mapped, tidy
 
 DIMENSIONS = 1024
 GRAM = 3
@@ -159,7 +159,7 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", dimen
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), values], ["lang", "sums"])
 
     labelled = docs.select(F.col(lang_col).cast("string"), text_col).where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    sums = labelled.mapInArrow(run, "lang string, sums array<double>").select("lang", F.posexplode("sums").alias("d", "v"))
+    sums = labelled.mapInArrow(tidy(run), "lang string, sums array<double>").select("lang", F.posexplode("sums").alias("d", "v"))
     rows = sums.groupBy("lang", "d").agg(F.sum("v").alias("v")).groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("d", "v"))).alias("vs"))
     rows = rows.select("lang", F.col("vs.v").alias("v")).limit(MAX_LANGUAGES + 1).collect()
     if len(rows) > MAX_LANGUAGES:

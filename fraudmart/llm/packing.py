@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fraudmart.llm.common import text_slices
+from fraudmart.llm.common import kept, text_slices, tidy
 
 LENGTH = 2048
 END_ID = 1
@@ -130,6 +130,7 @@ class WordTokenizer:
 
 
 _tokenizers: dict[str, WordTokenizer] = {}  # of this worker, by path
+kept[__name__] = _tokenizers
 
 
 def tokenizer_of(path: str) -> WordTokenizer:
@@ -300,7 +301,7 @@ def pack_documents(
         if ids:
             yield from emit()
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, SCHEMA)
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(tidy(run, __name__), SCHEMA)
 
 
 def padding(lengths: list[int], length: int = LENGTH) -> int:

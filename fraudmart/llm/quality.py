@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fraudmart.llm.common import mapped, text_slices, word_hashes, words_in
+from fraudmart.llm.common import mapped, text_slices, tidy, word_hashes, words_in
 
 PASSAGE = 64
 SAMPLE, SAMPLE_PASSAGES = 6000, 128
@@ -184,7 +184,7 @@ def learn(
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.binary()), batch.column(2)], ["id", "x", "y"])
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    rows = chosen.select("id", "text", "y").mapInArrow(run, f"id {id_type}, x binary, y double").collect()
+    rows = chosen.select("id", "text", "y").mapInArrow(tidy(run), f"id {id_type}, x binary, y double").collect()
     rows = sorted({r.id: r for r in rows}.values(), key=lambda r: r.id)
     bags = [np.frombuffer(r.x, "<f4").reshape(-1, N_FEATURES) for r in rows]
     features = np.concatenate(bags) if bags else np.zeros((0, N_FEATURES), np.float32)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fraudmart.llm.common import mapped, mix64, staged, text_slices
+from fraudmart.llm.common import mapped, mix64, staged, text_slices, tidy, tidy_group
 from fraudmart.llm.induced_sort import FIRST, SENTINEL, SEPARATOR, sorted_suffixes
 
 LENGTH, GRAM = 100, 32
@@ -189,7 +189,7 @@ def find_segments(docs: DataFrame, bits: int, length: int, gram: int, chunk_byte
         if parts:
             yield from rows_of(parts)
 
-    return docs.mapInArrow(run, FOUND)
+    return docs.mapInArrow(tidy(run), FOUND)
 
 
 def judge(bucket: pa.Table) -> pa.Table:
@@ -232,7 +232,7 @@ def cut_out(docs: DataFrame, asked: DataFrame, shards: int) -> DataFrame:
                     row = [[int(shard[some[0]])], [ids[some].tobytes()], [start[some].tobytes()], [size[some].astype(np.int32).tobytes()], [data[spot].tobytes()]]
                     yield pa.RecordBatch.from_arrays([pa.array(row[0], pa.int64()), *(pa.array(r, pa.binary()) for r in row[1:])], ["shard", "ids", "starts", "sizes", "bytes"])
 
-    return met.mapInArrow(run, "shard long, ids binary, starts binary, sizes binary, bytes binary")
+    return met.mapInArrow(tidy(run), "shard long, ids binary, starts binary, sizes binary, bytes binary")
 
 
 def repeated_windows(shard: pa.Table, length: int) -> pa.Table:
@@ -315,7 +315,7 @@ def remove_repeats(
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(0, math.ceil(math.log2(max(1, size / bucket_bytes))))
     found = find_segments(texts, bits, length, gram, chunk_bytes)
-    judged = staged(found.groupBy("bucket").applyInArrow(judge, OPENED), "judged-segments")
+    judged = staged(found.groupBy("bucket").applyInArrow(tidy_group(judge), OPENED), "judged-segments")
     asked = judged.where("anchor IS NOT NULL")
     volume = asked.agg(F.sum("size")).first()[0] or 0
     shards = max(1, math.ceil(volume / shard_bytes))
@@ -323,7 +323,7 @@ def remove_repeats(
     def windows(shard: pa.Table) -> pa.Table:
         return repeated_windows(shard, length)
 
-    partly = cut_out(texts, asked, shards).groupBy("shard").applyInArrow(windows, "id long, start long, size long")
+    partly = cut_out(texts, asked, shards).groupBy("shard").applyInArrow(tidy_group(windows), "id long, start long, size long")
     whole = judged.where("anchor IS NULL").select("id", "start", "size")
     spans = whole.union(partly).groupBy("id").agg(F.collect_list(F.struct("start", "size")).alias("own"))
     rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
