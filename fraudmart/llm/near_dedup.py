@@ -2,11 +2,13 @@
 
 A document's set holds the hashes of its distinct word shingles.  Equal sets are
 one class from the start (hashed by their sum and xor, collapsed by aggregation).
-Every class has a signature of ``COORDINATES`` minwise hashes.  In each of ``trees``
-independent trees a document follows, from the root, the coordinates that a node
+Every class has a signature of ``COORDINATES`` minwise hashes.  In each of several
+trees (``Threshold.trees``) a document follows, from the root, the coordinates that a node
 selects (``BRANCHING`` on average, drawn from the node's own path), into the child named by
 its minwise value there.  Documents of equal path share a node; similar ones
-share a node of some tree with a probability that grows with every tree.
+share a node of some tree with a probability that grows with every tree.  All trees draw
+from the same coordinates, so a pair that agrees in few of them is missed by many trees at
+once; the number of trees counts that in.
 
 1. Stars: in the nodes two levels down, every class is paired with one drawn for the node;
    pairs that are similar by signature are confirmed on full sets.  Confirmed links
@@ -42,7 +44,10 @@ from pyspark.sql import functions as F
 from fraudmart.llm.common import discard, mix64, staged, text_slices, tidy, tidy_cogroup, word_hashes, words_in
 
 COORDINATES = 128
-TREES = 12
+#: Greatest share of pairs at the threshold that share no node at ``DEPTH`` in any tree; decides how many trees there are.
+MISSED = 3e-4
+#: More trees than these are refused: the threshold is too low for ``BRANCHING``.
+MOST_TREES = 1024
 #: Trees whose nodes make stars.
 STAR_TREES = 5
 #: Coordinates that a node selects on average; at least one.
@@ -170,6 +175,23 @@ class Threshold:
         p = self.percent / 100 + (1 - self.percent / 100) / 16
         return COORDINATES * p - ERRORS * math.sqrt(COORDINATES * p * (1 - p))
 
+    def missed(self, trees: int, depth: int = DEPTH) -> float:
+        """Share of pairs at the threshold without a common node at ``depth``: given the coordinates they agree in, trees are independent."""
+        share, total = self.percent / 100, 0.0
+        for same in range(COORDINATES + 1):
+            met = 1.0  # chance of a common node so many levels down
+            for _ in range(depth):
+                below = same / COORDINATES * met
+                met = (2 - BRANCHING) * below + (BRANCHING - 1) * (1 - (1 - below) ** 2)
+            total += math.comb(COORDINATES, same) * share**same * (1 - share) ** (COORDINATES - same) * (1 - met) ** trees
+        return total
+
+    def trees(self, depth: int = DEPTH) -> int:
+        """The fewest trees that miss at most ``MISSED`` of the pairs at the threshold."""
+        if self.missed(MOST_TREES, depth) > MISSED:
+            raise ValueError(f"{self.percent} percent needs more than {MOST_TREES} trees")
+        return next(n for n in range(1, MOST_TREES + 1) if self.missed(n, depth) <= MISSED)
+
 
 def alike(x: np.ndarray, y: np.ndarray, threshold: Threshold) -> np.ndarray:
     """Whether rows of 64-bit words of ``nibbles`` agree in enough of them."""
@@ -384,12 +406,13 @@ def near_components(
     percent: int = 80,
     id_col: str = "doc_id",
     text_col: str = "text",
-    trees: int = TREES,
+    trees: int | None = None,
     small: int = SMALL,
     depth: int = DEPTH,
 ) -> DataFrame:
-    """(id, n_shingles, component_id, kept) for every row of ``docs``."""
+    """(id, n_shingles, component_id, kept) for every row of ``docs``; ``trees`` are as many as the threshold needs."""
     threshold = Threshold(percent)
+    trees = trees or threshold.trees(max(depth, DEPTH))
     described = staged(describe(docs, id_col, text_col, size), "described")
     classes = described.where("n > 0 AND id IS NOT NULL").groupBy("a", "b").agg(F.min("id").alias("rep"))
     classes = staged(classes, "classes")

@@ -182,6 +182,34 @@ def test_near_dedup_families(spark, small, depth):
     check_components(docs, 3, 85, small=small, depth=depth)
 
 
+@pytest.mark.parametrize("percent", [85, 80])
+def test_near_dedup_trees_reach_threshold_pairs(percent):
+    """Signatures that agree by chance as a pair at the threshold does, followed through the real branching to full depth."""
+    rng, n = np.random.default_rng(4), 40_000
+    one, two = rng.integers(0, 2**32, (2, n, near_dedup.COORDINATES), dtype=np.uint32)
+    two = np.where(rng.random(one.shape) < percent / 100, one, two)
+    alone = np.arange(n)
+    for tree in range(near_dedup.Threshold(percent).trees()):
+        pair, node = alone, near_dedup.draw(np.full(len(alone), tree, np.uint64), 0)
+        for _ in range(near_dedup.DEPTH):
+            row, child = near_dedup.children(node, one[pair])
+            shared = child == near_dedup.children(node, two[pair])[1]
+            pair, node = pair[row][shared], child[shared]
+        alone = np.setdiff1d(alone, pair)
+    assert len(alone) / n <= 2 * near_dedup.MISSED
+
+
+def test_near_dedup_finds_threshold_pairs_at_full_depth(spark):
+    """Pairs at the threshold in one large family, so that no node is small before the trees have branched often."""
+    common, texts = [f"c{k}" for k in range(72)], []
+    for pair in range(250):
+        both = common + [f"p{pair}x{k}" for k in range(8)]
+        texts += [" ".join(both + [f"o{pair}x{own}x{k}" for k in range(10)]) for own in range(2)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = near_dedup.near_components(docs, 1, 80, small=4).collect()
+    assert {r.id: r.component_id for r in got} == {i: i - i % 2 for i in range(len(texts))}
+
+
 def test_near_dedup_odd(spark, odd, empty):
     got = near_dedup.near_components(odd, 3, 85).collect()
     assert len(got) == 15
