@@ -12,9 +12,9 @@ from fraudmart.llm.common import crc_remainder, table
 
 
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores of all documents by a model of six sevenths of them."""
+    """Scores of all documents by a trigram model of six sevenths of them."""
     held_out = crc_remainder(F.col("doc_id"), 7) == 2
-    return lm_scoring.score_texts(table(spark, sf_dir, "documents"), held_out).withColumnRenamed("id", "doc_id")
+    return lm_scoring.score_texts(table(spark, sf_dir, "documents"), held_out, order=3).withColumnRenamed("id", "doc_id")
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,6 +37,13 @@ def test_lm_scores(spark, documents, order, chunk):
         assert math.isclose(r.base_score, base, rel_tol=1e-9) and math.isclose(r.score, score, rel_tol=1e-9)
 
 
+def test_lm_query_is_of_order_three(spark, documents):
+    got = {r.doc_id: r for r in queries.op1_lm_scoring(spark, SF).collect()}
+    rows = pairs(documents)
+    want, _ = brute.lm_scores([(t, got[i].held_out) for i, t in rows], 3, lm_scoring.PRIOR)
+    assert all(math.isclose(got[i].score, w[3], rel_tol=1e-9) for (i, _), w in zip(rows, want))
+
+
 def test_lm_is_a_distribution(spark):
     """Over all words and the unknown one, a context's probabilities add up to one."""
     docs = spark.createDataFrame([(0, "a b a c"), (1, "b a b")], "doc_id long, text string")
