@@ -14,9 +14,11 @@ the same document and an earlier start.
    anchor.  A shard sorts all suffixes of its segments by external induced sorting
    (``induced_sort``), which gives common prefixes too: suffixes between which no common
    prefix falls below ``LENGTH`` begin with the same window, and all but the earliest are repeated.
+   An anchor whose open segments exceed a shard is not sorted: its windows are dealt one by one, by
+   two hashes of each, so that equal ones meet and a hot anchor is spread over many tasks.
 3. The repeated runs of each document are joined to its text and removed.
 
-Hashes are 64 bits for an anchor and 48 more for a segment.
+Hashes are 64 bits for an anchor and 48 more for a segment; as many for a hot anchor's window.
 
 Defined cases: a null or empty text has no bytes; texts shorter than ``LENGTH`` are kept; rows
 with a null id are kept and are earlier than nothing; rows of one id are one document and lose
@@ -160,20 +162,22 @@ def pack_runs(runs: tuple[np.ndarray, np.ndarray, np.ndarray]) -> bytes:
 FOUND = "bucket long, columns binary, runs binary"
 
 
+def rows_of(parts: list[dict[str, np.ndarray]], bits: int) -> Iterator[pa.RecordBatch]:
+    """Rows of ``FOUND`` from the columns of one chunk."""
+    columns, first = first_of_equal({k: np.concatenate([p[k] for p in parts]) for k in WIDTHS})
+    runs = joined_runs(*(columns[k][~first] for k in ("id", "start", "size")))
+    columns = {k: v[first] for k, v in columns.items()}
+    bounds = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.zeros(0, np.uint64)
+    ends = [0, *np.searchsorted(columns["anchor"], bounds).tolist(), len(columns["anchor"])]
+    full = [(b, pack_columns({k: v[i:j] for k, v in columns.items()})) for b, (i, j) in enumerate(zip(ends, ends[1:])) if i < j]
+    shares = zip(*(np.array_split(r, len(full)) for r in runs))
+    buckets, blobs, more = zip(*((b, blob, pack_runs(share)) for (b, blob), share in zip(full, shares)))
+    yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int64()), pa.array(blobs, pa.binary()), pa.array(more, pa.binary())], ["bucket", "columns", "runs"])
+
+
 def find_segments(docs: DataFrame, bits: int, length: int, gram: int, chunk_bytes: int) -> DataFrame:
     """Of every chunk of (id, text), per bucket: the columns of its segments, and some of the runs that are repeated in the chunk."""
 
-    def rows_of(parts: list[dict[str, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        columns, first = first_of_equal({k: np.concatenate([p[k] for p in parts]) for k in WIDTHS})
-        runs = joined_runs(*(columns[k][~first] for k in ("id", "start", "size")))
-        columns = {k: v[first] for k, v in columns.items()}
-        bounds = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.zeros(0, np.uint64)
-        ends = [0, *np.searchsorted(columns["anchor"], bounds).tolist(), len(columns["anchor"])]
-        full = [(b, pack_columns({k: v[i:j] for k, v in columns.items()})) for b, (i, j) in enumerate(zip(ends, ends[1:])) if i < j]
-        shares = zip(*(np.array_split(r, len(full)) for r in runs))
-        buckets, blobs, more = zip(*((b, blob, pack_runs(share)) for (b, blob), share in zip(full, shares)))
-        yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int64()), pa.array(blobs, pa.binary()), pa.array(more, pa.binary())], ["bucket", "columns", "runs"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
         for batch in batches:
@@ -184,10 +188,10 @@ def find_segments(docs: DataFrame, bits: int, length: int, gram: int, chunk_byte
                         parts.append({"anchor": anchor, "content": content, "id": ids[first:last][text], "start": start, "size": size})
                 held += len(data)
                 if held >= chunk_bytes and parts:
-                    yield from rows_of(parts)
+                    yield from rows_of(parts, bits)
                     parts, held = [], 0
         if parts:
-            yield from rows_of(parts)
+            yield from rows_of(parts, bits)
 
     return docs.mapInArrow(tidy(run), FOUND)
 
@@ -235,6 +239,40 @@ def cut_out(docs: DataFrame, asked: DataFrame, shards: int) -> DataFrame:
     return met.mapInArrow(tidy(run), "shard long, ids binary, starts binary, sizes binary, bytes binary")
 
 
+def hot_windows(docs: DataFrame, hot: DataFrame, bits: int, length: int) -> DataFrame:
+    """Rows of ``FOUND`` for the single windows of the segments ``hot`` (id, start, size): the anchor is a window's own hash."""
+    lists = hot.groupBy("id").agg(F.collect_list(F.struct("start", "size")).alias("own"))
+    met = docs.join(lists, "id").select("id", "text", "own.start", "own.size")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        up, down, letters = powers()
+        others = mix64(letters)
+        for batch in batches:
+            n = batch.column(2).value_lengths().to_numpy()
+            start, size = (batch.column(k).flatten().to_numpy() for k in (2, 3))
+            ids = np.repeat(batch.column(0).to_numpy(), n)
+            texts = batch.column(1).cast(pa.large_binary())
+            base = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts)]
+            data = np.frombuffer(texts.buffers()[2], np.uint8)
+            begin = np.repeat(base, n) + start
+            step = BLOCK // (2 * length)
+            for k in range(0, len(size), step):
+                some = slice(k, k + step)
+                sizes, first = size[some], np.cumsum(size[some]) - size[some]
+                part = data[np.repeat(begin[some] - first, sizes) + np.arange(sizes.sum())]
+                windows = sizes - length + 1
+                inner = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
+                at = np.repeat(first, windows) + inner
+                found = []
+                for values in (letters, others):
+                    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values[part] * up[: len(part)], dtype=np.uint64)))
+                    found.append(mix64((sums[at + length] - sums[at]) * down[at]))
+                columns = {"anchor": found[0], "content": found[1] >> np.uint64(16), "id": np.repeat(ids[some], windows)}
+                yield from rows_of([columns | {"start": np.repeat(start[some], windows) + inner, "size": np.full(len(at), length)}], bits)
+
+    return met.mapInArrow(tidy(run), FOUND)
+
+
 def repeated_windows(shard: pa.Table, length: int) -> pa.Table:
     """(id, start, size) of the runs of repeated windows in the segments of one shard."""
     blobs = {k: [b.as_buffer().to_pybytes() for b in shard[k]] for k in ("ids", "starts", "sizes", "bytes")}
@@ -317,6 +355,16 @@ def remove_repeats(
     found = find_segments(texts, bits, length, gram, chunk_bytes)
     judged = staged(found.groupBy("bucket").applyInArrow(tidy_group(judge), OPENED), "judged-segments")
     asked = judged.where("anchor IS NOT NULL")
+    # an anchor with more than a shard's bytes is not sorted in one task: its windows are dealt by their own hashes
+    own = asked.groupBy("anchor").agg(F.sum("size").alias("bytes"), F.sum(F.col("size") - (length - 1)).alias("windows"))
+    hot = staged(own.where(F.col("bytes") > shard_bytes), "hot-anchors")
+    n_windows = hot.agg(F.sum("windows")).first()[0] or 0
+    whole = judged.where("anchor IS NULL").select("id", "start", "size")
+    if n_windows:
+        more = max(0, math.ceil(math.log2(max(1, n_windows * sum(WIDTHS.values()) / bucket_bytes))))
+        split = hot_windows(texts, asked.join(hot, "anchor", "left_semi"), more, length)
+        whole = whole.union(split.groupBy("bucket").applyInArrow(tidy_group(judge), OPENED).where("anchor IS NULL").select("id", "start", "size"))
+        asked = asked.join(hot, "anchor", "left_anti").select(*asked.columns)
     volume = asked.agg(F.sum("size")).first()[0] or 0
     shards = max(1, math.ceil(volume / shard_bytes))
 
@@ -324,7 +372,6 @@ def remove_repeats(
         return repeated_windows(shard, length)
 
     partly = cut_out(texts, asked, shards).groupBy("shard").applyInArrow(tidy_group(windows), "id long, start long, size long")
-    whole = judged.where("anchor IS NULL").select("id", "start", "size")
     spans = whole.union(partly).groupBy("id").agg(F.collect_list(F.struct("start", "size")).alias("own"))
     rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     rows = rows.join(spans, "id", "left").select("row", "text", F.col("own.start").alias("start"), F.col("own.size").alias("size"))

@@ -305,6 +305,30 @@ def test_suffix_dedup_short_alphabet(spark, texts, run):
     assert {r.doc.doc_id: (r.n_bytes, r.n_removed, len(r.spans), hashlib.sha256(r.kept).hexdigest()) for r in got} == want
 
 
+def test_suffix_dedup_splits_a_hot_anchor(spark, monkeypatch):
+    """A line with different surroundings in every document: no shard gets more than it should hold."""
+    rng, line = np.random.default_rng(6), "the very common line of this site and others"
+    rows = []
+    for i in range(400):
+        left, right = ("".join(rng.choice(list("abcd"), 40)) for _ in range(2))
+        rows.append((i, left + line + right))
+    rows += [(400 + i, f"{i} " + rows[i][1][10:110] + f" {i}") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    cut, asked_sizes = suffix_dedup.cut_out, []
+
+    def seen(texts, asked, shards):
+        asked_sizes.append(asked.groupBy("anchor").agg(F.sum("size").alias("n")).agg(F.max("n")).first()[0] or 0)
+        return cut(texts, asked, shards)
+
+    monkeypatch.setattr(suffix_dedup, "cut_out", seen)
+    got = {r.doc.doc_id: r for r in suffix_dedup.remove_repeats(docs, length=60, gram=20, shard_bytes=3000).collect()}
+    monkeypatch.undo()
+    whole = {r.doc.doc_id: r for r in suffix_dedup.remove_repeats(docs, length=60, gram=20).collect()}
+    assert max(asked_sizes) <= 3000
+    assert {i: (r.n_removed, r.spans, r.kept) for i, r in got.items()} == {i: (r.n_removed, r.spans, r.kept) for i, r in whole.items()}
+    assert sum(r.n_removed for r in got.values()) >= 2000
+
+
 def test_suffix_dedup_odd(odd, odd_rows, empty):
     got = suffix_dedup.remove_repeats(odd).collect()
     want = brute.repeats([r[:2] for r in odd_rows[:13]], 100)
