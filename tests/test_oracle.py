@@ -3,8 +3,8 @@
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
 from oracle_compare import compare, duckdb_connection
+from paths import SF_SMALL
 
 from fraudmart.queries import QUERIES
 

@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from fraudmart.fixtures import AS_OF, Fixture
 from fraudmart.operators.report import fraud_report, fraud_report_two_pass, rule_contract, rule_passport
 from fraudmart.schemas import ACCOUNTS, BLACKLIST, CARDS, CLIENTS, TRANSACTIONS
