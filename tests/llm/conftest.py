@@ -5,7 +5,8 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-SF = "/root/testdata/sf0.001"
+from brute import SF
+
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars int, score string, doc string, node int, comp string, kept int"
 
 

@@ -2,7 +2,7 @@
 
 import numpy as np
 import pytest
-from conftest import SF
+from brute import SF
 from pyspark.sql import functions as F
 
 from fraudmart.llm import ann, language_id, quality, queries, url_filter

@@ -3,7 +3,7 @@
 import brute
 import numpy as np
 import pytest
-from conftest import SF
+from brute import SF
 from oracle_compare import compare
 
 import __spark_entry__ as entry

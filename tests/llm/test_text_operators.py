@@ -7,7 +7,7 @@ import zlib
 import brute
 import numpy as np
 import pytest
-from conftest import SF
+from brute import SF
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
