@@ -83,8 +83,73 @@ def line_dedup(min_sites: int = MIN_SITES) -> str:
         FROM documents d LEFT JOIN docs USING (doc_id)"""
 
 
+FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def _leaf(change: dict[str, str] | None = None) -> str:
+    texts = [f"CAST({(change or {}).get(c, c)} AS VARCHAR)" for c in FIELDS]
+    return "sha256(" + " || ".join(f"coalesce(strlen({t}) || ':' || {t}, '-')" for t in texts) + ")"
+
+
+def merkle_manifest() -> str:
+    """Both trees level by level, then every leaf's way up."""
+    polynomial = 0xEDB88320
+    crc = f"""xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+        lambda h, b: list_reduce(list_prepend(xor(h, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, z: xor(x >> 1, {polynomial} * (x & 1)))))"""
+    step = """sha256(CASE WHEN s.h IS NULL THEN p.held WHEN p.i % 2 = 1 THEN s.h || p.held ELSE p.held || s.h END)"""
+    return f"""WITH RECURSIVE hashed AS (
+        SELECT doc_id, coalesce('=' || lang, '-') AS tree, {_leaf()} AS leaf,
+            CASE WHEN {crc} % 7 = 0 THEN {_leaf({"n_chars": "n_chars + 1"})} END AS claim FROM documents),
+    leaves AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+        count(*) OVER (PARTITION BY tree) AS total FROM hashed),
+    tree AS (
+        SELECT tree, 0 AS level, place AS i, total AS n, leaf AS h FROM leaves
+        UNION ALL
+        SELECT tree, level + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM tree WHERE n > 1 GROUP BY tree, level, i // 2, n),
+    subroots AS (SELECT tree, h, row_number() OVER (ORDER BY tree) - 1 AS i, count(*) OVER () AS n FROM tree WHERE n = 1),
+    above AS (
+        SELECT 0 AS level, i, n, h FROM subroots
+        UNION ALL
+        SELECT level + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM above WHERE n > 1 GROUP BY level, i // 2, n),
+    ways AS (
+        SELECT tree, place, 0 AS level, place AS i, total AS n, coalesce(claim, leaf) AS held, '' AS proof FROM leaves
+        UNION ALL
+        SELECT p.tree, p.place, p.level + 1, p.i // 2, (p.n + 1) // 2, {step}, p.proof || coalesce(s.h, '')
+        FROM ways p LEFT JOIN tree s ON s.tree = p.tree AND s.level = p.level AND s.i = xor(p.i, 1) WHERE p.n > 1),
+    last AS (
+        SELECT w.tree, w.place, 0 AS level, r.i, r.n, w.held, w.proof FROM ways w JOIN subroots r ON r.tree = w.tree WHERE w.n = 1
+        UNION ALL
+        SELECT p.tree, p.place, p.level + 1, p.i // 2, (p.n + 1) // 2, {step}, p.proof || coalesce(s.h, '')
+        FROM last p LEFT JOIN above s ON s.level = p.level AND s.i = xor(p.i, 1) WHERE p.n > 1),
+    roots AS (SELECT h AS root FROM above WHERE n = 1)
+    SELECT l.doc_id, l.leaf, r.h AS subroot, root, sha256(w.proof) AS proof_sha256, w.held AS folded_root, w.held = root AS verified
+    FROM leaves l JOIN last w ON w.tree = l.tree AND w.place = l.place AND w.n = 1 JOIN subroots r ON r.tree = l.tree, roots"""
+
+
+def hard_negatives(every: int = 50, positives: int = 5, negatives: int = 3) -> str:
+    """Every anchor against every row."""
+    return f"""WITH rows_ AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+            list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+        FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    pairs AS (
+        SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, list_inner_product(a.v, r.v)::BIGINT AS score
+        FROM rows_ a JOIN rows_ r ON a.vec_id % {every} = 0 AND a.vec_id <> r.vec_id),
+    near AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= {positives})
+    SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank,
+        vec_id AS negative_id, positive_score, score AS negative_score
+    FROM near JOIN pairs USING (anchor_id)
+    WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+    QUALIFY rank <= {negatives}"""
+
+
 ORACLES: dict[str, str] = {
     "op2_line_dedup": line_dedup(),
     "op5_decontamination": decontamination(),
     "op10_url_filters": url_filters(),
+    "op11_merkle_manifest": merkle_manifest(),
+    "op12_hard_negatives": hard_negatives(),
 }

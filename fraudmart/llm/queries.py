@@ -2,13 +2,29 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudmart.llm import ann, decontamination, language_id, line_dedup, lm_scoring, near_dedup, packing, quality, suffix_dedup, url_filter
+from fraudmart.llm import (
+    ann,
+    decontamination,
+    hard_negatives,
+    language_id,
+    line_dedup,
+    lm_scoring,
+    merkle,
+    near_dedup,
+    packing,
+    quality,
+    sharding,
+    suffix_dedup,
+    url_filter,
+)
 from fraudmart.llm.common import crc_remainder, table
+from fraudmart.session import scratch_path
 
 
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,6 +115,47 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle proof of every document, and whether a copy with a changed count of characters passes it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    fields = ("doc_id", "source", "lang", "n_chars", "text")
+    tampered = merkle.leaf_hash(*(F.col(c) + 1 if c == "n_chars" else F.col(c) for c in fields))
+    made = merkle.manifest(docs, fields, "doc_id", "lang", F.when(crc_remainder(F.col("doc_id"), 7) == 0, tampered))
+    held = made.withColumn("held", F.coalesce("claim", "leaf"))
+    siblings = F.array_join(F.transform("steps", lambda s: s.hash), "")
+    return held.select(
+        F.col("id").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(siblings.cast("binary"), 256).alias("proof_sha256"),
+        merkle.fold("held", "steps").alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of the nearest positives of every vector whose id is divisible by 50."""
+    changed = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, changed)
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and place of every document, by the bytes of its virtual slot."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    placed = sharding.shard_documents(docs, 24, scratch_path(spark, "llm", f"slot-map-{uuid.uuid4().hex}"))
+    return placed.select(
+        F.col("id").alias("doc_id"),
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "virtual_slot",
+        "map_version",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_line_dedup": op2_line_dedup,
@@ -110,4 +167,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_nearest": op9_nearest,
     "op10_url_filters": op10_url_filters,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_sharding": op13_sharding,
 }
