@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from fraudmart import schemas
 from fraudmart.functions import as_ntz, change_time
+from fraudmart.sources.layout import CHANGE_DATE
 
 Stamp = str | _dt.datetime | _dt.date | Column | None
 
@@ -29,10 +30,13 @@ def capture_changed(source: DataFrame, watermark: Stamp) -> DataFrame:
     ``COALESCE(u, c) > w`` implies ``u > w OR c > w``; that weaker, redundant
     predicate is pushable, so parquet skips row groups (and files) whose stamps
     are all old: an increment over a large, time-ordered source reads only its
-    recent part.
+    recent part.  A source kept by change date (:mod:`fraudmart.sources.layout`) is
+    pruned by folder, whether the watermark is a literal or a subquery of the plan.
     """
     wm = as_ntz(watermark)
     prune = (F.col("update_dt") > wm) | (F.col("create_dt") > wm)
+    if CHANGE_DATE in source.columns:
+        source = source.where(F.col(CHANGE_DATE) >= wm.cast("date"))
     return source.where(prune & (change_time() > wm))
 
 

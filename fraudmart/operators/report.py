@@ -25,6 +25,7 @@ skewed key partitions (a hot card or corporate client) otherwise.
 from __future__ import annotations
 
 import datetime as _dt
+import functools
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -179,7 +180,13 @@ def relevant_cards(
 def events_for_cards(transactions: DataFrame, cards_flagged: DataFrame, as_of: Stamp) -> DataFrame:
     """Match transactions to flagged cards and emit one row per rule that fires
     (``explode`` of at most two types), then one distinct."""
-    matched = _live_transactions(transactions).join(cards_flagged, "card_num")
+    return events_for_parts([(transactions, cards_flagged)], as_of)
+
+
+def events_for_parts(parts: list[tuple[DataFrame, DataFrame]], as_of: Stamp) -> DataFrame:
+    """The same for parts of the fact that are matched in different ways: (transactions, flagged cards) each."""
+    joined = [_live_transactions(transactions).join(cards, "card_num").drop("card_num") for transactions, cards in parts]
+    matched = functools.reduce(DataFrame.unionByName, joined)
     types = F.array_compact(
         F.array(
             F.when(F.col("r_passport"), F.lit(EVENT_PASSPORT)),
@@ -216,10 +223,23 @@ def fraud_report_measured(
 
     The flagged cards are written to ``pin_path`` once and measured.  Up to the limit
     they are broadcast, so the transactions are never shuffled; beyond it the plan is
-    the shuffle join, which needs no shuffle of history if the fact is bucketed by card.
+    the shuffle join behind a runtime Bloom filter, which needs no shuffle of history if the
+    fact is bucketed by card (see :mod:`fraudmart.plans.catalog`).
     """
     flagged = relevant_cards(clients, accounts, cards, blacklist, as_of)
     flagged.write.mode("errorifexists").parquet(pin_path)
     pinned = flagged.sparkSession.read.schema(flagged.schema).parquet(pin_path)
     pinned, size = broadcast_if_small(pinned, broadcast_limit_bytes)
+    if size > broadcast_limit_bytes:
+        pinned = with_runtime_filter(pinned)
     return events_for_cards(transactions, pinned, as_of), size
+
+
+def with_runtime_filter(cards_flagged: DataFrame) -> DataFrame:
+    """Flagged cards too large to broadcast, as a side that Spark makes a runtime Bloom filter of.
+
+    The planner does so only for a side with a comparison over its scan; this one is true for
+    every card number, so nothing is lost.  Transactions of other cards are then mostly dropped
+    where they are scanned, before the shuffle.
+    """
+    return cards_flagged.where(F.col("card_num") >= F.lit(""))

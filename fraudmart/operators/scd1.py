@@ -69,14 +69,35 @@ def scd1_upsert(target: DataFrame, staging: DataFrame, key: str) -> DataFrame:
     return _merge(keyed, staged, key, cols).unionByName(null_keyed).unionByName(null_staged)
 
 
+def vanished_keys(target: DataFrame, staging: DataFrame, source_keys: DataFrame, key: str, source_key: str = "id") -> DataFrame:
+    """Non-NULL keys of the target or of staging that the source no longer has.
+
+    Only key columns are read and shuffled.
+    """
+    known = target.select(key).unionByName(staging.select(key)).where(F.col(key).isNotNull())
+    src = source_keys.select(F.col(source_key).alias(key)).where(F.col(key).isNotNull())
+    return known.join(src, key, "left_anti").distinct()
+
+
+def scd1_apply_vanished(target: DataFrame, staging: DataFrame, vanished: DataFrame, key: str) -> DataFrame:
+    """:func:`scd1_apply` with the vanished keys known: ``target`` may then be any set of whole key parts."""
+    cols = target.columns
+    keyed, null_target = _split_null_keys(target, key)
+    staged, null_staged = _split_null_keys(staging.select(*cols), key)
+    merged = _merge(keyed.join(vanished, key, "left_anti"), staged.join(vanished, key, "left_anti"), key, cols)
+    return merged.unionByName(null_target.select(*cols)).unionByName(null_staged)
+
+
 def missing_keys(target: DataFrame, source_keys: DataFrame, key: str, source_key: str = "id") -> DataFrame:
     """Target keys with no source row (``LEFT JOIN ... WHERE s.id IS NULL``).
 
     NULL target keys are included, as in the reference's list; they are still
-    never deleted, because ``NULL IN (...)`` is not true.
+    never deleted, because ``NULL IN (...)`` is not true.  They match nothing, so they
+    go around the join instead of meeting in one of its partitions.
     """
-    src = source_keys.select(F.col(source_key).alias(key))
-    return target.select(key).join(src, key, "left_anti")
+    src = source_keys.select(F.col(source_key).alias(key)).where(F.col(key).isNotNull())
+    keyed, null_keyed = _split_null_keys(target.select(key), key)
+    return keyed.join(src, key, "left_anti").unionByName(null_keyed)
 
 
 def scd1_delete(target: DataFrame, source_keys: DataFrame, key: str, source_key: str = "id") -> DataFrame:

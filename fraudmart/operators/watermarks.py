@@ -104,6 +104,18 @@ def advance_watermarks(control: DataFrame, staged: dict[str, DataFrame], db_name
     )
 
 
+def observed_max(staging: DataFrame) -> Column:
+    """The newest change time of a staged frame as text, for an ``Observation`` of the write that stages it (A1, A2)."""
+    stamp = change_time() if "update_dt" in staging.columns else F.col("create_dt")
+    return F.date_format(F.max(stamp), "yyyy-MM-dd HH:mm:ss")
+
+
+def advanced_values(known: dict[str, str | None], maxima: dict[str, str | None]) -> dict[str, str | None]:
+    """D6 for watermarks and maxima already on the driver (one of each per table): a table
+    whose staging was empty keeps its watermark (H22), one without a row gets none (H19)."""
+    return {t: (maxima.get(t) or stamp) for t, stamp in known.items()}
+
+
 def as_of_now() -> str:
     """A stamp for 'now', truncated to seconds (driver clock, one per run)."""
     return to_stamp_text(_dt.datetime.now())

@@ -161,6 +161,10 @@ _WATERMARKS = (
 STATEMENTS: dict[str, str] = {
     "capture_clients": _stg("clients"),
     "capture_by_lookup": _stg("clients"),
+    "capture_by_day": _stg("clients"),
+    "read_source_clients": "SELECT * FROM clients",
+    "read_source_accounts": "SELECT * FROM accounts",
+    "read_source_cards": "SELECT * FROM cards",
     "capture_accounts": _stg("accounts"),
     "capture_cards": _stg("cards"),
     "capture_missing_watermark": "SELECT client_id FROM clients WHERE COALESCE(update_dt, create_dt) > "
@@ -204,6 +208,10 @@ STATEMENTS: dict[str, str] = {
     "fraud_passport": "SELECT DISTINCT * FROM (" + _rule(1, RULE1_COND) + ")",
     "fraud_contract": "SELECT DISTINCT * FROM (" + _rule(2, RULE2_COND) + ")",
     "fraud_report": _rule(1, RULE1_COND) + " UNION " + _rule(2, RULE2_COND),
+    "fraud_report_bucketed": _rule(1, RULE1_COND) + " UNION " + _rule(2, RULE2_COND),
+    "daily_run": _rule(1, RULE1_COND, "left_clients", "left_accounts", "left_cards")
+    + " UNION "
+    + _rule(2, RULE2_COND, "left_clients", "left_accounts", "left_cards"),
     "fraud_report_union": _rule(1, RULE1_COND) + " UNION " + _rule(2, RULE2_COND),
     "fraud_after_increment": f"WITH {_INCREMENT_CTES} "
     + _rule(1, RULE1_COND, "c_new", "a_new", "k_new")

@@ -20,7 +20,7 @@ import os
 import time
 from contextlib import contextmanager
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import ThreadPoolExecutor, as_completed, wait
 from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -41,12 +41,13 @@ from fraudmart.operators.capture import (
 )
 from fraudmart.operators.files import FILE_KEY, oldest_drop, require_feeds, unseen_files
 from fraudmart.operators.report import fraud_report, fraud_report_measured
-from fraudmart.operators.scd1 import assert_unique_keys, scd1_apply, scd1_upsert
-from fraudmart.operators.watermarks import SEED_STAMP, advance_watermarks, as_of_now, watermark_values
-from fraudmart.plans.store import CLEAR_REPORT, DROP, LOAD, REPORT, PublishRecord, Store, new_attempt
+from fraudmart.operators.scd1 import assert_unique_keys, scd1_apply_vanished, scd1_upsert, vanished_keys
+from fraudmart.operators.watermarks import SEED_STAMP, advanced_values, as_of_now, observed_max, watermark_values
+from fraudmart.plans.catalog import TRANSACTIONS, Catalog
+from fraudmart.plans.store import CLEAR_REPORT, DROP, LOAD, REPORT, PublishRecord, Store, new_attempt, part_of
 from fraudmart.session import remove_path, scratch_path
-from fraudmart.sources.listing import list_drop_files
-from fraudmart.sources.text import RAW_SCHEMA, read_transactions
+from fraudmart.sources.listing import archive_drops, list_drop_files
+from fraudmart.sources.text import RAW_SCHEMA, read_feed_text, read_transactions
 from fraudmart.sources.xlsx import BLACKLIST_FILE_SCHEMA, TERMINALS_FILE_SCHEMA, read_blacklist, read_terminals
 
 log = logging.getLogger("fraudmart")
@@ -79,9 +80,13 @@ class Warehouse:
         root: str,
         broadcast_limit_bytes: int = 256 * 1024 * 1024,
         parallel_jobs: int = 4,
+        database: str | None = None,
+        buckets: int = 64,
     ):
         self.spark = spark
         self.store = Store(spark, root)
+        # With a database, the tables are in the catalog, too, and the transactions are bucketed by card.
+        self.catalog = Catalog(self.store, database, buckets) if database else None
         # Independent jobs of one step (pins, checks, table writes) are submitted
         # from this many driver threads at once; the cluster schedules them.
         self.parallel_jobs = parallel_jobs
@@ -91,21 +96,75 @@ class Warehouse:
         self.last_relevant_bytes: int | None = None
 
     # -- helpers ---------------------------------------------------------
-    def _pin(self, df: DataFrame, batch_id: int, attempt: str, name: str) -> tuple[DataFrame, int]:
-        """Write ``df`` once under the shared checkpoint folder and read it back.
-
-        The row count is observed while writing (no extra pass).
-        """
+    def _write(self, df: DataFrame, write: Callable[[DataFrame], object], name: str) -> tuple[int, str | None]:
+        """Write ``df`` and return (rows, newest change time), both observed by the write itself."""
+        seen = Observation(f"{name}-{new_attempt()}")
+        facts = [F.count(F.lit(1)).alias("n")]
+        if "create_dt" in df.columns:
+            facts.append(observed_max(df).alias("newest"))
+        write(df.observe(seen, *facts))
+        values = seen.get
+        return int(values["n"]), values.get("newest")
+
+    def _pin(self, df: DataFrame, batch_id: int, attempt: str, name: str) -> tuple[DataFrame, int, str | None]:
+        """Write ``df`` once under the shared checkpoint folder and read it back."""
         path = scratch_path(self.spark, "fraudmart-staging", f"{batch_id}-{attempt}", name)
-        rows = Observation(f"pin_{name}")
-        df.observe(rows, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path), int(rows.get["n"])
+        rows, newest = self._write(df, lambda d: d.write.mode("errorifexists").parquet(path), name)
+        return self.spark.read.schema(df.schema).parquet(path), rows, newest
 
     def _all(self, jobs: dict[str, Callable[[], object]]) -> dict[str, object]:
-        """Run independent Spark jobs concurrently; the first failure is raised."""
+        """Run independent Spark jobs concurrently; the first failure cancels the others and is raised.
+
+        All jobs of a call carry one tag, by which they are cancelled, and run in one pool of
+        the fair scheduler (where the session has one), so a long job doesn't hold up short ones.
+        """
+        sc, tag = self.spark.sparkContext, f"fraudmart-{new_attempt()}"
+
+        def run(name: str, job: Callable[[], object]) -> object:
+            sc.addJobTag(tag)
+            sc.setLocalProperty("spark.scheduler.pool", "fraudmart")
+            sc.setJobDescription(f"fraudmart: {name}")
+            try:
+                return job()
+            finally:
+                sc.removeJobTag(tag)
+                sc.setLocalProperty("spark.scheduler.pool", None)
+                sc.setJobDescription(None)
+
         with ThreadPoolExecutor(max_workers=max(1, self.parallel_jobs)) as pool:
-            futures = {name: pool.submit(job) for name, job in jobs.items()}
-            return {name: fut.result() for name, fut in futures.items()}
+            futures = {pool.submit(run, name, job): name for name, job in jobs.items()}
+            for done in as_completed(futures):
+                if done.cancelled() or done.exception() is None:
+                    continue
+                for other in futures:
+                    other.cancel()
+                while not all(other.done() for other in futures):  # also what a thread submits next
+                    sc.cancelJobsWithTag(tag)
+                    wait(futures, timeout=0.2)
+                raise done.exception()
+        return {name: future.result() for future, name in futures.items()}
+
+    def _changed_parts(self, dim: str, key: str, current: DataFrame, staged: DataFrame, keys: DataFrame | None, n_parts: int, name: tuple):
+        """(parts of a dimension that a load changes, pinned keys that left the source or None)."""
+        touched = staged.select(part_of(key, n_parts).alias("part"))
+        vanished = None
+        if keys is not None:
+            vanished, gone, _ = self._pin(vanished_keys(current, staged, keys, key), *name, f"vanished_{dim}")
+            touched = touched.unionByName(vanished.select(part_of(key, n_parts).alias("part"))) if gone else touched
+        return {str(r.part) for r in touched.distinct().collect()}, vanished  # at most n_parts rows
+
+    def _load_dim(self, dim: str, key: str, state: PublishRecord, staged: tuple, keys: DataFrame | None, version: str, name: tuple) -> dict[str, str]:
+        """C9-C16 on the parts of a dimension that change; the others keep their files.  Returns part -> version."""
+        frame, rows, _ = staged
+        known, n_parts = state.parts.get(dim, {}), state.n_parts
+        if keys is None and not rows:
+            return known
+        parts, vanished = self._changed_parts(dim, key, self.store.dim_of(dim, state), frame, keys, n_parts, name)
+        if not parts:
+            return known
+        current = self.store.dim_of(dim, state, parts)
+        new = scd1_upsert(current, frame, key) if vanished is None else scd1_apply_vanished(current, frame, vanished, key)
+        return {p: v for p, v in known.items() if p not in parts} | self.store.write_dim(dim, new, version, n_parts)
 
     # -- S14, C23, C24 -----------------------------------------------------
     def initial_load(self, sources: dict[str, DataFrame], seed: str = SEED_STAMP) -> PublishRecord:
@@ -125,15 +184,18 @@ class Warehouse:
                 checks[dim] = partial(assert_unique_keys, df, key)
             writes[dim] = partial(self.store.write_dim, dim, df, f"{batch_id}-{attempt}")
         self._all(checks)
-        versions = self._all(writes)
+        parts = self._all(writes)
         rec = PublishRecord(
             batch_id=batch_id,
             kind=LOAD,
             attempt=attempt,
-            versions=versions,
+            versions={dim: f"{batch_id}-{attempt}" for dim in parts},
+            parts=parts,
+            n_parts=self.store.dim_parts,
             watermarks={t: to_stamp_text(seed) for t in schemas.WATERMARKED},
         )
         self.store.write_record(rec)
+        self.sync_catalog()
         return rec
 
     # -- C19 ---------------------------------------------------------------
@@ -184,76 +246,74 @@ class Warehouse:
                 feed("transactions", _typed_transactions_schema(RAW_SCHEMA)), load_ts, wm["fact_transactions"]
             ),
         }
-        # pin every staging frame and key snapshot (C13), concurrently
-        def pin_staged(name: str, df: DataFrame) -> tuple[DataFrame, int]:
-            return self._pin(enforce_varchar(df, schemas.VARCHAR_LIMIT), batch_id, attempt, name)
-
-        def pin_keys(dim: str) -> tuple[DataFrame, int]:
-            keys_df = source_keys(sources[SOURCE_OF_DIM[dim]], schemas.DIMENSIONS[dim][1])
-            return self._pin(keys_df, batch_id, attempt, f"keys_{dim}")
-
-        pin_jobs = {name: partial(pin_staged, name, df) for name, df in staged_raw.items()}
-        pin_jobs.update({f"keys_{dim}": partial(pin_keys, dim) for dim in schemas.DELETABLE})
+        name, version = (batch_id, attempt), f"{batch_id}-{attempt}"
+
+        # Dimension staging and key snapshots (C13) are pinned: each feeds several steps.  A fact is
+        # staged by its attempt itself (C7, C8): written once, counted and its newest time seen by that
+        # write, and recorded only if it holds rows.  All of them are independent.
+        def pin_staged(table: str) -> tuple:
+            return self._pin(enforce_varchar(staged_raw[table], schemas.VARCHAR_LIMIT), *name, table)
+
+        def pin_keys(dim: str) -> tuple:
+            return self._pin(source_keys(sources[SOURCE_OF_DIM[dim]], schemas.DIMENSIONS[dim][1]), *name, f"keys_{dim}")
+
+        def append(table: str) -> tuple:
+            frame = enforce_varchar(staged_raw[table], schemas.VARCHAR_LIMIT)
+            if self.catalog and table == TRANSACTIONS:  # read three times, so pinned
+                pinned, rows, newest = self._pin(frame, *name, table)
+                return self.catalog.append_transactions(pinned, rows, batch_id, attempt) if rows else {}, rows, newest
+            rows, newest = self._write(frame, lambda df: self.store.append_fact(table, df, batch_id, attempt), table)
+            return {table: attempt} if rows else {}, rows, newest
+
+        jobs = {t: partial(append if t in schemas.FACTS else pin_staged, t) for t in staged_raw}
+        jobs.update({f"keys_{dim}": partial(pin_keys, dim) for dim in schemas.DELETABLE})
         with _step("stage"):
-            pinned = self._all(pin_jobs)
-        staged = {name: pinned[name][0] for name in staged_raw}
-        counts = {name: pinned[name][1] for name in staged_raw}
-        keys = {dim: pinned[f"keys_{dim}"][0] for dim in schemas.DELETABLE}
+            staged = self._all(jobs)
+        counts = {table: staged[table][1] for table in staged_raw}
         self._all(
             {
-                dim: partial(assert_unique_keys, staged[dim], key)
+                dim: partial(assert_unique_keys, staged[dim][0], key)
                 for dim, (_schema, key) in schemas.DIMENSIONS.items()
                 if counts[dim]
             }
         )
 
-        # facts (C7, C8) and dimensions (C9-C16), all independent of each other.
-        # A fact attempt is recorded only when it holds rows.  A dimension that
-        # takes deletes is rewritten every run (detecting "no change" would cost
-        # the same join); terminals keep their version when nothing was staged.
-        version = f"{batch_id}-{attempt}"
-        writes: dict[str, Callable[[], object]] = {
-            table: partial(self.store.append_fact, table, staged[table], batch_id, attempt)
-            for table in schemas.FACTS
-            if counts[table]
-        }
-        for dim, (_schema, key) in schemas.DIMENSIONS.items():
-            if dim not in keys and not counts[dim]:
-                continue
-            current = self.store.dim(dim)
-            if dim in keys:
-                new = scd1_apply(current, staged[dim], keys[dim], key)
-            else:
-                new = scd1_upsert(current, staged[dim], key)
-            writes[dim] = partial(self.store.write_dim, dim, new, version)
-        with _step("load"):
-            written = self._all(writes)
-        facts = {t: written[t] for t in schemas.FACTS if t in written}
-        versions = dict(state.versions)
-        versions.update({d: written[d] for d in schemas.DIMENSIONS if d in written})
+        # dimensions (C9-C16), independent of each other
+        def load_dim(dim: str) -> dict[str, str]:
+            snapshot = staged[f"keys_{dim}"][0] if dim in schemas.DELETABLE else None
+            return self._load_dim(dim, schemas.DIMENSIONS[dim][1], state, staged[dim], snapshot, version, name)
 
-        # watermarks (C17, C18): six rows, collected
-        advanced = advance_watermarks(control, staged).collect()
-        watermarks = dict(state.watermarks)
-        watermarks.update({r["table_name"]: to_stamp_text(r["last_update"]) for r in advanced})
+        with _step("load"):
+            parts = self._all({dim: partial(load_dim, dim) for dim in schemas.DIMENSIONS})
+        changed = {dim: version for dim in parts if parts[dim] != state.parts.get(dim, {})}
+        watermarks = advanced_values(known, {table: staged[table][2] for table in staged_raw})
 
         rec = PublishRecord(
             batch_id=batch_id,
             kind=LOAD,
             attempt=attempt,
             load_ts=load_ts,
-            versions=versions,
-            watermarks=watermarks,
-            facts=facts,
+            versions=state.versions | changed,
+            parts=parts,
+            n_parts=state.n_parts,
+            watermarks={**state.watermarks, **{t: stamp for t, stamp in watermarks.items() if stamp}},
+            facts={name: made for t in schemas.FACTS for name, made in staged[t][0].items()},
             file_ids=sorted(key for feed, key in (files or {}).items() if gate_open[feed]),
             counts=counts,
         )
         rec.files = [name for name, _length, _modified in rec.file_ids]
         self.store.write_record(rec)  # commit 1
+        self.sync_catalog()
         remove_path(self.spark, scratch_path(self.spark, "fraudmart-staging", f"{batch_id}-{attempt}"))
         self.store.prune()
         return rec
 
+    def sync_catalog(self) -> None:
+        """Make the catalog, if there is one, show what the newest records name (S14); safe to repeat."""
+        if self.catalog:
+            self.catalog.create()
+            self.catalog.sync()
+
     # -- C22 ---------------------------------------------------------------
     def report_frame(self, as_of: str | _dt.datetime, pin_as: str | None = None) -> DataFrame:
         """The report over the published state.
@@ -263,6 +323,11 @@ class Warehouse:
         never shuffled; otherwise the plan is the shuffle join.
         """
         s, as_of = self.store, to_stamp_text(as_of)
+        if self.catalog and pin_as is not None:
+            self.sync_catalog()
+            path = scratch_path(self.spark, "fraudmart-staging", pin_as, "relevant_cards")
+            report, self.last_relevant_bytes = self.catalog.fraud_report(as_of, path, self.broadcast_limit_bytes)
+            return report
         tables = [s.dim("dim_clients"), s.dim("dim_accounts"), s.dim("dim_cards"), s.fact("fact_transactions")]
         tables.append(s.fact("fact_passport_blacklist"))
         if pin_as is None:
@@ -277,9 +342,10 @@ class Warehouse:
         self.store.refresh()
         batch_id, attempt = self.store.next_batch_id(), new_attempt()
         with _step("report"):
-            n = self.store.append_report(self.report_frame(as_of, pin_as=f"{batch_id}-{attempt}"), batch_id, attempt)
+            n = self.store.append_report(self.report_frame(as_of, pin_as=f"{batch_id}-{attempt}"), batch_id, attempt, as_of[:10])
         rec = PublishRecord(batch_id=batch_id, kind=REPORT, attempt=attempt, load_ts=as_of, counts={"rep_fraud": n})
         self.store.write_record(rec)
+        self.sync_catalog()
         remove_path(self.spark, scratch_path(self.spark, "fraudmart-staging", f"{batch_id}-{attempt}"))
         return rec
 
@@ -287,11 +353,24 @@ class Warehouse:
     def clear_report(self) -> None:
         self.store.refresh()
         self.store.write_record(PublishRecord(self.store.next_batch_id(), CLEAR_REPORT, new_attempt()))
+        self.sync_catalog()
+
+    def vacuum(self, retain_hours: float = 7 * 24) -> list[str]:
+        """Remove data of dropped and cleared batches, and of runs that never published, once it is that old."""
+        self.store.refresh()
+        return self.store.vacuum(retain_hours)
 
     def drop_all(self) -> None:
-        """Every table reads as absent/empty afterwards (files stay for audit)."""
+        """Every table reads as absent/empty afterwards; ``vacuum`` removes the files when they are old enough."""
         self.store.refresh()
         self.store.write_record(PublishRecord(self.store.next_batch_id(), DROP, new_attempt()))
+        if self.catalog:
+            self.catalog.drop()
+
+    def read_report(self, day: str) -> DataFrame:
+        """The report runs of one report date: one partition is read."""
+        self.store.refresh()
+        return self.store.report(day)
 
     def read_table(self, name: str) -> DataFrame:
         self.store.refresh()
@@ -330,17 +409,23 @@ class Warehouse:
         folder: str,
         load_ts: str | _dt.datetime | None = None,
         as_of: str | _dt.datetime | None = None,
+        archive: str | None = None,
     ) -> tuple[PublishRecord, PublishRecord]:
-        """Pick files, run the increment, publish, build and publish the report."""
+        """Pick files, run the increment, publish, build and publish the report.
+
+        With ``archive``, drops that the ledger has are moved there after the publish (S8).
+        """
         load_ts = to_stamp_text(load_ts or as_of_now())
         picked = self.pick_drop_files(folder)
-        feeds = {
-            "terminals": read_terminals(self.spark, picked["terminals"][1]),
-            "passport_blacklist": read_blacklist(self.spark, picked["passport_blacklist"][1]),
-            "transactions": read_transactions(self.spark, picked["transactions"][1]),
-        }
+        workbooks = {"terminals": (read_terminals, TERMINALS_FILE_SCHEMA), "passport_blacklist": (read_blacklist, BLACKLIST_FILE_SCHEMA)}
+        feeds = {"transactions": read_transactions(self.spark, picked["transactions"][1])}
+        for feed, (read, schema) in workbooks.items():
+            name, path, _key = picked[feed]
+            feeds[feed] = read(self.spark, path) if name.endswith(".xlsx") else read_feed_text(self.spark, path, schema)
         files = {feed: key for feed, (_name, _path, key) in picked.items()}
         load = self.increment(sources, feeds, load_ts, files)
+        if archive:
+            archive_drops(self.spark, folder, archive, self.store.ledger())
         report = self.build_report(as_of or load_ts)
         return load, report
 

@@ -2,62 +2,54 @@
 
 Parquet accepts neither MERGE, DELETE nor UPDATE, and a path cannot be overwritten
 while it is read.  So every write goes to a *new* location and a small publish
-record, written last, says which locations are current:
+record, created last, says which locations are current:
 
-    <root>/dims/<table>/v=<batch>-<attempt>/               full SCD1 snapshot
+    <root>/dims/<table>/v=<batch>-<attempt>/part=<p>/       rows of one part of a dimension
     <root>/facts/<table>/batch_id=<b>/attempt=<a>/          appended rows
-    <root>/report/rep_fraud/batch_id=<b>/attempt=<a>/       one full report per run
-    <root>/_control/<batch>/                                publish record (JSON)
+    <root>/report/rep_fraud/report_date=<d>/batch_id=<b>/attempt=<a>/   one full report per run
+    <root>/_control/<batch>.json                            publish record (see commits.py)
 
-A load record (``kind = load``) carries the dimension versions, the fact
+A load record (``kind = load``) carries the version of every part of the dimensions, the fact
 attempts, the watermarks and the drop files it consumed: it is the reference's
 first commit plus the file archive step (H26).  A report record is the second
-commit.  Readers resolve the newest record, so a crash before a record is written
+commit.  Readers resolve the newest record, so a crash before a record is created
 leaves the previous state fully visible, and a rerun writes a fresh attempt.
 
-A record's folder is named by its batch id alone and is never overwritten, so of
-two writers that took the same id the second one fails.  Dimension versions that
-fell out of the newest ``keep_versions`` loads are removed after a publish.
+A dimension is cut into ``dim_parts`` parts by hash of its key.  A load writes only the parts
+it changes; its record names the files of the others where they are (D3, D4).
 
-Records are tiny (one row per run): the log is read once per operation and
+What no record names is removed by listing: versions that fell out of the newest
+``keep_versions`` states of a table after each publish, and attempts, reports and
+everything dropped or cleared by ``vacuum`` once it is old enough (S15, D5).
+
+Records are tiny (one a run): the log is read once per operation and
 resolved on the driver in plain Python, a bound set by the number of runs, never
 by data.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fraudmart import schemas
-from fraudmart.session import remove_path
+from fraudmart.plans.commits import FOLD_EVERY, Log
+from fraudmart.session import matching_paths, remove_path
 
 FILE_ID = T.StructType(
     [T.StructField("name", T.StringType()), T.StructField("length", T.LongType()), T.StructField("modified", T.LongType())]
 )
-RECORD_SCHEMA = T.StructType(
-    [
-        T.StructField("batch_id", T.LongType(), False),
-        T.StructField("kind", T.StringType(), False),
-        T.StructField("attempt", T.StringType(), False),
-        T.StructField("load_ts", T.StringType(), True),
-        T.StructField("versions", T.MapType(T.StringType(), T.StringType()), True),
-        T.StructField("watermarks", T.MapType(T.StringType(), T.StringType()), True),
-        T.StructField("facts", T.MapType(T.StringType(), T.StringType()), True),
-        T.StructField("files", T.ArrayType(T.StringType()), True),
-        T.StructField("file_ids", T.ArrayType(FILE_ID), True),
-        T.StructField("counts", T.MapType(T.StringType(), T.LongType()), True),
-    ]
-)
-
 LOAD = "load"
 REPORT = "report"
 CLEAR_REPORT = "clear_report"
 DROP = "drop"
+# Suffix of a fact's attempts that are written in buckets (see catalog.py).
+BUCKETED = "_by_card"
 
 
 @dataclass
@@ -67,6 +59,9 @@ class PublishRecord:
     attempt: str
     load_ts: str | None = None
     versions: dict[str, str] = field(default_factory=dict)
+    # table -> part -> version that holds its rows; a part without rows is absent
+    parts: dict[str, dict[str, str]] = field(default_factory=dict)
+    n_parts: int = 0
     watermarks: dict[str, str] = field(default_factory=dict)
     facts: dict[str, str] = field(default_factory=dict)
     files: list[str] = field(default_factory=list)
@@ -81,6 +76,15 @@ def new_attempt() -> str:
     return "a" + uuid.uuid4().hex[:12]
 
 
+def part_of(key: str, n_parts: int) -> Column:
+    """The part of a dimension that a row belongs to; rows without a key have one, too."""
+    return F.pmod(F.hash(F.col(key)), F.lit(n_parts))
+
+
+def report_date(rec: PublishRecord) -> str:
+    return (rec.load_ts or "")[:10]
+
+
 def _with_partition_columns(schema: T.StructType) -> T.StructType:
     return T.StructType(
         list(schema.fields)
@@ -91,11 +95,14 @@ def _with_partition_columns(schema: T.StructType) -> T.StructType:
 class Store:
     """Paths and readers of one warehouse root (a shared filesystem path)."""
 
-    def __init__(self, spark: SparkSession, root: str, keep_versions: int = 3):
+    def __init__(self, spark: SparkSession, root: str, keep_versions: int = 3, dim_parts: int = 16, fold_every: int = FOLD_EVERY):
         self.spark = spark
         self.root = root.rstrip("/")
         self.keep_versions = max(1, keep_versions)
-        self._rows: list[tuple] | None = None
+        # parts of a dimension written by the next loads; a table keeps the number it began with
+        self.dim_parts = max(1, dim_parts)
+        self.fold_every = fold_every
+        self._records: list[PublishRecord] | None = None
 
     # -- paths ---------------------------------------------------------
     def dim_path(self, table: str, version: str) -> str:
@@ -111,105 +118,142 @@ class Store:
         return f"{self.root}/_control"
 
     # -- publish records -------------------------------------------------
+    def log(self) -> Log:
+        return Log(self.spark, self.control_path(), self.fold_every, self._slim)
+
+    def _slim(self, records: list[dict]) -> list[dict]:
+        """What a checkpoint keeps: only loads that a state can still be read from need their parts and counts."""
+        loads = [r["batch_id"] for r in records if r["kind"] == LOAD]
+        whole = set(loads[-4 * self.keep_versions :])
+        gone = {"versions": {}, "parts": {}, "watermarks": {}, "counts": {}}
+        return [r if r["kind"] != LOAD or r["batch_id"] in whole else {**r, **gone} for r in records]
+
     def refresh(self) -> None:
         """Forget the records read so far (call at the start of an operation)."""
-        self._rows = None
+        self._records = None
 
-    def _record_rows(self) -> list[tuple]:
-        """All publish records, read once per operation.
-
-        One small row per run reaches the driver: the log is bounded by the
-        number of runs, never by data.  Writing a record drops this copy.
-        """
-        if self._rows is None:
-            from pyspark.errors import AnalysisException
-
-            try:
-                rows = self.spark.read.schema(RECORD_SCHEMA).json(f"{self.control_path()}/*").select(*RECORD_SCHEMA.names).collect()
-            except AnalysisException as error:
-                if error.getCondition() != "PATH_NOT_FOUND":  # an unreadable log is not an empty one
-                    raise
-                rows = []
-            self._rows = sorted((tuple(r) for r in rows), key=lambda r: r[0])
-        return self._rows
+    def records(self) -> list[PublishRecord]:
+        """All publish records, read once per operation; writing a record drops this copy."""
+        if self._records is None:
+            self._records = [PublishRecord(**{**r, "file_ids": [tuple(f) for f in r["file_ids"]]}) for r in self.log().read()]
+        return self._records
 
     def committed(self, kinds: tuple[str, ...], after: int = -1) -> list[PublishRecord]:
         """The records of some kinds with a larger batch id than ``after``, in batch order."""
-        found = []
-        for row in self._record_rows():
-            values = dict(zip(RECORD_SCHEMA.names, row))
-            if values["kind"] in kinds and values["batch_id"] > after:
-                for name in ("versions", "watermarks", "facts", "counts"):
-                    values[name] = dict(values[name] or {})
-                values["files"] = list(values["files"] or [])
-                values["file_ids"] = [tuple(f) for f in values["file_ids"] or []]
-                found.append(PublishRecord(**values))
-        return found
+        return [r for r in self.records() if r.kind in kinds and r.batch_id > after]
 
     def latest(self, kinds: tuple[str, ...]) -> PublishRecord | None:
         """Newest record of the given kinds."""
         return next(reversed(self.committed(kinds)), None)
 
     def write_record(self, rec: PublishRecord) -> None:
-        """The commit point: one single-file JSON record in a fresh folder."""
-        row = (
-            rec.batch_id,
-            rec.kind,
-            rec.attempt,
-            rec.load_ts,
-            rec.versions,
-            rec.watermarks,
-            rec.facts,
-            rec.files,
-            rec.file_ids,
-            {k: int(v) for k, v in rec.counts.items()},
-        )
-        df = self.spark.createDataFrame([row], RECORD_SCHEMA)
-        df.coalesce(1).write.mode("errorifexists").json(f"{self.control_path()}/{rec.batch_id:012d}")
+        """The commit point: one file, created in one step; of two writers of a batch id one fails."""
+        self.log().append(asdict(rec))
         self.refresh()
 
+    # -- what is no longer named ---------------------------------------------
+    def _kept_parts(self) -> set[tuple[str, str, str]]:
+        """(table, version, part) of the newest ``keep_versions`` distinct states of every dimension."""
+        kept: set[tuple[str, str, str]] = set()
+        states: dict[str, list[dict[str, str]]] = {}
+        for rec in reversed(self.committed((LOAD,), self._floor((DROP,)))):
+            for table, parts in rec.parts.items():
+                known = states.setdefault(table, [])
+                if parts not in known and len(known) < self.keep_versions:
+                    known.append(parts)
+                    kept.update((table, version, part) for part, version in parts.items())
+        return kept
+
+    def _stale(self, pattern: str, live: set[tuple], after: int = -1) -> list[tuple[str, int]]:
+        """(path, age in ms) of the folders that ``pattern`` matches, of batches later than ``after``, and no live record names.
+
+        Folders of batches after the newest record belong to writers that are at work.
+        """
+        newest = self._newest()
+        found = []
+        for path, modified in matching_paths(self.spark, f"{self.root}/{pattern}"):
+            names = path.removesuffix("/").split("/")[-pattern.count("/") - 1 :]
+            values = dict(n.split("=", 1) for n in names if "=" in n)
+            batch = int(values["v"].split("-")[0] if "v" in values else values["batch_id"])
+            key = (names[1], *(values[k] for k in ("v", "part", "report_date", "batch_id", "attempt") if k in values))
+            if after < batch <= newest and key not in live:
+                found.append((path, int(time.time() * 1000) - modified))
+        return found
+
+    def _newest(self) -> int:
+        records = self.records()
+        return records[-1].batch_id if records else 0
+
     def prune(self) -> None:
-        """Remove the dimension versions that only loads before the newest ``keep_versions`` name.
+        """Remove every part version that none of a table's newest ``keep_versions`` states names.
 
         A reader of an older state may be cut off, so keep more versions than the
-        longest query lasts runs.  Every run prunes, so only a few loads are looked at.
+        longest query lasts runs.  What was dropped stays until ``vacuum`` finds it old enough.
+        """
+        for path, _age in self._stale("dims/*/v=*/part=*", self._kept_parts(), self._floor((DROP,))):
+            remove_path(self.spark, path)
+        self._remove_empty_versions()
+        self.log().tidy()
+
+    def _remove_empty_versions(self) -> None:
+        held = {path.rpartition("/")[0] for path, _ in matching_paths(self.spark, f"{self.root}/dims/*/v=*/part=*")}
+        for path, _ in matching_paths(self.spark, f"{self.root}/dims/*/v=*"):
+            batch = int(path.rpartition("/v=")[2].split("-")[0])
+            if path not in held and batch <= self._newest():
+                remove_path(self.spark, path)
+
+    def vacuum(self, retain_hours: float = 7 * 24) -> list[str]:
+        """Physical drop (S15, D5): remove what no live record names once it is older than ``retain_hours``.
+
+        That is data of dropped tables and cleared reports, and of attempts that were never published.
+        Nothing that a live record names is touched, whatever its age.
         """
-        loads = self.committed((LOAD,), self._floor((DROP,)))
-        kept = {(t, v) for r in loads[-self.keep_versions :] for t, v in r.versions.items()}
-        for rec in loads[: -self.keep_versions][-4:]:
-            for version in set(rec.versions.items()) - kept:
-                remove_path(self.spark, self.dim_path(*version))
+        floor, cleared = self._floor((DROP,)), self._floor((CLEAR_REPORT, DROP))
+        facts = {(t, str(r.batch_id), a) for r in self.committed((LOAD,), floor) for t, a in r.facts.items()}
+        reports = {("rep_fraud", report_date(r), str(r.batch_id), r.attempt) for r in self.committed((REPORT,), cleared)}
+        patterns = {
+            "dims/*/v=*/part=*": self._kept_parts(),
+            "facts/*/batch_id=*/attempt=*": facts,
+            "report/*/report_date=*/batch_id=*/attempt=*": reports,
+        }
+        removed = []
+        for pattern, live in patterns.items():
+            for path, age in self._stale(pattern, live):
+                if age >= retain_hours * 3_600_000:
+                    remove_path(self.spark, path)
+                    removed.append(path)
+        self._remove_empty_versions()
+        return removed
 
     # -- writers -------------------------------------------------------
-    def write_dim(self, table: str, df: DataFrame, version: str) -> str:
-        df.write.mode("errorifexists").parquet(self.dim_path(table, version))
-        return version
+    def write_dim(self, table: str, df: DataFrame, version: str, n_parts: int | None = None) -> dict[str, str]:
+        """Rows of the changed parts of a dimension, dealt by hash of its key; returns part -> version of those with rows."""
+        _schema, key = schemas.DIMENSIONS[table]
+        part = part_of(key, n_parts or self.dim_parts)
+        path = self.dim_path(table, version)
+        df.withColumn("part", part).write.mode("errorifexists").partitionBy("part").parquet(path)
+        return {p.rpartition("part=")[2]: version for p, _ in matching_paths(self.spark, f"{path}/part=*")}
 
     def append_fact(self, table: str, df: DataFrame, batch_id: int, attempt: str) -> str:
         """Rows go to their own ``batch_id/attempt`` partition; a rerun writes a
         new attempt, and only the published attempt is ever read (H25)."""
-        (
-            df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-            .withColumn("attempt", F.lit(attempt))
-            .write.mode("append")
-            .partitionBy("batch_id", "attempt")
-            .parquet(self.fact_path(table))
-        )
+        df.write.mode("errorifexists").parquet(f"{self.fact_path(table)}/batch_id={batch_id}/attempt={attempt}")
         return attempt
 
-    def append_report(self, df: DataFrame, batch_id: int, attempt: str) -> int:
-        """The report of one run in its own partition; returns its row count
-        (observed while writing)."""
+    def append_report(self, df: DataFrame, batch_id: int, attempt: str, day: str) -> int:
+        """The report of one run in its own partition; returns its row count (observed while writing).
+
+        Files are sorted by passport and carry Bloom filters of it, so one client's rows are read from few row groups.
+        """
         from pyspark.sql import Observation
 
         rows = Observation(f"report_{attempt}")
         (
             df.observe(rows, F.count(F.lit(1)).alias("n"))
-            .withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-            .withColumn("attempt", F.lit(attempt))
-            .write.mode("append")
-            .partitionBy("batch_id", "attempt")
-            .parquet(self.report_path())
+            .sortWithinPartitions("passport", "event_dt")
+            .write.mode("errorifexists")
+            .option("parquet.bloom.filter.enabled#passport", "true")
+            .parquet(f"{self.report_path()}/report_date={day}/batch_id={batch_id}/attempt={attempt}")
         )
         return int(rows.get["n"])
 
@@ -219,11 +263,14 @@ class Store:
         return None if rec is None or rec.kind == DROP else rec
 
     def dim(self, table: str) -> DataFrame:
+        return self.dim_of(table, self.state())
+
+    def dim_of(self, table: str, rec: PublishRecord | None, only: set[str] | None = None) -> DataFrame:
+        """A dimension as a load record names it, or ``only`` some of its parts."""
         schema, _ = schemas.DIMENSIONS[table]
-        rec = self.state()
-        if rec is None or table not in rec.versions:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self.dim_path(table, rec.versions[table]))
+        parts = rec.parts.get(table, {}) if rec is not None else {}
+        paths = [f"{self.dim_path(table, v)}/part={p}" for p, v in sorted(parts.items()) if only is None or p in only]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
     def _read_partitions(self, base: str, schema: T.StructType, pairs: list[tuple[int, str]]) -> DataFrame:
         """Read only the published ``batch_id/attempt`` folders (no full listing)."""
@@ -236,18 +283,29 @@ class Store:
     def fact(self, table: str) -> DataFrame:
         """Rows of all published attempts of a fact table (one per run, bounded)."""
         floor = self._floor((DROP,))
-        pairs = [(r.batch_id, r.facts[table]) for r in self.committed((LOAD,), floor) if table in r.facts]
-        return self._read_partitions(self.fact_path(table), schemas.FACTS[table], pairs)
+        loads = self.committed((LOAD,), floor)
+        plain, *more = (
+            self._read_partitions(self.fact_path(name), schemas.FACTS[table], [(r.batch_id, r.facts[name]) for r in loads if name in r.facts])
+            for name in (table, table + BUCKETED)
+            if name == table or any(name in r.facts for r in loads)
+        )
+        return plain.unionByName(more[0]) if more else plain
 
     def _floor(self, kinds: tuple[str, ...]) -> int:
         rec = self.latest(kinds)
         return rec.batch_id if rec is not None else -1
 
-    def report(self) -> DataFrame:
-        """Every published report run since the last clear."""
+    def report(self, day: str | None = None) -> DataFrame:
+        """Every published report run since the last clear; with ``day``, only the runs of one report date."""
         floor = self._floor((CLEAR_REPORT, DROP))
-        pairs = [(r.batch_id, r.attempt) for r in self.committed((REPORT,), floor)]
-        return self._read_partitions(self.report_path(), schemas.REP_FRAUD, pairs)
+        runs = [r for r in self.committed((REPORT,), floor) if day is None or report_date(r) == day]
+        if not runs:
+            return self.spark.createDataFrame([], schemas.REP_FRAUD)
+        base = self.report_path()
+        paths = [f"{base}/report_date={report_date(r)}/batch_id={r.batch_id}/attempt={r.attempt}" for r in runs]
+        schema = _with_partition_columns(schemas.REP_FRAUD).add("report_date", T.DateType())
+        data = self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
+        return data.select(*schemas.columns(schemas.REP_FRAUD), "report_date").drop("report_date")
 
     def control_frame(self) -> DataFrame:
         """The watermark table (``meta_loading``) of the newest load."""
@@ -266,5 +324,4 @@ class Store:
         return self.spark.createDataFrame(self.ledger_files(), FILE_ID)
 
     def next_batch_id(self) -> int:
-        rows = self._record_rows()
-        return (rows[-1][0] if rows else 0) + 1
+        return self._newest() + 1

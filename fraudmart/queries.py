@@ -34,6 +34,8 @@ from fraudmart.operators.scd1 import missing_keys, scd1_apply, scd1_delete, scd1
 from fraudmart.operators.watermarks import advance_watermarks, seed_watermarks, watermark_column
 from fraudmart.plans.daily import Warehouse
 from fraudmart.session import scratch_path
+from fraudmart.sources.layout import write_by_change_date
+from fraudmart.sources.tables import read_source
 from fraudmart.sources.text import read_transactions
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,18 +81,44 @@ def q_capture_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return capture_transactions(Fixture(spark, sf_dir).transactions, LOAD_TS, WATERMARK)
 
 
-_dropped: dict[tuple[str, str], str] = {}  # of this process, by application and tables
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder of the shared scratch space.
 
+    Queries that write tables or drop files put them there when they are called; the result
+    reads them later, so they stay until the folder that the cluster names is cleared.
+    """
+    return scratch_path(spark, "fraudmart-queries", f"{name}-{uuid.uuid4().hex[:12]}")
 
-def q_read_transactions_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S4 over the whole fact: Spark writes the transactions as the bank's drop file
-    (``;``, header, decimal comma, quotes and separators inside a field) into the shared
-    scratch folder, once a session; the reader binds by position and types it back."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key in _dropped:
-        return read_transactions(spark, _dropped[key])
-    tx = Fixture(spark, sf_dir).transactions
-    drop = tx.select(
+
+# -- source tables (S1-S3, J5) -----------------------------------------------
+def bank_table(fx: Fixture, name: str) -> DataFrame:
+    """A source table as the bank has it: the account key is ``account``, missing text is empty."""
+    df = getattr(fx, name)
+    texts = [F.coalesce(c, F.lit("")).alias(c) if kind == "string" else F.col(c) for c, kind in df.dtypes]
+    return df.select(*texts).withColumnsRenamed({"account_num": "account"})
+
+
+def _source_query(name: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = _scratch(spark, name)
+        bank_table(Fixture(spark, sf_dir), name).write.parquet(path)
+        return read_source(spark, name, path)
+
+    query.__doc__ = f"The bank's ``{name}`` from files through ``read_source``: names, types and empty text conformed."
+    return query
+
+
+def q_capture_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J5 and R6 over a source kept by change date: folders before the looked-up watermark aren't read."""
+    path = _scratch(spark, "clients-by-day")
+    write_by_change_date(Fixture(spark, sf_dir).clients, path)
+    control = seed_watermarks(spark, tables=("dim_clients", "dim_accounts"), stamp=WATERMARK)
+    return capture_clients(read_source(spark, "clients", path), watermark_column(control, "dim_clients"))
+
+
+def transactions_drop(tx: DataFrame) -> DataFrame:
+    """Transactions as the bank's text columns: decimal comma, quotes and separators inside a field."""
+    return tx.select(
         "trans_id",
         F.date_format("trans_date", "yyyy-MM-dd HH:mm:ss").alias("trans_date"),
         F.regexp_replace(F.col("amt").cast("string"), r"\.", ",").alias("amount"),
@@ -99,9 +127,19 @@ def q_read_transactions_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         "oper_result",
         "terminal",
     )
-    path = scratch_path(spark, "fraudmart-queries", f"transactions_{uuid.uuid4().hex[:12]}")
-    drop.write.option("sep", ";").option("header", True).option("escape", '"').csv(path)
-    _dropped[key] = path
+
+
+def write_drop(df: DataFrame, path: str) -> None:
+    """A text drop: ``;``, header, quotes doubled; a folder of part files."""
+    df.write.option("sep", ";").option("header", True).option("escape", '"').csv(path)
+
+
+def q_read_transactions_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 over the whole fact: Spark writes the transactions as the bank's drop file
+    (``;``, header, decimal comma, quotes and separators inside a field) into the shared
+    scratch folder; the reader binds by position and types it back."""
+    path = _scratch(spark, "transactions")
+    write_drop(transactions_drop(Fixture(spark, sf_dir).transactions), path)
     return read_transactions(spark, path)
 
 
@@ -253,10 +291,25 @@ def q_fraud_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_fraud_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As the daily job builds it: flagged cards pinned, measured and broadcast if small."""
     fx = Fixture(spark, sf_dir)
-    pin = scratch_path(spark, "fraudmart-queries", f"flagged-{uuid.uuid4().hex[:12]}")
+    pin = _scratch(spark, "flagged")
     return fraud_report_measured(fx.clients, fx.accounts, fx.cards, fx.transactions, fx.blacklist, AS_OF, pin)[0]
 
 
+def q_fraud_report_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C22 over catalog tables with the transactions bucketed by card.
+
+    One load fills the catalog; nothing is broadcast (limit 0), so the flagged cards are shuffled to
+    the buckets and the bucketed fact isn't moved.
+    """
+    fx = Fixture(spark, sf_dir)
+    database = f"fraudmart_{uuid.uuid4().hex[:12]}"
+    wh = Warehouse(spark, _scratch(spark, "catalog"), broadcast_limit_bytes=0, database=database, buckets=8)
+    sources = {"clients": fx.clients, "accounts": fx.accounts, "cards": fx.cards}
+    wh.initial_load(sources)
+    wh.increment(sources, {"transactions": fx.transactions, "passport_blacklist": fx.blacklist}, LOAD_TS)
+    return wh.report_frame(AS_OF, pin_as=uuid.uuid4().hex[:12])
+
+
 def q_fraud_report_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The literal shape of C22: rule 1 UNION rule 2 (U1), each branch its own chain."""
     fx = Fixture(spark, sf_dir)
@@ -288,37 +341,46 @@ def q_fraud_after_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # -- the jobs themselves (C17, C19, C25, S11, S13, S16-S18) ------------------
-_loaded: dict[tuple[str, str], Warehouse] = {}  # of this process, by application and tables
-
-
 def loaded_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """A scratch warehouse after two days: initial load; day 1 with part of the files and a
     report, which is cleared; day 2 with the rest and changed sources; two reports."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _loaded:
-        fx = Fixture(spark, sf_dir)
-        wh = Warehouse(spark, scratch_path(spark, "fraudmart-queries", f"warehouse-{uuid.uuid4().hex[:12]}"))
-        wh.initial_load({"clients": fx.dim_clients_before, "accounts": fx.dim_accounts_before, "cards": fx.dim_cards_before})
-        early = F.col("trans_date") < ntz_literal("1999-01-01")
-        listed = F.col("entry_dt") < ntz_literal("2024-01-20")
-        first = {
-            "terminals": fx.terminals.withColumn("terminal_city", F.lit("first")),
-            "transactions": fx.transactions.where(early),
-            "passport_blacklist": fx.blacklist.where(listed),
-        }
-        wh.increment({"clients": fx.clients, "accounts": fx.accounts, "cards": fx.cards}, first, LOAD_TS)
-        wh.build_report(LOAD_TS)
-        wh.clear_report()
-        rest = {
-            "terminals": fx.terminals.where("terminal_type = 'ATM'"),
-            "transactions": fx.transactions.where(~early),
-            "passport_blacklist": fx.blacklist.where(~listed),
-        }
-        wh.increment({"clients": fx.next_clients, "accounts": fx.next_accounts, "cards": fx.next_cards}, rest, NEXT_DAY)
-        wh.build_report(NEXT_DAY)
-        wh.build_report(LAST_DAY)
-        _loaded[key] = wh
-    return _loaded[key]
+    fx = Fixture(spark, sf_dir)
+    wh = Warehouse(spark, _scratch(spark, "warehouse"))
+    wh.initial_load({"clients": fx.dim_clients_before, "accounts": fx.dim_accounts_before, "cards": fx.dim_cards_before})
+    early = F.col("trans_date") < ntz_literal("1999-01-01")
+    listed = F.col("entry_dt") < ntz_literal("2024-01-20")
+    first = {
+        "terminals": fx.terminals.withColumn("terminal_city", F.lit("first")),
+        "transactions": fx.transactions.where(early),
+        "passport_blacklist": fx.blacklist.where(listed),
+    }
+    wh.increment({"clients": fx.clients, "accounts": fx.accounts, "cards": fx.cards}, first, LOAD_TS)
+    wh.build_report(LOAD_TS)
+    wh.clear_report()
+    rest = {
+        "terminals": fx.terminals.where("terminal_type = 'ATM'"),
+        "transactions": fx.transactions.where(~early),
+        "passport_blacklist": fx.blacklist.where(~listed),
+    }
+    wh.increment({"clients": fx.next_clients, "accounts": fx.next_accounts, "cards": fx.next_cards}, rest, NEXT_DAY)
+    wh.build_report(NEXT_DAY)
+    wh.build_report(LAST_DAY)
+    return wh
+
+
+def q_daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C25, the whole day: drop files are written, listed and picked, staged, loaded and published;
+    rows that left the sources are deleted; the report is built, published and read back."""
+    fx = Fixture(spark, sf_dir)
+    drops = _scratch(spark, "drops")
+    write_drop(transactions_drop(fx.transactions), f"{drops}/transactions_01012001.txt")
+    write_drop(fx.terminals, f"{drops}/terminals_01012001.txt")
+    listed = fx.blacklist.select(F.date_format("entry_dt", "yyyy-MM-dd HH:mm:ss").alias("date"), "passport_num")
+    write_drop(listed, f"{drops}/passport_blacklist_01012001.txt")
+    wh = Warehouse(spark, _scratch(spark, "warehouse"))
+    wh.initial_load({"clients": fx.dim_clients_before, "accounts": fx.dim_accounts_before, "cards": fx.dim_cards_before})
+    wh.daily_run({"clients": fx.left_clients, "accounts": fx.left_accounts, "cards": fx.left_cards}, drops, LOAD_TS, AS_OF)
+    return wh.read_table("rep_fraud")
 
 
 def _job_query(table: str) -> Query:
@@ -334,6 +396,8 @@ QUERIES: dict[str, Query] = {
     "capture_cards": q_capture_cards,
     "capture_missing_watermark": q_capture_missing_watermark,
     "capture_by_lookup": q_capture_by_lookup,
+    "capture_by_day": q_capture_by_day,
+    **{f"read_source_{name}": _source_query(name) for name in ("clients", "accounts", "cards")},
     "capture_terminals": q_capture_terminals,
     "capture_blacklist": q_capture_blacklist,
     "capture_transactions": q_capture_transactions,
@@ -364,6 +428,8 @@ QUERIES: dict[str, Query] = {
     "fraud_contract": q_fraud_contract,
     "fraud_report": q_fraud_report,
     "fraud_report_union": q_fraud_report_union,
+    "fraud_report_bucketed": q_fraud_report_bucketed,
+    "daily_run": q_daily_run,
     "fraud_after_increment": q_fraud_after_increment,
     **{f"job_{table}": _job_query(table) for table in (*schemas.DIMENSIONS, *schemas.FACTS, "meta_loading", "rep_fraud")},
 }

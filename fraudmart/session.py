@@ -30,8 +30,20 @@ SCALE_CONF: dict[str, str] = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
+    # Runtime Bloom filters: before a large fact (10 GB or more to scan) is shuffled to a side that is
+    # too large to broadcast, rows whose key can't be there are dropped at the scan.  Sized for
+    # 20 million keys (20 MB), of a side of up to 1 GB.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "10g",
+    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "20000000",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "40000000",
+    "spark.sql.optimizer.runtime.bloomFilter.numBits": "160000000",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": "320000000",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
+    # jobs that a run submits at once share the executors
+    "spark.scheduler.mode": "FAIR",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
@@ -75,11 +87,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or folder
 
 
+def file_system(spark: SparkSession, path: str) -> tuple:
+    """(Hadoop file system, path object) of a path."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs, fs.makeQualified(target)
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Remove a folder of the shared file system; nothing happens if it isn't there."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    fs, target = file_system(spark, path)
+    fs.delete(target, True)
+
+
+def matching_paths(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
+    """(path, modification time in ms) of what a glob pattern matches in the shared file system."""
+    fs, target = file_system(spark, pattern)
+    return sorted((s.getPath().toString(), s.getModificationTime()) for s in fs.globStatus(target) or [])
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from fraudmart import schemas
 from fraudmart.functions import empty_as_null
+from fraudmart.sources.layout import CHANGE_DATE
 
 SOURCE_SCHEMAS: dict[str, tuple[T.StructType, str]] = {
     "clients": (schemas.CLIENTS, "client_id"),
@@ -74,6 +75,8 @@ def conform(df: DataFrame, schema: T.StructType, renames: dict[str, str] | None
         if isinstance(field.dataType, T.StringType):
             c = empty_as_null(c)
         cols.append(c.alias(field.name))
+    if CHANGE_DATE in df.columns:  # a folder's column: capture prunes by it
+        cols.append(F.col(CHANGE_DATE))
     return df.select(*cols)
 
 

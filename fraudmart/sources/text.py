@@ -21,10 +21,10 @@ from fraudmart.schemas import TRANSACTIONS_FILE_COLUMNS
 RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in TRANSACTIONS_FILE_COLUMNS])
 
 
-def read_transactions_raw(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def read_transactions_raw(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType = RAW_SCHEMA) -> DataFrame:
     """The file as text columns in file order."""
     return (
-        spark.read.schema(RAW_SCHEMA)
+        spark.read.schema(schema)
         .option("sep", ";")
         .option("header", True)
         .option("enforceSchema", True)
@@ -60,3 +60,16 @@ def read_transactions(spark: SparkSession, paths: str | Sequence[str]) -> DataFr
     return type_transactions(read_transactions_raw(spark, paths)).select(
         *[F.col(c) for c in TRANSACTIONS_FILE_COLUMNS]
     )
+
+
+def read_feed_text(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A terminals or blacklist feed that comes as the same kind of text instead of a workbook.
+
+    Any number of tasks read it, which one workbook can't offer.
+    """
+    raw = read_transactions_raw(spark, path, T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields]))
+    typed = []
+    for f in schema.fields:
+        text = empty_as_null(f.name)
+        typed.append((text if isinstance(f.dataType, T.StringType) else _parsed(f.name, parse_oracle_timestamp(text))).alias(f.name))
+    return raw.select(*typed)

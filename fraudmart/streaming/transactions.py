@@ -31,7 +31,8 @@ from fraudmart.functions.stamps import next_second
 from fraudmart.operators.capture import capture_transactions
 from fraudmart.operators.watermarks import advance_watermarks, as_of_now, watermark_value
 from fraudmart.plans.store import LOAD, PublishRecord, Store
-from fraudmart.session import remove_path, scratch_path
+from fraudmart.session import file_system, remove_path, scratch_path
+from fraudmart.sources.listing import archive_drops
 from fraudmart.sources.text import RAW_SCHEMA, type_transactions
 
 FACT = "fact_transactions"
@@ -39,10 +40,17 @@ FACT = "fact_transactions"
 BROADCAST_FILES = 100_000
 
 
-def transactions_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """Streaming frame of typed transactions, one drop file per trigger."""
+def transactions_stream(spark: SparkSession, folder: str, archive: str | None = None) -> DataFrame:
+    """Streaming frame of typed transactions, one drop file per trigger.
+
+    With ``archive``, the file source moves a file there once the batch after its own is planned
+    (``cleanSource``), under its whole path.
+    """
+    reader = spark.readStream.schema(RAW_SCHEMA)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     raw = (
-        spark.readStream.schema(RAW_SCHEMA)
+        reader
         .option("sep", ";")
         .option("header", True)
         .option("enforceSchema", True)
@@ -98,12 +106,15 @@ def load_micro_batch(store: Store, batch: DataFrame, epoch_id: int, stream_id: s
         attempt=attempt,
         load_ts=load_ts,
         versions=dict(state.versions),
+        parts=dict(state.parts),
+        n_parts=state.n_parts,
         watermarks={**state.watermarks, FACT: advanced[FACT]},
         facts=facts,
         files=[name for name, _length, _modified in files],
         file_ids=files,
     )
     store.write_record(rec)
+    store.prune()
     remove_path(store.spark, scratch_path(store.spark, "fraudmart-staging", attempt))
     return rec
 
@@ -114,14 +125,29 @@ def start_transactions_stream(
     warehouse_root: str,
     checkpoint_location: str | None = None,
     stream_id: str = "tx",
+    archive: str | None = None,
 ) -> StreamingQuery:
-    """Run the stream until the folder is drained (``availableNow``)."""
+    """Run the stream until the folder is drained (``availableNow``).
+
+    The source archives a file only when a later batch is planned, so the last one stays; after the
+    stream has ended :func:`archive_consumed` moves what the ledger has and the source has left.
+    """
     store = Store(spark, warehouse_root)
     location = checkpoint_location or scratch_path(spark, "fraudmart-stream", stream_id)
     return (
-        transactions_stream(spark, folder)
+        transactions_stream(spark, folder, archive)
         .writeStream.foreachBatch(lambda df, epoch: load_micro_batch(store, df, epoch, stream_id))
         .option("checkpointLocation", location)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def archive_consumed(spark: SparkSession, folder: str, warehouse_root: str, archive: str) -> list[str]:
+    """Move the consumed files that the stream's source left in the folder; call it when the stream has ended.
+
+    They go where the source itself puts a file: under its whole path below ``archive``.
+    """
+    _, home = file_system(spark, folder)
+    inside = f"{archive.rstrip('/')}{home.toUri().getPath()}"
+    return archive_drops(spark, folder, inside, Store(spark, warehouse_root).ledger())
