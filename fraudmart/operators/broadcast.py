@@ -10,7 +10,7 @@ left to the shuffle join (and AQE).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +37,19 @@ def measured_size(df: DataFrame) -> int:
     return int(row["b"] or 0) * _HASHED_RELATION_FACTOR
 
 
+def observed_size(df: DataFrame) -> Column:
+    """The same as an aggregate, for an ``Observation`` of the write that pins ``df``: no job of its own."""
+    return F.coalesce(F.sum(_row_bytes(df)), F.lit(0).cast("long")) * _HASHED_RELATION_FACTOR
+
+
+def pinned_broadcast(df: DataFrame, path: str, limit_bytes: int) -> tuple[DataFrame, int]:
+    """``df`` written once to ``path`` and read back, with a broadcast hint if it fits; and its size, measured by the write."""
+    size = Observation()
+    df.observe(size, observed_size(df).alias("bytes")).write.mode("errorifexists").parquet(path)
+    pinned, measured = df.sparkSession.read.schema(df.schema).parquet(path), int(size.get["bytes"])
+    return (F.broadcast(pinned) if measured <= limit_bytes else pinned), measured
+
+
 def broadcast_if_small(df: DataFrame, limit_bytes: int) -> tuple[DataFrame, int]:
     """``(broadcast(df), size)`` when the measured size fits, else ``(df, size)``.
 

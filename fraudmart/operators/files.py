@@ -46,22 +46,24 @@ def drop_date(name: Column) -> Column:
     )
 
 
-def oldest_drop(files: DataFrame, prefixes: dict[str, str] = FEED_PREFIXES) -> DataFrame:
+def oldest_drop(files: DataFrame, prefixes: dict[str, str] = FEED_PREFIXES, more: tuple[str, ...] = ()) -> DataFrame:
     """Per feed, the file with the smallest name date; ties by name.
 
     ``min(struct(date, name))`` is a partial aggregate, so the listing is never
-    gathered in one place.  Output: ``feed, name, drop_date``.
+    gathered in one place.  Output: ``feed, name, drop_date`` and the file's columns ``more``.
     """
-    tagged = files.select("name", feed_of(F.col("name"), prefixes).alias("feed")).where(F.col("feed").isNotNull())
-    dated = tagged.select("feed", "name", drop_date(F.col("name")).alias("drop_date"))
-    best = dated.groupBy("feed").agg(F.min(F.struct("drop_date", "name")).alias("m"))
-    return best.select("feed", F.col("m.name").alias("name"), F.col("m.drop_date").alias("drop_date"))
+    tagged = files.select("name", *more, feed_of(F.col("name"), prefixes).alias("feed")).where(F.col("feed").isNotNull())
+    dated = tagged.select("feed", "name", *more, drop_date(F.col("name")).alias("drop_date"))
+    best = dated.groupBy("feed").agg(F.min(F.struct("drop_date", "name", *more)).alias("m"))
+    return best.select("feed", "m.name", "m.drop_date", *(f"m.{c}" for c in more))
 
 
-def require_feeds(drops: DataFrame, feeds: tuple[str, ...] = tuple(FEED_PREFIXES)) -> dict[str, tuple[str, object]]:
-    """Collect the per-feed choice (at most one row per feed) and fail when a
+def require_feeds(
+    drops: DataFrame | list, feeds: tuple[str, ...] = tuple(FEED_PREFIXES)
+) -> dict[str, tuple[str, object]]:
+    """The per-feed choice (at most one row per feed, collected here if it isn't yet); fails when a
     feed has no file, naming it."""
-    rows = drops.collect()
+    rows = drops.collect() if isinstance(drops, DataFrame) else drops
     found = {r["feed"]: (r["name"], r["drop_date"]) for r in rows}
     missing = [f for f in feeds if f not in found]
     if missing:

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fraudmart.functions import as_ntz, check_max_length, full_name
-from fraudmart.operators.broadcast import broadcast_if_small
+from fraudmart.operators.broadcast import pinned_broadcast
 from fraudmart.schemas import EVENT_CONTRACT, EVENT_PASSPORT, VARCHAR_LIMIT
 
 Stamp = str | _dt.datetime | _dt.date | Column
@@ -227,9 +227,7 @@ def fraud_report_measured(
     fact is bucketed by card (see :mod:`fraudmart.plans.catalog`).
     """
     flagged = relevant_cards(clients, accounts, cards, blacklist, as_of)
-    flagged.write.mode("errorifexists").parquet(pin_path)
-    pinned = flagged.sparkSession.read.schema(flagged.schema).parquet(pin_path)
-    pinned, size = broadcast_if_small(pinned, broadcast_limit_bytes)
+    pinned, size = pinned_broadcast(flagged, pin_path, broadcast_limit_bytes)
     if size > broadcast_limit_bytes:
         pinned = with_runtime_filter(pinned)
     return events_for_cards(transactions, pinned, as_of), size

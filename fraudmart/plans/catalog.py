@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fraudmart import schemas
-from fraudmart.operators.broadcast import broadcast_if_small
+from fraudmart.operators.broadcast import broadcast_if_small, pinned_broadcast
 from fraudmart.operators.report import events_for_parts, relevant_cards
 from fraudmart.operators.watermarks import DEFAULT_DB
 from fraudmart.plans.store import BUCKETED, CLEAR_REPORT, DROP, LOAD, REPORT, Store, new_attempt, report_date
@@ -169,13 +169,12 @@ class Catalog:
         table = self.spark.table
         dims = (table(self.name(d)) for d in ("dim_clients", "dim_accounts", "dim_cards", BLACKLIST))
         flagged = relevant_cards(*dims, as_of)
-        flagged.write.mode("errorifexists").parquet(pin_path)
-        pinned = self.spark.read.schema(flagged.schema).parquet(pin_path)
-        cards, size = broadcast_if_small(pinned, broadcast_limit_bytes)
+        pinned, size = pinned_broadcast(flagged, pin_path, broadcast_limit_bytes)
         bucketed, plain = table(self.name(BY_CARD)), table(self.name(PLAIN))
+        cards = pinned
         if size > broadcast_limit_bytes:
             # few cards are heavy; those of stream loads may be many, then their rows are shuffled
             in_plain = pinned.join(plain.select("card_num").distinct(), "card_num", "left_semi")
             cards, _ = broadcast_if_small(in_plain, max(broadcast_limit_bytes, HEAVY_BYTES))
-        return events_for_parts([(bucketed, pinned if size > broadcast_limit_bytes else cards), (plain, cards)], as_of), size
+        return events_for_parts([(bucketed, pinned), (plain, cards)], as_of), size
 

@@ -18,12 +18,13 @@ import datetime as _dt
 import logging
 import os
 import time
+from dataclasses import dataclass, field
 from contextlib import contextmanager
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor, as_completed, wait
 from functools import partial
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,6 +71,15 @@ FEED_TABLES = {
 }
 
 
+@dataclass(frozen=True)
+class Written:
+    """What a write saw of its rows."""
+
+    rows: int
+    newest: str | None = None
+    parts: set[str] = field(default_factory=set)
+
+
 class Warehouse:
     """One warehouse root.  ``sources`` maps ``clients/accounts/cards`` to frames
     (see :func:`fraudmart.sources.tables.read_source`)."""
@@ -94,23 +104,26 @@ class Warehouse:
         # transactions scan (measured, see operators.broadcast).
         self.broadcast_limit_bytes = broadcast_limit_bytes
         self.last_relevant_bytes: int | None = None
+        self._pool: ThreadPoolExecutor | None = None
 
     # -- helpers ---------------------------------------------------------
-    def _write(self, df: DataFrame, write: Callable[[DataFrame], object], name: str) -> tuple[int, str | None]:
-        """Write ``df`` and return (rows, newest change time), both observed by the write itself."""
+    def _write(self, df: DataFrame, write: Callable[[DataFrame], object], name: str, part: Column | None = None) -> Written:
+        """Write ``df``; its rows, newest change time and parts are observed by the write itself."""
         seen = Observation(f"{name}-{new_attempt()}")
         facts = [F.count(F.lit(1)).alias("n")]
         if "create_dt" in df.columns:
             facts.append(observed_max(df).alias("newest"))
+        if part is not None:
+            facts.append(F.collect_set(part).alias("parts"))  # at most n_parts numbers
         write(df.observe(seen, *facts))
         values = seen.get
-        return int(values["n"]), values.get("newest")
+        return Written(int(values["n"]), values.get("newest"), {str(p) for p in values.get("parts") or ()})
 
-    def _pin(self, df: DataFrame, batch_id: int, attempt: str, name: str) -> tuple[DataFrame, int, str | None]:
+    def _pin(self, df: DataFrame, batch_id: int, attempt: str, name: str, part: Column | None = None) -> tuple[DataFrame, Written]:
         """Write ``df`` once under the shared checkpoint folder and read it back."""
         path = scratch_path(self.spark, "fraudmart-staging", f"{batch_id}-{attempt}", name)
-        rows, newest = self._write(df, lambda d: d.write.mode("errorifexists").parquet(path), name)
-        return self.spark.read.schema(df.schema).parquet(path), rows, newest
+        written = self._write(df, lambda d: d.write.mode("errorifexists").parquet(path), name, part)
+        return self.spark.read.schema(df.schema).parquet(path), written
 
     def _all(self, jobs: dict[str, Callable[[], object]]) -> dict[str, object]:
         """Run independent Spark jobs concurrently; the first failure cancels the others and is raised.
@@ -131,40 +144,46 @@ class Warehouse:
                 sc.setLocalProperty("spark.scheduler.pool", None)
                 sc.setJobDescription(None)
 
-        with ThreadPoolExecutor(max_workers=max(1, self.parallel_jobs)) as pool:
-            futures = {pool.submit(run, name, job): name for name, job in jobs.items()}
-            for done in as_completed(futures):
-                if done.cancelled() or done.exception() is None:
-                    continue
-                for other in futures:
-                    other.cancel()
-                while not all(other.done() for other in futures):  # also what a thread submits next
-                    sc.cancelJobsWithTag(tag)
-                    wait(futures, timeout=0.2)
-                raise done.exception()
+        if self._pool is None:  # its threads, each with a connection to the JVM, live as long as the warehouse
+            self._pool = ThreadPoolExecutor(max_workers=max(1, self.parallel_jobs))
+        futures = {self._pool.submit(run, name, job): name for name, job in jobs.items()}
+        for done in as_completed(futures):
+            if done.cancelled() or done.exception() is None:
+                continue
+            for other in futures:
+                other.cancel()
+            while not all(other.done() for other in futures):  # also what a thread submits next
+                sc.cancelJobsWithTag(tag)
+                wait(futures, timeout=0.2)
+            raise done.exception()
         return {name: future.result() for future, name in futures.items()}
 
-    def _changed_parts(self, dim: str, key: str, current: DataFrame, staged: DataFrame, keys: DataFrame | None, n_parts: int, name: tuple):
-        """(parts of a dimension that a load changes, pinned keys that left the source or None)."""
-        touched = staged.select(part_of(key, n_parts).alias("part"))
-        vanished = None
+    def _load_dim(
+        self, dim: str, state: PublishRecord, staged: tuple[DataFrame, Written], keys: DataFrame | None, batch_id: int, attempt: str
+    ) -> dict[str, str]:
+        """C9-C16 on the parts of a dimension that change; the others keep their files.  Returns part -> version.
+
+        ``staged`` and ``keys``, the source's keys for a dimension that takes deletes, are pinned.
+        """
+        _schema, key = schemas.DIMENSIONS[dim]
+        (frame, written), known, part = staged, state.parts.get(dim, {}), part_of(key, state.n_parts)
+        parts, vanished = written.parts, None
         if keys is not None:
-            vanished, gone, _ = self._pin(vanished_keys(current, staged, keys, key), *name, f"vanished_{dim}")
-            touched = touched.unionByName(vanished.select(part_of(key, n_parts).alias("part"))) if gone else touched
-        return {str(r.part) for r in touched.distinct().collect()}, vanished  # at most n_parts rows
-
-    def _load_dim(self, dim: str, key: str, state: PublishRecord, staged: tuple, keys: DataFrame | None, version: str, name: tuple) -> dict[str, str]:
-        """C9-C16 on the parts of a dimension that change; the others keep their files.  Returns part -> version."""
-        frame, rows, _ = staged
-        known, n_parts = state.parts.get(dim, {}), state.n_parts
-        if keys is None and not rows:
-            return known
-        parts, vanished = self._changed_parts(dim, key, self.store.dim_of(dim, state), frame, keys, n_parts, name)
+            gone = vanished_keys(self.store.dim_of(dim, state), frame, keys, key)
+            vanished, left = self._pin(gone, batch_id, attempt, f"vanished_{dim}", part)
+            parts = parts | left.parts
         if not parts:
             return known
         current = self.store.dim_of(dim, state, parts)
         new = scd1_upsert(current, frame, key) if vanished is None else scd1_apply_vanished(current, frame, vanished, key)
-        return {p: v for p, v in known.items() if p not in parts} | self.store.write_dim(dim, new, version, n_parts)
+        return {p: v for p, v in known.items() if p not in parts} | self._write_dim(dim, new, batch_id, attempt, state.n_parts)
+
+    def _write_dim(self, dim: str, df: DataFrame, batch_id: int, attempt: str, n_parts: int) -> dict[str, str]:
+        """Write the rows of some whole parts of a dimension; returns part -> version of those that have any."""
+        version = f"{batch_id}-{attempt}"
+        part = part_of(schemas.DIMENSIONS[dim][1], n_parts)
+        written = self._write(df, lambda d: self.store.write_dim(dim, d, version, n_parts), dim, part)
+        return {p: version for p in written.parts}
 
     # -- S14, C23, C24 -----------------------------------------------------
     def initial_load(self, sources: dict[str, DataFrame], seed: str = SEED_STAMP) -> PublishRecord:
@@ -182,7 +201,7 @@ class Warehouse:
             else:
                 df = enforce_varchar(initial_load(src, schema), schemas.VARCHAR_LIMIT)
                 checks[dim] = partial(assert_unique_keys, df, key)
-            writes[dim] = partial(self.store.write_dim, dim, df, f"{batch_id}-{attempt}")
+            writes[dim] = partial(self._write_dim, dim, df, batch_id, attempt, self.store.dim_parts)
         self._all(checks)
         parts = self._all(writes)
         rec = PublishRecord(
@@ -251,42 +270,44 @@ class Warehouse:
         # Dimension staging and key snapshots (C13) are pinned: each feeds several steps.  A fact is
         # staged by its attempt itself (C7, C8): written once, counted and its newest time seen by that
         # write, and recorded only if it holds rows.  All of them are independent.
-        def pin_staged(table: str) -> tuple:
-            return self._pin(enforce_varchar(staged_raw[table], schemas.VARCHAR_LIMIT), *name, table)
+        def pin_staged(table: str) -> tuple[DataFrame, Written]:
+            part = part_of(schemas.DIMENSIONS[table][1], state.n_parts)
+            return self._pin(enforce_varchar(staged_raw[table], schemas.VARCHAR_LIMIT), *name, table, part)
 
-        def pin_keys(dim: str) -> tuple:
+        def pin_keys(dim: str) -> tuple[DataFrame, Written]:
             return self._pin(source_keys(sources[SOURCE_OF_DIM[dim]], schemas.DIMENSIONS[dim][1]), *name, f"keys_{dim}")
 
-        def append(table: str) -> tuple:
+        def append(table: str) -> tuple[dict[str, str], Written]:
             frame = enforce_varchar(staged_raw[table], schemas.VARCHAR_LIMIT)
             if self.catalog and table == TRANSACTIONS:  # read three times, so pinned
-                pinned, rows, newest = self._pin(frame, *name, table)
-                return self.catalog.append_transactions(pinned, rows, batch_id, attempt) if rows else {}, rows, newest
-            rows, newest = self._write(frame, lambda df: self.store.append_fact(table, df, batch_id, attempt), table)
-            return {table: attempt} if rows else {}, rows, newest
+                pinned, written = self._pin(frame, *name, table)
+                return self.catalog.append_transactions(pinned, written.rows, *name) if written.rows else {}, written
+            written = self._write(frame, lambda df: self.store.append_fact(table, df, *name), table)
+            return {table: attempt} if written.rows else {}, written
 
         jobs = {t: partial(append if t in schemas.FACTS else pin_staged, t) for t in staged_raw}
         jobs.update({f"keys_{dim}": partial(pin_keys, dim) for dim in schemas.DELETABLE})
         with _step("stage"):
             staged = self._all(jobs)
-        counts = {table: staged[table][1] for table in staged_raw}
-        self._all(
-            {
-                dim: partial(assert_unique_keys, staged[dim][0], key)
-                for dim, (_schema, key) in schemas.DIMENSIONS.items()
-                if counts[dim]
-            }
-        )
+        counts = {table: staged[table][1].rows for table in staged_raw}
 
-        # dimensions (C9-C16), independent of each other
+        # dimensions (C9-C16) and the check of their staged keys (H15), independent of each other; a key
+        # that is there twice fails the run before anything is published
         def load_dim(dim: str) -> dict[str, str]:
             snapshot = staged[f"keys_{dim}"][0] if dim in schemas.DELETABLE else None
-            return self._load_dim(dim, schemas.DIMENSIONS[dim][1], state, staged[dim], snapshot, version, name)
+            return self._load_dim(dim, state, staged[dim], snapshot, *name)
 
+        loads = {dim: partial(load_dim, dim) for dim in schemas.DIMENSIONS}
+        checks = {
+            f"check_{dim}": partial(assert_unique_keys, staged[dim][0], key)
+            for dim, (_schema, key) in schemas.DIMENSIONS.items()
+            if counts[dim]
+        }
         with _step("load"):
-            parts = self._all({dim: partial(load_dim, dim) for dim in schemas.DIMENSIONS})
+            done = self._all(checks | loads)
+        parts = {dim: done[dim] for dim in schemas.DIMENSIONS}
         changed = {dim: version for dim in parts if parts[dim] != state.parts.get(dim, {})}
-        watermarks = advanced_values(known, {table: staged[table][2] for table in staged_raw})
+        watermarks = advanced_values(known, {table: staged[table][1].newest for table in staged_raw})
 
         rec = PublishRecord(
             batch_id=batch_id,
@@ -398,10 +419,11 @@ class Warehouse:
         self.store.refresh()
         listing = list_drop_files(self.spark, folder)
         fresh = unseen_files(listing, self.store.ledger())
-        chosen = require_feeds(oldest_drop(fresh))
-        names = [name for name, _date in chosen.values()]  # one for each feed
-        keys = {r["name"]: tuple(r) for r in listing.where(F.col("name").isin(names)).select(*FILE_KEY).collect()}
-        return {feed: (name, os.path.join(folder, name), keys[name]) for feed, (name, _date) in chosen.items()}
+        # at most one drop a feed, each with what the ledger knows it by; one pass over the listing
+        chosen = oldest_drop(fresh, more=("length", "modified")).collect()
+        found = require_feeds(chosen)
+        keys = {r["name"]: tuple(r[k] for k in FILE_KEY) for r in chosen}
+        return {feed: (name, os.path.join(folder, name), keys[name]) for feed, (name, _date) in found.items()}
 
     def daily_run(
         self,

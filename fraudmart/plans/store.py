@@ -190,9 +190,22 @@ class Store:
         A reader of an older state may be cut off, so keep more versions than the
         longest query lasts runs.  What was dropped stays until ``vacuum`` finds it old enough.
         """
-        for path, _age in self._stale("dims/*/v=*/part=*", self._kept_parts(), self._floor((DROP,))):
-            remove_path(self.spark, path)
-        self._remove_empty_versions()
+        kept, floor = self._kept_parts(), self._floor((DROP,))
+        had: dict[tuple[str, str], int] = {}  # parts a version began with, as far as records tell
+        for rec in self.committed((LOAD,), floor):
+            for table, parts in rec.parts.items():
+                own = sum(v == rec.versions.get(table) for v in parts.values())
+                had.setdefault((table, rec.versions.get(table, "")), own)
+        for path, _modified in matching_paths(self.spark, f"{self.root}/dims/*/v=*"):
+            table, version = path.split("/")[-2], path.rpartition("/v=")[2]
+            live = {k for k in kept if k[:2] == (table, version)}
+            if not floor < int(version.split("-")[0]) <= self._newest() or len(live) == had.get((table, version)):
+                continue
+            if not live:
+                remove_path(self.spark, path)
+                continue
+            for stale, _age in self._stale(f"dims/{table}/v={version}/part=*", live, floor):
+                remove_path(self.spark, stale)
         self.log().tidy()
 
     def _remove_empty_versions(self) -> None:
@@ -226,13 +239,11 @@ class Store:
         return removed
 
     # -- writers -------------------------------------------------------
-    def write_dim(self, table: str, df: DataFrame, version: str, n_parts: int | None = None) -> dict[str, str]:
-        """Rows of the changed parts of a dimension, dealt by hash of its key; returns part -> version of those with rows."""
+    def write_dim(self, table: str, df: DataFrame, version: str, n_parts: int | None = None) -> None:
+        """Rows of the changed parts of a dimension, dealt by hash of its key."""
         _schema, key = schemas.DIMENSIONS[table]
-        part = part_of(key, n_parts or self.dim_parts)
-        path = self.dim_path(table, version)
-        df.withColumn("part", part).write.mode("errorifexists").partitionBy("part").parquet(path)
-        return {p.rpartition("part=")[2]: version for p, _ in matching_paths(self.spark, f"{path}/part=*")}
+        dealt = df.withColumn("part", part_of(key, n_parts or self.dim_parts))
+        dealt.write.mode("errorifexists").partitionBy("part").parquet(self.dim_path(table, version))
 
     def append_fact(self, table: str, df: DataFrame, batch_id: int, attempt: str) -> str:
         """Rows go to their own ``batch_id/attempt`` partition; a rerun writes a

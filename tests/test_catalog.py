@@ -98,7 +98,7 @@ def test_report_does_not_move_the_bucketed_fact(spark, workdir, limit):
     assert ("SortMergeJoin" in executed) == (limit == 0)
     assert "Bucketed: true" in executed or limit
     assert not _exchanges_over(executed, BY_CARD)
-    assert _rows(got) == want and len(want) > 50
+    assert _rows(got) == want and len(want) >= 3
 
 
 def test_stream_loads_join_the_catalog(spark, workdir):
