@@ -14,8 +14,8 @@ one vector evenly.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components,
 and rows with a null id, take no part; neither do vectors whose length is not the most
-frequent one (then smaller) of the table; equal scores go to the smaller id; repeated
-ids are one query, and never neighbours of themselves; with fewer than ``k`` candidates
+frequent one (then smaller) of the table; equal scores go to the smaller id; of rows that
+share an id the one with the least vector stands, the others take no part; with fewer than ``k`` candidates
 all are returned; an empty table gives no rows.
 """
 
@@ -33,8 +33,8 @@ from fraudmart.llm.common import tidy_cogroup
 PIVOTS, PREFIX = 256, 96
 #: Vectors that pivots are chosen from.
 SAMPLE = 2048
-#: Part of a block's candidates that is reranked, and the least number of them.
-SHARE, LEAST = 0.35, 1000
+#: Part of a block's candidates that is reranked; never fewer than so many for each neighbour wanted.
+SHARE, PER_NEIGHBOUR = 0.35, 10
 BLOCK_ROWS, CHUNK_ROWS = 20_000, 4_000
 SCHEMA = "query_id long, vec_id long, score double"
 
@@ -47,7 +47,8 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
         F.col("vec_id").isNotNull() & F.col("v").isNotNull() & finite & F.exists("v", lambda x: x != 0)
     )
     length = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return rows.where(F.size("v") == (length.n if length else 0))
+    whole = rows.where(F.size("v") == (length.n if length else 0))
+    return whole.groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
 def choose_pivots(rows: DataFrame, pivots: int, sample: int) -> np.ndarray:
@@ -86,12 +87,23 @@ def inverted_files(order: np.ndarray, n_pivots: int) -> list[tuple[np.ndarray, n
     prefix = order.shape[1]
     pivot = order.ravel()
     by_pivot = np.argsort(pivot, kind="stable")
-    rows, places = (by_pivot // prefix).astype(np.int32), (by_pivot % prefix).astype(np.int16)
+    rows, places = by_pivot // prefix, by_pivot % prefix
     ends = np.cumsum(np.bincount(pivot, minlength=n_pivots))
     return [(rows[a:b], places[a:b]) for a, b in zip(np.concatenate(([0], ends[:-1])), ends)]
 
 
-def search_block(index: pa.Table, queries: pa.Table, pivots: np.ndarray, prefix: int, share: float, least: int, k: int) -> pa.Table:
+def spread_files(files: list[tuple[np.ndarray, np.ndarray]], n: int, prefix: int) -> np.ndarray:
+    """The inverted files as arrays over a block's rows (pivots x rows): each row's place, ``prefix`` where it isn't posted.
+
+    A file holds ``prefix`` / pivots of the rows, so an array is read faster than a list of them.
+    """
+    spread = np.full((len(files), n), prefix, np.int8 if prefix < 128 else np.int16)
+    for pivot, (rows, places) in enumerate(files):
+        spread[pivot, rows] = places
+    return spread
+
+
+def search_block(index: pa.Table, queries: pa.Table, pivots: np.ndarray, prefix: int, share: float, k: int) -> pa.Table:
     """The nearest ``k`` in one block for one chunk of queries."""
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     if len(index) and len(queries):
@@ -106,22 +118,29 @@ def search_block(index: pa.Table, queries: pa.Table, pivots: np.ndarray, prefix:
         asked, asked_vectors = queries["vec_id"].to_numpy(), matrix(queries["v"], len(queries))
         files = inverted_files(prefixes(vectors, pivots, prefix), len(pivots))
         prefix = min(prefix, len(pivots))
-        places = np.arange(prefix)
-        wanted = max(least, math.ceil(share * n), k + 1)
+        files = spread_files(files, n, prefix)
+        apart = np.empty(n, files.dtype)
+        wanted = max(PER_NEIGHBOUR * k, math.ceil(share * n), k + 1)
+        rough_vectors = vectors.astype(np.float32)
+        longest = np.abs(vectors).sum(axis=1).max()
         for query, vector, order in zip(asked, asked_vectors, prefixes(asked_vectors, pivots, prefix)):
             candidates = np.arange(n)
             if wanted < n:
-                nearer = np.zeros(n, np.int16)  # by how much less than for a row without any of the pivots
+                distance = np.zeros(n, np.int16 if prefix < 128 else np.int32)
                 for place, pivot in enumerate(order):
-                    rows, at = files[pivot]
-                    nearer[rows] += (prefix - place - np.abs(places - place)).astype(np.int16)[at]
+                    np.subtract(files[pivot], place, out=apart)
+                    np.abs(apart, out=apart)
+                    np.add(distance, apart, out=distance)
                 # equal distances go to the smaller id, which comes first among the first copies
-                rank = nearer.astype(np.int64) * -len(index) + first
+                rank = distance.astype(np.int64) * len(index) + first
                 candidates = np.argpartition(rank, wanted - 1)[:wanted]
-            rough = vectors[candidates] @ vector
-            if len(rough) > k + 1:  # one of them may be the query's own
-                least_score = np.partition(rough, len(rough) - k - 1)[-k - 1]
-                candidates = candidates[rough >= least_score - 1e-9 * (1 + abs(least_score))]
+            if len(candidates) > k + 1:  # one of them may be the query's own
+                rough = rough_vectors[candidates] @ vector.astype(np.float32)
+                least_score = float(np.partition(rough, len(rough) - k - 1)[-k - 1])
+                # more than the rounding of single precision; what is left is scored exactly
+                slack = 1e-5 * longest * np.abs(vector).max()
+                if np.isfinite(least_score) and np.isfinite(slack):
+                    candidates = candidates[rough >= least_score - slack]
             exact = (vectors[candidates] * vector).sum(axis=1)  # row by row, not as a matrix product
             # of copies the k + 1 smallest ids are enough
             some = np.minimum(ends[candidates] - starts[candidates], k + 1)
@@ -144,13 +163,12 @@ def nearest(
     prefix: int = PREFIX,
     sample: int = SAMPLE,
     share: float = SHARE,
-    least: int = LEAST,
     block_rows: int = BLOCK_ROWS,
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` rows found nearest to each row where ``is_query`` (of vec_id) holds."""
     rows = usable(vectors, id_col, vector_col)
-    queries = rows.where(is_query).dropDuplicates(["vec_id"])
+    queries = rows.where(is_query)
     points = choose_pivots(rows, pivots, sample)
     n, asked = rows.count(), queries.count()
     blocks, chunks = max(1, math.ceil(n / block_rows)), max(1, math.ceil(asked / chunk_rows))
@@ -163,7 +181,7 @@ def nearest(
     shared = vectors.sparkSession.sparkContext.broadcast(points)  # pivots x components
 
     def search(index: pa.Table, asked_rows: pa.Table) -> pa.Table:
-        return search_block(index, asked_rows, shared.value, prefix, share, least, k)
+        return search_block(index, asked_rows, shared.value, prefix, share, k)
 
     index = dealt(rows, "block", blocks, "chunk", chunks).groupBy("block", "chunk")
     found = index.cogroup(dealt(queries, "chunk", chunks, "block", blocks).groupBy("block", "chunk")).applyInArrow(tidy_cogroup(search), SCHEMA)

@@ -140,7 +140,7 @@ def found(df):
 def test_nearest_recall(spark):
     vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     rows = [(r.vec_id, r.embedding) for r in vectors.collect()]
-    got = found(ann.nearest(vectors, F.col("vec_id") % 20 == 0, least=200, block_rows=700, chunk_rows=60))
+    got = found(ann.nearest(vectors, F.col("vec_id") % 20 == 0, block_rows=700, chunk_rows=60))
     want = exact(rows, [i for i, _ in rows if i % 20 == 0], 20)
     assert got.keys() == want.keys()
     hit = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
@@ -166,6 +166,33 @@ def test_nearest_copies_and_odd(spark):
     assert [i for i, _ in found(ann.nearest(twice, F.col("vec_id") % 20 == 0))[0]] == [i for i, _ in exact(rows[:50], [0], 20)[0]]
 
 
+def test_repeated_ids(spark):
+    """Of rows that share an id the least vector stands, whatever their order."""
+    rows = [(0, [1.0, 0.0]), (20, [0.0, 1.0]), (20, [0.5, 2.0]), (1, [0.1, 1.0]), (2, [1.0, 0.1]), (2, [-9.0, 5.0])]
+    want = exact([(0, [1.0, 0.0]), (20, [0.0, 1.0]), (1, [0.1, 1.0]), (2, [-9.0, 5.0])], [0, 20], 20)
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "vec_id long, embedding array<double>").coalesce(1)
+        assert found(ann.nearest(df, F.col("vec_id") % 20 == 0)) == want
+
+
+def test_footrule_ranks_candidates():
+    """What is reranked is what the plain footrule distance puts first."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    vectors, pivots = rng.normal(size=(900, 6)), rng.normal(size=(20, 6))
+    order = ann.prefixes(vectors, pivots, 8)
+    place = np.full((900, 20), 8)
+    np.put_along_axis(place, order, np.arange(8)[None, :], axis=1)
+    table = pa.table({"vec_id": np.arange(900), "v": pa.array(vectors.tolist())})
+    got = ann.search_block(table, table.slice(0, 5), pivots, 8, 0.3, 4).to_pylist()
+    for q in range(5):
+        distance = np.abs(place[:, order[q]] - np.arange(8)).sum(axis=1)
+        best = np.lexsort((np.arange(900), distance))[: 270]
+        near = [b for b in sorted(best, key=lambda b: (-(vectors[b] * vectors[q]).sum(), b)) if b != q][:4]
+        assert [r["vec_id"] for r in got if r["query_id"] == q] == near
+
+
 def test_footrule_order():
     """Candidates rank by the footrule distance over the query's pivots."""
     rng = np.random.default_rng(2)
