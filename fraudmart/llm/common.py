@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -57,6 +58,15 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def drop_shuffles(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of steps that nothing refers to any more.
+
+    Its cleaner follows the garbage collector, which a driver with little to do seldom runs.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
 def release_memory() -> None:
     """Give freed memory back to the system; Python workers live on between tasks."""
     pa.default_memory_pool().release_unused()

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fraudmart.llm.common import discard, mix64, staged, text_slices, tidy, tidy_cogroup, word_hashes, words_in
+from fraudmart.llm.common import discard, drop_shuffles, mix64, staged, text_slices, tidy, tidy_cogroup, word_hashes, words_in
 
 COORDINATES = 128
 #: Greatest share of pairs at the threshold that share no node at ``DEPTH`` in any tree; decides how many trees there are.
@@ -371,16 +371,27 @@ def confirm_block(sets: pa.Table, asked: pa.Table, percent: int) -> pa.Table:
 
 
 def confirmed(asked: DataFrame, docs: DataFrame, places: DataFrame, id_col: str, text_col: str, size: int, threshold: Threshold) -> DataFrame:
-    """Links (x, y) that full sets confirm: all that connect an x of ``asked`` with a component of its partners in a block."""
+    """Links (x, y) that full sets confirm: all that connect an x of ``asked`` with a component of its partners in a block.
+
+    A block's askers carry their own sets, so they are dealt into shares of at most about ``BLOCK_IDS``, each of which
+    meets the block's sets.
+    """
     ids = ids_asked(asked).join(places.select("id", "block"), "id")
     sets = staged(full_sets(docs, ids, id_col, text_col, size), "shingle-sets")
-    askers = asked.join(sets.select(F.col("id").alias("x"), F.col("shingles").alias("mine")), "x")
-    askers = askers.select("x", F.col("block").alias("of_block"), "others", "mine")
+    shares = asked.groupBy("block").agg(F.ceil(F.count("*") / BLOCK_IDS).cast("int").alias("shares")).where("shares > 1")
+    share = F.pmod(F.xxhash64("x"), F.coalesce("shares", F.lit(1)).cast("long")).cast("int")
+    askers = asked.join(sets.select(F.col("id").alias("x"), F.col("shingles").alias("mine")), "x").join(shares, "block", "left")
+    askers = askers.select("x", F.col("block").alias("of_block"), share.alias("of_share"), "others", "mine")
+    every = F.sequence(F.lit(0), F.coalesce("shares", F.lit(1)) - 1)
+    met = sets.join(shares, "block", "left").select("id", "block", F.explode(every).alias("share"), "shingles")
 
     def confirm(own: pa.Table, asking: pa.Table) -> pa.Table:
         return confirm_block(own, asking, threshold.percent)
 
-    return sets.groupBy("block").cogroup(askers.groupBy("of_block")).applyInArrow(tidy_cogroup(confirm), "x long, y long")
+    found = met.groupBy("block", "share").cogroup(askers.groupBy("of_block", "of_share")).applyInArrow(tidy_cogroup(confirm), "x long, y long")
+    links = staged(found, "confirmed")
+    discard(sets)
+    return links
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -397,6 +408,7 @@ def components(links: DataFrame) -> DataFrame:
         discard(labels)
         labels = new.select("id", "label")
         if not changed:
+            discard(links)
             return labels.withColumnRenamed("label", "comp")
 
 
@@ -424,6 +436,8 @@ def near_components(
 
     reps = staged(reps.select("id", "signature").mapInArrow(tidy(add_lite), "id long, signature binary, lite binary"), "signatures")
     lite = reps.select("id", "lite")
+    signed, described = described, staged(described.select("id", "n", "a", "b"), "sizes")
+    discard(signed)  # signatures are needed once a class only
     blocks = max(1, math.ceil(reps.count() / BLOCK_IDS))
 
     # 1. stars
@@ -435,34 +449,50 @@ def near_components(
     stars = stars.select(F.col("leader").alias("x"), F.col("id").alias("y")).distinct()
     places = in_places(lite.select("id", F.col("id").alias("comp")), blocks)
     stars = staged(ask_pairs(likely(stars, lite, threshold), places), "stars")
-    links = staged(confirmed(stars, docs, places, id_col, text_col, size, threshold), "star-links")
-    comp = staged(components(links), "components")
+    discard(leaders)
+    links = confirmed(stars, docs, places, id_col, text_col, size, threshold)
+    comp = components(links)
+    for done in (stars, links):
+        discard(done)
+    drop_shuffles(docs.sparkSession)
 
     # 2. nodes that mix components
     classes_comp = lite.select("id").join(comp, "id", "left").select("id", F.coalesce("comp", "id").alias("comp"))
     places = staged(in_places(classes_comp, blocks), "places")
     reps_comp = places.select("id", "comp")
     nodes = branch(reps, trees)
-    frontier, compared, level = nodes.join(reps_comp, "id"), [], 2
+    frontier, compared, level, before = nodes.join(reps_comp, "id"), [], 2, None
     while True:
         mixed = staged(mixed_nodes(frontier), "mixed-nodes")
         frontier = staged(frontier.join(mixed, "node"), "frontier")
-        compared.append(frontier.where(F.col("n") <= small).select("node", "id", "comp"))
-        compared.append(against_most(frontier.where((F.col("n") > small) & (F.col("n") - F.col("n_most") <= small)), small))
+        for done in (before, mixed):
+            if done is not None:
+                discard(done)
+        near = frontier.where(F.col("n") <= small).select("node", "id", "comp")
+        near = near.union(against_most(frontier.where((F.col("n") > small) & (F.col("n") - F.col("n_most") <= small)), small))
+        compared.append(staged(near, "compared"))
         large = frontier.where(F.col("n") - F.col("n_most") > small)
         if large.isEmpty():
+            discard(frontier)
             break
         if level == depth:
-            compared.append(in_blocks(large, small))
+            compared.append(staged(in_blocks(large, small), "compared"))
+            discard(frontier)
             break
         below = branch(large.join(reps.select("id", "signature"), "id"))
-        frontier, level = below.join(reps_comp, "id"), level + 1
+        before, frontier, level = frontier, below.join(reps_comp, "id"), level + 1
+    drop_shuffles(docs.sparkSession)
     rows = reduce(DataFrame.union, compared).join(lite.join(places.select("id", "block"), "id"), "id")
     asked = staged(compare_nodes(rows, threshold), "asked")
+    for done in (*compared, reps):
+        discard(done)
+    drop_shuffles(docs.sparkSession)
 
     # 3. all links
     more = confirmed(asked, docs, places, id_col, text_col, size, threshold)
     comp = components(comp.select(F.col("comp").alias("x"), F.col("id").alias("y")).union(more))
+    for done in (asked, more, places):
+        discard(done)
 
     member = described.select("id", "n", "a", "b").join(classes, ["a", "b"], "left")
     member = member.join(comp.withColumnRenamed("id", "rep"), "rep", "left")
