@@ -79,12 +79,31 @@ def vanished_keys(target: DataFrame, staging: DataFrame, source_keys: DataFrame,
     return known.join(src, key, "left_anti").distinct()
 
 
-def scd1_apply_vanished(target: DataFrame, staging: DataFrame, vanished: DataFrame, key: str) -> DataFrame:
-    """:func:`scd1_apply` with the vanished keys known: ``target`` may then be any set of whole key parts."""
+def _merge_small(target: DataFrame, staging: DataFrame, key: str, cols: list[str]) -> DataFrame:
+    """:func:`_merge` for a staging side that is small enough to broadcast (checked by the caller).
+
+    The target is read twice, its keys alone the second time, and never shuffled; what is
+    aggregated are staged keys that it has.
+    """
+    news = F.broadcast(staging.select(F.col(key).alias("_key"), F.struct(*cols).alias("_new")))
+    row = F.coalesce(F.col("_new"), F.struct(*cols))
+    updated = target.join(news, F.col(key) == F.col("_key"), "left").select(row.alias("_row")).select("_row.*")
+    had = target.select(key).join(F.broadcast(staging.select(key)), key, "left_semi").distinct()
+    return updated.unionByName(staging.select(*cols).join(F.broadcast(had), key, "left_anti"))
+
+
+def scd1_apply_vanished(target: DataFrame, staging: DataFrame, vanished: DataFrame, key: str, small: bool = False) -> DataFrame:
+    """:func:`scd1_apply` with the vanished keys known: ``target`` may then be any set of whole key parts.
+
+    ``small`` says that staging and the vanished keys were measured and fit a broadcast; then the
+    target isn't shuffled.
+    """
     cols = target.columns
     keyed, null_target = _split_null_keys(target, key)
     staged, null_staged = _split_null_keys(staging.select(*cols), key)
-    merged = _merge(keyed.join(vanished, key, "left_anti"), staged.join(vanished, key, "left_anti"), key, cols)
+    gone = F.broadcast(vanished) if small else vanished
+    merge = _merge_small if small else _merge
+    merged = merge(keyed.join(gone, key, "left_anti"), staged.join(gone, key, "left_anti"), key, cols)
     return merged.unionByName(null_target.select(*cols)).unionByName(null_staged)
 
 

@@ -40,6 +40,7 @@ from fraudmart.operators.capture import (
     initial_load,
     source_keys,
 )
+from fraudmart.operators.broadcast import observed_size
 from fraudmart.operators.files import FILE_KEY, oldest_drop, require_feeds, unseen_files
 from fraudmart.operators.report import fraud_report, fraud_report_measured
 from fraudmart.operators.scd1 import assert_unique_keys, scd1_apply_vanished, scd1_upsert, vanished_keys
@@ -78,6 +79,7 @@ class Written:
     rows: int
     newest: str | None = None
     parts: set[str] = field(default_factory=set)
+    bytes: int | None = None  # in memory, as a broadcast
 
 
 class Warehouse:
@@ -115,9 +117,10 @@ class Warehouse:
             facts.append(observed_max(df).alias("newest"))
         if part is not None:
             facts.append(F.collect_set(part).alias("parts"))  # at most n_parts numbers
+            facts.append(observed_size(df).alias("bytes"))
         write(df.observe(seen, *facts))
         values = seen.get
-        return Written(int(values["n"]), values.get("newest"), {str(p) for p in values.get("parts") or ()})
+        return Written(int(values["n"]), values.get("newest"), {str(p) for p in values.get("parts") or ()}, values.get("bytes"))
 
     def _pin(self, df: DataFrame, batch_id: int, attempt: str, name: str, part: Column | None = None) -> tuple[DataFrame, Written]:
         """Write ``df`` once under the shared checkpoint folder and read it back."""
@@ -167,15 +170,17 @@ class Warehouse:
         """
         _schema, key = schemas.DIMENSIONS[dim]
         (frame, written), known, part = staged, state.parts.get(dim, {}), part_of(key, state.n_parts)
-        parts, vanished = written.parts, None
+        parts, vanished, small = written.parts, None, False
         if keys is not None:
             gone = vanished_keys(self.store.dim_of(dim, state), frame, keys, key)
             vanished, left = self._pin(gone, batch_id, attempt, f"vanished_{dim}", part)
             parts = parts | left.parts
+            # a day's changes mostly fit a broadcast, and then the dimension isn't shuffled
+            small = written.bytes + left.bytes <= self.broadcast_limit_bytes
         if not parts:
             return known
         current = self.store.dim_of(dim, state, parts)
-        new = scd1_upsert(current, frame, key) if vanished is None else scd1_apply_vanished(current, frame, vanished, key)
+        new = scd1_upsert(current, frame, key) if vanished is None else scd1_apply_vanished(current, frame, vanished, key, small)
         return {p: v for p, v in known.items() if p not in parts} | self._write_dim(dim, new, batch_id, attempt, state.n_parts)
 
     def _write_dim(self, dim: str, df: DataFrame, batch_id: int, attempt: str, n_parts: int) -> dict[str, str]:

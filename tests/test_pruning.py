@@ -19,7 +19,7 @@ from fraudmart.sources.text import read_feed_text
 from fraudmart.sources.xlsx import BLACKLIST_FILE_SCHEMA
 from fraudmart.streaming.transactions import archive_consumed, start_transactions_stream
 from paths import SF_SMALL
-from plan_metrics import metric
+from plan_metrics import metric, nodes
 from test_daily import _drop, _sources
 from test_skew import conf
 
@@ -99,8 +99,13 @@ def test_apply_by_vanished_keys_is_apply(spark):
     keys = spark.createDataFrame([("2",), ("2",), ("5",), (None,)], "id string")
     vanished = vanished_keys(target, staged, keys, "k")
     assert sorted(r.k for r in vanished.collect()) == ["1", "3", "6"]
+    vanished = spark.createDataFrame(vanished.collect(), "k string")  # as the job does, pinned
     want = sorted(map(str, scd1_apply(target, staged, keys, "k").collect()))
-    assert sorted(map(str, scd1_apply_vanished(target, staged, vanished, "k").collect())) == want
+    for small in (False, True):
+        got = scd1_apply_vanished(target, staged, vanished, "k", small)
+        assert sorted(map(str, got.collect())) == want
+        moved = [k for k, _ in nodes(got) if k == "ShuffleExchangeExec"]
+        assert len(moved) <= 1 if small else len(moved) >= 2  # small: only staged keys that the target has
 
 
 def test_batch_archive(spark, workdir):
