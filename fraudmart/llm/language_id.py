@@ -76,8 +76,8 @@ def letter_table() -> np.ndarray:
     return _is_letter
 
 
-def bundles(texts: list[str], dimensions: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """(bundled vector of each text, whether it has a letter)."""
+def spelled(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(letters and single gaps of all texts, the text of each, whether each text has a letter)."""
     points = [letters_of(t) for t in texts]
     # a gap on each side, so that short words and ends count too
     row = np.repeat(np.arange(len(texts)), [len(p) + 1 for p in points])
@@ -85,12 +85,22 @@ def bundles(texts: list[str], dimensions: int, gram: int) -> tuple[np.ndarray, n
     whole[~letter_table()[whole]] = GAP
     has = np.bincount(row[whole != GAP], minlength=len(texts)) > 0
     keep = (whole != GAP) | np.concatenate(([True], whole[:-1] != GAP)) | np.concatenate(([True], row[1:] != row[:-1]))
-    whole, row = whole[keep], row[keep]
+    return whole[keep], row[keep], has
+
+
+def bundles(texts: list[str], dimensions: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bundled vector of each text, whether it has a letter)."""
+    whole, row, has = spelled(texts)
+    return gram_bundles(whole, row, len(texts), dimensions, gram), has
+
+
+def gram_bundles(whole: np.ndarray, row: np.ndarray, n_texts: int, dimensions: int, gram: int) -> np.ndarray:
+    """The bundled vector of each text, from its letters and gaps."""
     letters, places = np.unique(whole, return_inverse=True)
-    out = np.zeros((len(texts), dimensions), np.float32)
+    out = np.zeros((n_texts, dimensions), np.float32)
     n = len(whole) - gram + 1
     if n < 1:
-        return out, has
+        return out
     base = len(letters)
     code = np.zeros(n, np.int64)
     for k in range(gram):
@@ -107,21 +117,22 @@ def bundles(texts: list[str], dimensions: int, gram: int) -> tuple[np.ndarray, n
     for first in range(0, len(seen), KINDS):
         part = seen[first : first + KINDS]
         mine = slice(None) if len(seen) <= KINDS else (kind >= first) & (kind < first + KINDS)
-        counts = np.bincount(row[mine] * len(part) + kind[mine] - first, minlength=len(texts) * len(part))
+        counts = np.bincount(row[mine] * len(part) + kind[mine] - first, minlength=n_texts * len(part))
         grams = np.stack([part // base ** (gram - 1 - k) % base for k in range(gram)], axis=1)
-        out += counts.reshape(len(texts), len(part)).astype(np.float32) @ gram_vectors(grams, letters, dimensions)
-    return out, has
+        out += counts.reshape(n_texts, len(part)).astype(np.float32) @ gram_vectors(grams, letters, dimensions)
+    return out
 
 
 def bundled(texts: list[str], dimensions: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """``bundles``, with texts of over ``SLICE`` characters taken in parts whose vectors add up."""
+    """``bundles``, with a text of over ``SLICE`` characters taken in parts whose vectors add up.
+
+    A part reaches ``gram`` - 1 letters into the next, so every n-gram is in exactly one.
+    """
     if len(texts) != 1 or len(texts[0]) <= SLICE:
         return bundles(texts, dimensions, gram)
-    total, has = 0, False
-    for first in range(0, len(texts[0]), SLICE):
-        vectors, letters = bundles([texts[0][first : first + SLICE]], dimensions, gram)
-        total, has = total + vectors, has | letters
-    return total, has
+    whole, row, has = spelled(texts)
+    parts = ((whole[k : k + SLICE + gram - 1], row[k : k + SLICE + gram - 1]) for k in range(0, len(whole), SLICE))
+    return sum(gram_bundles(*part, 1, dimensions, gram) for part in parts), has
 
 
 def batches_of(texts: list[str]) -> Iterator[tuple[int, int]]:
