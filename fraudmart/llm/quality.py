@@ -165,7 +165,10 @@ def learn(
     sample: int = SAMPLE,
     sample_passages: int = SAMPLE_PASSAGES,
 ) -> Model:
-    """A model of the labels of ``docs``, from a sample of at most ``sample`` documents."""
+    """A model of the labels of ``docs``, from a sample of at most ``sample`` documents.
+
+    An id that is there more than once counts once, with its text of the least hash.
+    """
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id"))
     known = known.agg(F.min(label_col).cast("double").alias("y")).orderBy(F.xxhash64("id"), "id").limit(sample)
     chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(known), "id")
@@ -181,11 +184,13 @@ def learn(
                         own = own[np.linspace(0, len(own) - 1, sample_passages).astype(int)]
                     kept.append(len(own))
                     values.append(x[own].astype("<f4").tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.binary()), batch.column(2)], ["id", "x", "y"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.binary()), *batch.columns[2:]], ["id", "x", "y", "h"])
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    rows = chosen.select("id", "text", "y").mapInArrow(tidy(run), f"id {id_type}, x binary, y double").collect()
-    rows = sorted({r.id: r for r in rows}.values(), key=lambda r: r.id)
+    made = chosen.select("id", "text", "y", F.xxhash64("text").alias("h")).mapInArrow(tidy(run), f"id {id_type}, x binary, y double, h long")
+    # of rows that share an id the one whose text has the least hash: at most ``sample`` rows are collected
+    rows = made.groupBy("id").agg(F.min(F.struct("h", "x", "y")).alias("r")).select("id", "r.x", "r.y").collect()
+    rows = sorted(rows, key=lambda r: r.id)
     bags = [np.frombuffer(r.x, "<f4").reshape(-1, N_FEATURES) for r in rows]
     features = np.concatenate(bags) if bags else np.zeros((0, N_FEATURES), np.float32)
     row = np.repeat(np.arange(len(bags)), [len(b) for b in bags])

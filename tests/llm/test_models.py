@@ -66,6 +66,20 @@ def test_quality_odd(spark, odd, empty):
     assert {round(r.score, 6) for r in quality.score(odd, one).collect()} == {0.75}
 
 
+def test_quality_repeated_ids(spark, documents):
+    """Rows of one id count once, whatever their order; a plain forward pass gives the same scores."""
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    other = documents.withColumn("text", F.concat(F.lit("x "), "text"))
+    models = [quality.learn(df, labels, sample=30) for df in (documents.union(other), other.union(documents).repartition(5))]
+    first, second = (quality.score(documents, m).select("doc.doc_id", "score").collect() for m in models)
+    assert {r.doc_id: round(r.score, 6) for r in first} == {r.doc_id: round(r.score, 6) for r in second}
+    for r in documents.limit(20).collect():
+        data = np.frombuffer((r.text or "").encode(), np.uint8)
+        row, x = quality.passages(data, np.array([0, len(data)]))
+        alone = models[0].score(row, x)[0]
+        assert abs(alone - {f.doc_id: f.score for f in first}[r.doc_id]) < 1e-5
+
+
 def test_quality_sample_is_bounded(documents, spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     model = quality.learn(documents, labels, sample=20, sample_passages=2)
@@ -96,6 +110,19 @@ def test_bundles(documents, gram):
         assert np.array_equal(vector, plain_bundle(text, 64, gram))
 
 
+def test_long_text_is_whole(monkeypatch):
+    """A text over the slice gives the same vector as in one piece, wherever it is cut."""
+    rng = np.random.default_rng(0)
+    text = "".join(rng.choice(list("abc dé.\n中"), 999))
+    want, _ = language_id.bundles([text], 64, 3)
+    for size in (7, 64, 500, 998):
+        monkeypatch.setattr(language_id, "SLICE", size)
+        got, has = language_id.bundled([text], 64, 3)
+        assert np.array_equal(got, want) and has.tolist() == [True]
+    got, has = language_id.bundled(["." * 999], 64, 3)
+    assert not got.any() and has.tolist() == [False]
+
+
 def test_language_held_out(spark):
     sf = "/root/testdata/sf0.01"
     got = queries.op8_language_id(spark, sf).collect()
