@@ -14,11 +14,12 @@ is the sum of the weights on its way.
 
 The whole corpus is counted and no model is ever in one place:
 
-1. Tasks cut their texts into chunks of about ``CHUNK_TOKENS`` and count each chunk's
-   distinct n-grams, as sorted 64-bit hashes dealt into buckets by their top bits.
-   One row per chunk and bucket is shuffled, whatever the frequency of a word.
-2. A bucket adds up the chunks' counts and answers each chunk with the corpus's totals,
-   in the chunk's own order.
+1. Tasks cut their texts into chunks of about ``CHUNK_TOKENS`` and store each text as indexes into its
+   chunk's distinct words; nothing else of the corpus is written.
+2. For one order after another, every chunk counts its distinct n-grams, as sorted 64-bit hashes
+   dealt into buckets by their top bits.  One row per chunk and bucket is shuffled, whatever the
+   frequency of a word.  A bucket adds up the chunks' counts and answers each chunk with the
+   corpus's totals, in the chunk's own order.  What an order has shuffled goes before the next begins.
 3. A chunk meets its answers, makes the part of the automaton that its texts can
    reach, and sends all of its texts through it.
 
@@ -32,6 +33,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fraudmart.llm.common import mix64, staged, text_slices, tidy, tidy_cogroup, tidy_group, word_hashes, words_in
+from fraudmart.llm.common import drop_shuffles, mix64, staged, text_slices, tidy, tidy_cogroup, tidy_group, word_hashes, words_in
 
 ORDER = 2
 #: Weight m of the shorter context.
@@ -94,46 +96,39 @@ class Chunk:
         self.place = np.arange(len(tokens)) - np.repeat(first, lengths)
         self.row = np.repeat(np.arange(len(lengths)), lengths)
 
+    def of_order(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(sorted distinct n-grams, tokens that end one, which one each ends)."""
+        at = np.flatnonzero(self.place >= n - 1)
+        keys, which = np.unique(grams(self.tokens, self.place, n)[-1][at], return_inverse=True)
+        return keys, at, which
+
     def distinct(self, order: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """For n = 1..order: (sorted distinct n-grams, tokens that end one, which one each ends)."""
-        for n, hashes in enumerate(grams(self.tokens, self.place, order), start=1):
-            at = np.flatnonzero(self.place >= n - 1)
-            keys, which = np.unique(hashes[at], return_inverse=True)
-            yield keys, at, which
+        """:meth:`of_order` for n = 1..order."""
+        return (self.of_order(n) for n in range(1, order + 1))
 
 
-#: In the place of ``gram``: a text, and which 1-gram each of its indexes means.
-TEXT, FALLING = 0, -1
-TABLE = "chunk long, bucket long, gram int, keys binary, counts binary, id long, held_out boolean, tokens binary"
+#: A text as indexes of words, and a chunk's words: their sorted hashes and which of them each index means.
+TEXT, WORDS = 0, 1
+TABLE = "chunk long, kind int, id long, held_out boolean, tokens binary, keys binary"
 TABLE_NAMES = [c.split()[0] for c in TABLE.split(", ")]
-TABLE_TYPES = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.bool_(), pa.binary()]
+TABLE_TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.binary(), pa.binary()]
 
 
-def count_chunks(docs: DataFrame, order: int, bits: int, chunk_tokens: int) -> DataFrame:
-    """Rows of ``TABLE`` from (id, text, held_out): a chunk's n-grams by bucket, and its texts as indexes of its 1-grams."""
+def cut_chunks(docs: DataFrame, chunk_tokens: int) -> DataFrame:
+    """Rows of ``TABLE`` from (id, text, held_out)."""
 
     def rows_of(chunk_id: int, ids: list, held: list, hashes: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         lengths = np.array([len(h) for h in hashes])
-        chunk = Chunk(np.concatenate(hashes), lengths)
-        train = ~np.array(held, bool)[chunk.row]
-        rows: list[tuple] = []
-        bounds = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.zeros(0, np.uint64)
-        texts: list[tuple] = []
-        for n, (keys, at, which) in enumerate(chunk.distinct(order), start=1):
-            counts = np.bincount(which, weights=train[at], minlength=len(keys)).astype("<u4")
-            ends = [0, *np.searchsorted(keys, bounds).tolist(), len(keys)]
-            rows += [(chunk_id, b, n, delta(keys[i:j]), planes(counts[i:j]), None, None, None) for b, (i, j) in enumerate(zip(ends, ends[1:])) if i < j]
-            if n == 1:
-                # by falling frequency: most indexes are small then, and compress
-                falling = np.argsort(-np.bincount(which, minlength=len(keys)), kind="stable").astype("<u4")
-                place = np.empty_like(falling)
-                place[falling] = np.arange(len(falling), dtype="<u4")
-                which, cuts = place[which], np.cumsum(lengths) - lengths
-                texts = [(chunk_id, None, FALLING, None, None, None, None, planes(falling))]
-                texts += [(chunk_id, None, TEXT, None, None, i, h, planes(which[a + 1 : a + m])) for i, h, a, m in zip(ids, held, cuts, lengths)]
-        for first in range(0, len(rows) + len(texts), 2048):
-            part = [*rows, *texts][first : first + 2048]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*part), TABLE_TYPES)], TABLE_NAMES)
+        keys, which = np.unique(np.concatenate(hashes), return_inverse=True)
+        # by falling frequency: most indexes are small then, and compress
+        falling = np.argsort(-np.bincount(which, minlength=len(keys)), kind="stable").astype("<u4")
+        place = np.empty_like(falling)
+        place[falling] = np.arange(len(falling), dtype="<u4")
+        which, cuts = place[which], np.cumsum(lengths) - lengths
+        rows = [(chunk_id, WORDS, None, None, planes(falling), delta(keys))]
+        rows += [(chunk_id, TEXT, i, h, planes(which[a + 1 : a + m]), None) for i, h, a, m in zip(ids, held, cuts, lengths)]
+        for first in range(0, len(rows), 2048):
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[first : first + 2048]), TABLE_TYPES)], TABLE_NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk_id = TaskContext.get().partitionId() << 32
@@ -160,34 +155,61 @@ def count_chunks(docs: DataFrame, order: int, bits: int, chunk_tokens: int) -> D
     return docs.mapInArrow(tidy(run), TABLE)
 
 
-def total(bucket: pa.Table) -> pa.Table:
-    """Of one bucket: for each row, the corpus's counts of its n-grams; and the bucket's training tokens and words on its first row."""
-    gram = bucket["gram"].to_numpy()
-    chunks = bucket["chunk"].to_numpy()
+def read_chunk(rows: pa.Table) -> tuple[pa.Table, Chunk, np.ndarray]:
+    """(text rows, their chunk, which of its tokens aren't starts) of one chunk's rows of ``TABLE``."""
+    is_text = rows["kind"].to_numpy() == TEXT
+    words = int(np.argmin(is_text))
+    keys = from_delta(rows["keys"][words].as_buffer().to_pybytes())
+    falling = from_planes(rows["tokens"][words].as_buffer().to_pybytes(), "<u4")
+    texts = rows.filter(pa.array(is_text))
+    own = [from_planes(t.as_buffer().to_pybytes(), "<u4") for t in texts["tokens"]]
+    lengths = np.array([len(t) + 1 for t in own])
+    tokens = np.full(lengths.sum(), START, np.uint64)
+    inner = np.ones(len(tokens), bool)
+    inner[np.cumsum(lengths) - lengths] = False
+    tokens[inner] = keys[falling[np.concatenate(own)]]
+    return texts, Chunk(tokens, lengths), inner
+
+
+ASKED = "chunk long, bucket long, keys binary, counts binary"
+ANSWERED = "chunk long, bucket long, totals binary, n_tokens long, n_words long"
+
+
+def count_chunk(rows: pa.Table, n: int, bits: int) -> pa.Table:
+    """One chunk's distinct n-grams and their training counts, a row for each bucket."""
+    texts, chunk, _ = read_chunk(rows)
+    train = ~texts["held_out"].to_numpy()[chunk.row]
+    keys, at, which = chunk.of_order(n)
+    counts = np.bincount(which, weights=train[at], minlength=len(keys)).astype("<u4")
+    bounds = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.zeros(0, np.uint64)
+    ends = [0, *np.searchsorted(keys, bounds).tolist(), len(keys)]
+    cuts = [(b, i, j) for b, (i, j) in enumerate(zip(ends, ends[1:])) if i < j]
+    return pa.table(
+        {
+            "chunk": pa.array([rows["chunk"][0].as_py()] * len(cuts), pa.int64()),
+            "bucket": pa.array([b for b, _, _ in cuts], pa.int64()),
+            "keys": pa.array([delta(keys[i:j]) for _, i, j in cuts], pa.binary()),
+            "counts": pa.array([planes(counts[i:j]) for _, i, j in cuts], pa.binary()),
+        }
+    )
+
+
+def total(bucket: pa.Table, words: bool) -> pa.Table:
+    """Of one bucket: for each row, the corpus's counts of its n-grams; and, of ``words``, the training tokens and words on its first row."""
     keys = [from_delta(k.as_buffer().to_pybytes()) for k in bucket["keys"]]
     counts = [from_planes(c.as_buffer().to_pybytes(), "<u4") for c in bucket["counts"]]
-    answers: list[bytes] = [b""] * len(keys)
-    n_tokens = n_words = 0
-    for n in np.unique(gram):
-        own = np.flatnonzero(gram == n)
-        distinct, which = np.unique(np.concatenate([keys[i] for i in own]), return_inverse=True)
-        sums = np.bincount(which, weights=np.concatenate([counts[i] for i in own]), minlength=len(distinct)).astype("<u8")
-        cut = np.cumsum([len(keys[i]) for i in own])
-        for i, part in zip(own, np.split(sums[which], cut[:-1])):
-            answers[i] = planes(part)
-        if n == 1:
-            real = sums[distinct != START]
-            n_tokens, n_words = int(real.sum()), int((real > 0).sum())
+    distinct, which = np.unique(np.concatenate(keys), return_inverse=True)
+    sums = np.bincount(which, weights=np.concatenate(counts), minlength=len(distinct)).astype("<u8")
+    answers = [planes(part) for part in np.split(sums[which], np.cumsum([len(k) for k in keys])[:-1])]
+    real = sums[distinct != START] if words else np.zeros(0)
     first = np.arange(len(keys)) == 0
     return pa.table(
         {
-            "chunk": chunks,
+            "chunk": bucket["chunk"],
             "bucket": bucket["bucket"],
-            "gram": bucket["gram"],
-            "keys": pa.array([k.as_buffer().to_pybytes() if n == 1 else None for k, n in zip(bucket["keys"], gram)], pa.binary()),
             "totals": pa.array(answers, pa.binary()),
-            "n_tokens": np.where(first, n_tokens, 0),
-            "n_words": np.where(first, n_words, 0),
+            "n_tokens": np.where(first, int(real.sum()), 0),
+            "n_words": np.where(first, int((real > 0).sum()), 0),
         }
     )
 
@@ -251,17 +273,7 @@ def score_chunk(texts: pa.Table, answers: pa.Table, order: int, n_tokens: int, n
     gram = answers["gram"].to_numpy()
     parts = [from_planes(t.as_buffer().to_pybytes(), "<u8") for t in answers["totals"]]
     counts = [np.concatenate([parts[i] for i in np.flatnonzero(gram == n)] or [np.zeros(0, "<u8")]) for n in range(1, order + 1)]
-    keys = np.concatenate([from_delta(k.as_buffer().to_pybytes()) for k, n in zip(answers["keys"], gram) if n == 1])
-    is_text = texts["gram"].to_numpy() == TEXT
-    falling = from_planes(texts["tokens"][int(np.argmin(is_text))].as_buffer().to_pybytes(), "<u4")
-    texts = texts.filter(pa.array(is_text))
-    own = [falling[from_planes(t.as_buffer().to_pybytes(), "<u4")] for t in texts["tokens"]]
-    lengths = np.array([len(t) + 1 for t in own])
-    tokens = np.full(lengths.sum(), START, np.uint64)
-    inner = np.ones(len(tokens), bool)
-    inner[np.cumsum(lengths) - lengths] = False
-    tokens[inner] = keys[np.concatenate(own)]
-    chunk = Chunk(tokens, lengths)
+    texts, chunk, inner = read_chunk(texts)
     automaton = Automaton(chunk, counts, n_tokens, n_words, prior)
     known = counts[0][automaton.ends[0]] * inner > 0
     base = np.where(inner, automaton.arcs[0][automaton.ends[0]], 0.0)
@@ -269,9 +281,9 @@ def score_chunk(texts: pa.Table, answers: pa.Table, order: int, n_tokens: int, n
         {
             "id": texts["id"],
             "held_out": texts["held_out"],
-            "n_tokens": lengths - 1,
-            "n_known": np.bincount(chunk.row, weights=known, minlength=len(lengths)).astype(np.int64),
-            "base_score": np.bincount(chunk.row, weights=base, minlength=len(lengths)),
+            "n_tokens": chunk.lengths - 1,
+            "n_known": np.bincount(chunk.row, weights=known, minlength=len(chunk.lengths)).astype(np.int64),
+            "base_score": np.bincount(chunk.row, weights=base, minlength=len(chunk.lengths)),
             "score": automaton.read(),
         }
     )
@@ -291,18 +303,29 @@ def score_texts(
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(0, math.ceil(math.log2(max(1, size / bucket_bytes))))
-    table = staged(count_chunks(rows, order, bits, chunk_tokens), "lm-chunks")
-    asked = table.where("bucket IS NOT NULL").select("chunk", "bucket", "gram", "keys", "counts")
-    answered = asked.groupBy("bucket").applyInArrow(
-        tidy_group(total), "chunk long, bucket long, gram int, keys binary, totals binary, n_tokens long, n_words long"
-    )
-    answers = staged(answered, "lm-totals")
-    sums = answers.agg(F.sum("n_tokens"), F.sum("n_words")).first()
+    texts = staged(cut_chunks(rows, chunk_tokens), "lm-texts")
+
+    def answers_of(n: int) -> DataFrame:
+        def ask(own: pa.Table) -> pa.Table:
+            return count_chunk(own, n, bits)
+
+        def answer(bucket: pa.Table) -> pa.Table:
+            return total(bucket, n == 1)
+
+        asked = texts.groupBy("chunk").applyInArrow(tidy_group(ask), ASKED)
+        answered = asked.groupBy("bucket").applyInArrow(tidy_group(answer), ANSWERED)
+        return staged(answered.withColumn("gram", F.lit(n)), f"lm-totals-{n}")
+
+    answers = []
+    for n in range(1, order + 1):
+        answers.append(answers_of(n))
+        drop_shuffles(docs.sparkSession)
+    sums = answers[0].agg(F.sum("n_tokens"), F.sum("n_words")).first()
     n_tokens, n_words = sums[0] or 0, sums[1] or 0
 
-    def score(texts: pa.Table, own: pa.Table) -> pa.Table:
-        return score_chunk(texts, own, order, n_tokens, n_words, prior)
+    def score(own_texts: pa.Table, own: pa.Table) -> pa.Table:
+        return score_chunk(own_texts, own, order, n_tokens, n_words, prior)
 
-    texts = table.where("bucket IS NULL").select("chunk", "gram", "id", "held_out", "tokens").groupBy("chunk")
-    scored = texts.cogroup(answers.select("chunk", "bucket", "gram", "keys", "totals").groupBy("chunk")).applyInArrow(tidy_cogroup(score), SCORES)
+    every = reduce(DataFrame.union, answers).select("chunk", "bucket", "gram", "totals")
+    scored = texts.groupBy("chunk").cogroup(every.groupBy("chunk")).applyInArrow(tidy_cogroup(score), SCORES)
     return scored.withColumn("train_tokens", F.lit(n_tokens).cast("long"))
