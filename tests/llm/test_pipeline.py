@@ -87,7 +87,7 @@ def test_run(spark, steps):
 
 
 def test_registered():
-    assert {f"op{n}" for n in range(1, 11)} <= {q.split("_")[0] for q in entry.queries()} and "pipeline" in entry.queries()
+    assert {f"op{n}" for n in range(1, 14)} <= {q.split("_")[0] for q in entry.queries()} and "pipeline" in entry.queries()
     assert QUERIES.keys() <= entry.queries().keys() and ORACLES.keys() <= entry.oracle_sql().keys()
 
 
