@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import time
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -63,8 +64,10 @@ def drop_shuffles(spark: SparkSession) -> None:
 
     Its cleaner follows the garbage collector, which a driver with little to do seldom runs.
     """
-    gc.collect()
-    spark.sparkContext._jvm.java.lang.System.gc()
+    gc.collect()  # drops the driver's handles of finished frames, then the JVM drops what they held
+    for _ in range(2):
+        spark.sparkContext._jvm.java.lang.System.gc()
+        time.sleep(0.3)
 
 
 def release_memory() -> None:

@@ -14,8 +14,8 @@ is the sum of the weights on its way.
 
 The whole corpus is counted and no model is ever in one place:
 
-1. Tasks cut their texts into chunks of about ``CHUNK_TOKENS`` and store each text as indexes into its
-   chunk's distinct words; nothing else of the corpus is written.
+1. Tasks cut their texts into chunks of about ``CHUNK_TOKENS`` and store each chunk as one row: its
+   distinct words, and its texts as indexes of them; nothing else of the corpus is written.
 2. For one order after another, every chunk counts its distinct n-grams, as sorted 64-bit hashes
    dealt into buckets by their top bits.  One row per chunk and bucket is shuffled, whatever the
    frequency of a word.  A bucket adds up the chunks' counts and answers each chunk with the
@@ -107,28 +107,26 @@ class Chunk:
         return (self.of_order(n) for n in range(1, order + 1))
 
 
-#: A text as indexes of words, and a chunk's words: their sorted hashes and which of them each index means.
-TEXT, WORDS = 0, 1
-TABLE = "chunk long, kind int, id long, held_out boolean, tokens binary, keys binary"
+#: A chunk: its texts' ids, flags and lengths, their words as indexes, which of the sorted word hashes ``keys`` each index means.
+TABLE = "chunk long, ids array<long>, held array<boolean>, lengths binary, tokens binary, words binary, keys binary"
 TABLE_NAMES = [c.split()[0] for c in TABLE.split(", ")]
-TABLE_TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.binary(), pa.binary()]
+TABLE_TYPES = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
 
 
 def cut_chunks(docs: DataFrame, chunk_tokens: int) -> DataFrame:
     """Rows of ``TABLE`` from (id, text, held_out)."""
 
-    def rows_of(chunk_id: int, ids: list, held: list, hashes: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    def row_of(chunk_id: int, ids: list, held: list, hashes: list[np.ndarray]) -> pa.RecordBatch:
         lengths = np.array([len(h) for h in hashes])
         keys, which = np.unique(np.concatenate(hashes), return_inverse=True)
         # by falling frequency: most indexes are small then, and compress
         falling = np.argsort(-np.bincount(which, minlength=len(keys)), kind="stable").astype("<u4")
         place = np.empty_like(falling)
         place[falling] = np.arange(len(falling), dtype="<u4")
-        which, cuts = place[which], np.cumsum(lengths) - lengths
-        rows = [(chunk_id, WORDS, None, None, planes(falling), delta(keys))]
-        rows += [(chunk_id, TEXT, i, h, planes(which[a + 1 : a + m]), None) for i, h, a, m in zip(ids, held, cuts, lengths)]
-        for first in range(0, len(rows), 2048):
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[first : first + 2048]), TABLE_TYPES)], TABLE_NAMES)
+        inner = np.ones(len(which), bool)
+        inner[np.cumsum(lengths) - lengths] = False
+        row = (chunk_id, ids, held, planes(lengths.astype("<u4")), planes(place[which[inner]]), planes(falling), delta(keys))
+        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, TABLE_TYPES)], TABLE_NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk_id = TaskContext.get().partitionId() << 32
@@ -146,52 +144,45 @@ def cut_chunks(docs: DataFrame, chunk_tokens: int) -> DataFrame:
                 ids += keys[first:last]
                 held += flags[first:last]
                 if n_tokens >= chunk_tokens:
-                    yield from rows_of(chunk_id, ids, held, hashes)
+                    yield row_of(chunk_id, ids, held, hashes)
                     chunk_id += 1
                     ids, held, hashes, n_tokens = [], [], [], 0
         if ids:
-            yield from rows_of(chunk_id, ids, held, hashes)
+            yield row_of(chunk_id, ids, held, hashes)
 
     return docs.mapInArrow(tidy(run), TABLE)
 
 
-def read_chunk(rows: pa.Table) -> tuple[pa.Table, Chunk, np.ndarray]:
-    """(text rows, their chunk, which of its tokens aren't starts) of one chunk's rows of ``TABLE``."""
-    is_text = rows["kind"].to_numpy() == TEXT
-    words = int(np.argmin(is_text))
-    keys = from_delta(rows["keys"][words].as_buffer().to_pybytes())
-    falling = from_planes(rows["tokens"][words].as_buffer().to_pybytes(), "<u4")
-    texts = rows.filter(pa.array(is_text))
-    own = [from_planes(t.as_buffer().to_pybytes(), "<u4") for t in texts["tokens"]]
-    lengths = np.array([len(t) + 1 for t in own])
+def read_chunk(row: dict) -> tuple[Chunk, np.ndarray]:
+    """(chunk, which of its tokens aren't starts) of a row of ``TABLE``."""
+    lengths = from_planes(row["lengths"], "<u4").astype(np.int64)
     tokens = np.full(lengths.sum(), START, np.uint64)
     inner = np.ones(len(tokens), bool)
     inner[np.cumsum(lengths) - lengths] = False
-    tokens[inner] = keys[falling[np.concatenate(own)]]
-    return texts, Chunk(tokens, lengths), inner
+    tokens[inner] = from_delta(row["keys"])[from_planes(row["words"], "<u4")[from_planes(row["tokens"], "<u4")]]
+    return Chunk(tokens, lengths), inner
 
 
 ASKED = "chunk long, bucket long, keys binary, counts binary"
 ANSWERED = "chunk long, bucket long, totals binary, n_tokens long, n_words long"
 
 
-def count_chunk(rows: pa.Table, n: int, bits: int) -> pa.Table:
+def count_chunk(row: dict, n: int, bits: int) -> pa.RecordBatch:
     """One chunk's distinct n-grams and their training counts, a row for each bucket."""
-    texts, chunk, _ = read_chunk(rows)
-    train = ~texts["held_out"].to_numpy()[chunk.row]
+    chunk, _ = read_chunk(row)
+    train = ~np.array(row["held"], bool)[chunk.row]
     keys, at, which = chunk.of_order(n)
     counts = np.bincount(which, weights=train[at], minlength=len(keys)).astype("<u4")
     bounds = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.zeros(0, np.uint64)
     ends = [0, *np.searchsorted(keys, bounds).tolist(), len(keys)]
     cuts = [(b, i, j) for b, (i, j) in enumerate(zip(ends, ends[1:])) if i < j]
-    return pa.table(
-        {
-            "chunk": pa.array([rows["chunk"][0].as_py()] * len(cuts), pa.int64()),
-            "bucket": pa.array([b for b, _, _ in cuts], pa.int64()),
-            "keys": pa.array([delta(keys[i:j]) for _, i, j in cuts], pa.binary()),
-            "counts": pa.array([planes(counts[i:j]) for _, i, j in cuts], pa.binary()),
-        }
-    )
+    made = {
+        "chunk": pa.array([row["chunk"]] * len(cuts), pa.int64()),
+        "bucket": pa.array([b for b, _, _ in cuts], pa.int64()),
+        "keys": pa.array([delta(keys[i:j]) for _, i, j in cuts], pa.binary()),
+        "counts": pa.array([planes(counts[i:j]) for _, i, j in cuts], pa.binary()),
+    }
+    return pa.RecordBatch.from_arrays(list(made.values()), list(made))
 
 
 def total(bucket: pa.Table, words: bool) -> pa.Table:
@@ -267,20 +258,20 @@ class Automaton:
 SCORES = "id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
-def score_chunk(texts: pa.Table, answers: pa.Table, order: int, n_tokens: int, n_words: int, prior: float) -> pa.Table:
+def score_chunk(row: dict, answers: pa.Table, order: int, n_tokens: int, n_words: int, prior: float) -> pa.Table:
     """Scores of one chunk's texts, given the corpus's counts of its n-grams."""
     answers = answers.sort_by([("gram", "ascending"), ("bucket", "ascending")])
     gram = answers["gram"].to_numpy()
     parts = [from_planes(t.as_buffer().to_pybytes(), "<u8") for t in answers["totals"]]
     counts = [np.concatenate([parts[i] for i in np.flatnonzero(gram == n)] or [np.zeros(0, "<u8")]) for n in range(1, order + 1)]
-    texts, chunk, inner = read_chunk(texts)
+    chunk, inner = read_chunk(row)
     automaton = Automaton(chunk, counts, n_tokens, n_words, prior)
     known = counts[0][automaton.ends[0]] * inner > 0
     base = np.where(inner, automaton.arcs[0][automaton.ends[0]], 0.0)
     return pa.table(
         {
-            "id": texts["id"],
-            "held_out": texts["held_out"],
+            "id": pa.array(row["ids"], pa.int64()),
+            "held_out": pa.array(row["held"], pa.bool_()),
             "n_tokens": chunk.lengths - 1,
             "n_known": np.bincount(chunk.row, weights=known, minlength=len(chunk.lengths)).astype(np.int64),
             "base_score": np.bincount(chunk.row, weights=base, minlength=len(chunk.lengths)),
@@ -303,16 +294,18 @@ def score_texts(
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(0, math.ceil(math.log2(max(1, size / bucket_bytes))))
-    texts = staged(cut_chunks(rows, chunk_tokens), "lm-texts")
+    chunks = staged(cut_chunks(rows, chunk_tokens), "lm-chunks")
 
     def answers_of(n: int) -> DataFrame:
-        def ask(own: pa.Table) -> pa.Table:
-            return count_chunk(own, n, bits)
+        def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for k in range(len(batch)):
+                    yield count_chunk(batch.slice(k, 1).to_pylist()[0], n, bits)
 
         def answer(bucket: pa.Table) -> pa.Table:
             return total(bucket, n == 1)
 
-        asked = texts.groupBy("chunk").applyInArrow(tidy_group(ask), ASKED)
+        asked = chunks.mapInArrow(tidy(ask), ASKED)
         answered = asked.groupBy("bucket").applyInArrow(tidy_group(answer), ANSWERED)
         return staged(answered.withColumn("gram", F.lit(n)), f"lm-totals-{n}")
 
@@ -323,9 +316,9 @@ def score_texts(
     sums = answers[0].agg(F.sum("n_tokens"), F.sum("n_words")).first()
     n_tokens, n_words = sums[0] or 0, sums[1] or 0
 
-    def score(own_texts: pa.Table, own: pa.Table) -> pa.Table:
-        return score_chunk(own_texts, own, order, n_tokens, n_words, prior)
+    def score(chunk: pa.Table, own: pa.Table) -> pa.Table:
+        return score_chunk(chunk.to_pylist()[0], own, order, n_tokens, n_words, prior)
 
     every = reduce(DataFrame.union, answers).select("chunk", "bucket", "gram", "totals")
-    scored = texts.groupBy("chunk").cogroup(every.groupBy("chunk")).applyInArrow(tidy_cogroup(score), SCORES)
+    scored = chunks.groupBy("chunk").cogroup(every.groupBy("chunk")).applyInArrow(tidy_cogroup(score), SCORES)
     return scored.withColumn("train_tokens", F.lit(n_tokens).cast("long"))
