@@ -51,11 +51,10 @@ def _split_null_keys(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
 
 def _merge(target: DataFrame, staging: DataFrame, key: str, cols: list[str]) -> DataFrame:
     """Rows with non-NULL keys: matched and new ones from ``staging`` (unique keys), the others as they are."""
-    news = staging.select(F.col(key).alias("_key"), F.struct(*cols).alias("_new"))
-    olds = target.select(key, F.struct(*cols).alias("_old"))
-    joined = olds.join(news, F.col(key) == F.col("_key"), "full_outer")
-    row = F.when(F.col("_key").isNotNull(), F.col("_new")).otherwise(F.col("_old"))
-    return joined.select(row.alias("_row")).select("_row.*")
+    news = staging.select(*[F.col(c).alias(f"_new_{c}") for c in cols])
+    joined = target.select(*cols).join(news, F.col(key) == F.col(f"_new_{key}"), "full_outer")
+    staged = F.col(f"_new_{key}").isNotNull()
+    return joined.select(*[F.when(staged, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) for c in cols])
 
 
 def scd1_upsert(target: DataFrame, staging: DataFrame, key: str) -> DataFrame:
