@@ -40,6 +40,8 @@ Stamp = str | _dt.datetime | _dt.date | Column
 BROADCAST_LIMIT = 256 * 1024 * 1024
 
 REPORT_COLUMNS = ["event_dt", "passport", "fio", "phone", "event_type", "report_dt"]
+# What a report row tells of its client.
+PERSON = ["passport_num", "phone", "fio"]
 
 
 def listed_passports(blacklist: DataFrame) -> DataFrame:
@@ -159,24 +161,60 @@ def relevant_cards(
     dimension keys there is at most one row per card.
     """
     ts = as_ntz(as_of)
-    cl = with_listed_flag(_client_side(clients), blacklist).select(
+    return _cards_that_fire(_flagged_clients(clients, blacklist, ts), accounts, cards, ts, PERSON)
+
+
+def _flagged_clients(clients: DataFrame, blacklist: DataFrame, ts: Column) -> DataFrame:
+    """Clients with the flag of rule 1."""
+    return with_listed_flag(_client_side(clients), blacklist).select(
         "client_id",
-        "passport_num",
-        "phone",
-        "fio",
+        *PERSON,
         F.coalesce((F.col("passport_valid_to") < ts) | F.col("listed"), F.lit(False)).alias("r_passport"),
     )
+
+
+def _cards_that_fire(clients: DataFrame, accounts: DataFrame, cards: DataFrame, ts: Column, carried: list[str]) -> DataFrame:
+    """Cards of flagged clients or accounts, with the columns ``carried`` of the client and both flags."""
     acc = accounts.select(
         "account_num",
         F.col("client").alias("client_id"),
         F.coalesce(F.col("valid_to") < ts, F.lit(False)).alias("r_contract"),
     )
-    relevant = cl.join(acc, "client_id").where(F.col("r_passport") | F.col("r_contract"))
+    relevant = clients.join(acc, "client_id").where(F.col("r_passport") | F.col("r_contract"))
     return cards.select("card_num", "account_num").join(relevant, "account_num").select(
-        "card_num", "passport_num", "phone", "fio", "r_passport", "r_contract"
+        "card_num", *carried, "r_passport", "r_contract"
     )
 
 
+def pinned_cards(
+    clients: DataFrame,
+    accounts: DataFrame,
+    cards: DataFrame,
+    blacklist: DataFrame,
+    as_of: Stamp,
+    pin_path: str,
+    broadcast_limit_bytes: int,
+) -> tuple[DataFrame, DataFrame, int]:
+    """:func:`relevant_cards` with a number for the client's texts, those texts by number, and the bytes of the cards.
+
+    Equal (passport, phone, name) have one number, so events are told apart by numbers and the texts
+    join them at the end.  All three frames are pinned at ``pin_path``, which also fixes the numbers, and
+    broadcast where they are measured to fit.
+    """
+    ts = as_ntz(as_of)
+    named = _client_side(clients).where(F.col("client_id").isNotNull()).select(*PERSON).distinct()
+    numbered = named.withColumn("person", F.monotonically_increasing_id())
+    persons, _ = pinned_broadcast(numbered, f"{pin_path}-persons", broadcast_limit_bytes)
+    texts = persons.withColumnsRenamed({c: f"_{c}" for c in PERSON})
+    same = functools.reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in PERSON))
+    known = _flagged_clients(clients, blacklist, ts).where(F.col("client_id").isNotNull())
+    known = known.join(texts, same).select("client_id", "person", "r_passport")
+    people, _ = pinned_broadcast(known, f"{pin_path}-people", broadcast_limit_bytes)
+    flagged = _cards_that_fire(people, accounts, cards, ts, ["person"])
+    flagged, size = pinned_broadcast(flagged, pin_path, broadcast_limit_bytes)
+    return flagged, persons, size
+
+
 def events_for_cards(transactions: DataFrame, cards_flagged: DataFrame, as_of: Stamp) -> DataFrame:
     """Match transactions to flagged cards and emit one row per rule that fires
     (``explode`` of at most two types), then one distinct."""
@@ -187,13 +225,35 @@ def events_for_parts(parts: list[tuple[DataFrame, DataFrame]], as_of: Stamp) ->
     """The same for parts of the fact that are matched in different ways: (transactions, flagged cards) each."""
     joined = [_live_transactions(transactions).join(cards, "card_num").drop("card_num") for transactions, cards in parts]
     matched = functools.reduce(DataFrame.unionByName, joined)
-    types = F.array_compact(
+    return _emit(matched, F.explode(_event_types()), as_of)
+
+
+def _event_types() -> Column:
+    return F.array_compact(
         F.array(
             F.when(F.col("r_passport"), F.lit(EVENT_PASSPORT)),
             F.when(F.col("r_contract"), F.lit(EVENT_CONTRACT)),
         )
     )
-    return _emit(matched, F.explode(types), as_of)
+
+
+def events_of_persons(parts: list[tuple[DataFrame, DataFrame]], persons: DataFrame, as_of: Stamp) -> DataFrame:
+    """:func:`events_for_parts` for cards and persons of :func:`pinned_cards`.
+
+    One row a person and time is aggregated, a number, a time and two flags, before
+    the texts join it and the rules that fire become rows of their own.
+    """
+    joined = [_live_transactions(transactions).join(cards, "card_num").drop("card_num") for transactions, cards in parts]
+    fired = functools.reduce(DataFrame.unionByName, joined).groupBy("person", "trans_date")
+    once = fired.agg(F.max("r_passport").alias("r_passport"), F.max("r_contract").alias("r_contract"))
+    return once.join(persons, "person").select(
+        F.col("trans_date").alias("event_dt"),
+        F.col("passport_num").alias("passport"),
+        check_max_length("fio", VARCHAR_LIMIT, "fio").alias("fio"),
+        F.col("phone"),
+        F.explode(_event_types()).alias("event_type"),
+        as_ntz(as_of).alias("report_dt"),
+    )
 
 
 def fraud_report(
@@ -226,11 +286,10 @@ def fraud_report_measured(
     the shuffle join behind a runtime Bloom filter, which needs no shuffle of history if the
     fact is bucketed by card (see :mod:`fraudmart.plans.catalog`).
     """
-    flagged = relevant_cards(clients, accounts, cards, blacklist, as_of)
-    pinned, size = pinned_broadcast(flagged, pin_path, broadcast_limit_bytes)
+    pinned, persons, size = pinned_cards(clients, accounts, cards, blacklist, as_of, pin_path, broadcast_limit_bytes)
     if size > broadcast_limit_bytes:
         pinned = with_runtime_filter(pinned)
-    return events_for_cards(transactions, pinned, as_of), size
+    return events_of_persons([(transactions, pinned)], persons, as_of), size
 
 
 def with_runtime_filter(cards_flagged: DataFrame) -> DataFrame:

@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fraudmart import schemas
-from fraudmart.operators.broadcast import broadcast_if_small, pinned_broadcast
-from fraudmart.operators.report import events_for_parts, relevant_cards
+from fraudmart.operators.broadcast import broadcast_if_small
+from fraudmart.operators.report import events_of_persons, pinned_cards
 from fraudmart.operators.watermarks import DEFAULT_DB
 from fraudmart.plans.store import BUCKETED, CLEAR_REPORT, DROP, LOAD, REPORT, Store, new_attempt, report_date
 
@@ -36,6 +36,13 @@ BLACKLIST = "fact_passport_blacklist"
 HEAVY_PART = 4
 #: What flagged heavy cards may always take in a broadcast.
 HEAVY_BYTES = 4 << 20
+#: Transactions that a bucket, which one task reads, sorts and joins, holds of a load on average.
+BUCKET_ROWS = 500_000
+
+
+def buckets_for(rows: int, least: int = 8) -> int:
+    """Buckets of a fact that begins with ``rows`` rows: the memory of a task doesn't grow with the fact."""
+    return max(least, -(-rows // BUCKET_ROWS))
 
 
 def heavy_cards(staged: DataFrame, rows: int, buckets: int, key: str = "card_num") -> DataFrame:
@@ -168,13 +175,12 @@ class Catalog:
         """
         table = self.spark.table
         dims = (table(self.name(d)) for d in ("dim_clients", "dim_accounts", "dim_cards", BLACKLIST))
-        flagged = relevant_cards(*dims, as_of)
-        pinned, size = pinned_broadcast(flagged, pin_path, broadcast_limit_bytes)
+        pinned, persons, size = pinned_cards(*dims, as_of, pin_path, broadcast_limit_bytes)
         bucketed, plain = table(self.name(BY_CARD)), table(self.name(PLAIN))
         cards = pinned
         if size > broadcast_limit_bytes:
             # few cards are heavy; those of stream loads may be many, then their rows are shuffled
             in_plain = pinned.join(plain.select("card_num").distinct(), "card_num", "left_semi")
             cards, _ = broadcast_if_small(in_plain, max(broadcast_limit_bytes, HEAVY_BYTES))
-        return events_for_parts([(bucketed, pinned), (plain, cards)], as_of), size
+        return events_of_persons([(bucketed, pinned), (plain, cards)], persons, as_of), size
 

@@ -6,9 +6,11 @@ import pytest
 
 from paths import SF_SMALL
 from fraudmart.fixtures import AS_OF, Fixture
-from fraudmart.operators.report import fraud_report, fraud_report_two_pass, rule_contract, rule_passport
+from fraudmart.operators.report import fraud_report, fraud_report_measured, fraud_report_two_pass, rule_contract, rule_passport
 from fraudmart.schemas import ACCOUNTS, BLACKLIST, CARDS, CLIENTS, TRANSACTIONS
+from plan_metrics import nodes
 from plan_text import plan_text
+from test_skew import conf
 
 D = dt.datetime
 AS = "2021-01-01 00:00:00"
@@ -116,3 +118,35 @@ def test_plan_has_no_cartesian_and_inner_chain(spark):
     optimized = plan.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
     assert optimized.count("LeftOuter") == 1
     assert optimized.count("Join Inner") == 3
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 28])
+def test_measured_report_tells_events_apart_by_persons(spark, workdir, limit):
+    """Clients with the same texts, NULLs included, are one person; those that differ in one text are not."""
+    old, new = D(2020, 1, 1), D(2030, 1, 1)
+    texts = [("1", "PA", "x"), ("2", "PA", "x"), ("3", "PA", "y"), ("4", None, "x"), ("5", None, "x"), ("6", "PB", None), (None, "PC", "x")]
+    clients = [(cid, "L", "F", None, None, passport, old if cid != "6" else new, phone, None, None) for cid, passport, phone in texts]
+    c, a, k, t, b = make(
+        spark,
+        clients,
+        [(f"A{i}", old if i in (2, 6) else new, str(i), None, None) for i in range(1, 7)],
+        [(f"K{i}", f"A{i}", None, None) for i in range(1, 7)],
+        [tx(f"t{i}{n}", f"K{i}", D(2020, 5, 5, 10)) for i in range(1, 7) for n in range(2)],
+        [("PB", D(2019, 1, 1), D(2019, 1, 1))],
+    )
+    want = sorted(map(str, fraud_report(c, a, k, t, b, AS).collect()))
+    got, size = fraud_report_measured(c, a, k, t, b, AS, f"{workdir}/pin", limit)
+    assert sorted(map(str, got.collect())) == want and len(want) == 6 and size > 0
+
+
+def test_measured_report_moves_no_texts_with_events(spark, workdir):
+    """Beyond the broadcast limit, what is shuffled for an event is numbers and flags, one row for both rules."""
+    fx = Fixture(spark, SF_SMALL)
+    args = (fx.clients, fx.accounts, fx.cards, fx.transactions, fx.blacklist, AS_OF)
+    with conf(spark, {"spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
+        report, _ = fraud_report_measured(*args, f"{workdir}/pin", 0)
+        rows = len(report.collect())
+        moved = [node.output().toString() for kind, node in nodes(report) if kind == "ShuffleExchangeExec"]
+    events = [columns for columns in moved if "trans_date" in columns or "event_dt" in columns]
+    assert rows > 1000 and len(events) >= 2
+    assert not any(text in columns for columns in events for text in ("passport_num", "fio", "phone", "event_type"))
