@@ -6,10 +6,12 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from fraudmart import schemas
-from fraudmart.plans.catalog import BY_CARD, PLAIN, heavy_cards
+from fraudmart import queries, schemas
+from fraudmart.plans import catalog
+from fraudmart.plans.catalog import BY_CARD, PLAIN, buckets_for, heavy_cards
 from fraudmart.plans.daily import Warehouse
 from fraudmart.streaming.transactions import start_transactions_stream
+from paths import SF_SMALL
 from test_daily import _drop, _sources
 
 TABLES = (*schemas.DIMENSIONS, *schemas.FACTS, "rep_fraud", "meta_loading")
@@ -112,3 +114,20 @@ def test_stream_loads_join_the_catalog(spark, workdir):
     assert spark.table(f"{database}.fact_transactions").count() == 140 == wh.read_table("fact_transactions").count()
     got = _rows(wh.report_frame("2021-02-01 00:00:00", pin_as=uuid.uuid4().hex))
     assert got == _rows(wh.report_frame("2021-02-01 00:00:00")) and any("2021, 1, 9" in r for r in got)
+
+
+def test_buckets_grow_in_number(spark, workdir, monkeypatch):
+    """What a task reads of the bucketed fact doesn't grow with it."""
+    assert [buckets_for(n) for n in (0, 600_000, 36_000_000, 216_000_000)] == [8, 8, 72, 432]
+    seen = []
+
+    class Seen(Warehouse):
+        def __init__(self, *args, **options):
+            seen.append(options["buckets"])
+            super().__init__(*args, **options)
+
+    monkeypatch.setattr(queries, "Warehouse", Seen)
+    monkeypatch.setattr(catalog, "BUCKET_ROWS", 400)
+    got = queries.q_fraud_report_bucketed(spark, SF_SMALL)
+    assert seen == [-(-spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count() // 400)] and seen[0] > 8
+    assert _rows(got) == _rows(queries.q_fraud_report(spark, SF_SMALL))
