@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fraudmart.schemas import COMPRESSION
+
 # An unsafe row: 8-byte null bitset word per 64 fields, 8 bytes per fixed-width
 # field, variable-width data rounded up to 8 bytes.  A hashed relation roughly
 # doubles that; the factor is applied on top.
@@ -45,7 +47,7 @@ def observed_size(df: DataFrame) -> Column:
 def pinned_broadcast(df: DataFrame, path: str, limit_bytes: int) -> tuple[DataFrame, int]:
     """``df`` written once to ``path`` and read back, with a broadcast hint if it fits; and its size, measured by the write."""
     size = Observation()
-    df.observe(size, observed_size(df).alias("bytes")).write.mode("errorifexists").parquet(path)
+    df.observe(size, observed_size(df).alias("bytes")).write.mode("errorifexists").option("compression", COMPRESSION).parquet(path)
     pinned, measured = df.sparkSession.read.schema(df.schema).parquet(path), int(size.get["bytes"])
     return (F.broadcast(pinned) if measured <= limit_bytes else pinned), measured
 

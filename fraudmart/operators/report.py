@@ -175,15 +175,19 @@ def _flagged_clients(clients: DataFrame, blacklist: DataFrame, ts: Column) -> Da
 
 def _cards_that_fire(clients: DataFrame, accounts: DataFrame, cards: DataFrame, ts: Column, carried: list[str]) -> DataFrame:
     """Cards of flagged clients or accounts, with the columns ``carried`` of the client and both flags."""
+    return cards.select("card_num", "account_num").join(_accounts_that_fire(clients, accounts, ts, carried), "account_num").select(
+        "card_num", *carried, "r_passport", "r_contract"
+    )
+
+
+def _accounts_that_fire(clients: DataFrame, accounts: DataFrame, ts: Column, carried: list[str]) -> DataFrame:
     acc = accounts.select(
         "account_num",
         F.col("client").alias("client_id"),
         F.coalesce(F.col("valid_to") < ts, F.lit(False)).alias("r_contract"),
     )
     relevant = clients.join(acc, "client_id").where(F.col("r_passport") | F.col("r_contract"))
-    return cards.select("card_num", "account_num").join(relevant, "account_num").select(
-        "card_num", *carried, "r_passport", "r_contract"
-    )
+    return relevant.select("account_num", *carried, "r_passport", "r_contract")
 
 
 def pinned_cards(
@@ -195,7 +199,10 @@ def pinned_cards(
     pin_path: str,
     broadcast_limit_bytes: int,
 ) -> tuple[DataFrame, DataFrame, int]:
-    """:func:`relevant_cards` with a number for the client's texts, those texts by number, and the bytes of the cards.
+    """Cards that can fire a rule with ``fired``, those texts by ``person``, and the bytes of the cards.
+
+    ``fired`` is four times the number of the client's texts plus the rules that fire (1 and 2, see :func:`_rules`): one
+    number, so that cards and events are as narrow as they can be where they are shuffled.
 
     Equal (passport, phone, name) have one number, so events are told apart by numbers and the texts
     join them at the end.  All three frames are pinned at ``pin_path``, which also fixes the numbers, and
@@ -210,7 +217,8 @@ def pinned_cards(
     known = _flagged_clients(clients, blacklist, ts).where(F.col("client_id").isNotNull())
     known = known.join(texts, same).select("client_id", "person", "r_passport")
     people, _ = pinned_broadcast(known, f"{pin_path}-people", broadcast_limit_bytes)
-    flagged = _cards_that_fire(people, accounts, cards, ts, ["person"])
+    accounts = _accounts_that_fire(people, accounts, ts, ["person"]).select("account_num", (F.col("person") * 4 + _rules()).alias("fired"))
+    flagged = cards.select("card_num", "account_num").join(accounts, "account_num").select("card_num", "fired")
     flagged, size = pinned_broadcast(flagged, pin_path, broadcast_limit_bytes)
     return flagged, persons, size
 
@@ -228,6 +236,11 @@ def events_for_parts(parts: list[tuple[DataFrame, DataFrame]], as_of: Stamp) ->
     return _emit(matched, F.explode(_event_types()), as_of)
 
 
+def _rules() -> Column:
+    """Both flags as a number: 1 for the passport, 2 for the contract."""
+    return F.when(F.col("r_passport"), F.lit(1)).otherwise(F.lit(0)) + F.when(F.col("r_contract"), F.lit(2)).otherwise(F.lit(0))
+
+
 def _event_types() -> Column:
     return F.array_compact(
         F.array(
@@ -240,12 +253,14 @@ def _event_types() -> Column:
 def events_of_persons(parts: list[tuple[DataFrame, DataFrame]], persons: DataFrame, as_of: Stamp) -> DataFrame:
     """:func:`events_for_parts` for cards and persons of :func:`pinned_cards`.
 
-    One row a person and time is aggregated, a number, a time and two flags, before
-    the texts join it and the rules that fire become rows of their own.
+    One row a person and time is aggregated, a number, a time and the rules that fire, before
+    the texts join it and the rules become rows of their own.
     """
     joined = [_live_transactions(transactions).join(cards, "card_num").drop("card_num") for transactions, cards in parts]
-    fired = functools.reduce(DataFrame.unionByName, joined).groupBy("person", "trans_date")
-    once = fired.agg(F.max("r_passport").alias("r_passport"), F.max("r_contract").alias("r_contract"))
+    person, rules = F.shiftright("fired", 2).alias("person"), F.col("fired").bitwiseAND(3).cast("byte").alias("rules")
+    fired = functools.reduce(DataFrame.unionByName, joined).select(person, "trans_date", rules).groupBy("person", "trans_date")
+    once = fired.agg(F.bit_or("rules").alias("rules"))
+    once = once.select("person", "trans_date", *((F.col("rules").bitwiseAND(n) > 0).alias(c) for c, n in (("r_passport", 1), ("r_contract", 2))))
     return once.join(persons, "person").select(
         F.col("trans_date").alias("event_dt"),
         F.col("passport_num").alias("passport"),

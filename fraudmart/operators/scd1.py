@@ -106,6 +106,52 @@ def scd1_apply_vanished(target: DataFrame, staging: DataFrame, vanished: DataFra
     return merged.unionByName(null_target.select(*cols)).unionByName(null_staged)
 
 
+def key_counts(target: DataFrame, staging: DataFrame, source_keys: DataFrame, key: str, source_key: str = "id") -> DataFrame:
+    """Per non-NULL key of the target or of staging: ``n_target`` and ``n_staged`` rows, and whether the source lacks it (``gone``).
+
+    Only key columns are read and shuffled, each once; that tells vanished keys, staged keys that are there
+    twice (H15) and which rows of the target a MERGE leaves as they are.
+    """
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    sides = target.select(key, one.alias("_t"), none.alias("_s")).unionByName(staging.select(key, none.alias("_t"), one.alias("_s")))
+    known = sides.where(F.col(key).isNotNull()).groupBy(key).agg(F.sum("_t").alias("n_target"), F.sum("_s").alias("n_staged"))
+    src = source_keys.select(F.col(source_key).alias("_id")).where(F.col("_id").isNotNull()).distinct()
+    return known.join(src, F.col(key) == F.col("_id"), "left").select(key, "n_target", "n_staged", F.col("_id").isNull().alias("gone"))
+
+
+def key_marks(counts: DataFrame, key: str, mostly: bool) -> DataFrame:
+    """The keys of :func:`key_counts` that :func:`scd1_apply_marked` must know: those that vanished, and
+
+    * ``mostly``, where staging has most of the target: the target's keys that aren't staged, and staged keys that
+      the target has more than once;
+    * else: staged keys that the target has.
+    """
+    had, staged = F.col("n_target") > 0, F.col("n_staged") > 0
+    more = (had & ~staged) | (staged & (F.col("n_target") > 1)) if mostly else had & staged
+    return counts.where(F.col("gone") | more).select(key, "n_target", staged.alias("staged"), "gone")
+
+
+def scd1_apply_marked(target: DataFrame, staging: DataFrame, marks: DataFrame, key: str, mostly: bool) -> DataFrame:
+    """:func:`scd1_apply` for marks of :func:`key_marks` that are small enough to broadcast (checked by the caller).
+
+    A row of the target stays as it is or a staged row takes its place, once for each row of its key, so
+    keys tell all and neither side's rows are shuffled.  ``target`` may be any set of whole key parts.
+    """
+    cols = target.columns
+    keyed, null_target = _split_null_keys(target, key)
+    staged, null_staged = _split_null_keys(staging.select(*cols), key)
+    if mostly:
+        kept = keyed.join(F.broadcast(marks.where(~F.col("gone") & ~F.col("staged")).select(key)), key, "left_semi")
+    else:
+        kept = keyed.join(F.broadcast(marks.select(key)), key, "left_anti")
+    other = marks.where(F.col("gone") | (F.col("staged") & (F.col("n_target") > 1)))
+    news = staged.join(F.broadcast(other.select(F.col(key).alias("_key"), "gone", "n_target")), F.col(key) == F.col("_key"), "left")
+    news = news.where(~F.coalesce("gone", F.lit(False)))
+    copies = F.sequence(F.lit(1).cast("long"), F.greatest(F.coalesce("n_target", F.lit(1)), F.lit(1)))
+    placed = news.select(*cols, F.explode(copies).alias("_copy")).select(*cols)
+    return kept.select(*cols).unionByName(placed).unionByName(null_target.select(*cols)).unionByName(null_staged)
+
+
 def missing_keys(target: DataFrame, source_keys: DataFrame, key: str, source_key: str = "id") -> DataFrame:
     """Target keys with no source row (``LEFT JOIN ... WHERE s.id IS NULL``).
 

@@ -43,7 +43,7 @@ from fraudmart.operators.capture import (
 from fraudmart.operators.broadcast import observed_size
 from fraudmart.operators.files import FILE_KEY, oldest_drop, require_feeds, unseen_files
 from fraudmart.operators.report import fraud_report, fraud_report_measured
-from fraudmart.operators.scd1 import assert_unique_keys, scd1_apply_vanished, scd1_upsert, vanished_keys
+from fraudmart.operators.scd1 import assert_unique_keys, key_counts, key_marks, scd1_apply_marked, scd1_apply_vanished, scd1_upsert
 from fraudmart.operators.watermarks import SEED_STAMP, advanced_values, as_of_now, observed_max, watermark_values
 from fraudmart.plans.catalog import TRANSACTIONS, Catalog
 from fraudmart.plans.store import CLEAR_REPORT, DROP, LOAD, REPORT, PublishRecord, Store, new_attempt, part_of
@@ -125,7 +125,7 @@ class Warehouse:
     def _pin(self, df: DataFrame, batch_id: int, attempt: str, name: str, part: Column | None = None) -> tuple[DataFrame, Written]:
         """Write ``df`` once under the shared checkpoint folder and read it back."""
         path = scratch_path(self.spark, "fraudmart-staging", f"{batch_id}-{attempt}", name)
-        written = self._write(df, lambda d: d.write.mode("errorifexists").parquet(path), name, part)
+        written = self._write(df, lambda d: d.write.mode("errorifexists").option("compression", schemas.COMPRESSION).parquet(path), name, part)
         return self.spark.read.schema(df.schema).parquet(path), written
 
     def _all(self, jobs: dict[str, Callable[[], object]]) -> dict[str, object]:
@@ -170,17 +170,26 @@ class Warehouse:
         """
         _schema, key = schemas.DIMENSIONS[dim]
         (frame, written), known, part = staged, state.parts.get(dim, {}), part_of(key, state.n_parts)
-        parts, vanished, small = written.parts, None, False
+        parts, marks, mostly = written.parts, None, False
         if keys is not None:
-            gone = vanished_keys(self.store.dim_of(dim, state), frame, keys, key)
-            vanished, left = self._pin(gone, batch_id, attempt, f"vanished_{dim}", part)
+            whole = self.store.dim_of(dim, state)
+            mostly = 2 * written.rows > whole.count()
+            twice = Observation(f"twice-{dim}-{attempt}")
+            counts = key_counts(whole, frame, keys, key).observe(twice, F.max("n_staged").alias("n"))
+            gone_part = F.when(F.col("gone"), part)
+            marks, left = self._pin(key_marks(counts, key, mostly), batch_id, attempt, f"marks_{dim}", gone_part)
+            if (twice.get["n"] or 0) > 1:
+                assert_unique_keys(frame, key)
             parts = parts | left.parts
-            # a day's changes mostly fit a broadcast, and then the dimension isn't shuffled
-            small = written.bytes + left.bytes <= self.broadcast_limit_bytes
         if not parts:
             return known
         current = self.store.dim_of(dim, state, parts)
-        new = scd1_upsert(current, frame, key) if vanished is None else scd1_apply_vanished(current, frame, vanished, key, small)
+        if marks is None:
+            new = scd1_upsert(current, frame, key)
+        elif left.bytes <= self.broadcast_limit_bytes:  # only keys are broadcast, and neither side's rows are shuffled
+            new = scd1_apply_marked(current, frame, marks, key, mostly)
+        else:
+            new = scd1_apply_vanished(current, frame, marks.where("gone").select(key), key)
         return {p: v for p, v in known.items() if p not in parts} | self._write_dim(dim, new, batch_id, attempt, state.n_parts)
 
     def _write_dim(self, dim: str, df: DataFrame, batch_id: int, attempt: str, n_parts: int) -> dict[str, str]:
@@ -296,8 +305,8 @@ class Warehouse:
             staged = self._all(jobs)
         counts = {table: staged[table][1].rows for table in staged_raw}
 
-        # dimensions (C9-C16) and the check of their staged keys (H15), independent of each other; a key
-        # that is there twice fails the run before anything is published
+        # dimensions (C9-C16), independent of each other; a staged key that is there twice fails the run before
+        # anything is published (H15), which a dimension that takes deletes sees as it counts its keys
         def load_dim(dim: str) -> dict[str, str]:
             snapshot = staged[f"keys_{dim}"][0] if dim in schemas.DELETABLE else None
             return self._load_dim(dim, state, staged[dim], snapshot, *name)
@@ -306,7 +315,7 @@ class Warehouse:
         checks = {
             f"check_{dim}": partial(assert_unique_keys, staged[dim][0], key)
             for dim, (_schema, key) in schemas.DIMENSIONS.items()
-            if counts[dim]
+            if counts[dim] and dim not in schemas.DELETABLE
         }
         with _step("load"):
             done = self._all(checks | loads)

@@ -243,12 +243,12 @@ class Store:
         """Rows of the changed parts of a dimension, dealt by hash of its key."""
         _schema, key = schemas.DIMENSIONS[table]
         dealt = df.withColumn("part", part_of(key, n_parts or self.dim_parts))
-        dealt.write.mode("errorifexists").partitionBy("part").parquet(self.dim_path(table, version))
+        dealt.write.mode("errorifexists").option("compression", schemas.COMPRESSION).partitionBy("part").parquet(self.dim_path(table, version))
 
     def append_fact(self, table: str, df: DataFrame, batch_id: int, attempt: str) -> str:
         """Rows go to their own ``batch_id/attempt`` partition; a rerun writes a
         new attempt, and only the published attempt is ever read (H25)."""
-        df.write.mode("errorifexists").parquet(f"{self.fact_path(table)}/batch_id={batch_id}/attempt={attempt}")
+        df.write.mode("errorifexists").option("compression", schemas.COMPRESSION).parquet(f"{self.fact_path(table)}/batch_id={batch_id}/attempt={attempt}")
         return attempt
 
     def append_report(self, df: DataFrame, batch_id: int, attempt: str, day: str) -> int:
@@ -263,6 +263,7 @@ class Store:
             df.observe(rows, F.count(F.lit(1)).alias("n"))
             .sortWithinPartitions("passport", "event_dt")
             .write.mode("errorifexists")
+            .option("compression", schemas.COMPRESSION)
             .option("parquet.bloom.filter.enabled#passport", "true")
             .parquet(f"{self.report_path()}/report_date={day}/batch_id={batch_id}/attempt={attempt}")
         )

@@ -124,6 +124,9 @@ EVENT_CONTRACT = 2  # account contract expired
 # Fixed value: the width of every varchar2 column in the reference DDL.
 VARCHAR_LIMIT = 100
 
+# Codec of the Parquet files that the jobs write: smaller than Spark's default.
+COMPRESSION = "zstd"
+
 # Source feeds of the daily drop folder: feed -> file name prefix.
 FEED_PREFIXES: dict[str, str] = {
     "passport_blacklist": "passport_blacklist",
