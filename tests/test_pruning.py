@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fraudmart import schemas
 from fraudmart.fixtures import AS_OF, WATERMARK, Fixture
 from fraudmart.operators.capture import capture_changed, capture_clients
-from fraudmart.operators.report import fraud_report_measured
+from fraudmart.operators.report import fraud_report_measured, of_known_cards
 from fraudmart.operators.scd1 import key_counts, key_marks, missing_keys, scd1_apply, scd1_apply_marked, scd1_apply_vanished, vanished_keys
 from fraudmart.operators.watermarks import seed_watermarks, watermark_column
 from fraudmart.plans.daily import Warehouse
@@ -197,3 +197,15 @@ def test_a_key_staged_twice_fails_the_load(spark, workdir):
         wh.increment(sources | {"clients": whole(clients.union(clients.where("client_id = '2'")), schemas.CLIENTS)}, {}, "2021-01-01 00:00:00")
     wh.increment(sources, {}, "2021-01-01 00:00:00")
     assert wh.read_table("dim_clients").count() == 2
+
+
+def test_bitmaps_keep_flagged_cards_and_drop_most_others(spark):
+    cards = spark.range(0, 60000, 3).select(F.concat(F.lit("C"), F.col("id").cast("string")).alias("card_num"))
+    tx = spark.range(60000).select(F.concat(F.lit("C"), F.col("id").cast("string")).alias("card_num"), "id").union(
+        spark.createDataFrame([(None, -1)], "card_num string, id long")
+    )
+    kept = of_known_cards(tx, cards)
+    assert kept.columns == tx.columns
+    assert kept.where("id % 3 = 0").count() == 20000
+    assert kept.where("id % 3 <> 0").count() < 40000 / 4
+    assert of_known_cards(tx, cards.limit(0)).count() == 0
